@@ -13,6 +13,7 @@ from adtally.functions import identity, measures, text
 from adtally.functions import time as tm
 from adtally.operators import (click, conversion, demand, event, fraud, impression, lists, merge, reconcile,
                                records)
+from adtally.operators.rollup import SCOPE
 from adtally.session import configure, work_dir
 from adtally.sinks import tables
 from adtally.sources import logs, sample
@@ -90,6 +91,12 @@ def click_uniq_two_step(spark, sf, scope):
     return click.daily_two_step(_clicks(spark, sf), scope)
 
 
+@query
+def click_daily_by_scope(spark, sf):
+    """Both scopes from one pass over the log."""
+    return _zoned(click.daily_by_scope(_clicks(spark, sf)))
+
+
 @query
 def uniq_approx(spark, sf):
     """Sketched unique counts per campaign and day beside the exact ones.
@@ -154,6 +161,12 @@ def conv_summary(spark, sf, scope):
     return conversion.summary(conversion.daily(_unique_conversions(spark, sf), scope), scope)
 
 
+@query
+def conv_daily_by_scope(spark, sf):
+    counts = conversion.counts_by_reason(conversion.dedup(_conversions(spark, sf)))
+    return _zoned(conversion.over_reasons(counts, grains.CONVERSION))
+
+
 @query
 def conv_detail_records(spark, sf):
     return records.conversion_detail(_conversions(spark, sf))
@@ -425,13 +438,13 @@ def _zoned(df: DataFrame) -> DataFrame:
 def stream_click(spark, sf):
     log = _parsed(sample.click_log(_event_stream(spark, sf)), schemas.CLICK)
     counts = _increments(spark, log, rollups.clicks, "stream_click")
-    return _zoned(counts.groupBy(*rollups.SCOPE, *grains.CLICK).agg(F.sum("gross_cnt").alias("gross_cnt")))
+    return _zoned(counts.groupBy(*SCOPE, *grains.CLICK).agg(F.sum("gross_cnt").alias("gross_cnt")))
 
 
 @query
 def stream_click_uniq(spark, sf):
     log = _parsed(sample.click_log(_event_stream(spark, sf)), schemas.CLICK)
-    keys = [*rollups.SCOPE, *grains.CLICK]
+    keys = [*SCOPE, *grains.CLICK]
     return _zoned(_totals(spark, rollups.click_totals(log), keys, ["gross_cnt", "uniq_cnt"], "stream_click_uniq"))
 
 
@@ -442,23 +455,23 @@ def _conversion_increments(spark, sf):
 
 @query
 def stream_conv(spark, sf):
-    return _zoned(rollups.conversion_daily(_conversion_increments(spark, sf)))
+    return _zoned(conversion.over_reasons(_conversion_increments(spark, sf), grains.CONVERSION))
 
 
 @query
 def stream_conv_summary(spark, sf):
-    return _zoned(rollups.conversion_summary(_conversion_increments(spark, sf)))
+    return _zoned(conversion.over_reasons(_conversion_increments(spark, sf), grains.SUMMARY))
 
 
 @query
 def stream_conv_invalid(spark, sf):
-    return rollups.conversion_invalid(_conversion_increments(spark, sf))
+    return conversion.invalid_by_reason(_conversion_increments(spark, sf))
 
 
 @query
 def stream_event(spark, sf):
     log = _parsed(sample.event_log(_event_stream(spark, sf)), schemas.EVENT)
-    keys = [*rollups.SCOPE, "retent_days", "kpi", "install_day", *grains.EVENT]
+    keys = [*SCOPE, "retent_days", "kpi", "install_day", *grains.EVENT]
     return _zoned(_totals(spark, rollups.event_totals(log), keys, ["gross_cnt", "uniq_cnt", "total_amount"],
                           "stream_event"))
 
@@ -466,11 +479,11 @@ def stream_event(spark, sf):
 @query
 def stream_event_old(spark, sf):
     log = _parsed(sample.event_log(_event_stream(spark, sf)), schemas.EVENT_WITH_IDS)
-    keys = [*rollups.SCOPE, "role", "role_day", *grains.EVENT]
+    keys = [*SCOPE, "role", "role_day", *grains.EVENT]
     last = _totals(
         spark, rollups.event_id_totals(log), keys,
         ["gross_cnt", "uniq_cnt", "total_amount", "kpi_code", "kpi_event_cnt", *event.RETENTION], "stream_event_old")
-    out = rollups.event_id_records(last).groupBy(*rollups.SCOPE, *grains.EVENT).agg(
+    out = rollups.event_id_records(last).groupBy(*SCOPE, *grains.EVENT).agg(
         *[F.sum(c).alias(c) for c in ("gross_cnt", "uniq_cnt", "kpi_event_cnt", *event.RETENTION)],
         measures.money(F.sum(measures.money_units("total_amount"))).alias("total_amount"))
     return _zoned(out)
@@ -480,7 +493,7 @@ def _impression_stream(spark, sf, kind):
     log = _parsed(sample.impression_log(_event_stream(spark, sf)), schemas.IMPRESSION)
     counts = _increments(spark, log, lambda batch: rollups.impressions(batch, kind), f"stream_impression_{kind}")
     name = f"gross_{kind}_cnt"
-    return _zoned(counts.groupBy(*rollups.SCOPE, *grains.IMPRESSION).agg(F.sum(name).alias(name)))
+    return _zoned(counts.groupBy(*SCOPE, *grains.IMPRESSION).agg(F.sum(name).alias(name)))
 
 
 @query
@@ -502,7 +515,7 @@ def _demand_stream(spark, sf):
 
 @query
 def stream_demand(spark, sf):
-    keys = [*rollups.SCOPE, "kind", *grains.DEMAND]
+    keys = [*SCOPE, "kind", *grains.DEMAND]
     return _zoned(_totals(spark, rollups.demand_totals(_demand_stream(spark, sf)), keys,
                           ["gross_cnt", "uniq_cnt", "cost"], "stream_demand"))
 

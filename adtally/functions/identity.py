@@ -33,3 +33,8 @@ def advertising_id(gaid: Column | str, idfa: Column | str) -> Column:
     """The gaid, or the idfa where the gaid is missing or an unfilled macro."""
     usable = [F.when(~F.contains(_col(c), F.lit("{")), _col(c)) for c in (gaid, idfa)]
     return F.coalesce(*usable, F.lit(""))
+
+
+def sketch_key(key: Column | str) -> Column:
+    """A key as a sketch takes it: sketches skip empty text, which here is a visitor like any other."""
+    return F.concat(F.lit(":"), _text(key))

@@ -6,8 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from adtally import grains
-from adtally.functions.identity import visitor
-from adtally.operators.rollup import scope_keys, sum_of, with_days
+from adtally.functions.identity import sketch_key, visitor
+from adtally.operators.rollup import SCOPE, by_scope, scope_keys, sum_of, with_days
 
 IDS = ["ip", "ua", "gaid", "idfa", "adid"]
 
@@ -21,8 +21,8 @@ def project(log: DataFrame) -> DataFrame:
 def visits(projected: DataFrame) -> DataFrame:
     """Clicks per visitor at the finest grain of both scopes.
 
-    All four click summaries follow from this one frame, so a job reads and
-    shuffles the log once.
+    All four click summaries follow from this frame. Worth keeping where
+    visitors click often; otherwise ``daily_by_scope`` moves less data.
     """
     return projected.groupBy("timezone", "dated_adx", "dated_gmt", *grains.CLICK, "visitor").agg(
         F.count("*").alias("clicks"))
@@ -70,7 +70,7 @@ def approx_daily(projected: DataFrame, scope: str, log2_registers: int = 12) ->
     """``daily`` with a mergeable sketch in place of the exact distinct count."""
     out = projected.groupBy(*scope_keys(scope, grains.CLICK)).agg(
         F.count("*").alias("gross_cnt"),
-        F.hll_sketch_agg("visitor", F.lit(log2_registers)).alias("visitors"))
+        F.hll_sketch_agg(sketch_key("visitor"), F.lit(log2_registers)).alias("visitors"))
     return out.withColumn("uniq_cnt", F.hll_sketch_estimate("visitors"))
 
 
@@ -79,3 +79,15 @@ def merge_sketches(sketched: DataFrame, keys: list[str]) -> DataFrame:
     return sketched.groupBy(*keys).agg(
         sum_of("gross_cnt"),
         F.hll_sketch_estimate(F.hll_union_agg("visitors")).alias("uniq_cnt"))
+
+
+def counts_by_scope(log: DataFrame) -> DataFrame:
+    """Gross clicks of both scopes in one pass."""
+    return by_scope(log, "clk_timestamp").groupBy(*SCOPE, *grains.CLICK).agg(F.count("*").alias("gross_cnt"))
+
+
+def daily_by_scope(log: DataFrame) -> DataFrame:
+    """Gross and unique count of both scopes in one pass over the log."""
+    rows = by_scope(log.withColumn("visitor", visitor(*IDS)), "clk_timestamp")
+    return rows.groupBy(*SCOPE, *grains.CLICK).agg(
+        F.count("*").alias("gross_cnt"), F.count_distinct("visitor").alias("uniq_cnt"))

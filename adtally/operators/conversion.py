@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from adtally import grains
+from adtally.functions import time as tm
 from adtally.functions.measures import money, money_units
-from adtally.operators.rollup import money_sum, scope_keys, sum_of, with_days
+from adtally.operators.rollup import SCOPE, by_scope, money_sum, scope_keys, sum_of, with_days
 
 
 def is_valid() -> Column:
@@ -27,14 +30,26 @@ FIRST_BY = [
 ]
 
 
-def dedup(log: DataFrame) -> DataFrame:
+def dedup(log: DataFrame, within: list[str] | None = None) -> DataFrame:
     """One record per ``click_id``; all blank ids together count as one.
 
     The minimum of a struct is combined on the map side, so a click_id that
     holds much of the log reaches the reducer as one row per task.
     """
-    first = log.groupBy("click_id").agg(F.min(F.struct(*FIRST_BY)).alias("first"))
-    return first.select("click_id", "first.*")
+    keys = ["click_id", *(within or [])]
+    first = log.groupBy(*keys).agg(F.min(F.struct(*FIRST_BY)).alias("first"))
+    return first.select(*keys, "first.*")
+
+
+def per_target_day(log: DataFrame, days: list[dt.date]) -> DataFrame:
+    """Every record once for each wanted day whose three-day file window holds it.
+
+    A click_id is unique within the window of a day, so a backfill of many
+    days in one pass keeps the windows apart.
+    """
+    file_day = F.col("file_day") if "file_day" in log.columns else tm.utc_day("conv_timestamp")
+    near = F.array(*[F.date_add(file_day, k) for k in (-1, 0, 1)])
+    return log.withColumn("target_day", F.explode(near)).where(F.col("target_day").isin(list(days)))
 
 
 def project(records: DataFrame) -> DataFrame:
@@ -90,3 +105,28 @@ def daily_once_per_click(log: DataFrame, scope: str) -> DataFrame:
         money(F.sum(money_units("first.tac"))).alias("tac"),
     )
     return grains.with_row_key(out, scope, grains.CONVERSION)
+
+
+COUNTS = ["gross_cnt", "valid_cnt", "notify_cnt"]
+
+
+def counts_by_reason(records: DataFrame) -> DataFrame:
+    """Both scopes in one pass, split by reason; every conversion summary adds up from it."""
+    keep = ["target_day"] if "target_day" in records.columns else []
+    return by_scope(records, "conv_timestamp").groupBy(*keep, *SCOPE, *grains.CONVERSION, "invalid_type").agg(
+        F.count("*").alias("gross_cnt"),
+        F.count_if(is_valid()).alias("valid_cnt"),
+        F.count_if(is_notified()).alias("notify_cnt"),
+        money_sum("net_profit"),
+        money_sum("tac"),
+    )
+
+
+def over_reasons(counts: DataFrame, dims: list[str]) -> DataFrame:
+    return counts.groupBy(*SCOPE, *dims).agg(
+        *[sum_of(c) for c in COUNTS], money_sum("net_profit"), money_sum("tac"))
+
+
+def invalid_by_reason(counts: DataFrame) -> DataFrame:
+    return counts.where("scope = 'adx' and invalid_type != ''").groupBy(
+        *SCOPE, *grains.INVALID_CONVERSION).agg(sum_of("gross_cnt", "invalid_cnt"))

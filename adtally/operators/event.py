@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from adtally import grains
@@ -49,11 +49,15 @@ def daily(fine_counts: DataFrame, scope: str) -> DataFrame:
     return grains.with_row_key(out, scope, grains.EVENT)
 
 
-def retention(fine_counts: DataFrame, scope: str) -> DataFrame:
-    """Retention counts on the install day, as long as the row is within 30 days."""
+def retention(fine_counts: DataFrame, scope: str, within: list[str] | None = None) -> DataFrame:
+    """Retention counts on the install day, as long as the row is within 30 days.
+
+    ``within`` keeps further columns apart, for instance the event day.
+    """
+    keys = [*(within or []), *grains.keys(scope, grains.EVENT)]
     rows = fine_counts.withColumnRenamed("install_day", "dated").select(
-        *grains.keys(scope, grains.EVENT), *ms.retention_counts("retent_days", "uniq_cnt"))
-    out = rows.where(F.col(RETENTION[-1]) != 0).groupBy(*grains.keys(scope, grains.EVENT)).agg(
+        *keys, *ms.retention_counts("retent_days", "uniq_cnt"))
+    out = rows.where(F.col(RETENTION[-1]) != 0).groupBy(*keys).agg(
         *[sum_of(r) for r in RETENTION])
     return grains.with_row_key(out, scope, grains.EVENT)
 
@@ -62,16 +66,16 @@ def with_kpi_day(fine_counts: DataFrame) -> DataFrame:
     return fine_counts.withColumn("dated", ms.kpi_day(F.col("kpi"), F.col("event_day"), F.col("install_day")))
 
 
-def kpi(fine_counts: DataFrame, scope: str) -> DataFrame:
+def kpi(fine_counts: DataFrame, scope: str, within: list[str] | None = None) -> DataFrame:
     """KPI events on the event or install day, depending on the code."""
     value = ms.kpi_count(F.col("kpi"), F.col("retent_days"), F.col("gross_cnt"), F.col("uniq_cnt"))
     rows = with_kpi_day(fine_counts).withColumn("kpi_event_cnt", value)
     out = rows.where((F.col("kpi_event_cnt") != 0) & F.col("dated").isNotNull()).groupBy(
-        *grains.keys(scope, grains.SUMMARY)).agg(sum_of("kpi_event_cnt"))
+        *(within or []), *grains.keys(scope, grains.SUMMARY)).agg(sum_of("kpi_event_cnt"))
     return grains.with_row_key(out, scope, grains.SUMMARY)
 
 
-def kpi_units() -> ms.Column:
+def kpi_units() -> Column:
     return ms.kpi_amount_units(F.col("kpi"), F.col("retent_days"), F.col("gross_cnt"), F.col("uniq_cnt"),
                                ms.money_units("total_amount"))
 

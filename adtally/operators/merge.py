@@ -28,18 +28,22 @@ def greatest(old: DataFrame, new: DataFrame, keys: list[str], measures: list[str
     return old.unionByName(new).groupBy(*keys).agg(*[F.max(m).alias(m) for m in measures])
 
 
-def wide_summary(parts: list[DataFrame], scope: str) -> DataFrame:
-    """One wide row per grain from jobs that each fill only their own columns."""
-    keys = grains.keys(scope, grains.SUMMARY)
-    counts, amounts = schemas.WIDE_COUNTS, schemas.WIDE_MONEY
+def stack(parts: list[DataFrame], keys: list[str], counts: list[str], amounts: list[str] | None = None) -> DataFrame:
+    """One row per key from parts that each fill only some of the measures."""
+    amounts = amounts or []
 
     def padded(df: DataFrame) -> DataFrame:
         return df.select(
             *keys,
             *[F.col(c) if c in df.columns else F.lit(0).cast("long").alias(c) for c in counts],
-            *[F.col(a) if a in df.columns else F.lit(0.0).alias(a) for a in amounts],
+            *[F.col(a).cast("double").alias(a) if a in df.columns else F.lit(0.0).alias(a) for a in amounts],
         )
 
     stacked = reduce(DataFrame.unionByName, [padded(p) for p in parts])
-    out = stacked.groupBy(*keys).agg(*[sum_of(c) for c in counts], *[money_sum(a) for a in amounts])
+    return stacked.groupBy(*keys).agg(*[sum_of(c) for c in counts], *[money_sum(a) for a in amounts])
+
+
+def wide_summary(parts: list[DataFrame], scope: str) -> DataFrame:
+    """The wide summary from the click, conversion and KPI summaries."""
+    out = stack(parts, grains.keys(scope, grains.SUMMARY), schemas.WIDE_COUNTS, schemas.WIDE_MONEY)
     return grains.with_row_key(out, scope, grains.SUMMARY)

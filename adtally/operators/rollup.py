@@ -45,3 +45,16 @@ def fan_out(df: DataFrame, epoch: str, offset: str = "timezone") -> DataFrame:
     )
     rest = [c for c in df.columns if c != offset]
     return df.select(*rest, F.explode(both).alias("_s")).select(*rest, "_s.*")
+
+
+SCOPE = ["scope", "timezone", "dated"]
+
+
+def by_scope(log: DataFrame, epoch: str, offset: str = "timezone") -> DataFrame:
+    return fan_out(log, epoch, offset).withColumn("dated", tm.utc_day("scope_epoch")).drop("scope_epoch")
+
+
+def of_scope(counts: DataFrame, scope: str, dims: list[str]) -> DataFrame:
+    """One scope of a ``by_scope`` rollup as a summary with its row key."""
+    rows = counts.where(F.col("scope") == scope).drop("scope", *([] if scope == "adx" else ["timezone"]))
+    return grains.with_row_key(rows, scope, dims)

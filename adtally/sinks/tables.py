@@ -80,3 +80,9 @@ def jdbc_options(url: str, table: str, rows_per_batch: int = 1000) -> dict[str,
 def append_jdbc(df: DataFrame, url: str, table: str, properties: dict[str, str] | None = None) -> None:
     """Append to a database table in batches of 1000 rows, straight from the executors."""
     df.write.format("jdbc").options(**jdbc_options(url, table), **(properties or {})).mode("append").save()
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether a table folder is there, on whatever file system it lives."""
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop)

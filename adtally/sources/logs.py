@@ -103,7 +103,7 @@ def _tight(value: Column, wanted: T.DataType) -> Column:
     return value.try_cast(wanted)
 
 
-def _misfits(value: Column, wanted: T.StructType, path: str = "") -> list[Column]:
+def _misfits(value: Column, wanted: T.StructType) -> list[Column]:
     """Number fields holding text that is not a number."""
     out = []
     for f in wanted.fields:
@@ -124,17 +124,18 @@ def parse_messages(messages: DataFrame, schema: T.StructType, text: str = "value
     object or hold a number field that is not a number; ``good`` and
     ``quarantined`` split on it.
     """
-    raw = messages.withColumn("_r", F.from_json(text, _loose(schema)))
-    misfit = F.lit(False)
+    loose = T.StructType([*_loose(schema).fields, T.StructField(CORRUPT, T.StringType())])
+    record = F.from_json(text, loose, {"columnNameOfCorruptRecord": CORRUPT})
+    # As the output of a generator the record is parsed once. A plain column
+    # would be inlined into the filters on it and parsed again for every field.
+    raw = messages.select(*(keep or []), text, F.explode(F.array(record)).alias("_r"))
+    misfit = ~F.startswith(F.ltrim(F.col(text)), F.lit("{")) | F.col(f"_r.{CORRUPT}").isNotNull()
     for m in _misfits(F.col("_r"), schema):
         misfit = misfit | m
-    is_object = F.startswith(F.ltrim(F.col(text)), F.lit("{"))
-    # Unreadable JSON comes back as a row of nulls; so does "{}", which is fine.
-    unreadable = F.coalesce(F.get_json_object(text, "$").isNull(), F.lit(True))
     return raw.select(
         *(keep or []),
         F.col(text),
-        (F.col("_r").isNull() | ~is_object | unreadable | misfit).alias("malformed"),
+        F.coalesce(misfit, F.lit(True)).alias("malformed"),
         *[_tight(F.col("_r")[f.name], f.dataType).alias(f.name) for f in schema.fields],
     )
 

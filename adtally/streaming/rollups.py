@@ -12,13 +12,12 @@ from pyspark.sql import functions as F
 from adtally import grains
 from adtally.functions import measures as ms
 from adtally.functions import time as tm
+from adtally.functions.identity import sketch_key
 from adtally.functions.text import currency_code
-from adtally.operators import demand, event, impression
-from adtally.operators.conversion import is_notified, is_valid
-from adtally.operators.rollup import fan_out, money_sum, sum_of
+from adtally.operators import click, conversion, demand, event, impression
+from adtally.operators.rollup import SCOPE, by_scope, fan_out, money_sum, sum_of
 from adtally.streaming.runner import day_totals
 
-SCOPE = ["scope", "timezone", "dated"]
 LOG2_REGISTERS = 12
 CLICK_IDLE_HOURS = 12
 EVENT_IDLE_HOURS = 24
@@ -27,21 +26,15 @@ DEMAND_IDLE_HOURS = 24
 
 
 def _sketch(key: str) -> Column:
-    return F.hll_sketch_agg(key, F.lit(LOG2_REGISTERS))
+    return F.hll_sketch_agg(sketch_key(key), F.lit(LOG2_REGISTERS))
 
 
 def _uniq(key: str, name: str = "uniq_cnt") -> Column:
     return F.hll_sketch_estimate(_sketch(key)).alias(name)
 
 
-def by_scope(log: DataFrame, epoch: str) -> DataFrame:
-    return fan_out(log, epoch).withColumn("dated", tm.utc_day("scope_epoch"))
-
-
-# ------------------------------------------------------------ without state
-
 def clicks(log: DataFrame) -> DataFrame:
-    return by_scope(log, "clk_timestamp").groupBy(*SCOPE, *grains.CLICK).agg(F.count("*").alias("gross_cnt"))
+    return click.counts_by_scope(log)
 
 
 def conversions(log: DataFrame) -> DataFrame:
@@ -50,28 +43,7 @@ def conversions(log: DataFrame) -> DataFrame:
     The stream counts every record. Repeated click ids are removed by the
     daily job only.
     """
-    return by_scope(log, "conv_timestamp").groupBy(*SCOPE, *grains.CONVERSION, "invalid_type").agg(
-        F.count("*").alias("gross_cnt"),
-        F.count_if(is_valid()).alias("valid_cnt"),
-        F.count_if(is_notified()).alias("notify_cnt"),
-        money_sum("net_profit"),
-        money_sum("tac"),
-    )
-
-
-def conversion_daily(increments: DataFrame) -> DataFrame:
-    return increments.groupBy(*SCOPE, *grains.CONVERSION).agg(
-        *[sum_of(c) for c in ("gross_cnt", "valid_cnt", "notify_cnt")], money_sum("net_profit"), money_sum("tac"))
-
-
-def conversion_summary(increments: DataFrame) -> DataFrame:
-    return increments.groupBy(*SCOPE, *grains.SUMMARY).agg(
-        *[sum_of(c) for c in ("gross_cnt", "valid_cnt", "notify_cnt")], money_sum("net_profit"), money_sum("tac"))
-
-
-def conversion_invalid(increments: DataFrame) -> DataFrame:
-    return increments.where("scope = 'adx' and invalid_type != ''").groupBy(
-        *SCOPE, *grains.INVALID_CONVERSION).agg(sum_of("gross_cnt", "invalid_cnt"))
+    return conversion.counts_by_reason(log)
 
 
 def impressions(log: DataFrame, kind: str = "imp") -> DataFrame:
@@ -85,8 +57,6 @@ def supply(log: DataFrame) -> DataFrame:
     return flat.groupBy("kind", "dated", *grains.SUPPLY).agg(F.count("*").alias("gross_cnt"), money_sum("revenue"))
 
 
-# --------------------------------------------------------------- with state
-
 def click_totals(log: DataFrame) -> DataFrame:
     """Gross and estimated unique clicks, in both scopes alike."""
     rows = fan_out(log.withColumn("visitor", _joined("ip", "gaid", "idfa", "adid", "ua")), "clk_timestamp")

@@ -338,7 +338,7 @@ ORACLE["stream_sliding_window"] = ORACLE["fraud_sliding_window"]
 
 ORACLE["scalar_helpers"] = CLICKS + f"""
 SELECT clk_timestamp, timezone, ip, ua, gaid, idfa, {hour('clk_timestamp')} AS hour,
-       CAST(list_sum(list_transform(string_split(ip, ''), x -> ascii(x))) AS BIGINT) % 7 AS ip_mod,
+       CAST(list_sum(list_transform(string_split(ip, ''), lambda x: ascii(x))) AS BIGINT) % 7 AS ip_mod,
        clk_timestamp % 10 AS ts_mod, CAST(NOT contains(gaid, '{{') AS INTEGER) AS plain_gaid,
        CASE WHEN gaid = '{{gaid}}' THEN '' ELSE gaid END AS gaid_text,
        string_split(ip, '.')[-1] AS ip_last, CAST(string_split(ip, '.')[1] AS INTEGER) AS ip_first,
@@ -380,6 +380,9 @@ ORACLE["stream_click_uniq"] = CLICKS + both_scopes(
                      f"count(*) AS gross_cnt, count(DISTINCT {VISITOR}) AS uniq_cnt"))
 ORACLE["stream_conv"] = CONVERSIONS + both_scopes(
     lambda s: scoped(s, "conv_log", "conv_timestamp", CONV, f"{CONV_COUNTS}, {MONEY}"))
+ORACLE["click_daily_by_scope"] = ORACLE["stream_click_uniq"]
+ORACLE["conv_daily_by_scope"] = CONVERSIONS + both_scopes(
+    lambda s: scoped(s, "conv", "conv_timestamp", CONV, f"{CONV_COUNTS}, {MONEY}"))
 ORACLE["stream_conv_summary"] = CONVERSIONS + both_scopes(
     lambda s: scoped(s, "conv_log", "conv_timestamp", SUMMARY, f"{CONV_COUNTS}, {MONEY}"))
 ORACLE["stream_conv_invalid"] = CONVERSIONS + scoped(
