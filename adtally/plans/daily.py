@@ -71,8 +71,16 @@ def events(spark: SparkSession, log: DataFrame, out: str, days: Days) -> None:
         fine = stage(spark, fine, f"event-fine-{scope}")
         _publish_part(event.daily(fine, scope), out, f"{scope}_event_counts")
         batches = fine.withColumn(tables.BATCH, F.col("event_day"))
-        tables.add_batches(event.retention(batches, scope, [tables.BATCH]), f"{out}/{scope}_event_retention")
-        tables.add_batches(event.kpi(batches, scope, [tables.BATCH]), f"{out}/{scope}_daily_kpi")
+        _add(event.retention(batches, scope, [tables.BATCH]), f"{out}/{scope}_event_retention", days)
+        _add(event.kpi(batches, scope, [tables.BATCH]), f"{out}/{scope}_daily_kpi", days)
+
+
+def _add(batches: DataFrame, path: str, days: Days) -> None:
+    if len(days) == 1:
+        # A whole folder is replaced, so a day that has become empty leaves nothing behind.
+        tables.add_batch(batches.drop(tables.BATCH), path, days[0].isoformat())
+    else:
+        tables.add_batches(batches, path)
 
 
 def impressions(spark: SparkSession, log: DataFrame, out: str, days: Days, kind: str = "imp") -> None:

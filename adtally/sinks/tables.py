@@ -34,15 +34,14 @@ def drop(spark: SparkSession, name: str) -> None:
     spark.sql(f"DROP TABLE IF EXISTS {name}")
 
 
-def replace_days(df: DataFrame, path: str, rows_per_file: int = 5_000_000) -> None:
+def replace_days(df: DataFrame, path: str) -> None:
     """Replace the days present in ``df``; running a day again changes nothing.
 
-    Rows are gathered by day and a slice of the key, so a day is written by
-    several tasks and yet in few files.
+    Rebalancing gathers the rows of a day into files of the advisory size: a
+    small day becomes one file, a large one is split over many tasks.
     """
-    spread = df.repartition(F.col("dated"), F.pmod(F.xxhash64("unionk"), F.lit(16)))
-    (spread.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .option("maxRecordsPerFile", rows_per_file).partitionBy("dated").parquet(path))
+    (df.hint("rebalance", "dated").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy("dated").parquet(path))
 
 
 def add_batch(df: DataFrame, path: str, batch_id: int | str) -> None:
@@ -56,7 +55,7 @@ def add_batch(df: DataFrame, path: str, batch_id: int | str) -> None:
 
 def add_batches(df: DataFrame, path: str) -> None:
     """``add_batch`` for a frame holding several batches in its ``batch_id`` column."""
-    (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    (df.hint("rebalance", BATCH).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(BATCH).parquet(path))
 
 

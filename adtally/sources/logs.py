@@ -64,20 +64,6 @@ def on_days(df: DataFrame, days: list[dt.date] | None, column: str = "dated") ->
     return df if days is None else df.where(F.col(column).isin(list(days)))
 
 
-def split_malformed(lines: DataFrame, schema: T.StructType, text: str = "value") -> tuple[DataFrame, DataFrame]:
-    """Records that could be read, and the lines that could not.
-
-    A line is malformed when it is not a JSON object or when one of its fields
-    does not fit the declared type.
-    """
-    wide = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
-    parsed = lines.withColumn("_r", F.from_json(
-        text, wide, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}))
-    bad = F.col("_r").isNull() | F.col(f"_r.{CORRUPT}").isNotNull()
-    good = parsed.where(~bad).select(*[F.col(f"_r.{n}").alias(n) for n in schema.fieldNames()])
-    return good, parsed.where(bad).drop("_r")
-
-
 def _loose(schema: T.DataType) -> T.DataType:
     """The layout with every scalar read as text."""
     if isinstance(schema, T.StructType):

@@ -25,11 +25,24 @@ DEMAND_START = 1522540800
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spread(spark.read.parquet(f"{sf_dir}/{name}.parquet"))
+
+
+def spread(scan: DataFrame) -> DataFrame:
+    """Deal the rows of a file out to all cores if it is worth it and they are not dealt out yet.
+
+    A row group is read by one task, and all the work up to the first shuffle
+    stays there. A file of a single split is too small to gain from a shuffle,
+    and a table of many splits needs none.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan.repartition(cores) if 1 < scan.rdd.getNumPartitions() < cores else scan
 
 
 def table_stream(spark: SparkSession, sf_dir: str, name: str, schema: str) -> DataFrame:
-    return spark.readStream.schema(schema).option("pathGlobFilter", f"{name}.parquet").parquet(sf_dir)
+    """A table as a stream, its rows dealt out as a topic deals them over its partitions."""
+    rows = spark.readStream.schema(schema).option("pathGlobFilter", f"{name}.parquet").parquet(sf_dir)
+    return rows.repartition(spark.sparkContext.defaultParallelism)
 
 
 def _pick(values: list, index: Column) -> Column:

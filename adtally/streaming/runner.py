@@ -10,6 +10,7 @@ replaces its own folder and nothing counts twice.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -58,25 +59,89 @@ def _batch(spark: SparkSession, path: str, batch_id: int) -> DataFrame:
     return spark.read.parquet(f"{path}/{tables.BATCH}={batch_id}")
 
 
-def deltas(spark: SparkSession, path: str, batch_id: int, keys: list[str], gross: str = "gross_cnt",
-           uniq: str = "uniq_cnt", others: list[str] | None = None) -> DataFrame:
-    """What one micro-batch added to a total table.
+class Growth:
+    """What each micro-batch added to a total table.
 
-    The growth of an estimated unique count may exceed the records of the
-    batch by estimation noise; it is capped at them.
+    A batch is compared with the last earlier state of its keys. That state is
+    kept as a snapshot after every ``snapshot_every`` batches, holding the
+    days that can still change, so a batch reads one snapshot and a limited
+    number of batch folders however long the stream has been running. All
+    paths follow from the batch number; nothing is listed.
     """
-    measures = [gross, uniq, *(others or [])]
-    now = _batch(spark, path, batch_id)
-    span = now.agg(F.min("dated").alias("low"), F.max("dated").alias("high"))
-    before = spark.read.parquet(path).where(F.col(tables.BATCH) < batch_id)
-    # Earlier totals of the same days only; the span is a single row.
-    before = before.join(F.broadcast(span), before["dated"].between(span["low"], span["high"]), "left_semi")
-    last = before.groupBy(*keys).agg(F.max_by(F.struct(*measures), tables.BATCH).alias("last"))
-    same = [now[k].eqNullSafe(last[k]) for k in keys]
-    grown = now.join(last, same, "left").select(
-        *[now[k] for k in keys],
-        *[(now[m] - F.coalesce(last["last"][m], F.lit(0))).alias(m) for m in measures])
-    return grown.withColumn(uniq, F.least(uniq, gross))
+
+    def __init__(self, path: str, keys: list[str], measures: list[str], gross: str = "gross_cnt",
+                 uniq: str = "uniq_cnt", snapshot_every: int = 100, live_days: int = 4) -> None:
+        self.path, self.keys, self.measures = path, keys, measures
+        self.gross, self.uniq = gross, uniq
+        self.snapshot_every, self.live_days = snapshot_every, live_days
+
+    def _snapshot_path(self, batch_id: int) -> str:
+        return f"{self.path}_snapshots/upto={batch_id}"
+
+    def _state_before(self, spark: SparkSession, batch_id: int) -> DataFrame | None:
+        """The last state of each key before a batch, None before the first."""
+        last_snapshot = batch_id // self.snapshot_every * self.snapshot_every - 1
+        columns = [*self.keys, *self.measures, tables.BATCH]
+        parts = []
+        if last_snapshot >= 0:
+            parts.append(spark.read.parquet(self._snapshot_path(last_snapshot)).select(*columns))
+        since = [f"{self.path}/{tables.BATCH}={i}" for i in range(last_snapshot + 1, batch_id)]
+        if since:
+            batches = spark.read.option("basePath", self.path).parquet(*since)
+            parts.append(batches.withColumn(tables.BATCH, F.col(tables.BATCH).cast("long")).select(*columns))
+        if not parts:
+            return None
+        rows = reduce(DataFrame.unionByName, parts)
+        last = F.max_by(F.struct(*self.measures, tables.BATCH), tables.BATCH).alias("last")
+        return rows.groupBy(*self.keys).agg(last).select(*self.keys, "last.*")
+
+    def of(self, spark: SparkSession, batch_id: int) -> DataFrame:
+        """Growth of every key the batch touched.
+
+        The growth of an estimated unique count may exceed the records of the
+        batch by estimation noise; it is capped at them.
+        """
+        now = _batch(spark, self.path, batch_id)
+        before = self._state_before(spark, batch_id)
+        if before is None:
+            grown = now.select(*self.keys, *self.measures)
+        else:
+            low, high = now.agg(F.min("dated"), F.max("dated")).first()
+            before = before.where(F.col("dated").between(F.lit(low), F.lit(high)))
+            same = reduce(lambda a, b: a & b, [now[k].eqNullSafe(before[k]) for k in self.keys])
+            grown = now.join(before, same, "left").select(
+                *[now[k] for k in self.keys],
+                *[(now[m] - F.coalesce(before[m], F.lit(0))).alias(m) for m in self.measures])
+        return grown.withColumn(self.uniq, F.least(self.uniq, self.gross))
+
+    def keep(self, spark: SparkSession, batch_id: int) -> None:
+        """Write the snapshot that falls due after a batch."""
+        if (batch_id + 1) % self.snapshot_every:
+            return
+        state = self._state_after(spark, batch_id)
+        latest = state.agg(F.max("dated")).first()[0]
+        if latest is not None:
+            state = state.where(F.col("dated") >= F.date_sub(F.lit(latest), self.live_days))
+        state.write.mode("overwrite").parquet(self._snapshot_path(batch_id))
+
+    def _state_after(self, spark: SparkSession, batch_id: int) -> DataFrame:
+        now = _batch(spark, self.path, batch_id).select(
+            *self.keys, *self.measures, F.lit(batch_id).cast("long").alias(tables.BATCH))
+        before = self._state_before(spark, batch_id)
+        if before is None:
+            return now
+        rows = before.unionByName(now)
+        last = F.max_by(F.struct(*self.measures, tables.BATCH), tables.BATCH).alias("last")
+        return rows.groupBy(*self.keys).agg(last).select(*self.keys, "last.*")
+
+    def emit_to(self, publish: Emit) -> Emit:
+        """An ``emit`` for ``start_totals`` that publishes the growth of each batch."""
+        def emit(batch: DataFrame, batch_id: int) -> None:
+            spark = batch.sparkSession
+            publish(self.of(spark, batch_id), batch_id)
+            self.keep(spark, batch_id)
+
+        return emit
 
 
 def start_quarantine(parsed: DataFrame, path: str, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
