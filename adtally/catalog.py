@@ -25,10 +25,11 @@ QUERIES: dict[str, Query] = {}
 
 
 def run(name: str, spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A registered query with its days as text."""
+    """A registered query with its days as text and its numbers as bigint or double."""
     df = QUERIES[name](configure(spark), sf_dir)
-    days = {f.name: F.col(f.name).cast("string") for f in df.schema.fields if isinstance(f.dataType, T.DateType)}
-    return df.withColumns(days) if days else df
+    shown = {T.DateType(): "string", T.IntegerType(): "bigint", T.FloatType(): "double"}
+    casts = {f.name: F.col(f.name).cast(shown[f.dataType]) for f in df.schema.fields if f.dataType in shown}
+    return df.withColumns(casts) if casts else df
 
 
 def query(fn: Query) -> Query:

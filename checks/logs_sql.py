@@ -60,7 +60,7 @@ EVENT_LOG = f"""event_log AS (
   SELECT {COMMON}, {IDS}, {CLICK_ID}, k % 4 AS event_value, epoch AS event_timestamp,
          epoch - ((user_id * 37 + k * 11) % 44 - 2) * 86400 - (k % 3) * 10000 AS install_timestamp,
          value AS order_amount, substring({pick("['USDX','EURX','INRX']", 'k % 3')}, 1, 3) AS currency,
-         {pick('[0,1,2,7,91,92,97,915,930,-1,803]', 'k % 11')} AS kpi
+         {pick('[0,1,2,7,91,92,97,915,930,-1,803]::BIGINT[]', 'k % 11')} AS kpi
   FROM base)"""
 
 IMPRESSION_LOG = f"""imp_raw AS (
@@ -97,7 +97,7 @@ def demand_log(stream: bool) -> str:
         publisher = f"CASE WHEN line % 3 <> 0 AND l_partkey % 5 <> 0 THEN {app_domain} ELSE 'sitepub' END"
         inventory = f"CASE WHEN line % 3 <> 0 AND l_partkey % 5 <> 0 THEN {app_domain} ELSE 'site' END"
     return f"""demand_rows AS (
-  SELECT *, l_linenumber AS line, l_orderkey AS ord, s_nationkey % 5 AS n5,
+  SELECT *, CAST(l_linenumber AS BIGINT) AS line, l_orderkey AS ord, CAST(s_nationkey % 5 AS BIGINT) AS n5,
          1522540800 + ((epoch_us(l_shipdate) // 1000000 // 86400) % 5) * 86400
            + (l_orderkey * 7919 + l_linenumber * 3571) % 86400 AS epoch
   FROM lineitem JOIN supplier ON l_suppkey = s_suppkey JOIN part ON l_partkey = p_partkey),

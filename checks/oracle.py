@@ -90,7 +90,7 @@ for s in ("adx", "gmt"):
 
 ORACLE["uniq_approx"] = CLICKS + grouped(
     click_days("gmt"), ["dated", "campaign_id"],
-    f"count(*) AS gross_cnt, count(DISTINCT {VISITOR}) AS exact_uniq_cnt, 1 AS within_bound")
+    f"count(*) AS gross_cnt, count(DISTINCT {VISITOR}) AS exact_uniq_cnt, CAST(1 AS BIGINT) AS within_bound")
 
 ORACLE["local_day_three_file_window"] = CLICKS + f"""
 SELECT timezone, CAST(d AS VARCHAR) AS dated, count(*) AS gross_cnt,
@@ -162,7 +162,7 @@ ORACLE["conv_invalid_adx"] = CONVERSIONS + keyed(
 def event_fine_cte(scope: str) -> str:
     zone = ["timezone"] if scope == "adx" else []
     names = ["retent_days", "kpi", *zone, "install_day", "event_day", *EVENT]
-    rows = f"""(SELECT *, CAST(trunc((event_timestamp - install_timestamp) / 86400.0) AS INTEGER) AS retent_days,
+    rows = f"""(SELECT *, CAST(trunc((event_timestamp - install_timestamp) / 86400.0) AS BIGINT) AS retent_days,
         {dated('install_timestamp', scope, 'install_day')}, {dated('event_timestamp', scope, 'event_day')}
         FROM event_log)"""
     return f"fine_{scope} AS (" + grouped(
@@ -257,7 +257,7 @@ def checked(scope: str, detail: str, pairs: list[tuple[str, str, str]], join: st
     by = (["timezone"] if scope == "adx" else []) + ["dated"]
     left = commas([f"sum({d}) AS d_{f}" for f, d, _ in pairs])
     right = commas([f"sum({w}) AS s_{f}" for f, _, w in pairs])
-    flags = commas([f"coalesce(CAST(d_{f} = s_{f} AS INTEGER), 0) AS {f}_flag" for f, _, _ in pairs])
+    flags = commas([f"coalesce(CAST(d_{f} = s_{f} AS BIGINT), 0) AS {f}_flag" for f, _, _ in pairs])
     return everything(scope) + f"""SELECT {commas(by)}, {flags}
 FROM (SELECT {commas(by)}, {left} FROM ({detail}) GROUP BY {commas(by)})
 {join} (SELECT {commas(by)}, {right} FROM wide GROUP BY {commas(by)}) USING ({commas(by)})"""
@@ -339,13 +339,13 @@ ORACLE["stream_sliding_window"] = ORACLE["fraud_sliding_window"]
 ORACLE["scalar_helpers"] = CLICKS + f"""
 SELECT clk_timestamp, timezone, ip, ua, gaid, idfa, {hour('clk_timestamp')} AS hour,
        CAST(list_sum(list_transform(string_split(ip, ''), lambda x: ascii(x))) AS BIGINT) % 7 AS ip_mod,
-       clk_timestamp % 10 AS ts_mod, CAST(NOT contains(gaid, '{{') AS INTEGER) AS plain_gaid,
+       clk_timestamp % 10 AS ts_mod, CAST(NOT contains(gaid, '{{') AS BIGINT) AS plain_gaid,
        CASE WHEN gaid = '{{gaid}}' THEN '' ELSE gaid END AS gaid_text,
-       string_split(ip, '.')[-1] AS ip_last, CAST(string_split(ip, '.')[1] AS INTEGER) AS ip_first,
+       string_split(ip, '.')[-1] AS ip_last, CAST(string_split(ip, '.')[1] AS BIGINT) AS ip_first,
        CASE WHEN gaid <> '' THEN gaid ELSE idfa END AS any_id,
        CASE WHEN NOT contains(gaid, '{{') THEN gaid ELSE idfa END AS ad_id,
        CASE WHEN gaid <> '' THEN gaid ELSE ip || ua END AS device,
-       0 AS in1, 1 AS in2, -1 AS days_before,
+       0::BIGINT AS in1, 1::BIGINT AS in2, CAST(-1 AS BIGINT) AS days_before,
        clk_timestamp - clk_timestamp % 86400 + 3723 AS parsed,
        'GMT' || CASE WHEN timezone >= 0 THEN '+' ELSE '' END || CAST(trunc(timezone) AS INTEGER) || ':'
          || CASE WHEN timezone <> trunc(timezone) THEN '30' ELSE '00' END AS zone,
@@ -354,7 +354,7 @@ SELECT clk_timestamp, timezone, ip, ua, gaid, idfa, {hour('clk_timestamp')} AS h
 FROM click_log"""
 
 ORACLE["malformed_quarantine"] = """
-SELECT CAST(event_type IN ('signup', 'purchase') AS INTEGER) AS malformed,
+SELECT CAST(event_type IN ('signup', 'purchase') AS BIGINT) AS malformed,
        CASE WHEN event_type = 'signup' THEN '' ELSE event_type END AS event_type, count(*) AS cnt
 FROM events GROUP BY 1, 2"""
 
@@ -393,7 +393,7 @@ ORACLE["stream_conv_detail"] = ORACLE["conv_detail_records"].replace(
 
 
 def stream_event(scope: str) -> str:
-    rows = f"""(SELECT *, CAST(trunc((event_timestamp - install_timestamp) / 86400.0) AS INTEGER) AS retent_days,
+    rows = f"""(SELECT *, CAST(trunc((event_timestamp - install_timestamp) / 86400.0) AS BIGINT) AS retent_days,
         {dated('install_timestamp', scope, 'install_day')} FROM event_log)"""
     return scoped(scope, rows, "event_timestamp", ["retent_days", "kpi", "install_day", *EVENT],
                   "count(*) AS gross_cnt, count(DISTINCT click_id) AS uniq_cnt, "
@@ -435,8 +435,8 @@ def stream_event_old(scope: str) -> str:
 
 ORACLE["stream_event_old"] = EVENTS + both_scopes(stream_event_old)
 
-STREAM_IMP = """CASE WHEN province_geoname_id = 'x7' THEN 0 ELSE CAST(province_geoname_id AS INTEGER) END
-    AS province_geoname_id, CAST(city_geoname_id AS INTEGER) AS city_geoname_id"""
+STREAM_IMP = """CASE WHEN province_geoname_id = 'x7' THEN 0 ELSE CAST(province_geoname_id AS BIGINT) END
+    AS province_geoname_id, CAST(city_geoname_id AS BIGINT) AS city_geoname_id"""
 for query, kind in (("stream_impression", "imp"), ("stream_imp_click", "clk")):
     ORACLE[query] = IMPRESSIONS + both_scopes(lambda s, kind=kind: scoped(
         s, f"(SELECT * EXCLUDE (province_geoname_id, city_geoname_id), {STREAM_IMP} FROM imp_log WHERE has_option)",
