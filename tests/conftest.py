@@ -14,7 +14,9 @@ SF = "/root/testdata/sf0.001"
 def spark(tmp_path_factory):
     session = build(
         "tests", "local[4]",
-        **{"spark.sql.shuffle.partitions": "4", "spark.driver.memory": "4g",
+        # Frames are tiny here; compiling code for them takes longer than running them.
+        **{"spark.sql.shuffle.partitions": "2", "spark.driver.memory": "4g",
+           "spark.sql.codegen.wholeStage": "false", "spark.python.sql.dataFrameDebugging.enabled": "false",
            "spark.checkpoint.dir": str(tmp_path_factory.mktemp("work"))})
     session.sparkContext.setLogLevel("ERROR")
     yield session
