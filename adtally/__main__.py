@@ -9,6 +9,7 @@ from adtally import schemas
 from adtally.functions.time import day_range
 from adtally.plans import audit, daily, streams
 from adtally.session import build
+from adtally.sinks import reports
 from adtally.sources import logs, messages
 
 DAILY = {
@@ -30,6 +31,8 @@ def parser() -> argparse.ArgumentParser:
         job.add_argument("--end-date", type=dt.date.fromisoformat, required=True)
         if name in DAILY:
             job.add_argument("--log", required=True, help="file pattern with a {day} place, or a Parquet folder")
+        if name == "click":
+            job.add_argument("--by-tuple", action="store_true", help="unique visitors as distinct id tuples")
         if name == "check":
             job.add_argument("--report", required=True)
     fraud = jobs.add_parser("fraud")
@@ -41,7 +44,8 @@ def parser() -> argparse.ArgumentParser:
     stream.add_argument("name", choices=sorted(streams.INCREMENTS | streams.TOTALS))
     for arg in ("--servers", "--out", "--checkpoint"):
         stream.add_argument(arg, required=True)
-    stream.add_argument("--topics", help="comma separated")
+    stream.add_argument("--topics", required=True, help="comma separated")
+    stream.add_argument("--result-topic", help="send result messages there")
     stream.add_argument("--seconds", type=int, default=20)
     stream.add_argument("--max-offsets", type=int)
     return p
@@ -57,10 +61,13 @@ def main(argv: list[str] | None = None) -> None:
     args = parser().parse_args(argv)
     spark = build(f"adtally {args.job}")
     if args.job == "stream":
-        topics = args.topics.split(",") if args.topics else streams.TOPICS[args.name]
-        source = messages.kafka_messages(spark, args.servers, topics, args.max_offsets)
+        source = messages.kafka_messages(spark, args.servers, args.topics.split(","), args.max_offsets)
         trigger = {"processingTime": f"{args.seconds} seconds"}
-        streams.start(args.name, source, args.out, args.checkpoint, trigger, quarantine=f"{args.out}_malformed")
+        emit = None
+        if args.result_topic:
+            emit = streams.publisher(
+                args.name, args.out, lambda df: reports.send_batch(df, args.servers, args.result_topic))
+        streams.start(args.name, source, args.out, args.checkpoint, trigger, emit, f"{args.out}_malformed")
         spark.streams.awaitAnyTermination()
     elif args.job == "fraud":
         clicks = logs.read_json(spark, args.clicks, schemas.CLICK_FRAUD)
@@ -76,7 +83,8 @@ def main(argv: list[str] | None = None) -> None:
             audit.reconciliation(spark, args.out, args.report, days)
         else:
             schema, job = DAILY[args.job]
-            job(spark, read_log(spark, args.log, schema, days), args.out, days)
+            options = {"by_tuple": True} if getattr(args, "by_tuple", False) else {}
+            job(spark, read_log(spark, args.log, schema, days), args.out, days, **options)
 
 
 if __name__ == "__main__":

@@ -168,6 +168,24 @@ def conv_daily_by_scope(spark, sf):
     return _zoned(conversion.over_reasons(counts, grains.CONVERSION))
 
 
+@query
+def click_result_records(spark, sf):
+    return records.scoped_records(click.counts_by_scope(_clicks(spark, sf)), grains.CLICK, ["gross_cnt"], tag="click")
+
+
+@query
+def conv_result_records(spark, sf):
+    return records.conversion_records(conversion.counts_by_reason(_conversions(spark, sf)))
+
+
+@query
+def demand_result_records(spark, sf):
+    topic = F.when(F.col("demand") == "R", F.lit("x_imps")).otherwise(F.lit("x_clks"))
+    return records.scoped_records(
+        rollups.supply(_demand(spark, sf).withColumn("topic", topic)), grains.SUPPLY, ["gross_cnt", "revenue"],
+        lead="kind")
+
+
 @query
 def conv_detail_records(spark, sf):
     return records.conversion_detail(_conversions(spark, sf))
@@ -269,6 +287,25 @@ def upsert_greatest(spark, sf):
     return merge.greatest(old, new, KEYS, ["gross_clk_cnt", "uniq_clk_cnt"])
 
 
+@query
+def rerun_replaces_days(spark, sf):
+    """A run at noon, then the full run twice, each written over the days before."""
+    path = work_dir(spark, "rerun")
+    for part in (0, 1, 1):
+        rows = _two_runs(spark, sf)[part]
+        tables.replace_days(grains.with_row_key(rows, "gmt", grains.SUMMARY), path)
+    return spark.read.parquet(path).drop("unionk")
+
+
+@query
+def replayed_batch_adds_once(spark, sf):
+    """Two batches of increments, the second one delivered twice."""
+    path = work_dir(spark, "replay")
+    for batch_id in (0, 1, 1):
+        tables.add_batch(_two_runs(spark, sf)[batch_id], path, batch_id)
+    return tables.read_increments(spark, path, KEYS, ["gross_clk_cnt", "uniq_clk_cnt"])
+
+
 @per_scope
 def reconcile_click(spark, sf, scope):
     detail = click.daily(click.project(_clicks(spark, sf)), scope)
@@ -510,7 +547,7 @@ def stream_imp_click(spark, sf):
 def _demand_stream(spark, sf):
     lines = sample.table_stream(spark, sf, "lineitem", sample.LINEITEM_SCHEMA)
     log = sample.demand_log(lines, sample.table(spark, sf, "supplier"), sample.table(spark, sf, "part"))
-    topic = F.when(F.col("demand") == "R", F.lit("tornado_imps")).otherwise(F.lit("tornado_clks"))
+    topic = F.when(F.col("demand") == "R", F.lit("x_imps")).otherwise(F.lit("x_clks"))
     return _parsed(log, schemas.DEMAND, topic)
 
 

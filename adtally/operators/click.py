@@ -86,8 +86,9 @@ def counts_by_scope(log: DataFrame) -> DataFrame:
     return by_scope(log, "clk_timestamp").groupBy(*SCOPE, *grains.CLICK).agg(F.count("*").alias("gross_cnt"))
 
 
-def daily_by_scope(log: DataFrame) -> DataFrame:
+def daily_by_scope(log: DataFrame, by_tuple: bool = False) -> DataFrame:
     """Gross and unique count of both scopes in one pass over the log."""
-    rows = by_scope(log.withColumn("visitor", visitor(*IDS)), "clk_timestamp")
+    who = F.struct(*IDS) if by_tuple else visitor(*IDS)
+    rows = by_scope(log.withColumn("visitor", who), "clk_timestamp")
     return rows.groupBy(*SCOPE, *grains.CLICK).agg(
         F.count("*").alias("gross_cnt"), F.count_distinct("visitor").alias("uniq_cnt"))

@@ -48,14 +48,15 @@ def flatten(log: DataFrame) -> DataFrame:
     return with_days(flat, "epoch")
 
 
-def flatten_stream(log: DataFrame, topic: str = "topic", click_topic: str = "tornado_clks") -> DataFrame:
+def flatten_stream(log: DataFrame, topic: str = "topic") -> DataFrame:
     """The stream form.
 
     A record with an app object ignores its site even where the app's domain
-    is blank, and the topic tells clicks from impressions.
+    is blank. The topic, whose name ends in ``clks`` or ``imps``, tells clicks
+    from impressions.
     """
     has_app = F.col("app").isNotNull()
-    is_click = F.col(topic) == click_topic
+    is_click = F.endswith(F.col(topic), F.lit("clks"))
 
     def domain(path: str) -> Column:
         chosen = F.when(has_app, F.col(f"app.{path}")).otherwise(F.col(f"site.{path}"))

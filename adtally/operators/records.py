@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from adtally import grains
 from adtally.functions import measures as ms
+from adtally.operators import conversion
 from adtally.operators.event import RETENTION, kpi_units
 
 MARK = "<;>"
@@ -34,6 +35,39 @@ def summary_records(df: DataFrame, scope: str, dims: list[str], measures: list[s
     return df.select((F.concat_ws(MARK, F.lit(tag), body) if tag else body).alias("value"))
 
 
+def scoped_records(df: DataFrame, dims: list[str], measures: list[str], tag: str | None = None,
+                   lead: str | None = None) -> DataFrame:
+    """Messages of a ``by_scope`` rollup.
+
+    ``adx`` messages start with the offset, ``gmt`` messages with the day.
+    ``lead`` names a column to put before either.
+    """
+    head = [F.lit(tag)] if tag else []
+    if lead:
+        head.append(_text(lead))
+    if "timezone" in df.columns:
+        # The only part that may be null, and concat_ws is to skip it then.
+        head.append(F.when(F.col("scope") == "adx", F.format_string("%.1f", F.col("timezone").cast("double"))))
+    return df.select(F.concat_ws(MARK, *head, joined(["dated", *dims, *measures])).alias("value"))
+
+
+def conversion_records(by_reason: DataFrame) -> DataFrame:
+    """Messages of the three conversion grains, each with five measures.
+
+    Only the summary grain carries amounts.
+    """
+    measures = [*conversion.COUNTS, "net_profit", "tac"]
+    none = F.lit(0.0)
+    fine = conversion.over_reasons(by_reason, grains.CONVERSION).withColumns({"net_profit": none, "tac": none})
+    coarse = conversion.over_reasons(by_reason, grains.SUMMARY)
+    invalid = conversion.invalid_by_reason(by_reason).withColumnRenamed("invalid_cnt", "gross_cnt").withColumns(
+        {"valid_cnt": F.lit(0), "notify_cnt": F.lit(0), "net_profit": none, "tac": none})
+    return (
+        scoped_records(fine, grains.CONVERSION, measures)
+        .unionByName(scoped_records(coarse, grains.SUMMARY, measures))
+        .unionByName(scoped_records(invalid, grains.INVALID_CONVERSION, measures)))
+
+
 CONVERSION_DETAIL = [
     "click_id", "group_id", "campaign_id", "aff_id", "aff_pub", "invalid_type", "income", "income_currency",
     "payout", "payout_currency", "forwarded", "ip", "gaid", "idfa", "carrier", "clk_timestamp", "conv_timestamp",
@@ -75,3 +109,10 @@ def event_records(fine_counts: DataFrame, scope: str) -> DataFrame:
         message("retention", F.col(RETENTION[-1]) != 0, "install_day", RETENTION),
     ))
     return rows.select(F.explode(messages).alias("m")).select("m.*")
+
+
+def event_growth_records(growth: DataFrame) -> DataFrame:
+    """``event_records`` for rows of both scopes, as the event stream grows."""
+    rows = growth.withColumn("event_day", F.col("dated"))
+    adx = event_records(rows.where("scope = 'adx'"), "adx")
+    return adx.unionByName(event_records(rows.where("scope = 'gmt'"), "gmt"))

@@ -31,15 +31,51 @@ def conversion_fraud(conversions: DataFrame, clicks: DataFrame, out: str, radius
     write_csv(fraud.clicks_around_invalid(conversions, clicks, radius_minutes), f"{out}/conv_analysis_ip_clk_count")
 
 
+CHECKS = (
+    ("click", "{}_clk_daily_summary", reconcile.CLICK),
+    ("conv", "{}_conv_daily_summary", reconcile.CONVERSION),
+    ("kpi", "{}_daily_kpi", reconcile.KPI),
+)
+
+
+def _append_checks(spark: SparkSession, out: str, report: str, scope: str, days: list[dt.date],
+                   zone: float | None = None, missing_days: bool = False) -> None:
+    wide = logs.read_summary(spark, f"{out}/{scope}_daily_summary", days, zone)
+    for name, detail, pairs in CHECKS:
+        rows = logs.read_summary(spark, f"{out}/{detail.format(scope)}", days, zone)
+        append_report(reconcile.check(rows, wide, pairs, scope, missing_days), report, f"{scope}_{name}_check")
+
+
 def reconciliation(spark: SparkSession, out: str, report: str, days: list[dt.date],
                    missing_days: bool = False) -> None:
     """Append the equality flags of ``days`` to the running report."""
     for scope in grains.SCOPES:
-        wide = logs.read_summary(spark, f"{out}/{scope}_daily_summary", days)
-        for name, detail, pairs in (
-            ("click", f"{scope}_clk_daily_summary", reconcile.CLICK),
-            ("conv", f"{scope}_conv_daily_summary", reconcile.CONVERSION),
-            ("kpi", f"{scope}_daily_kpi", reconcile.KPI),
-        ):
-            rows = logs.read_summary(spark, f"{out}/{detail}", days)
-            append_report(reconcile.check(rows, wide, pairs, scope, missing_days), report, f"{scope}_{name}_check")
+        _append_checks(spark, out, report, scope, days, missing_days=missing_days)
+
+
+# The offsets whose summaries are checked (fixed values).
+CHECKED_OFFSETS = [0.0, 5.5, 5.0, -4.0, -5.0, 8.0, -7.0, -8.0, 3.0, 1.0]
+
+
+def rolled_over(now: int, before: int, offsets: list[float] | None = None) -> dict[float, dt.date]:
+    """Offsets whose local day has changed between two times, with the day that has ended.
+
+    A scheduler calls the check with these whenever it wakes up, so each local
+    day is checked once, after its end.
+    """
+    def day(epoch: int, offset: float) -> dt.date:
+        return dt.datetime.fromtimestamp(epoch + offset * 3600, dt.timezone.utc).date()
+
+    changed = {}
+    for offset in CHECKED_OFFSETS if offsets is None else offsets:
+        if day(now, offset) != day(before, offset):
+            changed[offset] = day(before, offset)
+    return changed
+
+
+def check_finished_days(spark: SparkSession, out: str, report: str, finished: dict[float, dt.date]) -> None:
+    """Check the ended local day of each offset; offset 0 also stands for the UTC day."""
+    for offset, day in finished.items():
+        for scope in grains.SCOPES if offset == 0 else ("adx",):
+            zone = offset if scope == "adx" else None
+            _append_checks(spark, out, report, scope, [day], zone)

@@ -31,9 +31,10 @@ def _publish_part(df: DataFrame, out: str, name: str) -> None:
     tables.replace_days(df, f"{out}/{name}")
 
 
-def clicks(spark: SparkSession, log: DataFrame, out: str, days: Days) -> None:
+def clicks(spark: SparkSession, log: DataFrame, out: str, days: Days, by_tuple: bool = False) -> None:
+    """``by_tuple`` counts visitors as distinct id tuples, not as ids put together."""
     near = logs.filled(logs.near_days(log, days, "clk_timestamp"), schemas.CLICK)
-    fine = stage(spark, logs.on_days(click.daily_by_scope(near), days), "click-fine")
+    fine = stage(spark, logs.on_days(click.daily_by_scope(near, by_tuple), days), "click-fine")
     for scope in grains.SCOPES:
         detail = of_scope(fine, scope, grains.CLICK)
         _publish(detail, out, f"{scope}_clk_daily_summary")

@@ -7,8 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
-from adtally import schemas
+from adtally import grains, schemas
 from adtally.operators import records
+from adtally.operators.rollup import SCOPE
 from adtally.sources import logs
 from adtally.streaming import filters, rollups, runner
 
@@ -31,12 +32,41 @@ TOTALS: dict[str, tuple] = {
 }
 WITH_TOPIC = {"supply", "demand"}
 
-TOPICS = {
-    "click": ["tornado_click"], "click-unique": ["tornado_click"], "click-watch": ["tornado_click"],
-    "conversion": ["tornado_conversion"], "conversion-detail": ["tornado_conversion"],
-    "event": ["tornado_event"], "event-ids": ["tornado_event"],
-    "demand": ["tornado_clks", "tornado_imps"], "supply": ["tornado_clks", "tornado_imps"],
+# job -> result messages of what a micro-batch added
+RECORDS: dict[str, Callable[[DataFrame], DataFrame]] = {
+    "click": lambda df: records.scoped_records(df, grains.CLICK, ["gross_cnt"], tag="click"),
+    "click-unique": lambda df: records.scoped_records(df, grains.CLICK, ["gross_cnt", "uniq_cnt"]),
+    "conversion": records.conversion_records,
+    "impression": lambda df: records.scoped_records(df, grains.IMPRESSION, ["gross_imp_cnt"], tag="impress"),
+    "impression-click": lambda df: records.scoped_records(df, grains.IMPRESSION, ["gross_clk_cnt"], tag="click"),
+    "event": records.event_growth_records,
+    "demand": lambda df: records.scoped_records(
+        df, grains.DEMAND, ["gross_cnt", "uniq_cnt", "cost"], lead="kind"),
+    "supply": lambda df: records.scoped_records(df, grains.SUPPLY, ["gross_cnt", "revenue"], lead="kind"),
+    "conversion-detail": lambda df: df.select("value"),
 }
+# stateful job -> keys and measures of its total table
+TOTAL_COLUMNS = {
+    "click-unique": ([*SCOPE, *grains.CLICK], ["gross_cnt", "uniq_cnt"]),
+    "event": ([*SCOPE, "retent_days", "kpi", "install_day", *grains.EVENT],
+              ["gross_cnt", "uniq_cnt", "total_amount"]),
+    "demand": ([*SCOPE, "kind", *grains.DEMAND], ["gross_cnt", "uniq_cnt", "cost"]),
+}
+
+
+def publisher(job: str, path: str, send: Callable[[DataFrame], None]) -> Callable[[DataFrame, int], None]:
+    """An ``emit`` that turns what each micro-batch added into messages and sends them.
+
+    Counting jobs send the batch itself, jobs with running totals send the
+    growth of the totals.
+    """
+    def publish(added: DataFrame, batch_id: int) -> None:
+        send(RECORDS[job](added))
+
+    if job in TOTAL_COLUMNS:
+        keys, measures = TOTAL_COLUMNS[job]
+        return runner.Growth(path, keys, measures).emit_to(publish)
+    return publish
 
 
 def start(job: str, messages: DataFrame, path: str, checkpoint: str, trigger: dict | None = None,
@@ -51,7 +81,7 @@ def start(job: str, messages: DataFrame, path: str, checkpoint: str, trigger: di
     log = logs.good(parsed, schema)
     queries = []
     if job in TOTALS:
-        queries.append(runner.start_totals(fn(log), f"{path}", f"{checkpoint}/main", trigger, emit))
+        queries.append(runner.start_totals(fn(log), path, f"{checkpoint}/main", trigger, emit))
     else:
         queries.append(runner.start_increments(log, fn, path, f"{checkpoint}/main", trigger, emit))
     if quarantine:

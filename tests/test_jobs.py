@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from adtally import __main__ as cli
 from adtally import grains, schemas
-from adtally.operators import merge, reconcile, records
+from adtally.operators import click, merge, reconcile, records
 from adtally.plans import audit, daily
 from adtally.sinks import reports, tables
 from adtally.sources import sample
@@ -105,8 +105,8 @@ def test_conversion_detail_defaults(spark):
 def test_tagged_summary_record(frame):
     row = frame([(D1, 1, 2, 3, "p", 4, 9)],
                 "dated date, campaign_id int, group_id int, aff_id int, aff_pub string, algorithm int, n long")
-    out = records.summary_records(row, "gmt", grains.SUMMARY, ["n"], tag="tornado-click")
-    assert values(out) == [("tornado-click<;>2024-01-01<;>1<;>2<;>3<;>p<;>4<;>9",)]
+    out = records.summary_records(row, "gmt", grains.SUMMARY, ["n"], tag="click")
+    assert values(out) == [("click<;>2024-01-01<;>1<;>2<;>3<;>p<;>4<;>9",)]
 
 
 DAYS = [dt.date(2024, 1, d) for d in (9, 10, 11)]
@@ -149,6 +149,27 @@ def test_detail_adds_up_to_the_wide_summary(spark, written, tmp_path):
         assert set(line.split(",")[3 if line.startswith("adx") else 2:]) == {"1"}, line
 
 
+def test_only_ended_days_are_checked(spark, written, tmp_path):
+    midnight = int(dt.datetime(2024, 1, 11, tzinfo=dt.timezone.utc).timestamp())
+    assert audit.rolled_over(midnight + 60, midnight - 60) == {0.0: DAYS[1]}
+    assert audit.rolled_over(midnight - 5 * 3600, midnight - 6 * 3600) == {5.5: DAYS[1], 5.0: DAYS[1]}
+    assert audit.rolled_over(midnight + 60, midnight + 1) == {}
+    report = str(tmp_path / "report")
+    audit.check_finished_days(spark, written, report, {0.0: DAYS[1], 5.5: DAYS[0]})
+    lines = sorted(r[0].rsplit(",", 1)[0] for r in spark.read.text(report).collect())
+    assert "gmt_click_check,2024-01-10" in lines and "adx_click_check,0.0,2024-01-10" in lines
+    assert "adx_click_check,5.5,2024-01-09" in lines
+    assert not [x for x in lines if ",5.5,2024-01-10" in x]
+
+
+def test_unique_tuples_job(spark, sf, tmp_path):
+    log = sample.click_log(sample.table(spark, sf, "events"))
+    daily.clicks(spark, log, str(tmp_path), DAYS[:1], by_tuple=True)
+    expected = click.daily_two_step(log, "gmt").where(F.col("dated") == F.lit(DAYS[0]))
+    got = spark.read.parquet(f"{tmp_path}/gmt_clk_daily_summary")
+    assert values(got, "unionk", "uniq_cnt") == values(expected, "unionk", "uniq_cnt")
+
+
 def test_event_day_replay_changes_nothing(spark, sf, written, tmp_path):
     once = str(tmp_path)
     daily.events(spark, sample.event_log(sample.table(spark, sf, "events")), once, DAYS)
@@ -195,5 +216,5 @@ def test_command_line():
     args = cli.parser().parse_args(
         ["click", "--log", "/logs/c-{day}", "--out", "/o", "--start-date", "2024-01-01", "--end-date", "2024-01-02"])
     assert args.start_date == D1 and args.job == "click"
-    args = cli.parser().parse_args(["stream", "demand", "--servers", "h:1", "--out", "/o", "--checkpoint", "/c"])
+    args = cli.parser().parse_args(["stream", "demand", "--servers", "h:1", "--out", "/o", "--checkpoint", "/c", "--topics", "x_clks,x_imps"])
     assert args.seconds == 20

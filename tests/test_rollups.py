@@ -216,7 +216,7 @@ APP_ABSENT = {**APP_BLANK, "app": None, "srevenue": "n/a", "device": {"macmd5":
 
 
 def test_domain_choice_differs_between_batch_and_stream(spark):
-    log = demands(spark, [APP_BLANK, APP_ABSENT]).withColumn("topic", F.lit("tornado_clks"))
+    log = demands(spark, [APP_BLANK, APP_ABSENT]).withColumn("topic", F.lit("x_clks"))
     batch = demand.flatten(log)
     assert values(batch, "inventory_domain", "publisher_domain", "uv") == [("s", "sp", "iuh"), ("s", "sp", "m")]
     stream = demand.flatten_stream(log)
@@ -225,7 +225,7 @@ def test_domain_choice_differs_between_batch_and_stream(spark):
 
 def test_topic_picks_the_time(spark):
     log = demands(spark, [APP_BLANK])
-    for topic, kind, epoch in (("tornado_clks", "clks", MIDNIGHT), ("tornado_imps", "imps", MIDNIGHT + 86400)):
+    for topic, kind, epoch in (("x_clks", "clks", MIDNIGHT), ("x_imps", "imps", MIDNIGHT + 86400)):
         flat = demand.flatten_stream(log.withColumn("topic", F.lit(topic)))
         assert values(flat, "kind", "epoch") == [(kind, epoch)]
 

@@ -185,7 +185,7 @@ def test_impressions_without_option_do_not_count(spark, feed):
 def test_demand_streams_use_the_topic(spark, feed):
     feed.send({"clickts": MIDNIGHT, "pixelts": 5, "dcost": 2.5, "srevenue": "1.5", "tz": 0},
               {"clickts": MIDNIGHT, "pixelts": MIDNIGHT + 5, "dcost": 1, "srevenue": "x", "tz": 0, "demand": "i"})
-    topic = F.when(F.col("value").contains('"demand"'), "tornado_imps").otherwise("tornado_clks")
+    topic = F.when(F.col("value").contains('"demand"'), "x_imps").otherwise("x_clks")
     source = feed.messages().withColumn("topic", topic)
     for job in ("demand", "supply"):
         for q in streams.start(job, source, feed.path(job), feed.path(f"ck-{job}"), NOW):
@@ -254,3 +254,53 @@ def test_stream_and_batch_share_results(spark, feed):
         [tuple(r.get(n) for n in schemas.CLICK.fieldNames()) for r in rows], schemas.CLICK), schemas.CLICK))
     columns = ["scope", "dated", "aff_id", "gross_cnt", "uniq_cnt"]
     assert values(last, *columns) == values(batch, *columns)
+
+
+def published(feed, job):
+    sent = []
+    emit = streams.publisher(job, feed.path("out"), lambda df: sent.append([r[0] for r in values(df, "value")]))
+    run(feed, job, emit=emit)
+    return [messages_ for messages_ in sent if messages_]
+
+
+def test_click_messages(spark, feed):
+    feed.send(click_record(campaign_id=4), click_record(campaign_id=4))
+    feed.send(click_record(campaign_id=4))
+    tail = "4<;>0<;>0<;><;><;>0<;>0<;><;><;><;><;>0<;>"
+    assert published(feed, "click") == [
+        [f"click<;>-8.0<;>2024-01-09<;>{tail}{n}", f"click<;>2024-01-10<;>{tail}{n}"] for n in (2, 1)]
+
+
+def test_event_messages_carry_the_growth(spark, feed):
+    record = {"click_id": "c", "event_timestamp": MIDNIGHT, "install_timestamp": MIDNIGHT, "kpi": 2, "timezone": 0}
+    feed.send(record)
+    feed.send(record, {**record, "click_id": "d"})
+    first, second = published(feed, "event")
+    key = "2024-01-10<;>0<;>0<;>0<;><;>0<;><;>0"
+    assert [m for m in first if not m.startswith("0.0")] == sorted([
+        f"{key}<;>1<;>1<;>0.0000", f"{key}<;>1.0000", f"{key}<;>1<;>1<;>1<;>1<;>1"])
+    assert [m for m in second if not m.startswith("0.0")] == sorted([
+        f"{key}<;>2<;>1<;>0.0000", f"{key}<;>1.0000", f"{key}<;>1<;>1<;>1<;>1<;>1"])
+
+
+def test_conversion_messages(spark, feed):
+    feed.send({"conv_timestamp": MIDNIGHT, "invalid_type": "E002", "net_profit": 1.5, "timezone": 5.5})
+    (sent,) = published(feed, "conversion")
+    assert "5.5<;>2024-01-10<;>0<;>0<;>0<;><;>E002<;>0<;>1<;>0<;>0<;>0.0000<;>0.0000" in sent
+    assert "2024-01-10<;>0<;>0<;>0<;><;>0<;>1<;>0<;>0<;>1.5000<;>0.0000" in sent
+    assert "2024-01-10<;>0<;>0<;>0<;><;>0.00<;><;>0.00<;><;>0<;>1<;>0<;>0<;>0.0000<;>0.0000" in sent
+    assert len(sent) == 5
+
+
+def test_every_job_runs_and_publishes(spark, tmp_path):
+    for job in streams.RECORDS:
+        base = tmp_path / job
+        base.mkdir()
+        feed = Feed(spark, base)
+        feed.send({"option": {}, "clk_timestamp": 1, "clickts": 1})
+        source = feed.messages().withColumn("topic", F.lit("clks"))
+        sent = []
+        emit = streams.publisher(job, feed.path("out"), lambda df: sent.extend(values(df)))
+        for query in streams.start(job, source, feed.path("out"), feed.path("ck"), NOW, emit):
+            query.awaitTermination()
+        assert sent, job
