@@ -8,7 +8,7 @@ import datetime as dt
 from adtally import schemas
 from adtally.functions.time import day_range
 from adtally.plans import audit, daily, streams
-from adtally.session import build
+from adtally.session import build, size_shuffles, total_bytes
 from adtally.sinks import reports
 from adtally.sources import logs, messages
 
@@ -52,8 +52,12 @@ def parser() -> argparse.ArgumentParser:
 
 
 def read_log(spark, where: str, schema, days):
+    """The log files of the days, or a Parquet log; shuffles are sized for what is read."""
     if "{day}" in where:
-        return logs.read_json(spark, logs.window_paths(where, days), schema)
+        paths = logs.window_paths(where, days)
+        size_shuffles(spark, total_bytes(spark, paths))
+        return logs.read_json(spark, paths, schema)
+    size_shuffles(spark, total_bytes(spark, [where]))
     return spark.read.parquet(where)
 
 

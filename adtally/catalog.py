@@ -218,8 +218,23 @@ def event_records(spark, sf, scope):
     return records.event_records(_fine_events(spark, sf, scope), scope)
 
 
+@query
+def event_fine_by_scope(spark, sf):
+    return _zoned(event.fine_by_scope(sample.event_log(_events(spark, sf))))
+
+
 # ------------------------------------------------- impressions, demand, supply
 
+@query
+def impression_daily_by_scope(spark, sf):
+    return _zoned(impression.daily_by_scope(impression.flatten(_impressions(spark, sf))))
+
+
+@query
+def demand_daily_by_scope(spark, sf):
+    return _zoned(demand.daily_by_scope(demand.flatten(_demand(spark, sf))))
+
+
 @per_scope
 def impression_daily(spark, sf, scope):
     return impression.daily(impression.flatten(_impressions(spark, sf)), scope)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from adtally import grains, schemas
 from adtally.functions.identity import device_key, first_filled
-from adtally.operators.rollup import money_sum, scope_keys, with_days
+from adtally.operators.rollup import SCOPE, by_scope, money_sum, scope_keys, with_days
 
 HASHED_IDS = ["dpidsha1", "dpidmd5", "didsha1", "didmd5", "macsha1", "macmd5"]
 PLAIN_IDS = ["ip", "ua", "hwv"]
@@ -83,6 +83,12 @@ def daily(flat: DataFrame, scope: str) -> DataFrame:
     return grains.with_row_key(out, scope, grains.DEMAND)
 
 
+def daily_by_scope(flat: DataFrame) -> DataFrame:
+    """``daily`` of both scopes in one pass."""
+    return by_scope(demand_rows(flat), "epoch").groupBy(*SCOPE, *grains.DEMAND).agg(
+        F.count("*").alias("clks"), F.count_distinct("uv").alias("uniq_clks"), money_sum("cost"))
+
+
 def supply_daily(flat: DataFrame, scope: str = "gmt") -> DataFrame:
     out = supply_rows(flat).groupBy(*scope_keys(scope, grains.SUPPLY)).agg(
         F.count("*").alias("clks"), money_sum("revenue"))

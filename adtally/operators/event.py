@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 
 from adtally import grains
 from adtally.functions import measures as ms
+from adtally.functions import time as tm
 from adtally.functions.text import currency_code
-from adtally.operators.rollup import money_sum, sum_of, with_days
+from adtally.operators.rollup import SCOPE, by_scope, money_sum, sum_of, with_days
 
 RETENTION = [ms.retention_name(n) for n in ms.RETENTION_DAYS]
 
@@ -42,6 +43,27 @@ def fine(projected: DataFrame, scope: str) -> DataFrame:
     )
 
 
+FINE = ["retent_days", "kpi", "install_day", *grains.EVENT]
+
+
+def rows_by_scope(log: DataFrame) -> DataFrame:
+    """Every event once per scope, on its event day, with the columns the fine grain needs."""
+    rows = by_scope(log.withColumns({
+        "retent_days": ms.retention_days("event_timestamp", "install_timestamp"),
+        "currency": currency_code("order_currency"),
+    }), "event_timestamp", keep_epoch=True)
+    return rows.withColumn("install_day", tm.local_day("install_timestamp", F.coalesce("timezone", F.lit(0.0))))
+
+
+def fine_by_scope(log: DataFrame) -> DataFrame:
+    """``fine`` of both scopes in one pass over the log; ``dated`` is the event day."""
+    return rows_by_scope(log).groupBy(*SCOPE, *FINE).agg(
+        F.count("*").alias("gross_cnt"),
+        F.count_distinct("click_id").alias("uniq_cnt"),
+        money_sum("order_amount", "total_amount"),
+    )
+
+
 def daily(fine_counts: DataFrame, scope: str) -> DataFrame:
     """Counts on the day of the event; unique counts of the fine rows add up."""
     out = fine_counts.withColumnRenamed("event_day", "dated").groupBy(*grains.keys(scope, grains.EVENT)).agg(

@@ -50,8 +50,10 @@ def fan_out(df: DataFrame, epoch: str, offset: str = "timezone") -> DataFrame:
 SCOPE = ["scope", "timezone", "dated"]
 
 
-def by_scope(log: DataFrame, epoch: str, offset: str = "timezone") -> DataFrame:
-    return fan_out(log, epoch, offset).withColumn("dated", tm.utc_day("scope_epoch")).drop("scope_epoch")
+def by_scope(log: DataFrame, epoch: str, offset: str = "timezone", keep_epoch: bool = False) -> DataFrame:
+    """``fan_out`` with the day of each row."""
+    rows = fan_out(log, epoch, offset).withColumn("dated", tm.utc_day("scope_epoch"))
+    return rows if keep_epoch else rows.drop("scope_epoch")
 
 
 def of_scope(counts: DataFrame, scope: str, dims: list[str]) -> DataFrame:

@@ -66,10 +66,9 @@ def events(spark: SparkSession, log: DataFrame, out: str, days: Days) -> None:
     """Event counts replace their day. Retention and KPIs count on earlier days
     too; they are kept as one batch per event day and added up when read."""
     near = logs.filled(logs.near_days(log, days, "event_timestamp"), schemas.EVENT)
-    projected = event.project(near)
+    both = stage(spark, logs.on_days(event.fine_by_scope(near), days), "event-fine")
     for scope in grains.SCOPES:
-        fine = event.fine(logs.on_days(projected, days, f"event_day_{scope}"), scope)
-        fine = stage(spark, fine, f"event-fine-{scope}")
+        fine = both.where(F.col("scope") == scope).withColumnRenamed("dated", "event_day")
         _publish_part(event.daily(fine, scope), out, f"{scope}_event_counts")
         batches = fine.withColumn(tables.BATCH, F.col("event_day"))
         _add(event.retention(batches, scope, [tables.BATCH]), f"{out}/{scope}_event_retention", days)
@@ -86,16 +85,16 @@ def _add(batches: DataFrame, path: str, days: Days) -> None:
 
 def impressions(spark: SparkSession, log: DataFrame, out: str, days: Days, kind: str = "imp") -> None:
     flat = impression.flatten(logs.near_days(log, days, "request_unix"))
+    both = stage(spark, logs.on_days(impression.daily_by_scope(flat, kind), days), f"impression-{kind}")
     for scope in grains.SCOPES:
-        wanted = logs.on_days(flat, days, f"dated_{scope}")
-        _publish_part(impression.daily(wanted, scope, kind), out, f"{scope}_impression_{kind}")
+        _publish_part(of_scope(both, scope, grains.IMPRESSION), out, f"{scope}_impression_{kind}")
 
 
 def demands(spark: SparkSession, log: DataFrame, out: str, days: Days) -> None:
     flat = demand.flatten(logs.near_days(log, days, "clickts"))
+    both = stage(spark, logs.on_days(demand.daily_by_scope(flat), days), "demand-fine")
     for scope in grains.SCOPES:
-        _publish(demand.daily(logs.on_days(flat, days, f"dated_{scope}"), scope), out,
-                 f"{scope}_demand_daily_summary")
+        _publish(of_scope(both, scope, grains.DEMAND), out, f"{scope}_demand_daily_summary")
     supply = demand.supply_daily(logs.on_days(flat, days, "dated_gmt"))
     _publish(supply, out, "gmt_supply_daily_summary")
 

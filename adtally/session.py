@@ -64,3 +64,33 @@ def stage(spark: SparkSession, df, name: str):
     path = work_dir(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+TARGET_BYTES = 256 * 1024 * 1024
+MOST_PARTITIONS = 100_000
+
+
+def partitions_for(input_bytes: int, cores: int) -> int:
+    """Shuffle partitions for an input of this size: one per 256 MB, at least one per core.
+
+    Adaptive execution merges what turns out too small. It cannot split an
+    aggregation's partitions, so the number must be large enough up front.
+    """
+    return max(cores, min(MOST_PARTITIONS, -(-input_bytes // TARGET_BYTES)))
+
+
+def size_shuffles(spark: SparkSession, input_bytes: int) -> int:
+    wanted = partitions_for(input_bytes, spark.sparkContext.defaultParallelism)
+    spark.conf.set("spark.sql.shuffle.partitions", str(wanted))
+    return wanted
+
+
+def total_bytes(spark: SparkSession, patterns: list[str]) -> int:
+    """Bytes below the files and folders that match."""
+    total = 0
+    for pattern in patterns:
+        path = spark._jvm.org.apache.hadoop.fs.Path(pattern)
+        system = path.getFileSystem(spark._jsc.hadoopConfiguration())
+        for found in system.globStatus(path) or []:
+            total += system.getContentSummary(found.getPath()).getLength()
+    return total

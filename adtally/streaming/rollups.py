@@ -13,7 +13,6 @@ from adtally import grains
 from adtally.functions import measures as ms
 from adtally.functions import time as tm
 from adtally.functions.identity import sketch_key
-from adtally.functions.text import currency_code
 from adtally.operators import click, conversion, demand, event, impression
 from adtally.operators.rollup import SCOPE, by_scope, fan_out, money_sum, sum_of
 from adtally.streaming.runner import day_totals
@@ -69,13 +68,7 @@ def _joined(*ids: str) -> Column:
 
 def event_totals(log: DataFrame) -> DataFrame:
     """The fine event rows: by event day, install day, retention day and KPI code."""
-    rows = fan_out(log.withColumns({
-        "retent_days": ms.retention_days("event_timestamp", "install_timestamp"),
-        "currency": currency_code("order_currency"),
-    }), "event_timestamp")
-    rows = rows.withColumn("install_day", tm.local_day("install_timestamp", F.coalesce("timezone", F.lit(0.0))))
-    keys = ["retent_days", "kpi", "install_day", *grains.EVENT]
-    totals = day_totals(rows, keys, [
+    totals = day_totals(event.rows_by_scope(log).drop("dated"), event.FINE, [
         F.count("*").alias("gross_cnt"), _uniq("click_id"), money_sum("order_amount", "total_amount"),
     ], EVENT_IDLE_HOURS)
     return totals.withColumn("event_day", F.col("dated"))

@@ -450,3 +450,9 @@ ORACLE["stream_demand"] = STREAM_DEMANDS + both_scopes(lambda s: scoped(
 ORACLE["stream_supply"] = STREAM_DEMANDS + grouped(
     f"(SELECT *, {dated('epoch', 'gmt')} FROM {KIND})", ["kind", "dated", *SUPPLY],
     f"count(*) AS gross_cnt, {money_sum('revenue')} AS revenue")
+ORACLE["event_fine_by_scope"] = ORACLE["stream_event"]
+ORACLE["impression_daily_by_scope"] = IMPRESSIONS + both_scopes(lambda s: scoped(
+    s, "imp_log", "request_unix", IMP, "count(*) AS gross_imp_cnt, count(DISTINCT visitor) AS uniq_imp_cnt"))
+ORACLE["demand_daily_by_scope"] = DEMANDS + both_scopes(lambda s: scoped(
+    s, "demand_log", "epoch", DEMAND,
+    f"count(*) AS clks, count(DISTINCT uv) AS uniq_clks, {money_sum('cost')} AS cost"))
