@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from adtally import grains, schemas
 from adtally.functions.identity import device_key, first_filled
+from adtally.functions.text import or_default
 from adtally.operators.rollup import SCOPE, by_scope, money_sum, scope_keys, with_days
 
 HASHED_IDS = ["dpidsha1", "dpidmd5", "didsha1", "didmd5", "macsha1", "macmd5"]
@@ -27,7 +28,7 @@ def _flat(log: DataFrame, publisher_domain: Column, inventory_domain: Column, ap
         F.col("uagrp").alias("age_group"), F.col("user.gender").alias("gender"),
         F.col("dcostcur").alias("demand_currency"), F.col("srevenuecur").alias("supply_currency"),
         device_key([f"device.{h}" for h in HASHED_IDS], [f"device.{p}" for p in PLAIN_IDS]).alias("uv"),
-        F.coalesce("dcost", F.lit(0.0)).alias("cost"),
+        or_default("dcost", 0.0).alias("cost"),
         # Revenue arrives as text; what is no number adds nothing.
         F.coalesce(F.col("srevenue").try_cast("double"), F.lit(0.0)).alias("revenue"),
         *extra,
@@ -60,10 +61,10 @@ def flatten_stream(log: DataFrame, topic: str = "topic") -> DataFrame:
 
     def domain(path: str) -> Column:
         chosen = F.when(has_app, F.col(f"app.{path}")).otherwise(F.col(f"site.{path}"))
-        return F.coalesce(chosen, F.lit(""))
+        return or_default(chosen, "")
 
     return _flat(
-        log, domain("publisher.domain"), domain("domain"), F.coalesce("app.bundle", F.lit("")),
+        log, domain("publisher.domain"), domain("domain"), or_default("app.bundle", ""),
         F.when(is_click, F.col("clickts")).otherwise(F.col("pixelts")),
         F.when(is_click, F.lit("clks")).otherwise(F.lit("imps")).alias("kind"),
     )

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from adtally import grains, schemas
 from adtally.functions.identity import visitor
-from adtally.functions.text import first_as_int, last_as_int, last_or_zero
+from adtally.functions.text import first_as_int, last_as_int, last_or_zero, or_default
 from adtally.operators.rollup import SCOPE, by_scope, scope_keys, with_days
 
 # Column of the summary -> field of the nested option object.
@@ -41,7 +41,7 @@ def flatten_stream(log: DataFrame) -> DataFrame:
     """The stream form: records without an option object do not count, regions are numbers."""
     return log.where(F.col("option").isNotNull()).select(
         "timezone", "request_unix", *TOP,
-        *[F.coalesce(F.col(f"option.{src}"), F.lit("")).alias(name) for name, src in OPTION_FIELDS.items()],
+        *[or_default(f"option.{src}", "").alias(name) for name, src in OPTION_FIELDS.items()],
         first_as_int("option.region_ids").alias("province_geoname_id"),
         last_as_int("option.region_ids").alias("city_geoname_id"),
     )

@@ -77,7 +77,10 @@ def jdbc_options(url: str, table: str, rows_per_batch: int = 1000) -> dict[str,
 
 
 def append_jdbc(df: DataFrame, url: str, table: str, properties: dict[str, str] | None = None) -> None:
-    """Append to a database table in batches of 1000 rows, straight from the executors."""
+    """Append to a database table in batches of 1000 rows, straight from the executors.
+
+    Needs the database driver on the class path.
+    """
     df.write.format("jdbc").options(**jdbc_options(url, table), **(properties or {})).mode("append").save()
 
 

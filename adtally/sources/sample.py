@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from adtally.session import total_bytes
+
 EVENTS_SCHEMA = (
     "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string")
 LINEITEM_SCHEMA = (
@@ -25,24 +27,31 @@ DEMAND_START = 1522540800
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spread(spark.read.parquet(f"{sf_dir}/{name}.parquet"))
+    path = f"{sf_dir}/{name}.parquet"
+    return spread(spark.read.parquet(path), path)
 
 
-def spread(scan: DataFrame) -> DataFrame:
-    """Deal the rows of a file out to all cores if it is worth it and they are not dealt out yet.
+def table_stream(spark: SparkSession, sf_dir: str, name: str, schema: str) -> DataFrame:
+    rows = spark.readStream.schema(schema).option("pathGlobFilter", f"{name}.parquet").parquet(sf_dir)
+    return spread(rows, f"{sf_dir}/{name}.parquet")
 
-    A row group is read by one task, and all the work up to the first shuffle
-    stays there. A file of a single split is too small to gain from a shuffle,
-    and a table of many splits needs none.
-    """
-    cores = scan.sparkSession.sparkContext.defaultParallelism
-    return scan.repartition(cores) if 1 < scan.rdd.getNumPartitions() < cores else scan
 
+# A file of fewer bytes gains nothing from more tasks; one of more has row groups for all cores.
+SPREAD_BETWEEN = (4 * 2**20, 64 * 2**20)
 
-def table_stream(spark: SparkSession, sf_dir: str, name: str, schema: str) -> DataFrame:
-    """A table as a stream, its rows dealt out as a topic deals them over its partitions."""
-    rows = spark.readStream.schema(schema).option("pathGlobFilter", f"{name}.parquet").parquet(sf_dir)
-    return rows.repartition(spark.sparkContext.defaultParallelism)
+
+def spread(scan: DataFrame, path: str) -> DataFrame:
+    """Deal the rows of a file of one or two row groups out to all cores.
+
+    A row group is read by one task, and all the work up to the first shuffle
+    would stay there. Tables of the size the jobs are made for are never
+    dealt out.
+    """
+    spark = scan.sparkSession
+    low, high = SPREAD_BETWEEN
+    if low < total_bytes(spark, [path]) < high:
+        return scan.repartition(spark.sparkContext.defaultParallelism)
+    return scan
 
 
 def _pick(values: list, index: Column) -> Column:

@@ -161,6 +161,7 @@ def test_sql_functions_match_the_columns(spark):
         SELECT getFormatDate(1704844800 + 5.5 * 3600) AS d, getFormatDateToHour(1704844800L) AS h,
                uvGenerator('a', NULL, 'c', '', 'e') AS u, retentDays(0, 86401) AS r,
                getLast(array('x', 'y')) AS l, getLast(array()) AS l0, domainSelect('', 'b') AS dom,
-               uvSelect('', NULL, '', '', '', 'm', 'i', 'u', 'h') AS uv, uvSelect('', '', '', '', '', '', 'i', 'u', 'h') AS ip,
+               uvSelect('', NULL, '', '', '', 'm', 'i', 'u', 'h') AS uv,
+               uvSelect('', '', '', '', '', '', 'i', 'u', 'h') AS ip,
                getMod(-7, 4) AS m, hasNotChar('{gaid}', '{') AS c""").first()
     assert tuple(row) == ("2024-01-10", "2024011000", "ace", -1, "y", "0", "b", "m", "iuh", -3, False)
