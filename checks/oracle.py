@@ -456,3 +456,44 @@ ORACLE["impression_daily_by_scope"] = IMPRESSIONS + both_scopes(lambda s: scoped
 ORACLE["demand_daily_by_scope"] = DEMANDS + both_scopes(lambda s: scoped(
     s, "demand_log", "epoch", DEMAND,
     f"count(*) AS clks, count(DISTINCT uv) AS uniq_clks, {money_sum('cost')} AS cost"))
+
+
+# ---------------------------------------------------------- result messages
+
+KEY_FORMATS = {"timezone": "%.1f", "income": "%.2f", "payout": "%.2f"}
+AMOUNT_FORMATS = {"net_profit": "%.4f", "tac": "%.4f", "revenue": "%.4f"}
+
+
+def messages(scope: str, rows: str, dims: list[str], tail: list[str], lead: str = "") -> str:
+    formats = {**KEY_FORMATS, **AMOUNT_FORMATS}
+    names = [*keys(scope, dims), *tail]
+    parts = [f"printf('{formats[n]}', CAST({n} AS DOUBLE))" if n in formats else n for n in names]
+    return f"SELECT {lead}concat_ws('<;>', {commas(parts)}) AS value FROM ({rows})"
+
+
+ORACLE["click_result_records"] = CLICKS + both_scopes(lambda s: messages(
+    s, scoped(s, "click_log", "clk_timestamp", CLICK, "count(*) AS gross_cnt"), CLICK, ["gross_cnt"],
+    "'click<;>' || "))
+
+CONV_TAIL = ["gross_cnt", "valid_cnt", "notify_cnt", "net_profit", "tac"]
+
+
+def conv_messages(scope: str) -> str:
+    fine = scoped(scope, "conv_log", "conv_timestamp", CONV, f"{CONV_COUNTS}, 0.0 AS net_profit, 0.0 AS tac")
+    coarse = scoped(scope, "conv_log", "conv_timestamp", SUMMARY, f"{CONV_COUNTS}, {MONEY}")
+    return messages(scope, fine, CONV, CONV_TAIL) + "\nUNION ALL\n" + messages(scope, coarse, SUMMARY, CONV_TAIL)
+
+
+ORACLE["conv_result_records"] = CONVERSIONS + both_scopes(conv_messages) + "\nUNION ALL\n" + messages(
+    "adx", scoped("adx", "(SELECT * FROM conv_log WHERE invalid_type <> '')", "conv_timestamp", INVALID,
+                  "count(*) AS gross_cnt, 0 AS valid_cnt, 0 AS notify_cnt, 0.0 AS net_profit, 0.0 AS tac"),
+    INVALID, CONV_TAIL)
+ORACLE["demand_result_records"] = STREAM_DEMANDS + messages(
+    "gmt", grouped(f"(SELECT *, {dated('epoch', 'gmt')} FROM {KIND})", ["kind", "dated", *SUPPLY],
+                   f"count(*) AS gross_cnt, {money_sum('revenue')} AS revenue"),
+    SUPPLY, ["gross_cnt", "revenue"], "kind || '<;>' || ")
+
+# ---------------------------------------------------------- written and read back
+
+ORACLE["rerun_replaces_days"] = RUNS + "SELECT * FROM newer"
+ORACLE["replayed_batch_adds_once"] = ORACLE["upsert_increment"]
