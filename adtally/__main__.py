@@ -77,8 +77,8 @@ def main(argv: list[str] | None = None) -> None:
         clicks = logs.read_json(spark, args.clicks, schemas.CLICK_FRAUD)
         events = logs.read_json(spark, args.events, schemas.EVENT_FRAUD)
         conversions = logs.read_json(spark, args.conversions, schemas.CONVERSION_FRAUD)
-        audit.hourly_fraud(clicks, events, args.out, args.more_than)
-        audit.conversion_fraud(conversions, clicks, args.out, args.click_radius)
+        audit.hourly_fraud(spark, clicks, events, args.out, args.more_than)
+        audit.conversion_fraud(spark, conversions, clicks, args.out, args.click_radius)
     else:
         days = day_range(args.start_date, args.end_date)
         if args.job == "summary":

@@ -389,6 +389,16 @@ def fraud_hourly_event_aff(spark, sf):
     return fraud.hourly_counts(_event_records(spark, sf), ["aff_id", "aff_pub", "event_value"])
 
 
+@query
+def fraud_hourly_click_kinds(spark, sf):
+    return fraud.hourly_counts_by_kind(_clicks(spark, sf)).where(F.col("cnt") > HOT)
+
+
+@query
+def fraud_hourly_event_kinds(spark, sf):
+    return fraud.hourly_counts_by_kind(_event_records(spark, sf), ["event_value"])
+
+
 @query
 def fraud_ip_profile(spark, sf):
     return fraud.ip_profile(_conversions(spark, sf))

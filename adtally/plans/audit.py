@@ -5,26 +5,31 @@ from __future__ import annotations
 import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from adtally import grains, schemas
 from adtally.operators import fraud, reconcile
+from adtally.session import stage
 from adtally.sinks.reports import append_report, write_csv
 from adtally.sources import logs
 
-CLICK_KEYS = {"ip": ["ip"], "adid": ["gaid", "idfa"], "aff": ["aff_id", "aff_pub"]}
-
-
-def hourly_fraud(clicks: DataFrame, events: DataFrame, out: str, more_than: int = 5) -> None:
+def hourly_fraud(spark: SparkSession, clicks: DataFrame, events: DataFrame, out: str, more_than: int = 5) -> None:
     """Hourly hot spots of clicks above a threshold, and all hourly event counts."""
-    clicks = logs.filled(clicks, schemas.CLICK_FRAUD)
-    events = logs.filled(events, schemas.EVENT_FRAUD)
-    for name, keys in CLICK_KEYS.items():
-        write_csv(fraud.hourly_counts(clicks, keys, more_than=more_than), f"{out}/click_analysis_{name}")
-        write_csv(fraud.hourly_counts(events, [*keys, "event_value"]), f"{out}/event_analysis_{name}")
-
-
-def conversion_fraud(conversions: DataFrame, clicks: DataFrame, out: str, radius_minutes: int = 10) -> None:
-    conversions = logs.filled(conversions, schemas.CONVERSION_FRAUD)
+    click_counts = fraud.hourly_counts_by_kind(logs.filled(clicks, schemas.CLICK_FRAUD))
+    click_counts = stage(spark, click_counts.where(F.col("cnt") > more_than), "click-hours")
+    event_counts = fraud.hourly_counts_by_kind(logs.filled(events, schemas.EVENT_FRAUD), ["event_value"])
+    event_counts = stage(spark, event_counts, "event-hours")
+    for kind, keys in fraud.HOT_KEYS.items():
+        columns = ["hour", *["key_1", "key_2"][:len(keys)]]
+        of_kind = F.col("kind") == kind
+        write_csv(click_counts.where(of_kind).select(*columns, "cnt"), f"{out}/click_analysis_{kind}")
+        write_csv(event_counts.where(of_kind).select(*columns, "event_value", "cnt"), f"{out}/event_analysis_{kind}")
+
+
+def conversion_fraud(spark: SparkSession, conversions: DataFrame, clicks: DataFrame, out: str,
+                     radius_minutes: int = 10) -> None:
+    conversions = logs.filled(conversions, schemas.CONVERSION_FRAUD).select("ip", "invalid_type", "clk_timestamp")
+    conversions = stage(spark, conversions, "invalid-conversions")
     clicks = logs.filled(clicks, schemas.CLICK_FRAUD)
     write_csv(fraud.ip_profile(conversions), f"{out}/conv_analysis_ip")
     write_csv(fraud.repeated_click_times(conversions), f"{out}/conv_analysis_ip_clk_time")

@@ -497,3 +497,17 @@ ORACLE["demand_result_records"] = STREAM_DEMANDS + messages(
 
 ORACLE["rerun_replaces_days"] = RUNS + "SELECT * FROM newer"
 ORACLE["replayed_batch_adds_once"] = ORACLE["upsert_increment"]
+
+# ---------------------------------------------------------- hourly counts in one pass
+
+HOT_KEYS = {"ip": ("ip", "''"), "adid": ("gaid", "idfa"), "aff": ("CAST(aff_id AS VARCHAR)", "aff_pub")}
+
+
+def hourly_kinds(log: str, epoch: str, extra: str = "", having: str = "") -> str:
+    return "\nUNION ALL\n".join(
+        f"SELECT {hour(epoch)} AS hour, '{kind}' AS kind, {one} AS key_1, {two} AS key_2, {extra} count(*) AS cnt "
+        f"FROM {log} GROUP BY ALL {having}" for kind, (one, two) in HOT_KEYS.items())
+
+
+ORACLE["fraud_hourly_click_kinds"] = CLICKS + hourly_kinds("click_log", "clk_timestamp", having="HAVING count(*) > 5")
+ORACLE["fraud_hourly_event_kinds"] = EVENTS + hourly_kinds("event_log", "event_timestamp", "event_value,")

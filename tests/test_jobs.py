@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from adtally import __main__ as cli
 from adtally import grains, schemas
-from adtally.operators import click, merge, reconcile, records
+from adtally.operators import click, fraud, merge, reconcile, records
 from adtally.plans import audit, daily
 from adtally.sinks import reports, tables
 from adtally.sources import sample
@@ -204,12 +204,15 @@ def test_demand_job(spark, sf, tmp_path):
 def test_fraud_reports(spark, sf, tmp_path):
     events = sample.table(spark, sf, "events")
     click = sample.click_log(events).withColumn("ip", F.lit("10.0.0.1"))
-    audit.hourly_fraud(click, sample.event_log(events).withColumnRenamed("event_timestamp", "clk_timestamp"),
+    audit.hourly_fraud(spark, click, sample.event_log(events).withColumnRenamed("event_timestamp", "clk_timestamp"),
                        str(tmp_path), more_than=1)
-    audit.conversion_fraud(sample.conversion_log(events), click, str(tmp_path))
+    audit.conversion_fraud(spark, sample.conversion_log(events), click, str(tmp_path))
     for name in ("click_analysis_ip", "event_analysis_aff", "conv_analysis_ip", "conv_analysis_ip_clk_time",
                  "conv_analysis_ip_clk_count"):
         assert spark.read.csv(f"{tmp_path}/{name}").count() > 0
+    hours = fraud.hourly_counts(click, ["aff_id", "aff_pub"], more_than=1)
+    written_hours = spark.read.csv(f"{tmp_path}/click_analysis_aff")
+    assert values(written_hours) == sorted(tuple(str(v) for v in row) for row in values(hours))
 
 
 def test_command_line():
