@@ -11,8 +11,9 @@ doc_id goes on. In each bucket every class is linked with the smallest one
 only, so a bucket of n classes gives n - 1 candidates and not n squared. A
 star can miss two classes that resemble each other but not the centre.
 Buckets that still hold several components after the stars are verified are
-therefore compared in blocks inside the tasks, by their sketches; only pairs
-of different components that pass go on. Every link is confirmed on full sets.
+therefore compared in blocks inside the tasks, first by sketches, then by
+sets; only links between different components leave a task. Every link is
+confirmed on full sets.
 
 Two texts at the threshold share no band with probability (1 - 0.8**6)**40, 5e-6.
 """
@@ -27,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from adtally.llm.graph import components
-from adtally.llm.text import U64, Words, hashes, mix, offsets, rolling, shingles, slices, whole, words
+from adtally.llm.text import U64, Words, hashes, mix, shingles, slices, whole, words
 from adtally.session import stage
 
 ROWS, BANDS = 6, 40
@@ -116,60 +117,79 @@ def _sets(size: int):
     return run
 
 
+def _alike(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
+    if len(x) > len(y):
+        x, y = y, x
+    if not len(x) or 100 * len(x) < percent * len(y):
+        return False
+    at = np.searchsorted(y, x)
+    both = int((y[np.minimum(at, len(y) - 1)] == x).sum())
+    return 100 * both >= percent * (len(x) + len(y) - both)
+
+
 def _similar(percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            keep = []
-            for left, right in zip(b.column("left"), b.column("right"), strict=True):
-                x, y = (np.frombuffer(v.as_buffer(), U64) for v in (left, right))
-                if len(x) > len(y):
-                    x, y = y, x
-                if 100 * len(x) < percent * len(y):
-                    keep.append(False)
-                    continue
-                at = np.searchsorted(y, x)
-                both = int((y[np.minimum(at, len(y) - 1)] == x).sum()) if len(y) else 0
-                keep.append(both > 0 and 100 * both >= percent * (len(x) + len(y) - both))
+            keep = [_alike(*(np.frombuffer(v.as_buffer(), U64) for v in pair), percent)
+                    for pair in zip(b.column("left"), b.column("right"), strict=True)]
             yield b.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     return run
 
 
-def _confirm(docs: DataFrame, pairs: DataFrame, size: int, percent: int) -> DataFrame:
-    """The pairs whose full sets are similar. Only texts that occur in a pair are read again and moved."""
-    spark = docs.sparkSession
-    pairs = stage(spark, pairs, "pairs")
-    ids = pairs.select(F.col("a").alias("doc_id")).union(pairs.select(F.col("b").alias("doc_id"))).distinct()
-    sets = docs.select("doc_id", whole().alias("text")).join(ids, "doc_id", "left_semi").mapInArrow(
-        _sets(size), "doc_id bigint, shingles binary")
-    sets = stage(spark, sets, "sets")
+def _confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs whose full sets are similar."""
     both = pairs.join(sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("left")), "a").join(
         sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("right")), "b")
     links = both.select("a", "b", "left", "right").mapInArrow(_similar(percent), "a bigint, b bigint")
-    return stage(spark, links.distinct(), "confirmed")
+    return stage(pairs.sparkSession, links.distinct(), "confirmed")
 
 
 def _across(percent: int):
     least = percent / 100 - MARGIN
 
     def run(group: pa.Table) -> pa.Table:
-        """Pairs of one block pair whose sketches agree in enough bins and whose components differ."""
-        same = group.column("i")[0].as_py() == group.column("j")[0].as_py()
-        own = np.array(group.column("block")) == group.column("i")[0].as_py()
+        """Links between different components of one block pair.
+
+        A pair that shares several buckets is compared in the first of them.
+        Sets travel as 32-bit hashes, which can only take a few shingles too
+        many for equal; every link is confirmed afterwards.
+        """
+        i, j, band = (group.column(c)[0].as_py() for c in ("i", "j", "band"))
+        own = np.array(group.column("block")) == i
         ids, component = (np.array(group.column(c)) for c in ("doc_id", "component"))
         sketch = np.frombuffer(b"".join(group.column("sketch").to_pylist()), np.uint16).reshape(-1, BINS)
-        a, b = [], []
+        sets = [np.frombuffer(v, np.uint32) for v in group.column("short").to_pylist()]
+        joined = {c: c for c in set(component.tolist())}
+
+        def root(c: int) -> int:
+            while joined[c] != c:
+                joined[c] = c = joined[joined[c]]
+            return c
+
+        links = []
         for k in np.flatnonzero(own):
-            others = np.flatnonzero(((ids > ids[k]) if same else ~own) & (component != component[k]))
-            near = others[(sketch[others] == sketch[k]).mean(axis=1) >= least]
-            a.append(np.full(len(near), ids[k]))
-            b.append(ids[near])
-        a, b = (np.concatenate([np.zeros(0, np.int64), *x]) for x in (a, b))
-        return pa.table({"a": np.maximum(a, b), "b": np.minimum(a, b)})
+            others = np.flatnonzero(((ids > ids[k]) if i == j else ~own) & (component != component[k]))
+            same = sketch[others] == sketch[k]
+            near = same.mean(axis=1) >= least
+            near &= same.reshape(len(others), BANDS, ROWS).all(axis=2).argmax(axis=1) == band
+            for o in others[near]:
+                mine, theirs = root(int(component[k])), root(int(component[o]))
+                if mine != theirs and _alike(sets[k], sets[o], percent):
+                    joined[mine] = theirs
+                    links.append((max(ids[k], ids[o]), min(ids[k], ids[o])))
+        return pa.table({"a": pa.array([x for x, _ in links], pa.int64()), "b": pa.array([y for _, y in links], pa.int64())})
 
     return run
 
 
+def _short(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Sets as sorted hashes of half the length."""
+    for b in batches:
+        half = [np.sort(np.frombuffer(v.as_buffer(), np.uint64).astype(np.uint32)).tobytes() for v in b.column("shingles")]
+        yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(half, pa.binary())], ["doc_id", "short"])
+
+
 def marks(docs: DataFrame, size: int) -> DataFrame:
     return docs.select("doc_id", whole().alias("text")).mapInArrow(
         _mark(size), "doc_id bigint, n_shingles bigint, digest binary, bands array<bigint>, sketch binary")
@@ -192,15 +212,19 @@ def near_duplicates(docs: DataFrame, size: int = WORDS, percent: int = PERCENT)
     copies = able.select("digest", F.col("doc_id").alias("a")).join(
         classes.withColumnRenamed("doc_id", "b"), "digest").where("a != b").select("a", "b")
     first = able.join(classes, ["digest", "doc_id"], "left_semi").dropDuplicates(["doc_id", "digest"])
-    entries = stage(spark, first.select("doc_id", F.explode("bands").alias("bucket")), "entries")
+    entries = stage(spark, first.select("doc_id", F.posexplode("bands").alias("band", "bucket")), "entries")
     shared = entries.groupBy("bucket").agg(F.min("doc_id").alias("centre"), F.count("*").alias("n")).where("n > 1")
     stars = stage(spark, entries.join(shared.drop("n"), "bucket"), "stars")
     pairs = stars.where("doc_id != centre").select(F.col("doc_id").alias("a"), F.col("centre").alias("b")).distinct()
-    links = _confirm(docs, pairs, size, percent).union(copies)
+    # Only texts that share a bucket are read again. Their ids grow with the input: not to be broadcast.
+    ids = stars.select("doc_id").distinct().hint("merge")
+    sets = stage(spark, docs.select("doc_id", whole().alias("text")).join(ids, "doc_id", "left_semi").mapInArrow(
+        _sets(size), "doc_id bigint, shingles binary"), "sets")
+    links = _confirm(pairs, sets, percent).union(copies)
     found = components(links, "a", "b")
 
     labelled = stars.join(found, stars.doc_id == found.node, "left").select(
-        "bucket", "doc_id", F.coalesce("component", "doc_id").alias("component"))
+        "band", "bucket", "doc_id", F.coalesce("component", "doc_id").alias("component"))
     labelled = stage(spark, labelled, "labelled")
     split = labelled.groupBy("bucket").agg(
         F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("n")).where("low != high")
@@ -208,11 +232,12 @@ def near_duplicates(docs: DataFrame, size: int = WORDS, percent: int = PERCENT)
     rest = rest.withColumn("block", F.pmod(F.xxhash64("doc_id"), F.col("blocks")))
     # Every block meets every block once: it goes along row and column of the triangle of block pairs.
     rest = rest.withColumn("other", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1)))
-    rest = rest.select("bucket", "doc_id", "component", "block", F.least("block", "other").alias("i"),
+    rest = rest.select("band", "bucket", "doc_id", "component", "block", F.least("block", "other").alias("i"),
                        F.greatest("block", "other").alias("j"))
-    rest = rest.join(first.select("doc_id", "sketch").dropDuplicates(["doc_id"]), "doc_id")
+    short = sets.dropDuplicates(["doc_id"]).mapInArrow(_short, "doc_id bigint, short binary")
+    rest = rest.join(first.select("doc_id", "sketch").dropDuplicates(["doc_id"]), "doc_id").join(short, "doc_id")
     across = rest.groupBy("bucket", "i", "j").applyInArrow(_across(percent), "a bigint, b bigint").distinct()
-    more = _confirm(docs, across.join(pairs, ["a", "b"], "left_anti"), size, percent)
+    more = _confirm(across, sets, percent)
     if not more.isEmpty():
         found = components(links.union(more), "a", "b")
     found = found.select(F.col("node").alias("doc_id"), F.col("component").alias("of"))
