@@ -32,10 +32,13 @@ from pyspark.sql import functions as F
 from adtally.llm.text import U64, hashes, mix, rolling, slices, whole
 from adtally.session import stage, total_bytes
 
-WINDOW, GRAM = 20, 5
+WINDOW, GRAM = 20, 3
 SLICE = 8 * 2**20
+LEVEL = 3
+#: Windows whose bytes are compared at a time.
+COMPARED = 100_000
 #: Bytes of Parquet input for a bucket.
-BUCKET_BYTES = 4 * 2**20
+BUCKET_BYTES = 2 * 2**20
 #: Minimisers treated as heavy at most by size of the table sent to every task; each stands for at least this share.
 LEAST_SHARE = 1e-5
 
@@ -95,7 +98,7 @@ def heavy_minimisers(docs: DataFrame, size: int, gram: int, buckets: int) -> np.
 
 def _pack(size: int, gram: int, buckets: int, heavy: np.ndarray):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        press = zstandard.ZstdCompressor(level=1)
+        press = zstandard.ZstdCompressor(level=LEVEL)
         for b in slices(batches, "text", SLICE):
             t = _Texts(b, size, gram)
             if not len(t.at):
@@ -167,6 +170,12 @@ def _merged(ids, marks, begin, end) -> pa.Table:
     return pa.table({"doc_id": ids, "mark": marks, "begin": begin, "end": end})
 
 
+def _equal(data: bytes, starts, ends, a: np.ndarray, b: np.ndarray, size: int) -> np.ndarray:
+    """Which windows beginning at words ``a`` and ``b`` are the same bytes."""
+    edges = (starts[a], ends[a + size - 1], starts[b], ends[b + size - 1])
+    return np.array([data[i:j] == data[k:m] for i, j, k, m in zip(*(e.tolist() for e in edges), strict=True)], bool)
+
+
 def _judge(size: int):
     def run(group: pa.Table) -> pa.Table:
         cols = {c: [v.as_buffer() for v in group.column(c)] for c in ("doc_id", "mark", "place", "windows")}
@@ -193,16 +202,14 @@ def _judge(size: int):
         first = by[np.flatnonzero(head)[np.cumsum(head) - 1]]  # the earliest window with this hash
         repeat = np.zeros(len(at), bool)
         later = by != first
-        mine, theirs = at[by[later]], at[first[later]]
-        s, e, t0, t1 = starts[mine], ends[mine + size - 1], starts[theirs], ends[theirs + size - 1]
-        equal = np.fromiter(
-            (data[a:b] == data[c:d] for a, b, c, d in zip(s.tolist(), e.tolist(), t0.tolist(), t1.tolist(), strict=True)),
-            bool, len(s))
-        same_place = (ids[of[by[later]]] == ids[of[first[later]]]) & (
-            marks[of[by[later]]] == marks[of[first[later]]]) & (
-            place[of[by[later]]] + inner[by[later]] == place[of[first[later]]] + inner[first[later]])
-        repeat[by[later]] = equal & ~same_place
-        for x in by[later][~equal]:  # two sequences with one hash: compare with all earlier windows of that hash
+        x, y = by[later], first[later]
+        equal = np.concatenate([np.zeros(0, bool), *(
+            _equal(data, starts, ends, at[x[i:i + COMPARED]], at[y[i:i + COMPARED]], size)
+            for i in range(0, len(x), COMPARED))])
+        same_place = (ids[of[x]] == ids[of[y]]) & (marks[of[x]] == marks[of[y]]) & (
+            place[of[x]] + inner[x] == place[of[y]] + inner[y])
+        repeat[x] = equal & ~same_place
+        for x in x[~equal]:  # two sequences with one hash: compare with all earlier windows of that hash
             mine = data[starts[at[x]]:ends[at[x] + size - 1]]
             rivals = by[k == key[x]]
             repeat[x] = any(
@@ -214,11 +221,21 @@ def _judge(size: int):
     return run
 
 
-def _kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _pressed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Texts as words joined by one space, compressed for the shuffle."""
+    press = zstandard.ZstdCompressor(level=LEVEL)
     for b in slices(batches, "text", SLICE):
+        packed = [press.compress(b" ".join(v.as_buffer().to_pybytes().split())) for v in b.column("text")]
+        yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("mark"), pa.array(packed, pa.binary())],
+                                         ["doc_id", "mark", "packed"])
+
+
+def _kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    unpack = zstandard.ZstdDecompressor()
+    for b in slices(batches, "packed", SLICE // 4):
         n, removed, text = [], [], []
-        for value, ranges in zip(b.column("text"), b.column("ranges"), strict=True):
-            parts = value.as_buffer().to_pybytes().split()
+        for value, ranges in zip(b.column("packed"), b.column("ranges"), strict=True):
+            parts = unpack.decompress(value.as_buffer()).split()
             gone = np.zeros(len(parts), bool)
             for r in ranges.as_py() or ():
                 gone[r["begin"]:r["end"]] = True
@@ -254,7 +271,8 @@ def remove_repeats(docs: DataFrame, buckets: int, size: int = WINDOW, gram: int
         whole().alias("text"))
     ranges = repeated_ranges(keyed, buckets, size, gram).groupBy("doc_id", "mark").agg(
         F.collect_list(F.struct("begin", "end")).alias("ranges"))
-    out = keyed.join(ranges, ["doc_id", "mark"], "left").select("doc_id", "text", "ranges").mapInArrow(
+    packed = keyed.mapInArrow(_pressed, "doc_id bigint, mark bigint, packed binary")
+    out = packed.join(ranges, ["doc_id", "mark"], "left").select("doc_id", "packed", "ranges").mapInArrow(
         _kept, "doc_id bigint, n_words bigint, n_removed bigint, kept binary")
     return out.withColumn("doc_id", F.when(F.col("doc_id") != -2**63, F.col("doc_id")))
 
