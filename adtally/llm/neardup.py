@@ -37,7 +37,8 @@ WORDS, PERCENT = 5, 80
 #: A sketch of BINS values errs by 0.026 at the threshold; six times that is left as a margin.
 MARGIN = 0.16
 #: Classes of one bucket that one task compares with as many others.
-BLOCK = 2048
+BLOCK = 1024
+COLUMNS = 2048
 _EMPTY = U64(2**64 - 1)
 
 
@@ -145,6 +146,33 @@ def _confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return stage(pairs.sparkSession, links.distinct(), "confirmed")
 
 
+def _overlaps(sets: list[np.ndarray], mine: np.ndarray, theirs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Sizes of intersection and union of each pair of sets.
+
+    Products of membership matrices, some columns at a time: a family of very
+    many near copies costs little more than reading it.
+    """
+    used, at = np.unique(np.concatenate([mine, theirs]), return_inverse=True)
+    if not len(used):
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    size = np.array([len(sets[u]) for u in used])
+    column = np.unique(np.concatenate([sets[u] for u in used]), return_inverse=True)[1]
+    row = np.repeat(np.arange(len(used)), size)
+    order = np.argsort(column, kind="stable")
+    row, column = row[order], column[order]
+    shared = np.bincount(column)[column] > 1
+    row, column = row[shared], np.unique(column[shared], return_inverse=True)[1]
+    both = np.zeros((len(used), len(used)), np.float32)
+    for first in range(0, int(column[-1]) + 1 if len(column) else 0, COLUMNS):
+        x, y = np.searchsorted(column, [first, first + COLUMNS])
+        member = np.zeros((len(used), COLUMNS), np.float32)
+        member[row[x:y], column[x:y] - first] = 1
+        both += member @ member.T
+    a, b = at[:len(mine)], at[len(mine):]
+    common = both[a, b].astype(np.int64)
+    return common, size[a] + size[b] - common
+
+
 def _across(percent: int):
     least = percent / 100 - MARGIN
 
@@ -152,8 +180,7 @@ def _across(percent: int):
         """Links between different components of one block pair.
 
         A pair that shares several buckets is compared in the first of them.
-        Sets travel as 32-bit hashes, which can only take a few shingles too
-        many for equal; every link is confirmed afterwards.
+        Sets travel as 32-bit hashes; every link is confirmed afterwards.
         """
         i, j, band = (group.column(c)[0].as_py() for c in ("i", "j", "band"))
         own = np.array(group.column("block")) == i
@@ -167,17 +194,28 @@ def _across(percent: int):
                 joined[c] = c = joined[joined[c]]
             return c
 
-        links = []
+        mine, theirs = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
         for k in np.flatnonzero(own):
             others = np.flatnonzero(((ids > ids[k]) if i == j else ~own) & (component != component[k]))
             same = sketch[others] == sketch[k]
             near = same.mean(axis=1) >= least
-            near &= same.reshape(len(others), BANDS, ROWS).all(axis=2).argmax(axis=1) == band
-            for o in others[near]:
-                mine, theirs = root(int(component[k])), root(int(component[o]))
-                if mine != theirs and _alike(sets[k], sets[o], percent):
-                    joined[mine] = theirs
-                    links.append((max(ids[k], ids[o]), min(ids[k], ids[o])))
+            others, same = others[near], same[near]
+            others = others[same.reshape(len(others), BANDS, ROWS).all(axis=2).argmax(axis=1) == band]
+            mine.append(np.full(len(others), k))
+            theirs.append(others)
+        mine, theirs = np.concatenate(mine), np.concatenate(theirs)
+        both, either = _overlaps(sets, mine, theirs)
+        links = []
+        for sure in (True, False):
+            # Hashes of half the length may merge two shingles of a text; what is one short is let through.
+            passes = 100 * both >= percent * either if sure else (100 * both < percent * either) & (
+                100 * (both + 1) >= percent * (either - 1))
+            for x, y in zip(mine[passes].tolist(), theirs[passes].tolist(), strict=True):
+                low, high = root(int(component[x])), root(int(component[y]))
+                if low != high:
+                    links.append((max(ids[x], ids[y]), min(ids[x], ids[y])))
+                    if sure:
+                        joined[low] = high
         return pa.table({"a": pa.array([x for x, _ in links], pa.int64()), "b": pa.array([y for _, y in links], pa.int64())})
 
     return run
