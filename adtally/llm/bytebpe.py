@@ -12,9 +12,8 @@ The vocabulary is a file of ranks: base64 of the bytes, a space, the rank.
 from __future__ import annotations
 
 import base64
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterator
 from heapq import heapify, heappop, heappush
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -25,8 +24,9 @@ from pyspark.sql import functions as F
 from adtally.llm.text import U64, hashes, mix, slices, whole
 
 #: Pre-tokens whose ids a worker remembers at a time.
-REMEMBERED = 400_000
+REMEMBERED = 600_000
 _STEP = U64(0x9E3779B97F4A7C15)
+_LOW, _NEXT = 2**32 - 1, 2**32 + 1
 
 
 class PerfectHash:
@@ -85,7 +85,15 @@ class Vocabulary:
                     piece, rank = line.split()
                     self.ranks[base64.b64decode(piece)] = int(rank)
         pieces = list(self.ranks)
-        self.bytes_of = dict(zip(self.ranks.values(), pieces, strict=True))
+        #: Ids as four bytes, ranks above the places of a heap entry, and the latter by pairs of bytes.
+        self.code = {p: r.to_bytes(4, "little") for p, r in self.ranks.items()}
+        self.high_rank = {p: r << 64 for p, r in self.ranks.items()}
+        self.pairs = [self.high_rank.get(bytes((i >> 8, i & 255))) for i in range(65536)]
+        by_id = dict(zip(self.ranks.values(), pieces, strict=True))
+        every = [by_id.get(i, b"") for i in range(max(by_id) + 1)]
+        self.length = np.array([len(p) for p in every])
+        self.begin = np.cumsum(self.length) - self.length
+        self.all_bytes = np.frombuffer(b"".join(every), np.uint8)
         keys = keys_of(pieces)
         if len(np.unique(keys)) != len(keys):
             raise ValueError("two entries have one hash")
@@ -93,44 +101,63 @@ class Vocabulary:
         self.at: list[bytes] = [b""] * len(pieces)
         for slot, piece in zip(self.table.slots(keys).tolist(), pieces, strict=True):
             self.at[slot] = piece
-        self.rank_at = [self.ranks[p] for p in self.at]
+        self.code_at = [self.code[p] for p in self.at]
 
-    def encode(self, pieces: list[bytes]) -> list[tuple[int, ...]]:
-        """Ids of each pre-token."""
+    def encode(self, pieces: list[bytes]) -> list[bytes]:
+        """Ids of each pre-token, four bytes each."""
         out = []
         for piece, slot in zip(pieces, self.table.slots(keys_of(pieces)).tolist(), strict=True):
-            out.append((self.rank_at[slot],) if self.at[slot] == piece else self.merge(piece))
+            out.append(self.code_at[slot] if self.at[slot] == piece else self.merge(piece))
         return out
 
-    def merge(self, piece: bytes) -> tuple[int, ...]:
-        n, ranks = len(piece), self.ranks
-        after = list(range(1, n + 1))  # where the next symbol begins
-        before = list(range(-1, n - 1))
-        heap = [(r, i, i + 2) for i in range(n - 1) if (r := ranks.get(piece[i:i + 2])) is not None]
+    def merge(self, piece: bytes) -> bytes:
+        """Ids of a pre-token: bytes in a linked list, pairs in a heap by rank and then by place.
+
+        A heap entry is one number: rank, place of the pair, place after it.
+        ``after`` is 0 for a symbol that went into the one before it.
+        """
+        n, get, pairs = len(piece), self.high_rank.get, self.pairs
+        after, before = [*range(1, n + 1), 0], list(range(-1, n))
+        heap, place, last = [], 2, piece[0]
+        for byte in piece[1:]:
+            if (r := pairs[last << 8 | byte]) is not None:
+                heap.append(r | place)
+            place += _NEXT
+            last = byte
         heapify(heap)
-        live = [True] * n
         while heap:
-            _, i, end = heappop(heap)
-            if not live[i]:
-                continue
+            entry = heappop(heap)
+            i, end = entry >> 32 & _LOW, entry & _LOW
             right = after[i]
-            if right >= n or after[right] != end:
+            if not right or after[right] != end:
                 continue  # one of the two has grown meanwhile
-            live[right] = False
+            after[right] = 0
             after[i] = end
             if end < n:
                 before[end] = i
-                if (r := ranks.get(piece[i:after[end]])) is not None:
-                    heappush(heap, (r, i, after[end]))
-            if (left := before[i]) >= 0 and (r := ranks.get(piece[left:end])) is not None:
-                heappush(heap, (r, left, end))
-        return tuple(ranks[piece[i:after[i]]] for i in range(n) if live[i])
-
-    def decode(self, ids: Iterable[int]) -> bytes:
-        return b"".join(map(self.bytes_of.__getitem__, ids))
+                if (r := get(piece[i:after[end]])) is not None:
+                    heappush(heap, r | i << 32 | after[end])
+            if (left := before[i]) >= 0 and (r := get(piece[left:end])) is not None:
+                heappush(heap, r | left << 32 | end)
+        out, i = [], 0
+        while i < n:
+            out.append(self.code[piece[i:after[i]]])
+            i = after[i]
+        return b"".join(out)
+
+    def decode(self, ids: np.ndarray) -> bytes:
+        """The bytes that ids stand for, copied from one table in one step."""
+        length = self.length[ids]
+        end = np.cumsum(length)
+        if not len(end):
+            return b""
+        at = np.arange(end[-1]) + np.repeat(self.begin[ids] - (end - length), length)
+        return self.all_bytes[at].tobytes()
 
 
 _LOADED: dict[str, Vocabulary] = {}
+#: Ids of pre-tokens as little-endian 32-bit numbers, kept from task to task of a worker.
+_IDS_OF: dict[str, dict[str, bytes]] = {}
 
 
 def vocabulary(path: str) -> Vocabulary:
@@ -142,22 +169,18 @@ def vocabulary(path: str) -> Vocabulary:
 def _codec(path: str, pattern: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, find = vocabulary(path), regex.compile(pattern).findall
-        ids_of: dict[str, tuple[int, ...]] = {}
+        ids_of = _IDS_OF.setdefault(path, {})
         for b in slices(batches, "text"):
-            ids, n, decoded = [], [], []
-            for value in b.column("text"):
-                pieces = find(value.as_buffer().to_pybytes().decode("utf-8", "replace"))
-                if len(ids_of) > REMEMBERED:
-                    ids_of.clear()
-                new = [p for p in set(pieces) if p not in ids_of]
-                if new:
-                    ids_of.update(zip(new, known.encode([p.encode() for p in new]), strict=True))
-                own = list(chain.from_iterable(map(ids_of.__getitem__, pieces)))
-                n.append(len(own))
-                ids.append(np.array(own, "<u4").tobytes())
-                decoded.append(known.decode(own))
+            cut = [find(v.as_buffer().to_pybytes().decode("utf-8", "replace")) for v in b.column("text")]
+            if len(ids_of) > REMEMBERED:
+                ids_of.clear()
+            new = list(set().union(*cut).difference(ids_of))
+            if new:
+                ids_of.update(zip(new, known.encode([p.encode() for p in new]), strict=True))
+            ids = [b"".join(map(ids_of.__getitem__, own)) for own in cut]
+            decoded = [known.decode(np.frombuffer(i, "<u4")) for i in ids]
             yield pa.RecordBatch.from_arrays(
-                [b.column("doc_id"), pa.array(n, pa.int64()), pa.array(ids, pa.binary()),
+                [b.column("doc_id"), pa.array([len(i) // 4 for i in ids], pa.int64()), pa.array(ids, pa.binary()),
                  pa.array(decoded, pa.binary())], ["doc_id", "n_tokens", "ids", "decoded"])
 
     return run

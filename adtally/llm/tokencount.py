@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from adtally.llm.text import slices, whole
 
 MARK = "▁"
-REMEMBERED = 400_000
+REMEMBERED = 600_000
 NORMAL, USER_DEFINED, UNUSED, BYTE = 1, 4, 5, 6
 _NONE = np.int64(2**62)
 
@@ -91,7 +91,11 @@ class Model:
                 ids[char] = len(ids)
                 size.append(len(char.encode()))
         self.size = np.array(size, np.int64)
-        self.char = {c: i for c, i in ids.items() if len(c) == 1}
+        #: Symbol of each character, below zero if no piece has it.
+        self.symbol = np.full(0x110000, -1, np.int64)
+        for char, i in ids.items():
+            if len(char) == 1:
+                self.symbol[ord(char)] = i
         self.n = len(ids)
         # Equal scores share a rank, as the leftmost of them comes first.
         score = {text: s for text, s in pieces}
@@ -106,7 +110,7 @@ class Model:
         found = [table[k] for k in self.pairs.tolist()]
         self.rank = np.array([r for r, _ in found], np.int64)
         self.merged = np.array([m for _, m in found], np.int64)
-        alone = "\n" if "\n" not in self.char else ""
+        alone = "\n" if self.symbol[10] < 0 else ""
         known = sorted(map(re.escape, fixed), key=len, reverse=True)
         self.fixed = set(fixed)
         self.split = re.compile(
@@ -121,37 +125,31 @@ class Model:
     def counts(self, words: list[str]) -> np.ndarray:
         """Tokens of each pre-token."""
         out = np.zeros(len(words), np.int64)
-        chars, owner = [], []
-        for k, word in enumerate(words):
-            if word in self.fixed:
-                out[k] = 1
-                continue
-            for part in self._loose(word):
-                if part in self.fixed:
-                    out[k] += 1
-                    continue
-                own = []
-                for c in part:
-                    symbol = self.char.get(c)
-                    if symbol is None:
-                        out[k] += len(c.encode())
-                        symbol = -1
-                    own.append(symbol)
-                chars.append(own)
-                owner.append(k)
-        if not chars:
-            return out
-        length = np.fromiter(map(len, chars), np.int64, len(chars))
-        symbols = np.fromiter((c for own in chars for c in own), np.int64, int(length.sum()))
-        sequence = np.repeat(np.arange(len(chars)), length)
-        owner = np.array(owner)
+        if self.fixed:
+            parts, owner = [], []
+            for k, word in enumerate(words):
+                for part in self._loose(word):
+                    if part in self.fixed:
+                        out[k] += 1
+                    else:
+                        parts.append(part)
+                        owner.append(k)
+            owner = np.array(owner, np.int64)
+        else:
+            parts, owner = words, np.arange(len(words))
+        length = np.fromiter(map(len, parts), np.int64, len(parts))
+        code = np.frombuffer("".join(parts).encode("utf-32-le", "surrogatepass"), "<u4")
+        symbols, sequence = self.symbol[code], np.repeat(np.arange(len(parts)), length)
+        strange = symbols < 0
+        size = 1 + (code >= 0x80) + (code >= 0x800) + (code >= 0x10000)  # bytes of a character
+        out += np.bincount(owner[sequence[strange]], size[strange], len(out)).astype(np.int64)
         while len(symbols):
             ranks, merged = self._ranks(symbols, sequence)
             first = np.flatnonzero(np.diff(sequence, prepend=-1))
             lowest = np.minimum.reduceat(ranks, first)
             going = np.repeat(lowest < _NONE, np.diff(np.append(first, len(symbols))))
             done = ~going & (symbols >= 0)
-            np.add.at(out, owner[sequence[done]], self.size[symbols[done]])
+            out += np.bincount(owner[sequence[done]], self.size[symbols[done]], len(out)).astype(np.int64)
             here = going & (ranks == np.repeat(lowest, np.diff(np.append(first, len(symbols)))))
             here = self._without_overlap(here)
             symbols = np.where(here, merged, symbols)
@@ -161,7 +159,7 @@ class Model:
 
     def _loose(self, word: str) -> list[str]:
         """The word cut at fixed pieces inside it."""
-        if self.inside is None:
+        if self.inside is None or word in self.fixed:
             return [word]
         parts, at = [], 0
         for m in self.inside.finditer(word):
@@ -193,6 +191,8 @@ class Model:
 
 
 _LOADED: dict[str, Model] = {}
+#: Tokens of pre-tokens, kept from task to task of a worker.
+_COUNT_OF: dict[str, dict[str, int]] = {}
 
 
 def model(path: str) -> Model:
@@ -203,14 +203,14 @@ def model(path: str) -> Model:
 
 def _count(path: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, count_of = model(path), {}
+        known, count_of = model(path), _COUNT_OF.setdefault(path, {})
         for b in slices(batches, "text"):
             size, tokens = [], []
             texts = [v.as_buffer().to_pybytes() for v in b.column("text")]
             cut = [known.pre_tokens(t.decode("utf-8", "replace")) for t in texts]
             if len(count_of) > REMEMBERED:
                 count_of.clear()
-            new = list({w for own in cut for w in own if w not in count_of})
+            new = list(set().union(*cut).difference(count_of))
             if new:
                 count_of.update(zip(new, known.counts(new).tolist(), strict=True))
             for text, own in zip(texts, cut, strict=True):
