@@ -46,7 +46,7 @@ def _at(tokens: Column, mark: str, shift: int) -> Column:
 
 def _hits(words: Column, rule: Column) -> Column:
     """Detections of one rule: first word, word after the last (below zero, for sorting), and the rule."""
-    marked = F.regexp_replace(words, rule["pattern"], F.lit(f"{_OPEN}$0{_CLOSE}"))
+    marked = F.regexp_replace(words, rule["pattern"], F.lit(f" {_OPEN}$0{_CLOSE} "))
     tokens = F.split(F.trim(marked), F.lit(" +"))
     return F.zip_with(
         _at(tokens, _OPEN, 0), _at(tokens, _CLOSE, 1),
@@ -126,7 +126,7 @@ lower AS (
 texts AS (SELECT n, doc_id, CASE WHEN w = '' THEN '' ELSE ' ' || w || ' ' END AS words FROM lower),
 marked AS (
   SELECT n, rule, label, priority, base,
-         string_split_regex(trim(regexp_replace(words, pattern, chr(1) || '\\0' || chr(2), 'g')), ' +') AS tokens
+         string_split_regex(trim(regexp_replace(words, pattern, ' ' || chr(1) || '\\0' || chr(2) || ' ', 'g')), ' +') AS tokens
   FROM texts JOIN rules ON contains(words, keyword)),
 tokens AS (
   SELECT n, rule, label, priority, base, unnest(tokens) AS token, generate_subscripts(tokens, 1) - 1 AS i FROM marked),
