@@ -29,6 +29,8 @@ def run(name: str, spark: SparkSession, sf_dir: str) -> DataFrame:
     df = QUERIES[name](configure(spark), sf_dir)
     shown = {T.DateType(): "string", T.IntegerType(): "bigint", T.FloatType(): "double"}
     casts = {f.name: F.col(f.name).cast(shown[f.dataType]) for f in df.schema.fields if f.dataType in shown}
+    casts |= {f.name: F.round(f.name, 4).cast("double") for f in df.schema.fields
+              if isinstance(f.dataType, T.DecimalType) and f.dataType.scale == 10}
     return df.withColumns(casts) if casts else df
 
 
@@ -182,8 +184,8 @@ def conv_result_records(spark, sf):
 def demand_result_records(spark, sf):
     topic = F.when(F.col("demand") == "R", F.lit("x_imps")).otherwise(F.lit("x_clks"))
     return records.scoped_records(
-        rollups.supply(_demand(spark, sf).withColumn("topic", topic)), grains.SUPPLY, ["gross_cnt", "revenue"],
-        lead="kind")
+        records.supply_growth(rollups.supply(_demand(spark, sf).withColumn("topic", topic))), grains.SUPPLY,
+        records.SUPPLY_MEASURES, lead="kind")
 
 
 @query

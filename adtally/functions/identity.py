@@ -30,7 +30,7 @@ def device_key(hashed: list[Column | str], plain: list[Column | str]) -> Column:
 
 
 def advertising_id(gaid: Column | str, idfa: Column | str) -> Column:
-    """The gaid, or the idfa where the gaid is missing or an unfilled macro."""
+    """The gaid, or the idfa where the gaid is missing (null) or an unfilled macro. An empty gaid is one."""
     usable = [F.when(~F.contains(_col(c), F.lit("{")), _col(c)) for c in (gaid, idfa)]
     return F.coalesce(*usable, F.lit(""))
 

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-MONEY_SCALE = 10000
+#: Amounts are added with ten decimals and rounded to the four of a table when they are written.
+MONEY_TYPE = "decimal(28,10)"
 
 
 def _col(c: Column | str) -> Column:
@@ -13,16 +14,17 @@ def _col(c: Column | str) -> Column:
 
 
 def money_units(amount: Column | str) -> Column:
-    """An amount as whole ten-thousandths.
+    """An amount as a decimal, so that sums are exact and do not depend on the order rows arrive in.
 
-    The summary tables keep four decimals. Adding whole units is exact, does
-    not depend on the order rows arrive in and stays in long arithmetic.
+    Prices may be far below the four decimals of the summary tables; only
+    what is written is rounded to those.
     """
-    return F.coalesce(F.floor(_col(amount).cast("double") * MONEY_SCALE + 0.5), F.lit(0))
+    return F.coalesce(_col(amount).cast(MONEY_TYPE), F.lit(0).cast(MONEY_TYPE))
 
 
-def money(units: Column | str) -> Column:
-    return _col(units) / F.lit(float(MONEY_SCALE))
+def money(total: Column | str) -> Column:
+    """A sum of amounts, not rounded yet."""
+    return _col(total).cast("decimal(38,10)")
 
 
 # Formats inside a row key; every other column enters as plain text.
@@ -82,15 +84,14 @@ def kpi_count(code: Column, days: Column, gross: Column, uniq: Column) -> Column
 
 
 def kpi_amount_units(code: Column, days: Column, gross: Column, uniq: Column, amount_units: Column) -> Column:
-    """KPI of a signed code, in money units so that counts and amounts share a column."""
+    """KPI of a signed code, as an amount so that counts and amounts share a column."""
     size = F.abs(code)
-    whole = F.lit(MONEY_SCALE)
     out = (
         F.when(size == KPI_AMOUNT, amount_units)
-        .when((size > 800) & (size < 900), F.when(size == days + KPI_DAY_BASE, uniq * whole).otherwise(F.lit(0)))
-        .otherwise(kpi_count(size, days, gross, uniq) * whole)
-    )
-    return (F.signum(code.cast("double")).cast("long") * out).cast("long")
+        .when((size > 800) & (size < 900), F.when(size == days + KPI_DAY_BASE, uniq).otherwise(F.lit(0)))
+        .otherwise(kpi_count(size, days, gross, uniq))
+    ).cast(MONEY_TYPE)
+    return F.when(code < 0, -out).when(code > 0, out).otherwise(F.lit(0)).cast(MONEY_TYPE)
 
 
 def kpi_day(code: Column, event_day: Column, install_day: Column) -> Column:

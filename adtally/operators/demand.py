@@ -15,16 +15,16 @@ PLAIN_IDS = ["ip", "ua", "hwv"]
 
 
 def _flat(log: DataFrame, publisher_domain: Column, inventory_domain: Column, app_bundle: Column,
-          epoch: Column, *extra: Column) -> DataFrame:
+          epoch: Column, tagid: Column, connection_type: Column, *extra: Column) -> DataFrame:
     flat = log.select(
         F.col("tz").alias("timezone"), epoch.alias("epoch"), "demand",
         F.col("cid").alias("campaign_id"), F.col("crid").alias("creative_id"), "supply",
         publisher_domain.alias("publisher_domain"), inventory_domain.alias("inventory_domain"),
-        app_bundle.alias("app_bundle"), "tagid",
+        app_bundle.alias("app_bundle"), tagid.alias("tagid"),
         F.col("geo.cc").alias("country_code"), F.col("geo.pgeonid").alias("province_geonameid"),
         F.col("geo.cgeonid").alias("city_geonameid"), F.col("device.make").alias("device_make"),
         F.col("device.model").alias("device_model"), F.col("device.os").alias("os"),
-        F.col("device.carrier").alias("carrier"), F.col("device.connectiontype").alias("connection_type"),
+        F.col("device.carrier").alias("carrier"), connection_type.alias("connection_type"),
         F.col("uagrp").alias("age_group"), F.col("user.gender").alias("gender"),
         F.col("dcostcur").alias("demand_currency"), F.col("srevenuecur").alias("supply_currency"),
         device_key([f"device.{h}" for h in HASHED_IDS], [f"device.{p}" for p in PLAIN_IDS]).alias("uv"),
@@ -45,6 +45,8 @@ def flatten(log: DataFrame) -> DataFrame:
         first_filled("app.domain", "site.domain"),
         F.col("app.bundle"),
         F.col("clickts"),
+        F.col("tagid"),
+        F.col("device.connectiontype"),
     )
     return with_days(flat, "epoch")
 
@@ -54,7 +56,8 @@ def flatten_stream(log: DataFrame, topic: str = "topic") -> DataFrame:
 
     A record with an app object ignores its site even where the app's domain
     is blank. The topic, whose name ends in ``clks`` or ``imps``, tells clicks
-    from impressions.
+    from impressions. Missing values differ from the batch form: "0" for the
+    tag id, an empty text for the connection type.
     """
     has_app = F.col("app").isNotNull()
     is_click = F.endswith(F.col(topic), F.lit("clks"))
@@ -66,6 +69,8 @@ def flatten_stream(log: DataFrame, topic: str = "topic") -> DataFrame:
     return _flat(
         log, domain("publisher.domain"), domain("domain"), or_default("app.bundle", ""),
         F.when(is_click, F.col("clickts")).otherwise(F.col("pixelts")),
+        or_default("tagid", "0"),
+        or_default(F.col("device.connectiontype").cast("string"), ""),
         F.when(is_click, F.lit("clks")).otherwise(F.lit("imps")).alias("kind"),
     )
 

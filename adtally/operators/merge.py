@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from adtally import grains, schemas
+from adtally.functions.measures import money_units
 from adtally.operators.rollup import money_sum, sum_of
 
 
@@ -36,7 +37,7 @@ def stack(parts: list[DataFrame], keys: list[str], counts: list[str], amounts: l
         return df.select(
             *keys,
             *[F.col(c) if c in df.columns else F.lit(0).cast("long").alias(c) for c in counts],
-            *[F.col(a).cast("double").alias(a) if a in df.columns else F.lit(0.0).alias(a) for a in amounts],
+            *[money_units(a if a in df.columns else F.lit(0)).alias(a) for a in amounts],
         )
 
     stacked = reduce(DataFrame.unionByName, [padded(p) for p in parts])

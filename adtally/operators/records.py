@@ -51,13 +51,21 @@ def scoped_records(df: DataFrame, dims: list[str], measures: list[str], tag: str
     return df.select(F.concat_ws(MARK, *head, joined(["dated", *dims, *measures])).alias("value"))
 
 
+#: Supply messages have the layout of demand messages; nothing unique is counted.
+SUPPLY_MEASURES = ["gross_cnt", "uniq_cnt", "revenue"]
+
+
+def supply_growth(counts: DataFrame) -> DataFrame:
+    return counts.withColumn("uniq_cnt", F.lit(0))
+
+
 def conversion_records(by_reason: DataFrame) -> DataFrame:
     """Messages of the three conversion grains, each with five measures.
 
     Only the summary grain carries amounts.
     """
     measures = [*conversion.COUNTS, "net_profit", "tac"]
-    none = F.lit(0.0)
+    none = ms.money(F.lit(0))
     fine = conversion.over_reasons(by_reason, grains.CONVERSION).withColumns({"net_profit": none, "tac": none})
     coarse = conversion.over_reasons(by_reason, grains.SUMMARY)
     invalid = conversion.invalid_by_reason(by_reason).withColumnRenamed("invalid_cnt", "gross_cnt").withColumns(

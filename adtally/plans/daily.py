@@ -23,12 +23,12 @@ from adtally.sources import logs
 Days = list[dt.date]
 
 
-def _publish(df: DataFrame, out: str, name: str, layout: str | None = None) -> None:
-    tables.replace_days(tables.to_layout(df, schemas.SUMMARY_TABLES[layout or name]), f"{out}/{name}")
+def _publish(df: DataFrame, out: str, name: str, days: Days | None) -> None:
+    tables.replace_days(tables.to_layout(df, schemas.SUMMARY_TABLES[name]), f"{out}/{name}", days)
 
 
-def _publish_part(df: DataFrame, out: str, name: str) -> None:
-    tables.replace_days(df, f"{out}/{name}")
+def _publish_part(df: DataFrame, out: str, name: str, days: Days) -> None:
+    tables.replace_days(df, f"{out}/{name}", days)
 
 
 def clicks(spark: SparkSession, log: DataFrame, out: str, days: Days, by_tuple: bool = False) -> None:
@@ -37,8 +37,8 @@ def clicks(spark: SparkSession, log: DataFrame, out: str, days: Days, by_tuple:
     fine = stage(spark, logs.on_days(click.daily_by_scope(near, by_tuple), days), "click-fine")
     for scope in grains.SCOPES:
         detail = of_scope(fine, scope, grains.CLICK)
-        _publish(detail, out, f"{scope}_clk_daily_summary")
-        _publish_part(click.summary(detail, scope), out, f"{scope}_daily_clicks")
+        _publish(detail, out, f"{scope}_clk_daily_summary", days)
+        _publish_part(click.summary(detail, scope), out, f"{scope}_daily_clicks", days)
 
 
 def conversions(spark: SparkSession, log: DataFrame, out: str, days: Days) -> None:
@@ -56,10 +56,10 @@ def conversions(spark: SparkSession, log: DataFrame, out: str, days: Days) -> No
     by_grain = conversion.over_reasons(fine, grains.CONVERSION)
     for scope in grains.SCOPES:
         detail = of_scope(by_grain, scope, grains.CONVERSION)
-        _publish(detail, out, f"{scope}_conv_daily_summary")
-        _publish_part(conversion.summary(detail, scope), out, f"{scope}_daily_conversions")
+        _publish(detail, out, f"{scope}_conv_daily_summary", days)
+        _publish_part(conversion.summary(detail, scope), out, f"{scope}_daily_conversions", days)
     invalid = of_scope(conversion.invalid_by_reason(fine), "adx", grains.INVALID_CONVERSION)
-    _publish(invalid, out, "adx_invalid_conv_daily_summary")
+    _publish(invalid, out, "adx_invalid_conv_daily_summary", days)
 
 
 def events(spark: SparkSession, log: DataFrame, out: str, days: Days) -> None:
@@ -69,34 +69,26 @@ def events(spark: SparkSession, log: DataFrame, out: str, days: Days) -> None:
     both = stage(spark, logs.on_days(event.fine_by_scope(near), days), "event-fine")
     for scope in grains.SCOPES:
         fine = both.where(F.col("scope") == scope).withColumnRenamed("dated", "event_day")
-        _publish_part(event.daily(fine, scope), out, f"{scope}_event_counts")
+        _publish_part(event.daily(fine, scope), out, f"{scope}_event_counts", days)
         batches = fine.withColumn(tables.BATCH, F.col("event_day"))
-        _add(event.retention(batches, scope, [tables.BATCH]), f"{out}/{scope}_event_retention", days)
-        _add(event.kpi(batches, scope, [tables.BATCH]), f"{out}/{scope}_daily_kpi", days)
-
-
-def _add(batches: DataFrame, path: str, days: Days) -> None:
-    if len(days) == 1:
-        # A whole folder is replaced, so a day that has become empty leaves nothing behind.
-        tables.add_batch(batches.drop(tables.BATCH), path, days[0].isoformat())
-    else:
-        tables.add_batches(batches, path)
+        tables.add_batches(event.retention(batches, scope, [tables.BATCH]), f"{out}/{scope}_event_retention", days)
+        tables.add_batches(event.kpi(batches, scope, [tables.BATCH]), f"{out}/{scope}_daily_kpi", days)
 
 
 def impressions(spark: SparkSession, log: DataFrame, out: str, days: Days, kind: str = "imp") -> None:
     flat = impression.flatten(logs.near_days(log, days, "request_unix"))
     both = stage(spark, logs.on_days(impression.daily_by_scope(flat, kind), days), f"impression-{kind}")
     for scope in grains.SCOPES:
-        _publish_part(of_scope(both, scope, grains.IMPRESSION), out, f"{scope}_impression_{kind}")
+        _publish_part(of_scope(both, scope, grains.IMPRESSION), out, f"{scope}_impression_{kind}", days)
 
 
 def demands(spark: SparkSession, log: DataFrame, out: str, days: Days) -> None:
     flat = demand.flatten(logs.near_days(log, days, "clickts"))
     both = stage(spark, logs.on_days(demand.daily_by_scope(flat), days), "demand-fine")
     for scope in grains.SCOPES:
-        _publish(of_scope(both, scope, grains.DEMAND), out, f"{scope}_demand_daily_summary")
+        _publish(of_scope(both, scope, grains.DEMAND), out, f"{scope}_demand_daily_summary", days)
     supply = demand.supply_daily(logs.on_days(flat, days, "dated_gmt"))
-    _publish(supply, out, "gmt_supply_daily_summary")
+    _publish(supply, out, "gmt_supply_daily_summary", days)
 
 
 def _parts(spark: SparkSession, out: str, names: list[str], days: Days | None) -> list[DataFrame]:
@@ -113,15 +105,15 @@ def wide_summaries(spark: SparkSession, out: str, days: Days | None = None) -> N
     for scope in grains.SCOPES:
         parts = _parts(spark, out, [f"{scope}_daily_{p}" for p in ("clicks", "conversions", "kpi")], days)
         if parts:
-            _publish(merge.wide_summary(parts, scope), out, f"{scope}_daily_summary")
+            _publish(merge.wide_summary(parts, scope), out, f"{scope}_daily_summary", days)
         parts = _parts(spark, out, [f"{scope}_event_counts", f"{scope}_event_retention"], days)
         if parts:
             keys = grains.keys(scope, grains.EVENT)
             both = merge.stack(parts, keys, ["gross_cnt", "uniq_cnt", *event.RETENTION], ["total_amount"])
-            _publish(grains.with_row_key(both, scope, grains.EVENT), out, f"{scope}_event_daily_summary")
+            _publish(grains.with_row_key(both, scope, grains.EVENT), out, f"{scope}_event_daily_summary", days)
         parts = _parts(spark, out, [f"{scope}_impression_imp", f"{scope}_impression_clk"], days)
         if parts:
             keys = grains.keys(scope, grains.IMPRESSION)
             both = merge.stack(parts, keys, ["gross_imp_cnt", "uniq_imp_cnt", "gross_clk_cnt", "uniq_clk_cnt"])
             _publish(grains.with_row_key(both, scope, grains.IMPRESSION), out,
-                     f"{scope}_impression_daily_summary")
+                     f"{scope}_impression_daily_summary", days)

@@ -31,6 +31,8 @@ TOTALS: dict[str, tuple] = {
     "click-watch": (schemas.CLICK, filters.click_watch),
 }
 WITH_TOPIC = {"supply", "demand"}
+#: Fields whose absence means something else than an empty text.
+MAY_BE_MISSING = {"click-watch": ("gaid", "idfa")}
 
 # job -> result messages of what a micro-batch added
 RECORDS: dict[str, Callable[[DataFrame], DataFrame]] = {
@@ -42,7 +44,8 @@ RECORDS: dict[str, Callable[[DataFrame], DataFrame]] = {
     "event": records.event_growth_records,
     "demand": lambda df: records.scoped_records(
         df, grains.DEMAND, ["gross_cnt", "uniq_cnt", "cost"], lead="kind"),
-    "supply": lambda df: records.scoped_records(df, grains.SUPPLY, ["gross_cnt", "revenue"], lead="kind"),
+    "supply": lambda df: records.scoped_records(
+        records.supply_growth(df), grains.SUPPLY, records.SUPPLY_MEASURES, lead="kind"),
     "conversion-detail": lambda df: df.select("value"),
 }
 # stateful job -> keys and measures of its total table
@@ -58,8 +61,12 @@ def publisher(job: str, path: str, send: Callable[[DataFrame], None]) -> Callabl
     """An ``emit`` that turns what each micro-batch added into messages and sends them.
 
     Counting jobs send the batch itself, jobs with running totals send the
-    growth of the totals.
+    growth of the totals. A job without result messages is refused here,
+    before anything has started.
     """
+    if job not in RECORDS:
+        raise ValueError(f"{job} has no result messages; jobs that have: {', '.join(sorted(RECORDS))}")
+
     def publish(added: DataFrame, batch_id: int) -> None:
         send(RECORDS[job](added))
 
@@ -78,7 +85,7 @@ def start(job: str, messages: DataFrame, path: str, checkpoint: str, trigger: di
     schema, fn = (INCREMENTS | TOTALS)[job]
     keep = ["topic"] if job in WITH_TOPIC else None
     parsed = logs.parse_messages(messages, schema, keep=keep)
-    log = logs.good(parsed, schema)
+    log = logs.good(parsed, schema, MAY_BE_MISSING.get(job, ()))
     queries = []
     if job in TOTALS:
         queries.append(runner.start_totals(fn(log), path, f"{checkpoint}/main", trigger, emit))

@@ -67,7 +67,6 @@ def stage(spark: SparkSession, df, name: str):
 
 
 TARGET_BYTES = 256 * 1024 * 1024
-MOST_PARTITIONS = 100_000
 
 
 def partitions_for(input_bytes: int, cores: int) -> int:
@@ -76,7 +75,7 @@ def partitions_for(input_bytes: int, cores: int) -> int:
     Adaptive execution merges what turns out too small. It cannot split an
     aggregation's partitions, so the number must be large enough up front.
     """
-    return max(cores, min(MOST_PARTITIONS, -(-input_bytes // TARGET_BYTES)))
+    return max(cores, -(-input_bytes // TARGET_BYTES))
 
 
 def size_shuffles(spark: SparkSession, input_bytes: int) -> int:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -10,6 +12,7 @@ from adtally import schemas
 from adtally.operators.rollup import money_sum, sum_of
 
 BATCH = "batch_id"
+Days = list[dt.date]
 
 
 def to_layout(df: DataFrame, layout: T.StructType) -> DataFrame:
@@ -34,14 +37,27 @@ def drop(spark: SparkSession, name: str) -> None:
     spark.sql(f"DROP TABLE IF EXISTS {name}")
 
 
-def replace_days(df: DataFrame, path: str) -> None:
-    """Replace the days present in ``df``; running a day again changes nothing.
+def replace_days(df: DataFrame, path: str, days: Days | None = None) -> None:
+    """Replace ``days``, or those present in ``df``; running a day again changes nothing.
 
-    Rebalancing gathers the rows of a day into files of the advisory size: a
+    A wanted day without rows loses what an earlier run wrote for it. Rebalancing gathers the rows of a day into files of the advisory size: a
     small day becomes one file, a large one is split over many tasks.
     """
     (df.hint("rebalance", "dated").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy("dated").parquet(path))
+    _clear(df, path, "dated", days)
+
+
+def _clear(df: DataFrame, path: str, column: str, days: Days | None) -> None:
+    """Remove the folders of wanted days that ``df`` has no rows for."""
+    wanted = set(days or ())
+    if not wanted:
+        return
+    spark = df.sparkSession
+    found = df.where(F.col(column).isin(sorted(wanted))).select(F.col(column).cast("date").alias("day")).distinct()
+    for day in wanted - {r["day"] for r in found.collect()}:  # no more rows than wanted days
+        folder = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{column}={day.isoformat()}")
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def add_batch(df: DataFrame, path: str, batch_id: int | str) -> None:
@@ -53,10 +69,11 @@ def add_batch(df: DataFrame, path: str, batch_id: int | str) -> None:
     df.write.mode("overwrite").parquet(f"{path}/{BATCH}={batch_id}")
 
 
-def add_batches(df: DataFrame, path: str) -> None:
-    """``add_batch`` for a frame holding several batches in its ``batch_id`` column."""
+def add_batches(df: DataFrame, path: str, days: Days | None = None) -> None:
+    """``add_batch`` for a frame holding a batch for each of ``days`` in its ``batch_id`` column."""
     (df.hint("rebalance", BATCH).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(BATCH).parquet(path))
+    _clear(df, path, BATCH, days)
 
 
 def read_increments(spark: SparkSession, path: str, keys: list[str], counts: list[str],

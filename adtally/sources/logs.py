@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -126,8 +127,12 @@ def parse_messages(messages: DataFrame, schema: T.StructType, text: str = "value
     )
 
 
-def good(parsed: DataFrame, schema: T.StructType, text: str = "value") -> DataFrame:
-    return filled(parsed.where(~F.col("malformed")).drop("malformed", text), schema)
+def good(parsed: DataFrame, schema: T.StructType, keep_missing: Sequence[str] = (), text: str = "value") -> DataFrame:
+    """Readable records with defaults for missing fields, but for those in ``keep_missing``."""
+    rows = parsed.where(~F.col("malformed")).drop("malformed", text)
+    kept = {f"_{c}": F.col(c) for c in keep_missing}
+    out = filled(rows.withColumns(kept) if kept else rows, schema)
+    return out.withColumns({c: F.col(f"_{c}") for c in keep_missing}).drop(*kept) if kept else out
 
 
 def quarantined(parsed: DataFrame, text: str = "value") -> DataFrame:

@@ -23,6 +23,8 @@ WHAT_IS_THERE = {"availableNow": True}
 
 # Local time of the latest zone runs this far ahead of that of the earliest.
 OFFSET_SPREAD_HOURS = 26
+# Local time of the latest zone, and a day for clocks that are wrong.
+AHEAD_HOURS = 38
 
 Emit = Callable[[DataFrame, int], None]
 
@@ -63,17 +65,21 @@ class Growth:
     """What each micro-batch added to a total table.
 
     A batch is compared with the last earlier state of its keys. That state is
-    kept as a snapshot after every ``snapshot_every`` batches, holding the
-    days that can still change, so a batch reads one snapshot and a limited
-    number of batch folders however long the stream has been running. All
-    paths follow from the batch number; nothing is listed.
+    kept as a snapshot after every ``snapshot_every`` batches, so a batch reads
+    one snapshot and a limited number of batch folders however long the stream
+    has been running. All paths follow from the batch number; nothing is
+    listed.
+
+    A snapshot forgets a day that ``idle_batches`` batches have not touched
+    (four days of 20 s by default, longer than any state lives). What other
+    days the records carry, be they far in the future, has no part in that.
     """
 
     def __init__(self, path: str, keys: list[str], measures: list[str], gross: str = "gross_cnt",
-                 uniq: str = "uniq_cnt", snapshot_every: int = 100, live_days: int = 4) -> None:
+                 uniq: str = "uniq_cnt", snapshot_every: int = 100, idle_batches: int = 17_280) -> None:
         self.path, self.keys, self.measures = path, keys, measures
         self.gross, self.uniq = gross, uniq
-        self.snapshot_every, self.live_days = snapshot_every, live_days
+        self.snapshot_every, self.idle_batches = snapshot_every, idle_batches
 
     def _snapshot_path(self, batch_id: int) -> str:
         return f"{self.path}_snapshots/upto={batch_id}"
@@ -119,9 +125,9 @@ class Growth:
         if (batch_id + 1) % self.snapshot_every:
             return
         state = self._state_after(spark, batch_id)
-        latest = state.agg(F.max("dated")).first()[0]
-        if latest is not None:
-            state = state.where(F.col("dated") >= F.date_sub(F.lit(latest), self.live_days))
+        live = state.groupBy("dated").agg(F.max(tables.BATCH).alias("touched")).where(
+            F.col("touched") > batch_id - self.idle_batches)
+        state = state.join(live.select("dated"), "dated", "left_semi").select(state.columns)
         state.write.mode("overwrite").parquet(self._snapshot_path(batch_id))
 
     def _state_after(self, spark: SparkSession, batch_id: int) -> DataFrame:
@@ -155,8 +161,12 @@ def day_totals(rows: DataFrame, keys: list[str], aggregates: list, idle_hours: i
 
     ``rows`` carry ``scope``, ``timezone`` and ``scope_epoch``. State of a day
     is dropped once the latest local time is ``idle_hours`` past its end;
-    records of a dropped day are ignored and left to the daily job.
+    records of a dropped day are ignored and left to the daily job. So are
+    records from more than ``AHEAD_HOURS`` after now: they cannot be true and
+    would end the days that are still counted.
     """
+    now = F.unix_seconds(F.current_timestamp())
+    rows = rows.where(F.col("scope_epoch") <= now + AHEAD_HOURS * 3600)
     delay = f"{idle_hours + OFFSET_SPREAD_HOURS} hours"
     timed = rows.withColumn("scope_ts", F.timestamp_seconds("scope_epoch")).withWatermark("scope_ts", delay)
     out = timed.groupBy(F.window("scope_ts", "1 day").alias("day"), "scope", "timezone", *keys).agg(*aggregates)

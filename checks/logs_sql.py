@@ -14,11 +14,15 @@ def cut(seconds: str) -> str:
 
 
 def units(amount: str) -> str:
-    return f"CAST(floor(({amount}) * 10000 + 0.5) AS BIGINT)"
+    return f"CAST(({amount}) AS DECIMAL(28,10))"
 
 
 def money_sum(amount: str) -> str:
-    return f"CAST(sum({units(amount)}) AS DOUBLE) / 10000.0::DOUBLE"
+    return rounded(f"sum({units(amount)})")
+
+
+def rounded(total: str) -> str:
+    return f"CAST(round(CAST({total} AS DECIMAL(38,10)), 4) AS DOUBLE)"
 
 
 def pick(values: str, index: str) -> str:
@@ -110,7 +114,7 @@ demand_log AS (
          CASE WHEN n5 <> 4 THEN n5 * 10 ELSE 0 END AS province_geonameid,
          CASE WHEN n5 <> 4 THEN n5 * 100 ELSE 0 END AS city_geonameid, 'make' || (line % 2) AS device_make,
          'model' || (line % 2) AS device_model, {pick("['Android','iOS']", 'line % 2')} AS os, 'carrier' AS carrier,
-         line % 2 AS connection_type, 'u' || (line % 2) AS age_group,
+         {"CAST(line % 2 AS VARCHAR)" if stream else "line % 2"} AS connection_type, 'u' || (line % 2) AS age_group,
          {pick("['m','f']", 'line % 2')} AS gender, {pick("['USD','EUR']", 'line % 2')} AS currency,
          CASE WHEN ord % 2 = 0 THEN 'h' || (ord % 40) WHEN ord % 3 = 0 THEN 'p' || (ord % 40)
               WHEN ord % 5 = 0 THEN 's' || (ord % 40) WHEN ord % 7 = 0 THEN 'd' || (ord % 40)

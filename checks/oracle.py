@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from checks.logs_sql import (BASE, CLICK_LOG, CONVERSION_LOG, EVENT_LOG, IMPRESSION_LOG, cut, day, demand_log,
-                             money_sum, units)
+                             money_sum, rounded, units)
 
 SUMMARY = ["campaign_id", "group_id", "aff_id", "aff_pub", "algorithm"]
 CLICK = ["campaign_id", "group_id", "aff_id", "aff_pub", "country_code", "province_geoname_id", "city_geoname_id",
@@ -167,7 +167,7 @@ def event_fine_cte(scope: str) -> str:
         FROM event_log)"""
     return f"fine_{scope} AS (" + grouped(
         rows, names, "count(*) AS gross_cnt, count(DISTINCT click_id) AS uniq_cnt, "
-        f"CAST(sum({units('order_amount')}) AS BIGINT) AS amount_units") + ")"
+        f"sum({units('order_amount')}) AS amount_units") + ")"
 
 
 def retained(span: int) -> str:
@@ -177,9 +177,9 @@ def retained(span: int) -> str:
 KPI = f"""CASE WHEN kpi = 1 THEN gross_cnt WHEN kpi = 2 THEN uniq_cnt WHEN kpi = 91 THEN {retained(1)}
   WHEN kpi = 92 THEN {retained(2)} WHEN kpi = 97 THEN {retained(7)} WHEN kpi = 915 THEN {retained(15)}
   WHEN kpi = 930 THEN {retained(30)} ELSE 0 END"""
-KPI_X = f"""sign(kpi) * CASE WHEN abs(kpi) = 7 THEN amount_units
-  WHEN abs(kpi) > 800 AND abs(kpi) < 900 THEN CASE WHEN abs(kpi) = 801 + retent_days THEN uniq_cnt * 10000 ELSE 0 END
-  ELSE 10000 * ({KPI.replace('kpi =', 'abs(kpi) =')}) END"""
+KPI_X = f"""CAST(sign(kpi) AS DECIMAL(1,0)) * CASE WHEN abs(kpi) = 7 THEN amount_units
+  WHEN abs(kpi) > 800 AND abs(kpi) < 900 THEN CASE WHEN abs(kpi) = 801 + retent_days THEN uniq_cnt ELSE 0 END
+  ELSE ({KPI.replace('kpi =', 'abs(kpi) =')}) END"""
 KPI_DAY = "CASE WHEN kpi < 10 THEN event_day WHEN kpi > 10 THEN install_day END"
 
 
@@ -198,22 +198,22 @@ for s in ("adx", "gmt"):
     ORACLE[f"event_pvuv_{s}"] = events(s) + keyed(grouped(
         f"(SELECT *, event_day AS dated FROM fine_{s})", names,
         "CAST(sum(gross_cnt) AS BIGINT) AS gross_cnt, CAST(sum(uniq_cnt) AS BIGINT) AS uniq_cnt, "
-        "CAST(sum(amount_units) AS DOUBLE) / 10000.0::DOUBLE AS total_amount"), names)
+        f"{rounded('sum(amount_units)')} AS total_amount"), names)
     ORACLE[f"event_retention_{s}"] = events(s) + keyed(grouped(
         f"(SELECT *, install_day AS dated FROM fine_{s} WHERE retent_days < 30)", names,
         commas([f"CAST(sum({retained(n)}) AS BIGINT) AS {r}" for n, r in zip(SPANS, RETENTION)])), names)
     ORACLE[f"event_kpi_{s}"] = events(s) + keyed(event_kpi(s), keys(s, SUMMARY))
     ORACLE[f"event_kpi_extended_{s}"] = events(s) + keyed(grouped(
         f"(SELECT *, {KPI_DAY} AS dated, {KPI_X} AS value FROM fine_{s})", keys(s, SUMMARY),
-        "CAST(sum(value) AS DOUBLE) / 10000.0::DOUBLE AS kpi_value", "WHERE value <> 0 AND dated IS NOT NULL"),
+        f"{rounded('sum(value)')} AS kpi_value", "WHERE value <> 0 AND dated IS NOT NULL"),
         keys(s, SUMMARY))
     head = (["printf('%.1f', timezone)"] if s == "adx" else [])
     tail = commas(EVENT)
     ORACLE[f"event_records_{s}"] = events(s) + f"""
 SELECT 'counts' AS record_type, concat_ws('<;>', {commas([*head, 'event_day', tail])}, gross_cnt, uniq_cnt,
-       printf('%.4f', amount_units / 10000.0::DOUBLE)) AS value FROM fine_{s}
+       printf('%.4f', {rounded('amount_units')})) AS value FROM fine_{s}
 UNION ALL
-SELECT 'kpi', concat_ws('<;>', {commas([*head, KPI_DAY, tail])}, printf('%.4f', ({KPI_X}) / 10000.0::DOUBLE))
+SELECT 'kpi', concat_ws('<;>', {commas([*head, KPI_DAY, tail])}, printf('%.4f', {rounded(KPI_X)}))
 FROM fine_{s} WHERE ({KPI_X}) <> 0 AND kpi <> 10
 UNION ALL
 SELECT 'retention', concat_ws('<;>', {commas([*head, 'install_day', tail])}, {commas([retained(n) for n in SPANS])})
@@ -427,7 +427,7 @@ def stream_event_old(scope: str) -> str:
         CAST(sum({event.format('uniq')}) AS BIGINT) AS uniq_cnt,
         CAST(sum(shown_kpi) AS BIGINT) AS kpi_event_cnt,
         {commas([f"CAST(sum({conv.format(r)}) AS BIGINT) AS {r}" for r in RETENTION])},
-        CAST(sum({event.format('amount')}) AS DOUBLE) / 10000.0::DOUBLE AS total_amount
+        {rounded(f"sum({event.format('amount')})")} AS total_amount
         FROM ({shown})
         WHERE role = 'event' OR shown_kpi <> 0 OR in30_retention_cnt <> 0
         GROUP BY scope, tz, dated, {commas(EVENT)}"""
@@ -490,8 +490,8 @@ ORACLE["conv_result_records"] = CONVERSIONS + both_scopes(conv_messages) + "\nUN
     INVALID, CONV_TAIL)
 ORACLE["demand_result_records"] = STREAM_DEMANDS + messages(
     "gmt", grouped(f"(SELECT *, {dated('epoch', 'gmt')} FROM {KIND})", ["kind", "dated", *SUPPLY],
-                   f"count(*) AS gross_cnt, {money_sum('revenue')} AS revenue"),
-    SUPPLY, ["gross_cnt", "revenue"], "kind || '<;>' || ")
+                   f"count(*) AS gross_cnt, 0 AS uniq_cnt, {money_sum('revenue')} AS revenue"),
+    SUPPLY, ["gross_cnt", "uniq_cnt", "revenue"], "kind || '<;>' || ")
 
 # ---------------------------------------------------------- written and read back
 

@@ -1,5 +1,6 @@
 import datetime as dt
 import hashlib
+from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
@@ -128,8 +129,8 @@ def test_kpi(spark, code, days, out):
     (-91, 0, -4.0), (801, 0, 4.0), (803, 2, 4.0), (803, 3, 0), (-803, 2, -4.0), (900, 99, 0), (800, -1, 0),
 ])
 def test_kpi_extended(spark, code, days, out):
-    units = measures.kpi_amount_units(F.lit(code), F.lit(days), F.lit(9), F.lit(4), F.lit(12500))
-    assert one(spark, units) == round(out * 10000)
+    units = measures.kpi_amount_units(F.lit(code), F.lit(days), F.lit(9), F.lit(4), F.lit(1.25))
+    assert float(one(spark, units)) == out
 
 
 def test_kpi_day(spark):
@@ -151,10 +152,15 @@ def test_money_is_order_independent(spark):
     amounts = [0.1, 0.2, 0.3, 1e6, -1e6, 12.3456]
     for order in (amounts, amounts[::-1]):
         df = spark.createDataFrame([(a,) for a in order], "a double")
-        assert df.select(measures.money(F.sum(measures.money_units("a"))).alias("v")).first()["v"] == 12.9456
+        assert df.select(measures.money(F.sum(measures.money_units("a"))).alias("v")).first()["v"] == Decimal("12.9456")
     assert one(spark, measures.money_units("a"), "a double", (None,)) == 0
 
 
+def test_small_amounts_add_up(spark):
+    total = spark.range(100_000).select(measures.money(F.sum(measures.money_units(F.lit(0.00004)))).alias("v"))
+    assert total.first()["v"] == 4
+
+
 def test_sql_functions_match_the_columns(spark):
     sqlnames.register(spark)
     row = spark.sql("""

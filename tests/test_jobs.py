@@ -25,7 +25,7 @@ def old_new(frame):
 def test_merges(old_new):
     old, new = old_new
     assert values(merge.replace(old, new, KEYS)) == [(D1, "a", 1, 0.1), (D1, "b", 3, 0.1), (D2, "c", 4, 0.4)]
-    added = merge.increment(old, new, KEYS, ["n"], ["m"])
+    added = merge.increment(old, new, KEYS, ["n"], ["m"]).withColumn("m", F.col("m").cast("double"))
     assert values(added) == [(D1, "a", 1, 0.1), (D1, "b", 8, 0.3), (D2, "c", 4, 0.4)]
     assert values(merge.greatest(old, new, KEYS, ["n"]), "k", "n") == [("a", 1), ("b", 5), ("c", 4)]
 
@@ -139,6 +139,19 @@ def test_jobs_write_the_wanted_days(spark, sf, written):
     assert gmt.agg(F.sum("gross_cnt")).first()[0] == expected
 
 
+@pytest.mark.parametrize("days", [[D1], [D1, D2]])
+def test_a_day_emptied_by_a_rerun_is_cleared(spark, frame, tmp_path, days):
+    path, batches = str(tmp_path / "t"), str(tmp_path / "b")
+    rows = frame([(D1, "a", 1), (D2, "b", 2)], "dated date, name string, n long")
+    added = rows.withColumnRenamed("dated", tables.BATCH)
+    tables.replace_days(rows, path, [D1, D2])
+    tables.add_batches(added, batches, [D1, D2])
+    tables.replace_days(rows.where(F.col("dated") != F.lit(D1)).where(F.col("dated").isin(days)), path, days)
+    tables.add_batches(added.where(F.col(tables.BATCH) != F.lit(D1)).where(F.col(tables.BATCH).isin(days)), batches, days)
+    assert values(spark.read.parquet(path), "name") == [("b",)]
+    assert values(spark.read.parquet(batches), "name") == [("b",)]
+
+
 def test_detail_adds_up_to_the_wide_summary(spark, written, tmp_path):
     report = str(tmp_path / "report")
     audit.reconciliation(spark, written, report, DAYS)

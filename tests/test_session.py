@@ -11,7 +11,7 @@ from tests.conftest import values
 def test_partitions_follow_the_input():
     assert session.partitions_for(0, 8) == 8
     assert session.partitions_for(10 * 2**40, 1000) == 40960
-    assert session.partitions_for(100 * 2**40, 1000) == session.MOST_PARTITIONS
+    assert session.partitions_for(100 * 2**40, 1000) == 409600
 
 
 def test_work_dir_lies_in_the_shared_folder(spark):

@@ -110,14 +110,54 @@ def test_growth_is_capped_at_the_records_of_the_batch(spark, frame, tmp_path):
     assert values(growth.of(spark, 1)) == [(day, 2, 2)]
 
 
-def test_snapshots_forget_days_that_cannot_change(spark, frame, tmp_path):
+def test_growth_outlives_a_record_from_the_future(spark, frame, tmp_path):
     path = str(tmp_path / "t")
     layout = "dated date, gross_cnt long, uniq_cnt long"
-    old, new = dt.date(2024, 1, 1), dt.date(2024, 1, 10)
-    tables.add_batch(frame([(old, 1, 1), (new, 1, 1)], layout), path, 0)
+    day, future = dt.date(2024, 1, 1), dt.date(2099, 1, 1)
     growth = runner.Growth(path, ["dated"], ["gross_cnt", "uniq_cnt"], snapshot_every=1)
-    growth.keep(spark, 0)
-    assert values(spark.read.parquet(f"{path}_snapshots/upto=0"), "dated") == [(new,)]
+    grown = []
+    for batch_id, rows in enumerate([[(day, 100, 9)], [(future, 1, 1)], [(day, 101, 9)]]):
+        tables.add_batch(frame(rows, layout), path, batch_id)
+        grown.append(values(growth.of(spark, batch_id)))
+        growth.keep(spark, batch_id)
+    assert grown == [[(day, 100, 9)], [(future, 1, 1)], [(day, 1, 0)]]
+
+
+def test_snapshots_forget_days_untouched_for_long(spark, frame, tmp_path):
+    path = str(tmp_path / "t")
+    layout = "dated date, gross_cnt long, uniq_cnt long"
+    old, new = dt.date(2024, 1, 1), dt.date(2024, 1, 10)
+    growth = runner.Growth(path, ["dated"], ["gross_cnt", "uniq_cnt"], snapshot_every=1, idle_batches=2)
+    for batch_id, day in enumerate([old, new, new]):
+        tables.add_batch(frame([(day, 1, 1)], layout), path, batch_id)
+        growth.keep(spark, batch_id)
+    assert values(spark.read.parquet(f"{path}_snapshots/upto=1"), "dated") == [(old,), (new,)]
+    assert values(spark.read.parquet(f"{path}_snapshots/upto=2"), "dated") == [(new,)]
+
+
+def test_records_from_the_future_end_no_day(spark, feed):
+    feed.send(click_record("a"))
+    feed.send(click_record("a", at=4_000_000_000), click_record("b"))
+    feed.send(click_record("c"))
+    run(feed, "click-unique")
+    last = tables.read_latest(spark, feed.path("out"), KEYS, ["gross_cnt", "uniq_cnt"])
+    assert values(last, "scope", "gross_cnt", "uniq_cnt") == [("adx", 3, 3), ("gmt", 3, 3)]
+
+
+@pytest.mark.parametrize("record, key", [
+    ({"idfa": "i"}, "i"), ({"gaid": "", "idfa": "i"}, ""), ({"gaid": "{gaid}", "idfa": "i"}, "i"),
+    ({"gaid": "g", "idfa": "i"}, "g"), ({"gaid": "{x}", "idfa": "{y}"}, ""), ({}, "")])
+def test_watched_advertising_id(spark, feed, record, key):
+    feed.send({"clk_timestamp": MIDNIGHT, "ip": "1.1.1.1", **record})
+    run(feed, "click-watch")
+    seen = spark.read.parquet(feed.path("out")).where("kind = '10002'").select("key").distinct()
+    assert values(seen) == [(key,)]
+
+
+def test_a_stream_without_messages_is_refused_at_once():
+    for job in ("event-ids", "click-watch"):
+        with pytest.raises(ValueError):
+            streams.publisher(job, "anywhere", lambda df: None)
 
 
 def test_state_of_old_days_is_dropped(spark, feed):
