@@ -53,24 +53,25 @@ def ip_profile(conversions: DataFrame) -> DataFrame:
 def repeated_invalid(conversions: DataFrame) -> DataFrame:
     """Click times of invalid conversions that follow an earlier one of the same ip and reason.
 
-    Equal rows collapse first. What is left of one ip and reason is at most
-    one row per second of the period, whatever its share of the log, so the
-    window below stays small.
+    The first time of an ip and reason is a grouped minimum that is joined
+    back, so no task holds all the times of one ip: a blank ip may have one
+    for every second of the whole period, and its join can be split.
     """
-    seconds = conversions.where("invalid_type != ''").groupBy("ip", "invalid_type", "clk_timestamp").agg(
-        F.count("*").alias("cnt"))
-    first = F.min("clk_timestamp").over(Window.partitionBy("ip", "invalid_type"))
-    later = seconds.withColumn("first", first).where(F.col("clk_timestamp") > F.col("first"))
+    invalid = conversions.where("invalid_type != ''")
+    first = invalid.groupBy("ip", "invalid_type").agg(F.min("clk_timestamp").alias("first"))
+    seconds = invalid.select("ip", "invalid_type", "clk_timestamp").distinct()
+    later = seconds.join(first, ["ip", "invalid_type"]).where(F.col("clk_timestamp") > F.col("first"))
     return later.select("ip", "clk_timestamp").distinct()
 
 
 def repeated_click_times(conversions: DataFrame) -> DataFrame:
-    """One line per ip: its suspicious click times in order.
+    """One line per ip and day: its suspicious click times in order.
 
-    The array holds distinct seconds, so its length is bounded by the period.
+    The array holds distinct seconds of one day, 86,400 at most.
     """
     times = F.array_sort(F.collect_list("clk_timestamp")).cast("array<string>")
-    return repeated_invalid(conversions).groupBy("ip").agg(F.array_join(times, ",").alias("clk_times"))
+    return repeated_invalid(conversions).groupBy("ip", tm.utc_day("clk_timestamp").alias("dated")).agg(
+        F.array_join(times, ",").alias("clk_times"))
 
 
 def clicks_around(probes: DataFrame, clicks: DataFrame, key: str, radius: int) -> DataFrame:

@@ -317,8 +317,9 @@ repeated AS (
     SELECT *, row_number() OVER (PARTITION BY ip, invalid_type ORDER BY clk_timestamp) AS rn FROM seconds)
   WHERE rn > 1)"""
 ORACLE["fraud_ip_click_times"] = with_(BASE, CONVERSION_LOG, REPEATED) + """
-SELECT ip, string_agg(CAST(clk_timestamp AS VARCHAR), ',' ORDER BY clk_timestamp) AS clk_times
-FROM repeated GROUP BY ip"""
+SELECT ip, CAST(DATE '1970-01-01' + CAST(clk_timestamp // 86400 AS INTEGER) AS VARCHAR) AS dated,
+       string_agg(CAST(clk_timestamp AS VARCHAR), ',' ORDER BY clk_timestamp) AS clk_times
+FROM repeated GROUP BY ALL"""
 ORACLE["fraud_click_radius"] = with_(BASE, CONVERSION_LOG, CLICK_LOG, REPEATED) + """
 SELECT r.ip, r.clk_timestamp, count(c.ip) AS click_cnt
 FROM repeated r LEFT JOIN click_log c

@@ -37,7 +37,9 @@ def test_first_invalid_conversion_does_not_count(frame):
     rows = [("a", "E001", 5), ("a", "E001", 5), ("a", "E002", 9), ("b", "E001", 7), ("b", "E001", 3), ("b", "", 1)]
     assert set(values(fraud.repeated_invalid(frame(rows, CONV)))) == repeated(rows) == {("b", 7)}
     more = rows + [("b", "E001", 11), ("b", "E002", 3)]
-    assert values(fraud.repeated_click_times(frame(more, CONV))) == [("b", "7,11")]
+    assert values(fraud.repeated_click_times(frame(more, CONV)), "ip", "clk_times") == [("b", "7,11")]
+    days = more + [("b", "E001", 86400 + 5)]
+    assert values(fraud.repeated_click_times(frame(days, CONV)), "ip", "clk_times") == [("b", "7,11"), ("b", "86405")]
 
 
 @pytest.mark.parametrize("radius", [1, 10, 45, 90])
@@ -66,7 +68,8 @@ def test_click_radius_edges(frame):
 
 
 def test_click_radius_makes_no_pairs(frame):
-    got = fraud.clicks_around_invalid(frame([("a", "E001", 0)], CONV), frame([("a", 1)], CLICK))
+    probes = frame([("a", 0)], "ip string, clk_timestamp int")
+    got = fraud.clicks_around(probes, frame([("a", 1)], CLICK), "ip", 600)
     plan = got._jdf.queryExecution().optimizedPlan().toString()
     assert "Join Inner" not in plan and "Cartesian" not in plan and plan.count("Join") == 1
 
