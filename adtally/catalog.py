@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,7 +15,7 @@ from adtally.functions import time as tm
 from adtally.operators import (click, conversion, demand, event, fraud, impression, lists, merge, reconcile,
                                records)
 from adtally.operators.rollup import SCOPE
-from adtally.session import configure, work_dir
+from adtally.session import configure, stage, work_dir
 from adtally.sinks import tables
 from adtally.sources import logs, sample
 from adtally.streaming import rollups, runner
@@ -585,6 +586,33 @@ def stream_demand(spark, sf):
                           ["gross_cnt", "uniq_cnt", "cost"], "stream_demand"))
 
 
+@query
+def stream_growth(spark, sf):
+    """What three batches of running totals publish, added up.
+
+    The second batch is delivered twice, a snapshot falls between the second
+    and the third, and the first holds a day far in the future.
+    """
+    path = work_dir(spark, "stream_growth")
+    projected = click.project(_clicks(spark, sf))
+    keys = grains.keys("gmt", grains.CLICK)
+    growth = runner.Growth(path, keys, ["gross_cnt", "uniq_cnt"], snapshot_every=2)
+    published = []
+    for batch_id, hours in enumerate((8, 16, 24)):
+        until = projected.where(F.pmod(tm.hour_index("clk_timestamp"), F.lit(24)) < hours)
+        totals = click.daily(until, "gmt").drop("unionk")
+        if batch_id == 0:
+            future = totals.agg(*[F.max(c).alias(c) for c in totals.columns])
+            totals = totals.unionByName(future.withColumn("dated", F.to_date(F.lit("2099-01-01"))))
+        for _ in range(2 if batch_id == 1 else 1):
+            tables.add_batch(totals, path, batch_id)
+            added = stage(spark, growth.of(spark, batch_id), "stream_growth-added")
+            growth.keep(spark, batch_id)
+        published.append(added)
+    return reduce(DataFrame.unionByName, published).where("dated < date '2099-01-01'").groupBy(*keys).agg(
+        *[F.sum(c).alias(c) for c in ("gross_cnt", "uniq_cnt")])
+
+
 @query
 def stream_supply(spark, sf):
     counts = _increments(spark, _demand_stream(spark, sf), rollups.supply, "stream_supply")

@@ -459,6 +459,8 @@ ORACLE["demand_daily_by_scope"] = DEMANDS + both_scopes(lambda s: scoped(
     f"count(*) AS clks, count(DISTINCT uv) AS uniq_clks, {money_sum('cost')} AS cost"))
 
 
+ORACLE["stream_growth"] = f"SELECT * EXCLUDE (unionk) FROM ({ORACLE['click_daily_gmt']})"
+
 # ---------------------------------------------------------- result messages
 
 KEY_FORMATS = {"timezone": "%.1f", "income": "%.2f", "payout": "%.2f"}
