@@ -50,11 +50,15 @@ def _events(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _clicks(spark: SparkSession, sf: str) -> DataFrame:
-    return sample.click_log(_events(spark, sf))
+    return logs.filled(sample.click_log(_events(spark, sf)), schemas.CLICK)
 
 
 def _conversions(spark: SparkSession, sf: str) -> DataFrame:
-    return sample.conversion_log(_events(spark, sf))
+    return logs.filled(sample.conversion_log(_events(spark, sf)), schemas.CONVERSION)
+
+
+def _event_log(spark: SparkSession, sf: str) -> DataFrame:
+    return logs.filled(sample.event_log(_events(spark, sf)), schemas.EVENT_WITH_IDS)
 
 
 def _unique_conversions(spark: SparkSession, sf: str) -> DataFrame:
@@ -62,7 +66,7 @@ def _unique_conversions(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _fine_events(spark: SparkSession, sf: str, scope: str) -> DataFrame:
-    return event.fine(event.project(sample.event_log(_events(spark, sf))), scope)
+    return event.fine(event.project(_event_log(spark, sf)), scope)
 
 
 def _impressions(spark: SparkSession, sf: str) -> DataFrame:
@@ -117,6 +121,15 @@ def uniq_approx(spark, sf):
         (error <= F.greatest(F.lit(1.0), F.col("exact_uniq_cnt") * 0.049)).cast("int").alias("within_bound"))
 
 
+@query
+def uniq_reach(spark, sf):
+    """Visitors of an affiliate over all days, exact and as the daily sketches estimate them."""
+    projected = click.project(_clicks(spark, sf))
+    sketched = click.merge_sketches(click.approx_daily(projected, "gmt"), ["aff_id"])
+    exact = projected.groupBy("aff_id").agg(F.count_distinct("visitor").alias("exact_uniq_cnt"))
+    return sketched.join(exact, "aff_id").select("aff_id", "gross_cnt", "exact_uniq_cnt", "uniq_cnt")
+
+
 @query
 def local_day_three_file_window(spark, sf):
     """Which UTC file day the records of each local day lie in."""
@@ -133,7 +146,7 @@ def local_day_three_file_window(spark, sf):
 
 @query
 def group_list_filter(spark, sf):
-    listed = sample.group_list(sample.table(spark, sf, "part"))
+    listed = sample.group_list(sample.table(spark, sf, "supplier"))
     kept = lists.keep_listed(_clicks(spark, sf), listed)
     return kept.select("group_id", "clk_timestamp", "campaign_id", "ip", "ua")
 
@@ -223,7 +236,7 @@ def event_records(spark, sf, scope):
 
 @query
 def event_fine_by_scope(spark, sf):
-    return _zoned(event.fine_by_scope(sample.event_log(_events(spark, sf))))
+    return _zoned(event.fine_by_scope(_event_log(spark, sf)))
 
 
 # ------------------------------------------------- impressions, demand, supply
@@ -289,8 +302,12 @@ def _two_runs(spark, sf):
 
 @query
 def upsert_replace(spark, sf):
-    old, new = _two_runs(spark, sf)
-    return merge.replace(old, new.where("gross_clk_cnt > 1"), KEYS)
+    """Keys of the first half of a day stay where the second half has none."""
+    projected = _clicks(spark, sf)
+    early = F.pmod(tm.hour_index("clk_timestamp"), F.lit(24)) < 12
+    old, new = (click.summary(click.daily(click.project(projected.where(part)), "gmt"), "gmt").drop("unionk")
+                for part in (early, ~early))
+    return merge.replace(old, new, KEYS)
 
 
 @query
@@ -331,7 +348,10 @@ def reconcile_click(spark, sf, scope):
 
 
 def wide_frame(spark, sf, scope):
-    return merge.wide_summary(_summaries(spark, sf, scope), scope)
+    """The wide summary as a stored table, damaged on every seventh day of the month."""
+    wide = stage(spark, merge.wide_summary(_summaries(spark, sf, scope), scope), f"wide-{scope}")
+    wrong = (F.day("dated") % 7 == 0).cast("int")
+    return wide.withColumns({c: F.col(c) + wrong for c in ("gross_clk_cnt", "valid_conv_cnt", "kpi_event_cnt")})
 
 
 @per_scope
@@ -374,7 +394,7 @@ def fraud_hourly_click_aff(spark, sf):
 
 
 def _event_records(spark, sf):
-    return sample.event_log(_events(spark, sf)).withColumnRenamed("event_timestamp", "clk_timestamp")
+    return _event_log(spark, sf).withColumnRenamed("event_timestamp", "clk_timestamp")
 
 
 @query

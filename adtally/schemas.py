@@ -37,18 +37,18 @@ CLICK = _struct(
 CONVERSION = _struct(
     "click_id string, clk_timestamp int, conv_timestamp int, timezone float, campaign_id int, group_id int, "
     "aff_id int, aff_pub string, income float, income_currency string, payout float, payout_currency string, "
-    "algorithm int, invalid_type string, forwarded int, net_profit float, tac float, ip string, gaid string, "
+    "algorithm int, invalid_type string, forwarded int, net_profit double, tac double, ip string, gaid string, "
     "idfa string, carrier string")
 
 EVENT = _struct(
     "timezone float, campaign_id int, group_id int, aff_id int, aff_pub string, event_value int, "
-    "install_timestamp int, event_timestamp int, order_amount float, order_currency string, algorithm int, kpi int, "
+    "install_timestamp int, event_timestamp int, order_amount double, order_currency string, algorithm int, kpi int, "
     "click_id string")
 
 # The earlier event record names the visitor by its identifiers.
 EVENT_WITH_IDS = _struct(
     "timezone float, campaign_id int, group_id int, aff_id int, aff_pub string, event_value int, "
-    "install_timestamp int, event_timestamp int, order_amount float, order_currency string, algorithm int, kpi int, "
+    "install_timestamp int, event_timestamp int, order_amount double, order_currency string, algorithm int, kpi int, "
     "ip string, ua string, gaid string, idfa string, adid string")
 
 IMPRESSION = _struct(

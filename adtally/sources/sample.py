@@ -2,7 +2,9 @@
 
 ``events`` stands for the click, conversion, event and impression logs,
 ``lineitem`` with ``supplier`` and ``part`` for the demand log. All columns are
-computed row by row from the tables.
+computed row by row from the tables. Campaigns, groups, affiliates, publishers,
+ips and device ids become more as the tables grow; a third of the traffic comes
+from four hot ips and one hot affiliate, and some fields are absent.
 """
 
 from __future__ import annotations
@@ -22,6 +24,7 @@ OFFSETS = [0.0, 5.5, 5.0, -4.0, -5.0, 8.0, -7.0, -8.0, 3.0, 1.0]
 KPI_CODES = [0, 1, 2, 7, 91, 92, 97, 915, 930, -1, 803]
 # First day of the demand log.
 DEMAND_START = 1522540800
+DEMAND_DAYS = 30
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -49,7 +52,7 @@ def k() -> Column:
 
 
 def j() -> Column:
-    """A coarser number than ``k``, so that grains hold more than one record."""
+    """A coarser number than ``k``, for what does not grow."""
     return F.col("k") % 12
 
 
@@ -66,17 +69,22 @@ def base(events: DataFrame) -> DataFrame:
 def _common() -> dict[str, Column]:
     return {
         "timezone": _pick(OFFSETS, user() % 10),
-        "campaign_id": j() % 4, "group_id": j() % 3, "aff_id": j() % 2, "aff_pub": _text("pub", j() % 3),
+        "campaign_id": _per(user(), 8), "group_id": _per(user(), 40) * 3 + j() % 3,
+        "aff_id": F.when(k() % 3 == 0, 1).otherwise(_per(user(), 10)),
+        "aff_pub": _absent(k() % 25 == 3, _text("pub", j() % 3)),
         "algorithm": j() % 2,
     }
 
 
 def _ids() -> dict[str, Column]:
     return {
-        "ip": _text("10.0.0.", user() % 4),
-        "ua": _text("ua", k() % 3),
-        "gaid": F.when(user() % 4 == 0, "{gaid}").when(user() % 2 == 0, _text("g", user() % 6)).otherwise(""),
-        "idfa": F.when(user() % 4 != 2, _text("i", user() % 5)).otherwise(""),
+        "ip": F.when(k() % 3 == 0, _text("10.0.0.", user() % 4)).otherwise(
+            F.concat_ws(".", F.lit("10"), 1 + user() % 200, _per(F.col("event_id"), 250) % 250,
+                        F.col("event_id") % 250)),
+        "ua": _absent(k() % 19 == 5, _text("ua", k() % 3)),
+        "gaid": F.when(user() % 4 == 0, "{gaid}").when(
+            user() % 2 == 0, _text("g", user() * 100 + k())).otherwise(_absent(user() % 8 == 3, F.lit(""))),
+        "idfa": F.when(user() % 4 == 2, "").when(k() % 3 < 2, "i0").otherwise(_text("i", user())),
         "adid": F.lit(""),
     }
 
@@ -94,6 +102,15 @@ def _install() -> Column:
     return F.col("epoch") - days * 86400 - (k() % 3) * 10000
 
 
+def _per(number: Column, size: int) -> Column:
+    """Which group of ``size`` numbers in a row a number belongs to."""
+    return F.floor(number / size)
+
+
+def _absent(where: Column, value: Column) -> Column:
+    return F.when(~where, value)
+
+
 def _select(df: DataFrame, columns: dict[str, Column]) -> DataFrame:
     return df.select(*[c.alias(n) for n, c in columns.items()])
 
@@ -104,7 +121,8 @@ def click_log(events: DataFrame) -> DataFrame:
         "clk_timestamp": F.col("epoch"),
         "country_code": _pick(["IN", "US", "SG", "CN"], j() % 4),
         "province_geoname_id": 1000 + j() % 6, "city_geoname_id": 2000 + j() % 6,
-        "os": _pick(["Android", "iOS"], j() % 2), "device_type": _pick(["Mobile", "Tablet"], j() % 2),
+        "os": _absent(k() % 23 == 7, _pick(["Android", "iOS"], j() % 2)),
+        "device_type": _pick(["Mobile", "Tablet"], j() % 2),
         "device_make": _text("make", j() % 4), "device_model": _text("model", j() % 6),
     })
 
@@ -117,7 +135,8 @@ def conversion_log(events: DataFrame) -> DataFrame:
         "income": (k() % 4) * F.lit(0.5), "income_currency": _pick(["USD", "EUR"], k() % 2),
         "payout": (k() % 3) * F.lit(0.25), "payout_currency": _pick(["USD", "INR"], k() % 2),
         "invalid_type": _invalid_type(), "forwarded": k() % 2,
-        "net_profit": F.col("value") / 10, "tac": F.col("value") / 20,
+        "net_profit": F.col("value") / 10,
+        "tac": F.when(k() % 5 == 0, k() / F.lit(1000000.0)).otherwise(F.col("value") / 20),
         **{c: ids[c] for c in ("ip", "gaid", "idfa")},
         "carrier": _text("carrier", k() % 3),
     })
@@ -152,7 +171,7 @@ def impression_log(events: DataFrame) -> DataFrame:
     )
     return _select(base(events), {
         "timezone": _pick(OFFSETS, user() % 10), "request_unix": F.col("epoch"),
-        "publisher_id": j() % 5, "inventory_id": j() % 6, "plcmt_id": j() % 3, "campaign_id": j() % 4,
+        "publisher_id": _per(user(), 6), "inventory_id": j() % 6, "plcmt_id": j() % 3, "campaign_id": j() % 4,
         "delivery_id": j() % 4, "ad_id": j() % 6,
         "option": F.when(k() % 13 != 0, option),
     })
@@ -170,23 +189,23 @@ def demand_log(lineitem: DataFrame, supplier: DataFrame, part: DataFrame) -> Dat
         .join(part.select(F.col("p_partkey").alias("l_partkey"), "p_size"), "l_partkey")
     )
     ship_day = F.floor(_epoch("l_shipdate") / 86400)
-    epoch = F.lit(DEMAND_START) + (ship_day % 5) * 86400 + (order * 7919 + line * 3571) % 86400
+    epoch = F.lit(DEMAND_START) + (ship_day % DEMAND_DAYS) * 86400 + (order * 7919 + line * 3571) % 86400
     app_domain = F.when(F.col("l_partkey") % 5 == 0, "").otherwise(_text("app", line % 2))
     hashed = {
-        "didsha1": F.when(order % 5 == 0, _text("s", order % 40)).otherwise(""),
-        "didmd5": F.when(order % 7 == 0, _text("d", order % 40)),
-        "dpidsha1": F.when(order % 2 == 0, _text("h", order % 40)).otherwise(""),
-        "dpidmd5": F.when(order % 3 == 0, _text("p", order % 40)),
+        "didsha1": F.when(order % 5 == 0, _text("s", order)).otherwise(""),
+        "didmd5": F.when(order % 7 == 0, _text("d", order)),
+        "dpidsha1": F.when(order % 2 == 0, _text("h", order)).otherwise(""),
+        "dpidmd5": F.when(order % 3 == 0, _text("p", order)),
         "macsha1": F.lit(""),
-        "macmd5": F.when(order % 11 == 0, _text("m", order % 40)),
+        "macmd5": F.when(order % 11 == 0, _text("m", order)),
     }
     return _select(rows, {
-        "tz": _pick(OFFSETS, nation % 5), "demand": F.col("l_returnflag"), "cid": _text("b", F.col("p_size") % 4),
+        "tz": _pick(OFFSETS, nation % 5), "demand": F.col("l_returnflag"), "cid": _text("b", F.col("p_size") % 10),
         "crid": _text("cr", line % 2), "dcost": F.col("l_extendedprice"),
         "dcostcur": _pick(["USD", "EUR"], line % 2),
         "srevenue": F.when(line == 7, "n/a").otherwise(
             F.concat(F.col("l_quantity").cast("int").cast("string"), F.lit(".25"))),
-        "srevenuecur": _pick(["USD", "EUR"], line % 2), "supply": _text("s", F.col("l_suppkey") % 3),
+        "srevenuecur": _pick(["USD", "EUR"], line % 2), "supply": _text("s", _per(F.col("l_suppkey"), 25)),
         "tagid": _text("t", line % 2), "uagrp": _text("u", line % 2), "clickts": epoch, "pixelts": epoch,
         "site": F.struct(
             F.lit("site").alias("domain"), F.struct(F.lit("sitepub").alias("domain")).alias("publisher")),
@@ -197,7 +216,7 @@ def demand_log(lineitem: DataFrame, supplier: DataFrame, part: DataFrame) -> Dat
             _text("C", nation % 5).alias("cc"), (nation % 5 * 10).alias("pgeonid"),
             (nation % 5 * 100).alias("cgeonid"))),
         "device": F.struct(
-            _text("10.0.1.", order % 20).alias("ip"), _text("ua", order % 3).alias("ua"), F.lit("hw").alias("hwv"),
+            F.concat_ws(".", F.lit("10.0"), _per(order, 250), order % 250).alias("ip"), _text("ua", order % 3).alias("ua"), F.lit("hw").alias("hwv"),
             _text("make", line % 2).alias("make"), _text("model", line % 2).alias("model"),
             _pick(["Android", "iOS"], line % 2).alias("os"), F.lit("carrier").alias("carrier"),
             (line % 2).alias("connectiontype"), *[c.alias(n) for n, c in hashed.items()]),
@@ -205,9 +224,9 @@ def demand_log(lineitem: DataFrame, supplier: DataFrame, part: DataFrame) -> Dat
     })
 
 
-def group_list(part: DataFrame) -> DataFrame:
-    """A lookup list of group ids: those some part of size 1 belongs to."""
-    return part.where("p_size = 1").select((F.col("p_partkey") % 2).cast("string").alias("group_id")).distinct()
+def group_list(supplier: DataFrame) -> DataFrame:
+    """A lookup list of group ids: twice the nations that have a supplier, so many even numbers."""
+    return supplier.select((F.col("s_nationkey") * 2).cast("string").alias("group_id")).distinct()
 
 
 def as_messages(log: DataFrame, topic: Column | None = None) -> DataFrame:

@@ -102,7 +102,7 @@ GROUP BY timezone, d"""
 
 ORACLE["group_list_filter"] = CLICKS + """
 SELECT group_id, clk_timestamp, campaign_id, ip, ua FROM click_log
-WHERE group_id IN (SELECT p_partkey % 2 FROM part WHERE p_size = 1)"""
+WHERE group_id IN (SELECT s_nationkey * 2 FROM supplier)"""
 
 # -------------------------------------------------------------- conversions
 
@@ -246,7 +246,12 @@ def wide_cte(scope: str) -> str:
 wide AS (
   SELECT {commas(names)}, {commas([f'coalesce({c}, 0) AS {c}' for c in WIDE])},
          coalesce(net_profit, 0.0) AS net_profit, coalesce(tac, 0.0) AS tac
-  FROM clk FULL JOIN cnv USING ({commas(names)}) FULL JOIN kp USING ({commas(names)}))"""
+  FROM clk FULL JOIN cnv USING ({commas(names)}) FULL JOIN kp USING ({commas(names)})),
+damaged AS (
+  SELECT *, 0 AS bad FROM wide WHERE day(CAST(dated AS DATE)) % 7 <> 0
+  UNION ALL
+  SELECT * REPLACE (gross_clk_cnt + 1 AS gross_clk_cnt, valid_conv_cnt + 1 AS valid_conv_cnt,
+                    kpi_event_cnt + 1 AS kpi_event_cnt), 1 FROM wide WHERE day(CAST(dated AS DATE)) % 7 = 0)"""
 
 
 def everything(scope: str) -> str:
@@ -260,7 +265,7 @@ def checked(scope: str, detail: str, pairs: list[tuple[str, str, str]], join: st
     flags = commas([f"coalesce(CAST(d_{f} = s_{f} AS BIGINT), 0) AS {f}_flag" for f, _, _ in pairs])
     return everything(scope) + f"""SELECT {commas(by)}, {flags}
 FROM (SELECT {commas(by)}, {left} FROM ({detail}) GROUP BY {commas(by)})
-{join} (SELECT {commas(by)}, {right} FROM wide GROUP BY {commas(by)}) USING ({commas(by)})"""
+{join} (SELECT {commas(by)}, {right} FROM damaged GROUP BY {commas(by)}) USING ({commas(by)})"""
 
 
 CONV_PAIRS = [(f"{m}_conv", f"{m}_cnt", f"{m}_conv_cnt") for m in ("gross", "valid", "notify")]
@@ -276,11 +281,13 @@ RUNS = with_(
     BASE, CLICK_LOG,
     "early_log AS (SELECT * FROM click_log WHERE (clk_timestamp // 3600) % 24 < 12)",
     "older AS (" + click_coarse("gmt", f"(SELECT *, {dated('clk_timestamp', 'gmt')} FROM early_log)") + ")",
-    "newer AS (" + click_coarse("gmt") + ")")
+    "newer AS (" + click_coarse("gmt") + ")",
+    "late_log AS (SELECT * FROM click_log WHERE (clk_timestamp // 3600) % 24 >= 12)",
+    "later AS (" + click_coarse("gmt", f"(SELECT *, {dated('clk_timestamp', 'gmt')} FROM late_log)") + ")")
 GMT_KEYS = keys("gmt", SUMMARY)
 ORACLE["upsert_replace"] = RUNS + f"""SELECT * FROM older o WHERE NOT EXISTS (
-  SELECT 1 FROM newer n WHERE n.gross_clk_cnt > 1 AND {' AND '.join(f'n.{k} = o.{k}' for k in GMT_KEYS)})
-UNION ALL SELECT * FROM newer WHERE gross_clk_cnt > 1"""
+  SELECT 1 FROM later n WHERE {' AND '.join(f'n.{k} = o.{k}' for k in GMT_KEYS)})
+UNION ALL SELECT * FROM later"""
 BOTH = "(SELECT * FROM older UNION ALL SELECT * FROM newer)"
 ORACLE["upsert_increment"] = RUNS + grouped(BOTH, GMT_KEYS, commas(
     [f"CAST(sum({c}) AS BIGINT) AS {c}" for c in ("gross_clk_cnt", "uniq_clk_cnt")]))
