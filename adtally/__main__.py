@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import argparse
 import datetime as dt
+import time
 
 from adtally import schemas
 from adtally.functions.time import day_range
@@ -11,6 +12,7 @@ from adtally.plans import audit, daily, streams
 from adtally.session import build, size_shuffles, total_bytes
 from adtally.sinks import reports
 from adtally.sources import logs, messages
+from adtally.streaming import filters
 
 DAILY = {
     "click": (schemas.CLICK, daily.clicks),
@@ -40,21 +42,30 @@ def parser() -> argparse.ArgumentParser:
         fraud.add_argument(arg, required=True)
     fraud.add_argument("--more-than", type=int, default=5)
     fraud.add_argument("--click-radius", type=int, default=10, help="minutes")
+    ended = jobs.add_parser("check-ended", help="check the local days that ended since an earlier time")
+    ended.add_argument("--since", type=int, required=True, help="epoch seconds of the call before")
+    for arg in ("--out", "--report"):
+        ended.add_argument(arg, required=True)
     stream = jobs.add_parser("stream")
     stream.add_argument("name", choices=sorted(streams.INCREMENTS | streams.TOTALS))
-    for arg in ("--servers", "--out", "--checkpoint"):
-        stream.add_argument(arg, required=True)
-    stream.add_argument("--topics", required=True, help="comma separated")
     stream.add_argument("--result-topic", help="send result messages there")
-    stream.add_argument("--seconds", type=int, default=20)
-    stream.add_argument("--max-offsets", type=int)
+    listed = jobs.add_parser("list-filter", help="keep the messages whose group is on a list")
+    listed.add_argument("--list", required=True, help="text file with one group id per line, read for every batch")
+    for job in (stream, listed):
+        for arg in ("--servers", "--out", "--checkpoint"):
+            job.add_argument(arg, required=True)
+        job.add_argument("--topics", required=True, help="comma separated")
+        job.add_argument("--seconds", type=int, default=20)
+        job.add_argument("--max-offsets", type=int)
     return p
 
 
 def read_log(spark, where: str, schema, days):
     """The log files of the days, or a Parquet log; shuffles are sized for what is read."""
     if "{day}" in where:
-        paths = logs.window_paths(where, days)
+        paths = logs.present(spark, logs.window_paths(where, days))
+        if not paths:
+            raise SystemExit(f"no log files match {where} for the wanted days")
         size_shuffles(spark, total_bytes(spark, paths))
         return logs.read_json(spark, paths, schema)
     size_shuffles(spark, total_bytes(spark, [where]))
@@ -64,9 +75,14 @@ def read_log(spark, where: str, schema, days):
 def main(argv: list[str] | None = None) -> None:
     args = parser().parse_args(argv)
     spark = build(f"adtally {args.job}")
-    if args.job == "stream":
+    if args.job in ("stream", "list-filter"):
         source = messages.kafka_messages(spark, args.servers, args.topics.split(","), args.max_offsets)
         trigger = {"processingTime": f"{args.seconds} seconds"}
+    if args.job == "list-filter":
+        filters.start_list_filter(source, args.list, args.out, args.checkpoint, trigger).awaitTermination()
+    elif args.job == "check-ended":
+        audit.check_finished_days(spark, args.out, args.report, audit.rolled_over(int(time.time()), args.since))
+    elif args.job == "stream":
         emit = None
         if args.result_topic:
             emit = streams.publisher(

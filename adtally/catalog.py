@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 from functools import reduce
 
@@ -10,11 +11,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from adtally import grains, schemas
-from adtally.functions import identity, measures, text
+from adtally.functions import identity, measures, sqlnames, text
 from adtally.functions import time as tm
 from adtally.operators import (click, conversion, demand, event, fraud, impression, lists, merge, reconcile,
                                records)
 from adtally.operators.rollup import SCOPE
+from adtally.plans import streams
 from adtally.session import configure, stage, work_dir
 from adtally.sinks import tables
 from adtally.sources import logs, sample
@@ -121,6 +123,24 @@ def uniq_approx(spark, sf):
         (error <= F.greatest(F.lit(1.0), F.col("exact_uniq_cnt") * 0.049)).cast("int").alias("within_bound"))
 
 
+@query
+def click_daily_from_files(spark, sf):
+    """The daily job's rollup over JSON files of one UTC day each, with broken lines among them."""
+    base = work_dir(spark, "click_files")
+    clicks = sample.click_log(_events(spark, sf))
+    line = F.to_json(F.struct(*clicks.columns))
+    broken = F.when(F.col("clk_timestamp") % 7 == 0, F.substring(line, 1, 30))
+    (clicks.select(F.explode(F.array_compact(F.array(line, broken))).alias("value"),
+                   F.date_format(tm.utc_day("clk_timestamp"), "yyyyMMdd").alias("day"))
+     .write.partitionBy("day").text(base))
+    first, last = clicks.agg(*[f(tm.utc_day("clk_timestamp")) for f in (F.min, F.max)]).first()
+    days = tm.day_range(first - dt.timedelta(days=1), last + dt.timedelta(days=1))
+    paths = logs.present(spark, logs.window_paths(f"{base}/day={{day}}", days))
+    near = logs.filled(logs.near_days(logs.read_json(spark, paths, schemas.CLICK), days, "clk_timestamp"),
+                       schemas.CLICK)
+    return _zoned(logs.on_days(click.daily_by_scope(near), days))
+
+
 @query
 def uniq_reach(spark, sf):
     """Visitors of an affiliate over all days, exact and as the daily sketches estimate them."""
@@ -204,7 +224,7 @@ def demand_result_records(spark, sf):
 
 @query
 def conv_detail_records(spark, sf):
-    return records.conversion_detail(_conversions(spark, sf))
+    return records.conversion_detail(sample.conversion_log(_events(spark, sf)))
 
 
 # ------------------------------------------------------------------- events
@@ -470,6 +490,19 @@ def scalar_helpers(spark, sf):
     )
 
 
+@query
+def sql_functions(spark, sf):
+    """The helpers by their SQL names over every click."""
+    sqlnames.register(spark)
+    return _clicks(spark, sf).selectExpr(
+        "getFormatDate(clk_timestamp + timezone * 3600) AS local_day", "getFormatDateToHour(clk_timestamp) AS hour",
+        "uvGenerator(ip, ua, gaid, idfa, adid) AS visitor",
+        "retentDays(CAST(clk_timestamp AS INT), CAST(clk_timestamp + 200000 AS INT)) AS days",
+        "getLast(split(ip, '[.]')) AS ip_last", "domainSelect(gaid, idfa) AS domain",
+        "getMod(CAST(clk_timestamp % 1000 AS INT), 7) AS modulus",
+        "CAST(hasNotChar(gaid, '{') AS INT) AS plain_gaid")
+
+
 @query
 def malformed_quarantine(spark, sf):
     """Good and bad lines of a log in which signups lost their closing brace and purchases hold text for a number."""
@@ -491,11 +524,11 @@ def _event_stream(spark, sf):
     return sample.table_stream(spark, sf, "events", sample.EVENTS_SCHEMA)
 
 
-def _parsed(log: DataFrame, schema: T.StructType, topic=None) -> DataFrame:
+def _parsed(log: DataFrame, schema: T.StructType, topic=None, keep_missing=()) -> DataFrame:
     """Through JSON messages and back, as a stream consumer sees the log."""
     messages = sample.as_messages(log, topic)
     keep = ["topic"] if topic is not None else None
-    return logs.good(logs.parse_messages(messages, schema, keep=keep), schema)
+    return logs.good(logs.parse_messages(messages, schema, keep=keep), schema, keep_missing)
 
 
 def _finish(spark, name, begin) -> str:
@@ -562,14 +595,24 @@ def stream_event(spark, sf):
                           "stream_event"))
 
 
-@query
-def stream_event_old(spark, sf):
+def _event_id_totals(spark, sf, name):
     log = _parsed(sample.event_log(_event_stream(spark, sf)), schemas.EVENT_WITH_IDS)
     keys = [*SCOPE, "role", "role_day", *grains.EVENT]
-    last = _totals(
+    return _totals(
         spark, rollups.event_id_totals(log), keys,
-        ["gross_cnt", "uniq_cnt", "total_amount", "kpi_code", "kpi_event_cnt", *event.RETENTION], "stream_event_old")
-    out = rollups.event_id_records(last).groupBy(*SCOPE, *grains.EVENT).agg(
+        ["gross_cnt", "uniq_cnt", "total_amount", "kpi_code", "kpi_event_cnt", *event.RETENTION], name)
+
+
+@query
+def event_id_result_records(spark, sf):
+    """Messages of the earlier event form, all counted as one batch."""
+    sent = records.event_id_records(_event_id_totals(spark, sf, "event_id_result_records"))
+    return sent.groupBy("value").agg(F.count("*").alias("cnt"))
+
+
+@query
+def stream_event_old(spark, sf):
+    out = rollups.event_id_records(_event_id_totals(spark, sf, "stream_event_old")).groupBy(*SCOPE, *grains.EVENT).agg(
         *[F.sum(c).alias(c) for c in ("gross_cnt", "uniq_cnt", "kpi_event_cnt", *event.RETENTION)],
         measures.money(F.sum(measures.money_units("total_amount"))).alias("total_amount"))
     return _zoned(out)
@@ -643,7 +686,8 @@ def stream_supply(spark, sf):
 
 @query
 def stream_conv_detail(spark, sf):
-    log = _parsed(sample.conversion_log(_event_stream(spark, sf)), schemas.CONVERSION)
+    log = _parsed(sample.conversion_log(_event_stream(spark, sf)), schemas.CONVERSION,
+                  keep_missing=streams.MAY_BE_MISSING["conversion-detail"])
     detail = _increments(spark, log, records.conversion_detail, "stream_conv_detail")
     return detail.groupBy("value").agg(F.count("*").alias("cnt"))
 

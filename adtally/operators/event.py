@@ -145,3 +145,13 @@ def by_day_role(df: DataFrame) -> DataFrame:
     ])
     rest = [c for c in df.columns if c != "timezone"]
     return df.select(*rest, F.explode(entries).alias("_e")).select(*rest, "_e.*")
+
+
+def with_code_kpi(counts: DataFrame) -> DataFrame:
+    """The KPI that the code of a row stands for, from the counts of that row."""
+    code = F.col("kpi_code")
+    value = F.when(code == ms.KPI_GROSS, F.col("gross_cnt")).when(
+        code == ms.KPI_UNIQUE, F.least("uniq_cnt", "gross_cnt"))
+    for kpi, span in ms.KPI_RETENTION.items():
+        value = value.when(code == kpi, F.col(ms.retention_name(span)))
+    return counts.withColumn("kpi_event_cnt", F.coalesce(value, F.lit(0).cast("long")))

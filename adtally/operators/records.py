@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from adtally import grains
 from adtally.functions import measures as ms
 from adtally.operators import conversion
-from adtally.operators.event import RETENTION, kpi_units
+from adtally.operators.event import RETENTION, kpi_units, with_code_kpi
 
 MARK = "<;>"
 
@@ -124,3 +124,25 @@ def event_growth_records(growth: DataFrame) -> DataFrame:
     rows = growth.withColumn("event_day", F.col("dated"))
     adx = event_records(rows.where("scope = 'adx'"), "adx")
     return adx.unionByName(event_records(rows.where("scope = 'gmt'"), "gmt"))
+
+
+def event_id_records(growth: DataFrame) -> DataFrame:
+    """Messages of the earlier event form, up to two per row.
+
+    A row of the event day sends its counts and an early KPI, a row of the
+    install day its retention and a late KPI; what is 0 is not sent. The KPI
+    follows the latest code and the counts that were added.
+    """
+    is_event = F.col("role") == "event"
+    early = F.col("kpi_code") < ms.KPI_INSTALL_CODE
+    late = F.col("kpi_code") > ms.KPI_INSTALL_CODE
+    zone = F.when(F.col("scope") == "adx", F.format_string("%.1f", F.col("timezone").cast("double")))
+
+    def message(wanted: Column, tail: list[str]) -> Column:
+        return F.when(wanted, F.concat_ws(MARK, zone, joined(["role_day", *grains.EVENT, *tail])))
+
+    messages = F.array_compact(F.array(
+        message(((is_event & early) | (~is_event & late)) & (F.col("kpi_event_cnt") != 0), ["kpi_event_cnt"]),
+        message(is_event & (F.col("gross_cnt") != 0), ["gross_cnt", "uniq_cnt", "total_amount"]),
+        message(~is_event & (F.col(RETENTION[-1]) != 0), RETENTION)))
+    return with_code_kpi(growth).select(F.explode(messages).alias("value"))

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
 from adtally import grains, schemas
-from adtally.operators import records
+from adtally.operators import event, records
 from adtally.operators.rollup import SCOPE
 from adtally.sources import logs
 from adtally.streaming import filters, rollups, runner
@@ -32,7 +32,7 @@ TOTALS: dict[str, tuple] = {
 }
 WITH_TOPIC = {"supply", "demand"}
 #: Fields whose absence means something else than an empty text.
-MAY_BE_MISSING = {"click-watch": ("gaid", "idfa")}
+MAY_BE_MISSING = {"click-watch": ("gaid", "idfa"), "conversion-detail": tuple(records.CONVERSION_DETAIL)}
 
 # job -> result messages of what a micro-batch added
 RECORDS: dict[str, Callable[[DataFrame], DataFrame]] = {
@@ -42,6 +42,7 @@ RECORDS: dict[str, Callable[[DataFrame], DataFrame]] = {
     "impression": lambda df: records.scoped_records(df, grains.IMPRESSION, ["gross_imp_cnt"], tag="impress"),
     "impression-click": lambda df: records.scoped_records(df, grains.IMPRESSION, ["gross_clk_cnt"], tag="click"),
     "event": records.event_growth_records,
+    "event-ids": records.event_id_records,
     "demand": lambda df: records.scoped_records(
         df, grains.DEMAND, ["gross_cnt", "uniq_cnt", "cost"], lead="kind"),
     "supply": lambda df: records.scoped_records(
@@ -53,8 +54,12 @@ TOTAL_COLUMNS = {
     "click-unique": ([*SCOPE, *grains.CLICK], ["gross_cnt", "uniq_cnt"]),
     "event": ([*SCOPE, "retent_days", "kpi", "install_day", *grains.EVENT],
               ["gross_cnt", "uniq_cnt", "total_amount"]),
+    "event-ids": ([*SCOPE, "role", "role_day", *grains.EVENT],
+                  ["gross_cnt", "uniq_cnt", "total_amount", *event.RETENTION]),
     "demand": ([*SCOPE, "kind", *grains.DEMAND], ["gross_cnt", "uniq_cnt", "cost"]),
 }
+# stateful job -> columns that are no measures but belong to its messages
+CARRIED = {"event-ids": ["kpi_code"]}
 
 
 def publisher(job: str, path: str, send: Callable[[DataFrame], None]) -> Callable[[DataFrame, int], None]:
@@ -72,7 +77,7 @@ def publisher(job: str, path: str, send: Callable[[DataFrame], None]) -> Callabl
 
     if job in TOTAL_COLUMNS:
         keys, measures = TOTAL_COLUMNS[job]
-        return runner.Growth(path, keys, measures).emit_to(publish)
+        return runner.Growth(path, keys, measures, carried=CARRIED.get(job)).emit_to(publish)
     return publish
 
 

@@ -45,19 +45,21 @@ def replace_days(df: DataFrame, path: str, days: Days | None = None) -> None:
     """
     (df.hint("rebalance", "dated").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy("dated").parquet(path))
-    _clear(df, path, "dated", days)
-
-
-def _clear(df: DataFrame, path: str, column: str, days: Days | None) -> None:
-    """Remove the folders of wanted days that ``df`` has no rows for."""
     wanted = set(days or ())
     if not wanted:
         return
-    spark = df.sparkSession
-    found = df.where(F.col(column).isin(sorted(wanted))).select(F.col(column).cast("date").alias("day")).distinct()
-    for day in wanted - {r["day"] for r in found.collect()}:  # no more rows than wanted days
-        folder = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{column}={day.isoformat()}")
-        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+    found = df.where(F.col("dated").isin(sorted(wanted))).select("dated").distinct()
+    for day in wanted - {r["dated"] for r in found.collect()}:  # no more rows than wanted days
+        _remove(df.sparkSession, f"{path}/dated={day.isoformat()}")
+
+
+def _remove(spark: SparkSession, pattern: str, keep: set[str] = frozenset()) -> None:
+    """Remove the folders that match, but for those whose path ends with a text in ``keep``."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(pattern)
+    system = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    for found in system.globStatus(path) or []:
+        if "/".join(found.getPath().toString().split("/")[-2:]) not in keep:
+            system.delete(found.getPath(), True)
 
 
 def add_batch(df: DataFrame, path: str, batch_id: int | str) -> None:
@@ -70,10 +72,22 @@ def add_batch(df: DataFrame, path: str, batch_id: int | str) -> None:
 
 
 def add_batches(df: DataFrame, path: str, days: Days | None = None) -> None:
-    """``add_batch`` for a frame holding a batch for each of ``days`` in its ``batch_id`` column."""
-    (df.hint("rebalance", BATCH).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy(BATCH).parquet(path))
-    _clear(df, path, BATCH, days)
+    """``add_batch`` for a frame holding a batch for each of ``days`` in its ``batch_id`` column.
+
+    A batch may count on many earlier days. Its rows lie in a folder per
+    ``dated`` and batch, so that readers of some days open the folders of
+    these days only.
+    """
+    (df.hint("rebalance", "dated", BATCH).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy("dated", BATCH).parquet(path))
+    wanted = sorted(set(days or ()))
+    if not wanted:
+        return
+    found = df.where(F.col(BATCH).isin(wanted)).select("dated", BATCH).distinct()
+    # A row per wanted day and day it counts on.
+    written = {f"dated={r['dated'].isoformat()}/{BATCH}={r[BATCH].isoformat()}" for r in found.collect()}
+    for day in wanted:
+        _remove(df.sparkSession, f"{path}/dated=*/{BATCH}={day.isoformat()}", written)
 
 
 def read_increments(spark: SparkSession, path: str, keys: list[str], counts: list[str],

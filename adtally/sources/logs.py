@@ -39,6 +39,16 @@ def window_paths(pattern: str, days: list[dt.date]) -> list[str]:
     return [pattern.format(day=d.strftime("%Y%m%d")) + "*" for d in sorted(wanted)]
 
 
+def present(spark: SparkSession, patterns: list[str]) -> list[str]:
+    """The patterns that match some file; the day after the last may not have begun."""
+    out = []
+    for pattern in patterns:
+        path = spark._jvm.org.apache.hadoop.fs.Path(pattern)
+        if path.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(path):
+            out.append(pattern)
+    return out
+
+
 def hour_paths(pattern: str, days: list[dt.date]) -> list[str]:
     """File patterns of every hour of ``days``; ``pattern`` has one ``{hour}`` place."""
     return [pattern.format(hour=f"{d:%Y%m%d}{h:02d}") + "*" for d in sorted(days) for h in range(24)]

@@ -70,7 +70,7 @@ def _common() -> dict[str, Column]:
     return {
         "timezone": _pick(OFFSETS, user() % 10),
         "campaign_id": _per(user(), 8), "group_id": _per(user(), 40) * 3 + j() % 3,
-        "aff_id": F.when(k() % 3 == 0, 1).otherwise(_per(user(), 10)),
+        "aff_id": F.when(k() % 3 == 1, 1).otherwise(_per(user(), 10)),
         "aff_pub": _absent(k() % 25 == 3, _text("pub", j() % 3)),
         "algorithm": j() % 2,
     }

@@ -88,12 +88,7 @@ def event_id_totals(log: DataFrame) -> DataFrame:
         F.max(F.struct("event_timestamp", "kpi")).getField("kpi").alias("kpi_code"),
         *[sum_of(r) for r in event.RETENTION],
     ], EVENT_IDS_IDLE_HOURS)
-    code = F.col("kpi_code")
-    value = F.when(code == ms.KPI_GROSS, F.col("gross_cnt")).when(
-        code == ms.KPI_UNIQUE, F.least("uniq_cnt", "gross_cnt"))
-    for kpi, span in ms.KPI_RETENTION.items():
-        value = value.when(code == kpi, F.col(ms.retention_name(span)))
-    return totals.withColumn("kpi_event_cnt", F.coalesce(value, F.lit(0).cast("long")))
+    return event.with_code_kpi(totals)
 
 
 def event_id_records(totals: DataFrame) -> DataFrame:

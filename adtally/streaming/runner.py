@@ -73,11 +73,13 @@ class Growth:
     A snapshot forgets a day that ``idle_batches`` batches have not touched
     (four days of 20 s by default, longer than any state lives). What other
     days the records carry, be they far in the future, has no part in that.
+    Columns in ``carried`` are passed on as the batch has them.
     """
 
     def __init__(self, path: str, keys: list[str], measures: list[str], gross: str = "gross_cnt",
-                 uniq: str = "uniq_cnt", snapshot_every: int = 100, idle_batches: int = 17_280) -> None:
-        self.path, self.keys, self.measures = path, keys, measures
+                 uniq: str = "uniq_cnt", snapshot_every: int = 100, idle_batches: int = 17_280,
+                 carried: list[str] | None = None) -> None:
+        self.path, self.keys, self.measures, self.carried = path, keys, measures, carried or []
         self.gross, self.uniq = gross, uniq
         self.snapshot_every, self.idle_batches = snapshot_every, idle_batches
 
@@ -110,14 +112,15 @@ class Growth:
         now = _batch(spark, self.path, batch_id)
         before = self._state_before(spark, batch_id)
         if before is None:
-            grown = now.select(*self.keys, *self.measures)
+            grown = now.select(*self.keys, *self.measures, *self.carried)
         else:
             low, high = now.agg(F.min("dated"), F.max("dated")).first()
             before = before.where(F.col("dated").between(F.lit(low), F.lit(high)))
             same = reduce(lambda a, b: a & b, [now[k].eqNullSafe(before[k]) for k in self.keys])
             grown = now.join(before, same, "left").select(
                 *[now[k] for k in self.keys],
-                *[(now[m] - F.coalesce(before[m], F.lit(0))).alias(m) for m in self.measures])
+                *[(now[m] - F.coalesce(before[m], F.lit(0))).alias(m) for m in self.measures],
+                *[now[c] for c in self.carried])
         return grown.withColumn(self.uniq, F.least(self.uniq, self.gross))
 
     def keep(self, spark: SparkSession, batch_id: int) -> None:

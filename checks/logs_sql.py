@@ -36,7 +36,7 @@ BASE = """base AS (
   FROM events)"""
 
 COMMON = f"""{pick(OFFSETS, 'user_id % 10')} AS timezone, user_id // 8 AS campaign_id,
-         user_id // 40 * 3 + j % 3 AS group_id, CASE WHEN k % 3 = 0 THEN 1 ELSE user_id // 10 END AS aff_id,
+         user_id // 40 * 3 + j % 3 AS group_id, CASE WHEN k % 3 = 1 THEN 1 ELSE user_id // 10 END AS aff_id,
          CASE WHEN k % 25 = 3 THEN '' ELSE 'pub' || (j % 3) END AS aff_pub, j % 2 AS algorithm"""
 
 IDS = """CASE WHEN k % 3 = 0 THEN '10.0.0.' || (user_id % 4)

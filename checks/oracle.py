@@ -135,7 +135,8 @@ def conv_coarse(scope: str) -> str:
 
 ORACLE["conv_dedup"] = CONVERSIONS + f"SELECT click_id, {commas(FIRST_BY)} FROM conv"
 ORACLE["conv_detail_records"] = CONVERSIONS + """
-SELECT concat_ws('<;>', click_id, group_id, campaign_id, aff_id, aff_pub, invalid_type, printf('%.1f', income),
+SELECT concat_ws('<;>', click_id, group_id, campaign_id, aff_id, CASE WHEN aff_pub = '' THEN '0' ELSE aff_pub END,
+                 invalid_type, printf('%.1f', income),
                  income_currency, rtrim(printf('%.2f', payout), '0') || CASE WHEN payout = 0 THEN '0' ELSE '' END,
                  payout_currency, forwarded, ip, gaid, idfa, carrier, clk_timestamp, conv_timestamp) AS value
 FROM conv_log"""
@@ -361,6 +362,13 @@ SELECT clk_timestamp, timezone, ip, ua, gaid, idfa, {hour('clk_timestamp')} AS h
        86400 - ({local('clk_timestamp', 'adx')} % 86400) // 60 * 60 AS seconds_left
 FROM click_log"""
 
+ORACLE["sql_functions"] = CLICKS + f"""
+SELECT {day(local('clk_timestamp', 'adx'))} AS local_day, {hour('clk_timestamp')} AS hour, {VISITOR} AS visitor,
+       CAST(-2 AS BIGINT) AS days, string_split(ip, '.')[-1] AS ip_last,
+       CASE WHEN gaid <> '' THEN gaid ELSE idfa END AS domain, clk_timestamp % 1000 % 7 AS modulus,
+       CAST(NOT contains(gaid, '{{') AS BIGINT) AS plain_gaid
+FROM click_log"""
+
 ORACLE["malformed_quarantine"] = """
 SELECT CAST(event_type IN ('signup', 'purchase') AS BIGINT) AS malformed,
        CASE WHEN event_type = 'signup' THEN '' ELSE event_type END AS event_type, count(*) AS cnt
@@ -389,6 +397,7 @@ ORACLE["stream_click_uniq"] = CLICKS + both_scopes(
 ORACLE["stream_conv"] = CONVERSIONS + both_scopes(
     lambda s: scoped(s, "conv_log", "conv_timestamp", CONV, f"{CONV_COUNTS}, {MONEY}"))
 ORACLE["click_daily_by_scope"] = ORACLE["stream_click_uniq"]
+ORACLE["click_daily_from_files"] = ORACLE["stream_click_uniq"]
 ORACLE["conv_daily_by_scope"] = CONVERSIONS + both_scopes(
     lambda s: scoped(s, "conv", "conv_timestamp", CONV, f"{CONV_COUNTS}, {MONEY}"))
 ORACLE["stream_conv_summary"] = CONVERSIONS + both_scopes(
@@ -411,7 +420,7 @@ def stream_event(scope: str) -> str:
 ORACLE["stream_event"] = EVENTS + both_scopes(stream_event)
 
 
-def stream_event_old(scope: str) -> str:
+def event_id_days(scope: str) -> str:
     zone = "timezone" if scope == "adx" else "0.0::DOUBLE"
     flags = commas([f"CASE WHEN event_timestamp - install_timestamp < {n} * 86400 THEN 1 ELSE 0 END AS {r}"
                     for n, r in zip(SPANS, RETENTION)])
@@ -426,8 +435,11 @@ def stream_event_old(scope: str) -> str:
     kpi = """CASE code WHEN 1 THEN gross WHEN 2 THEN uniq WHEN 91 THEN in1_retention_cnt WHEN 92 THEN
         in2_retention_cnt WHEN 97 THEN in7_retention_cnt WHEN 915 THEN in15_retention_cnt
         WHEN 930 THEN in30_retention_cnt ELSE 0 END"""
-    shown = f"""SELECT *, CASE WHEN (role = 'event' AND code < 10) OR (role = 'conv' AND code > 10)
+    return f"""SELECT *, CASE WHEN (role = 'event' AND code < 10) OR (role = 'conv' AND code > 10)
         THEN {kpi} ELSE 0 END AS shown_kpi FROM ({per_day})"""
+
+
+def stream_event_old(scope: str) -> str:
     event = "CASE WHEN role = 'event' THEN {0} ELSE 0 END"
     conv = "CASE WHEN role = 'conv' THEN {0} ELSE 0 END"
     return f"""SELECT scope, tz AS timezone, dated, {commas(EVENT)},
@@ -436,13 +448,27 @@ def stream_event_old(scope: str) -> str:
         CAST(sum(shown_kpi) AS BIGINT) AS kpi_event_cnt,
         {commas([f"CAST(sum({conv.format(r)}) AS BIGINT) AS {r}" for r in RETENTION])},
         {rounded(f"sum({event.format('amount')})")} AS total_amount
-        FROM ({shown})
+        FROM ({event_id_days(scope)})
         WHERE role = 'event' OR shown_kpi <> 0 OR in30_retention_cnt <> 0
         GROUP BY scope, tz, dated, {commas(EVENT)}"""
 
 
 ORACLE["stream_event_old"] = EVENTS + both_scopes(stream_event_old)
 
+
+def event_id_messages(scope: str) -> str:
+    head = commas((["printf('%.1f', tz)"] if scope == "adx" else []) + ["dated", *EVENT])
+    kinds = [("shown_kpi <> 0", "shown_kpi"),
+             ("role = 'event'", f"gross, uniq, printf('%.4f', {rounded('amount')})"),
+             ("role = 'conv' AND in30_retention_cnt <> 0", commas(RETENTION))]
+    return "\nUNION ALL\n".join(
+        f"SELECT concat_ws('<;>', {head}, {tail}) AS value FROM ({event_id_days(scope)}) WHERE {where}"
+        for where, tail in kinds)
+
+
+ORACLE["event_id_result_records"] = EVENTS + (
+    f"SELECT value, count(*) AS cnt FROM ({both_scopes(event_id_messages)}) GROUP BY value")
+
 STREAM_IMP = """CASE WHEN province_geoname_id = 'x7' THEN 0 ELSE CAST(province_geoname_id AS BIGINT) END
     AS province_geoname_id, CAST(city_geoname_id AS BIGINT) AS city_geoname_id"""
 for query, kind in (("stream_impression", "imp"), ("stream_imp_click", "clk")):

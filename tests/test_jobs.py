@@ -8,7 +8,7 @@ from adtally import grains, schemas
 from adtally.operators import click, fraud, merge, reconcile, records
 from adtally.plans import audit, daily
 from adtally.sinks import reports, tables
-from adtally.sources import sample
+from adtally.sources import logs, sample
 from tests.conftest import values
 
 D1, D2 = dt.date(2024, 1, 1), dt.date(2024, 1, 2)
@@ -143,7 +143,7 @@ def test_jobs_write_the_wanted_days(spark, sf, written):
 def test_a_day_emptied_by_a_rerun_is_cleared(spark, frame, tmp_path, days):
     path, batches = str(tmp_path / "t"), str(tmp_path / "b")
     rows = frame([(D1, "a", 1), (D2, "b", 2)], "dated date, name string, n long")
-    added = rows.withColumnRenamed("dated", tables.BATCH)
+    added = rows.withColumn(tables.BATCH, F.col("dated"))
     tables.replace_days(rows, path, [D1, D2])
     tables.add_batches(added, batches, [D1, D2])
     tables.replace_days(rows.where(F.col("dated") != F.lit(D1)).where(F.col("dated").isin(days)), path, days)
@@ -176,13 +176,30 @@ def test_only_ended_days_are_checked(spark, written, tmp_path):
 
 
 def test_unique_tuples_job(spark, sf, tmp_path):
-    log = sample.click_log(sample.table(spark, sf, "events"))
+    log = logs.filled(sample.click_log(sample.table(spark, sf, "events")), schemas.CLICK)
     daily.clicks(spark, log, str(tmp_path), DAYS[:1], by_tuple=True)
     expected = click.daily_two_step(log, "gmt").where(F.col("dated") == F.lit(DAYS[0]))
     got = spark.read.parquet(f"{tmp_path}/gmt_clk_daily_summary")
     assert values(got, "unionk", "uniq_cnt") == values(expected, "unionk", "uniq_cnt")
 
 
+def test_a_batch_that_leaves_a_day_is_gone_from_it(spark, frame, tmp_path):
+    path = str(tmp_path)
+    rows = frame([(D1, D2, 1), (D2, D2, 2), (D1, D1, 4)], f"dated date, {tables.BATCH} date, n long")
+    tables.add_batches(rows, path, [D1, D2])
+    tables.add_batches(rows.where("n = 2"), path, [D2])
+    assert values(spark.read.parquet(path), "n") == [(2,), (4,)]
+
+
+def test_summary_reads_the_folders_of_its_days_only(spark, written):
+    for table in ("gmt_daily_kpi", "adx_event_retention"):
+        df = logs.read_summary(spark, f"{written}/{table}", DAYS[:1])
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "PartitionFilters: [isnotnull(dated" in plan or "PartitionFilters: [dated" in plan
+        files = df.select(F.input_file_name().alias("f")).distinct().collect()
+        assert files and all("dated=2024-01-09" in r["f"] for r in files)
+
+
 def test_event_day_replay_changes_nothing(spark, sf, written, tmp_path):
     once = str(tmp_path)
     daily.events(spark, sample.event_log(sample.table(spark, sf, "events")), once, DAYS)
@@ -206,7 +223,7 @@ def test_impression_parts_share_a_row(spark, written):
 
 def test_demand_job(spark, sf, tmp_path):
     log = sample.demand_log(*[sample.table(spark, sf, t) for t in ("lineitem", "supplier", "part")])
-    days = [dt.date(2018, 4, d) for d in (1, 2, 3, 4, 5)]
+    days = [dt.date(2018, 4, d) for d in range(1, 31)]
     daily.demands(spark, log, str(tmp_path), days)
     total = spark.read.parquet(f"{tmp_path}/gmt_demand_daily_summary").agg(F.sum("clks")).first()[0]
     assert total == log.count()

@@ -12,7 +12,7 @@ def physical(df):
 
 def test_clicks_read_only_what_they_need(spark, sf):
     plan = physical(run("click_daily_adx", spark, sf))
-    assert "ReadSchema: struct<ts:timestamp_ntz,user_id:bigint,props:string>" in plan
+    assert "ReadSchema: struct<event_id:bigint,ts:timestamp_ntz,user_id:bigint,props:string>" in plan
 
 
 def test_distinct_counts_shuffle_by_visitor_first(spark, sf):

@@ -155,9 +155,37 @@ def test_watched_advertising_id(spark, feed, record, key):
 
 
 def test_a_stream_without_messages_is_refused_at_once():
-    for job in ("event-ids", "click-watch"):
-        with pytest.raises(ValueError):
-            streams.publisher(job, "anywhere", lambda df: None)
+    with pytest.raises(ValueError):
+        streams.publisher("click-watch", "anywhere", lambda df: None)
+
+
+def test_messages_of_the_earlier_event_form(spark, feed):
+    """The second batch publishes what it added, with the KPI of its own code."""
+    record = {"ip": "a", "event_timestamp": MIDNIGHT + 3600, "install_timestamp": MIDNIGHT - 40 * 86400, "kpi": 1,
+              "timezone": 0, "order_amount": 1.5, "order_currency": "USD"}
+    sent = []
+
+    def send():
+        emit = streams.publisher("event-ids", feed.path("out"), lambda df: sent.append(values(df)))
+        run(feed, "event-ids", emit=emit)
+
+    feed.send(record)
+    send()
+    feed.send({**record, "event_timestamp": MIDNIGHT + 7200, "kpi": 2, "ip": "b"},
+              {**record, "aff_id": 7, "kpi": 915, "install_timestamp": MIDNIGHT - 86400})
+    send()
+    first, second = ({m for (m,) in batch if not m.startswith("0.0")} for batch in [sent[0], sum(sent[1:], [])])
+    keys = "2024-01-10<;>0<;>0<;>{}<;><;>0<;>USD<;>0<;>"
+    assert first == {keys.format(0) + "1", keys.format(0) + "1<;>1<;>1.5000"}
+    late = keys.format(7).replace("01-10", "01-09")
+    assert second == {keys.format(0) + "1", keys.format(0) + "1<;>1<;>1.5000", keys.format(7) + "1<;>1<;>1.5000",
+                      late + "1", late + "0<;>1<;>1<;>1<;>1"}
+
+
+def test_an_absent_publisher_is_0_in_the_detail(spark, feed):
+    feed.send({"click_id": "c"})
+    run(feed, "conversion-detail")
+    assert values(spark.read.parquet(feed.path("out")), "value")[0][0].startswith("c<;>0<;>0<;>0<;>0<;><;>0.0")
 
 
 def test_state_of_old_days_is_dropped(spark, feed):
