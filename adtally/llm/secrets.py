@@ -2,20 +2,25 @@
 
 A worklist holds layers. The first is the text itself. Each layer is scanned,
 then unwrapped in every way that applies: percent escapes, Unicode escapes,
-base64, compressed data. What comes out is a layer again, until nothing new
-appears; a digest of every layer seen ends cycles. Each byte of a layer knows
-the span of the text it came from, so whatever is found is reported there.
+UTF-16, base64, compressed data. What comes out is a layer again, whatever its
+bytes are, until nothing new appears; a digest of every layer seen ends cycles.
+Each byte of a layer knows the span of the text it came from, so whatever is
+found is reported there.
+
+Base64 is read over line breaks and from each of four characters, as other
+characters of its alphabet may stand in front. It is reported by whole runs:
+all lines that hold a part of what was found.
 """
 
 from __future__ import annotations
 
-import base64
 import binascii
 import bz2
 import hashlib
 import lzma
 import re
 import zlib
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 from typing import NamedTuple
 
@@ -45,6 +50,14 @@ BASE = 3
 _PERCENT = re.compile(rb"(?:%[0-9A-Fa-f]{2})+")
 _UNICODE = re.compile(rb"\\u([0-9A-Fa-f]{4})|\\x([0-9A-Fa-f]{2})|&#([0-9]{1,7});|&#[xX]([0-9A-Fa-f]{1,6});")
 _BASE64 = re.compile(rb"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{16,}={0,2}")
+_ALPHABET = frozenset(b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_-")
+_STANDARD = bytes.maketrans(b"-_", b"+/")
+_BREAK = re.compile(rb"[ \t]*(?:\r\n?|\n)[ \t]*")
+#: ASCII in UTF-16 of either order, or in UTF-32. The shortest secret has 12 characters, of which the last may end the data.
+_WIDE = re.compile(rb"(?:[\x01-\x7f]\x00{1,3}){11,}")
+_HEADER = re.compile(rb"\x1f\x8b\x08|\x78[\x01\x5e\x9c\xda]|BZh[1-9]|\xfd7zXZ\x00|\x28\xb5\x2f\xfd")
+#: Every secret, and everything that can be unwrapped to one, has one of these, ``_WIDE`` or ``_HEADER``.
+_PLAIN = re.compile(rb"[\x20-\x7e\t\r\n]{12}")
 #: Decompressed data is scanned in pieces of about this size, cut at white space.
 PIECE = 4 * 2**20
 
@@ -97,12 +110,9 @@ def _replaced(layer: Layer, pattern: re.Pattern[bytes], decode) -> Layer | None:
                  np.concatenate([*highs, high[at:]]))
 
 
-def _is_text(data: bytes) -> bool:
-    try:
-        text = data.decode()
-    except UnicodeDecodeError:
-        return False
-    return all(c.isprintable() or c in "\t\n\r" for c in text)
+def _worth(data: bytes) -> bool:
+    """Whether a secret can be in the data or in what they encode."""
+    return bool(_PLAIN.search(data) or _HEADER.search(data) or (b"\0" in data and _WIDE.search(data)))
 
 
 def _decompressor(data: bytes):
@@ -150,24 +160,69 @@ def _pieces(data: bytes) -> Iterator[bytes]:
         yield rest
 
 
+def _joined(data: bytes) -> tuple[bytes, list[int], list[int]]:
+    """The data without line breaks inside base64; where breaks were, and how many bytes went up to each."""
+    parts, cuts, gone, at, total = [], [], [], 0, 0
+    for m in _BREAK.finditer(data) if b"\n" in data or b"\r" in data else ():
+        low, high = m.span()
+        if low and high < len(data) and data[low - 1] in _ALPHABET and data[high] in _ALPHABET:
+            parts.append(data[at:low])
+            cuts.append(low - total)
+            total += high - low
+            gone.append(total)
+            at = high
+    return (b"".join([*parts, data[at:]]) if parts else data), cuts, gone
+
+
+def _decoded(run: bytes) -> Iterator[tuple[int, bytes]]:
+    """What base64 from each of the first four characters says, if that is of any use."""
+    body = run.rstrip(b"=").translate(_STANDARD)
+    for skip in range(4):
+        part = body[skip:]
+        part = part[:len(part) - (len(part) % 4 == 1)]
+        raw = binascii.a2b_base64(part + b"=" * (-len(part) % 4))
+        if _worth(raw):
+            yield skip, raw
+
+
+def _base64(layer: Layer) -> Iterator[Layer]:
+    data, cuts, gone = _joined(layer.data)
+    for m in _BASE64.finditer(data):
+        begin, end = m.span()
+        first, last = bisect_right(cuts, begin), bisect_left(cuts, end)
+        edges = [begin, *cuts[first:last], end]
+        shifts = [gone[i - 1] if i else 0 for i in range(first, last + 1)]
+        lines = [(low, high, low + by, high + by) for low, high, by in zip(edges, edges[1:], shifts)]
+        if len(lines) == 1:
+            for _, raw in _decoded(m[0]):
+                yield layer.inside(*lines[0][2:], raw)
+            continue
+        spans = None
+        for skip, raw in _decoded(m[0]):
+            if spans is None:
+                spans = np.repeat(np.array([layer.span(*line[2:]) for line in lines]), np.diff(edges), axis=0)
+            byte = np.arange(len(raw))
+            char = skip + byte // 3 * 4 + byte % 3  # of which the byte has its first bits
+            yield Layer(raw, spans[char, 0], spans[char + 1, 1])
+        for low, high, *span in lines:  # each may also be by itself
+            if high - low >= 16:
+                for _, raw in _decoded(data[low:high]):
+                    yield layer.inside(*span, raw)
+
+
 def _unwrapped(layer: Layer) -> Iterator[Layer]:
     if b"%" in layer.data and (out := _replaced(
             layer, _PERCENT, lambda m: binascii.unhexlify(m[0].replace(b"%", b"")))):
         yield out
     if (b"\\" in layer.data or b"&#" in layer.data) and (out := _replaced(layer, _UNICODE, _character)):
         yield out
-    for m in _BASE64.finditer(layer.data):
-        body = m[0].rstrip(b"=")
-        body = body[:len(body) - (len(body) % 4 == 1)]
-        try:
-            raw = base64.b64decode(body.translate(bytes.maketrans(b"-_", b"+/")) + b"=" * (-len(body) % 4))
-        except binascii.Error:
-            continue
-        if _is_text(raw):
-            yield layer.inside(m.start(), m.end(), raw)
-        else:
-            for piece in _pieces(raw):
-                yield layer.inside(m.start(), m.end(), piece)
+    if b"\0" in layer.data and (out := _replaced(layer, _WIDE, lambda m: m[0].replace(b"\0", b""))):
+        yield out
+    if layer.low is not None:  # the text itself is UTF-8, which compressed data are not
+        for m in _HEADER.finditer(layer.data):
+            for piece in _pieces(memoryview(layer.data)[m.start():]):
+                yield layer.inside(m.start(), len(layer.data), piece)
+    yield from _base64(layer)
 
 
 def secrets(data: bytes) -> tuple[list[tuple[int, int, int]], list[tuple[int, int, int]]]:

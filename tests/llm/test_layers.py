@@ -1,0 +1,59 @@
+"""Secrets in base64 whatever else its bytes hold, whatever stands in front of it, and over line breaks."""
+
+import base64
+import gzip
+import random
+import textwrap
+
+import pytest
+import zstandard
+
+from adtally.llm.secrets import KINDS, redacted, secrets
+
+SECRET = b"password=correct-horse-battery"
+NOISE = " ".join(f"{random.Random(k).getrandbits(40):x}z" for k in range(60)).encode()
+
+
+def kinds(text):
+    return {KINDS[k] for _, k, _ in secrets(text.encode())[1]}
+
+
+@pytest.mark.parametrize("other", [" ", "﻿", "​", "\f", "\x1b", "\0"])
+def test_any_character_beside_the_secret(other):
+    hidden = base64.b64encode(f"{other}user {SECRET.decode()}{other}".encode()).decode()
+    assert "assign" in kinds(f"see {hidden} here") and hidden not in redacted(f"see {hidden} here".encode())
+
+
+@pytest.mark.parametrize("raw", [
+    b"\xff\xfe\x80 " + SECRET, SECRET.decode().encode("utf-16-le"), SECRET.decode().encode("utf-16-be"),
+    SECRET.decode().encode("utf-16"), f"é {SECRET.decode()} 漢".encode("utf-16-le"), SECRET.decode().encode("utf-32-be"),
+    gzip.compress(gzip.compress(SECRET)), b"head\0" + zstandard.compress(SECRET)])
+def test_layers_that_are_no_utf8(raw):
+    assert "assign" in kinds("powershell -EncodedCommand " + base64.b64encode(raw).decode())
+
+
+@pytest.mark.parametrize("front", ["/", "/api/v1/", "-", "--flag-", "_", "__", "a", "ab", "abc", "x/y"])
+@pytest.mark.parametrize("raw", [SECRET, gzip.compress(SECRET), b"ghp_" + b"a1B2" * 10])
+def test_characters_in_front(front, raw):
+    found = kinds(f"é http://host:80{front}{base64.b64encode(raw).decode()}")
+    assert found & {"assign", "hosting"} or front[-1].isalnum() and raw[:3] == b"ghp"
+
+
+@pytest.mark.parametrize("width", [64, 76])
+@pytest.mark.parametrize("end", ["\n", "\r\n", "\r", "\n    ", " \n"])
+@pytest.mark.parametrize("pack", [bytes, gzip.compress, zstandard.compress])
+@pytest.mark.parametrize("front", ["", "data: ", "longer/words-in-front"])
+def test_wrapped_lines(width, end, pack, front):
+    raw = pack(NOISE[:30] + b" " + SECRET + b" " + NOISE)
+    hidden = end.join(textwrap.wrap(base64.b64encode(raw).decode(), width))
+    text = f"ünder:\n{front}{hidden}\n\nhere, after it"
+    spans = [(s, e) for s, k, e in secrets(text.encode())[1] if KINDS[k] == "assign"]
+    assert spans and all(7 <= s < e <= 7 + len(front + hidden) for s, e in spans)
+    assert "assign" not in kinds(redacted(text.encode()))
+
+
+def test_lines_are_also_read_alone():
+    lines = [base64.b64encode(b"ghp_" + bytes([97 + k]) * 40).decode().rstrip("=") for k in range(4)]
+    text = "\n".join(["plainwordsofalist", *lines, "anotherwordofalist"])
+    spans = {(s, e) for s, k, e in secrets(text.encode())[1] if KINDS[k] == "hosting"}
+    assert {(text.index(x), text.index(x) + len(x)) for x in lines} <= spans
