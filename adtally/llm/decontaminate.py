@@ -1,7 +1,8 @@
 """Benchmark items inside texts: SimHash windows, multi-index Hamming blocks, weighted shingles.
 
-For an item of n words every window of n words of a text is compared. Windows
-and items are bags of 5-word shingles; a SimHash of ``BITS`` bits stands for a
+For an item of n words every window of n words of a text is compared; a text
+of fewer words, as of an item that was cut off, is one window. Windows and
+items are bags of 5-word shingles; a SimHash of ``BITS`` bits stands for a
 bag. Fingerprints are cut into ``RADIUS + 1`` blocks: two that differ in at
 most ``RADIUS`` bits agree on a whole block, so looking up each block finds
 all fingerprints within the radius. Candidates are verified exactly by the
@@ -126,20 +127,46 @@ class _Bitmap:
         return self.set[values >> U64(64 - self.bits)]
 
 
+def _short(w: Words, own: np.ndarray, hits: np.ndarray, count: np.ndarray, group: Group,
+           percent: int) -> Iterator[tuple[int, int, int, int, int, float]]:
+    """The same for texts of fewer words than the items: each is one window."""
+    text = w.text[hits]
+    shingles = count[text] - group.gram + 1
+    # A bag cannot be more similar than it is large.
+    fits = (count[text] < group.size) & (100 * shingles >= percent * (group.size - group.gram + 1) - 1e-9)
+    texts = np.unique(text[fits & (text == w.text[hits + group.gram - 1])])
+    if not len(texts):
+        return
+    bags = [own[w.first[t]:w.first[t + 1] - group.gram + 1] for t in texts]
+    prints = np.array([simhash(b) for b in bags], U64)
+    for begin in range(0, len(texts), WINDOWS):
+        for window, item in zip(*_near(group, prints[begin:begin + WINDOWS])):
+            k = begin + int(window)
+            alike = similarity(Counter(bags[k].tolist()), group.bags[item])
+            if 100 * alike >= percent - 1e-9:
+                t = int(texts[k])
+                yield (t, group.ids[item], 0, int(count[t]), int(np.bitwise_count(prints[k] ^ group.prints[item])),
+                       alike)
+
+
 def _matches(w: Words, values: np.ndarray, found: list[Group], percent: int,
              filters: dict[int, _Bitmap]) -> Iterator[tuple[int, int, int, int, int, float]]:
     """(text, item, start, words, distance, similarity) of the best window of each text and item."""
     grams = {g: rolling(values, g) for g in filters}
     maybe = {g: np.flatnonzero(filters[g].maybe(v)) for g, v in grams.items() if len(v)}
+    count = np.diff(w.first)
     for group in found:
         size, own = group.size, grams[group.gram]
-        if len(values) < size or group.gram not in maybe:
+        if group.gram not in maybe:
             continue
         at = maybe[group.gram]
         hits = at[group.known[np.minimum(np.searchsorted(group.known, own[at]), len(group.known) - 1)] == own[at]]
         if not len(hits):
             continue
         many = size - group.gram + 1  # shingles of a window
+        yield from _short(w, own, hits, count, group, percent)
+        if len(values) < size:
+            continue
         reach = np.zeros(len(values) + 1, np.int64)  # windows that hold a hit
         np.add.at(reach, np.maximum(hits - many + 1, 0), 1)
         np.add.at(reach, hits + 1, -1)
@@ -192,8 +219,8 @@ _SCHEMA = "doc_id bigint, item_id bigint, start bigint, n_words bigint, distance
 def contaminated(docs: DataFrame, benchmark: DataFrame, percent: int = PERCENT) -> DataFrame:
     """(doc_id, item_id, start, n_words, distance, similarity): the best window of each text for each item it holds.
 
-    Words are lower-cased in A-Z; ``start`` counts them from 0. Ties take the
-    first window. Items of fewer than five words are one shingle, so only
+    Words are lower-cased in A-Z; ``start`` counts them from 0. A text of fewer
+    words than the item is one window of ``n_words``. Ties take the first window. Items of fewer than five words are one shingle, so only
     equal windows match; items or texts that are null, empty or without words
     match nothing. Repeated rows of ``docs`` give a row each; a null doc_id or
     item_id passes through. Without items or texts the result is empty.
