@@ -16,6 +16,7 @@ NAME, EXACT, TAG = 1, 2, 3
 
 class Rule(NamedTuple):
     label: str
+    #: In the words of every text that the pattern can match.
     keyword: str
     pattern: str
     priority: int
@@ -32,7 +33,8 @@ _BASE = [
 # Families with versions: label, keyword, ways to write the name, versions.
 _FAMILIES = [
     ("gpl", "gpl", ["gpl"], ["1.0", "2.0", "3.0"]),
-    ("gpl", "general public", ["gnu general public licen[cs]e", "gnu gpl licen[cs]e"], ["1.0", "2.0", "3.0"]),
+    ("gpl", "general public", ["gnu general public licen[cs]e"], ["1.0", "2.0", "3.0"]),
+    ("gpl", "gnu gpl", ["gnu gpl licen[cs]e"], ["1.0", "2.0", "3.0"]),
     ("lgpl", "lgpl", ["lgpl"], ["2.0", "2.1", "3.0"]),
     ("lgpl", "general public", ["gnu (?:lesser|library) general public licen[cs]e"], ["2.0", "2.1", "3.0"]),
     ("agpl", "agpl", ["agpl"], ["1.0", "3.0"]),
@@ -89,18 +91,27 @@ _COMMONS = [
 ]
 _COMMONS_VERSIONS = ["1.0", "2.0", "2.5", "3.0", "4.0"]
 
+_GRANT = "permission is hereby granted free of charge to any person obtaining a copy"
+
 # Names without versions and distinctive sentences: label, keyword, pattern, priority.
 _OTHERS = [
     ("mit", "mit licen", "(?:the )?mit licen[cs]e", NAME),
     ("mit", "expat", "expat licen[cs]e", NAME),
-    ("mit", "to deal in the software", "permission is hereby granted free of charge to any person obtaining a copy", EXACT),
+    ("mit", "permission is hereby granted", _GRANT, EXACT),
     ("mit", "to deal in the software", "to deal in the software without restriction", EXACT),
+    # Other licenses begin with the same words; theirs are longer, which suppresses the one for mit.
+    ("ofl", "font software", f"{_GRANT} of the font software", EXACT),
+    ("ncsa", "to deal with the software",
+     f"{_GRANT} of this software and associated documentation files the software to deal with the software", EXACT),
+    ("unicode", "data files", f"{_GRANT} of (?:the unicode )?data files", EXACT),
+    ("upl", "associated documentation and or data", f"{_GRANT} of this software associated documentation and or data", EXACT),
     ("mit-0", "mit no attribution", "mit no attribution(?: licen[cs]e)?", EXACT),
     ("x11", "x11 licen", "x11 licen[cs]e", NAME),
     ("isc", "isc licen", "isc licen[cs]e", NAME),
     ("isc", "distribute this software", "permission to use copy modify and or distribute this software for any purpose", EXACT),
     ("0bsd", "zero clause", "(?:bsd )?zero clause(?: bsd)? licen[cs]e", EXACT),
-    ("bsd-2-clause", "clause", "(?:bsd 2 clause|2 clause bsd|simplified bsd)(?: licen[cs]e)?", EXACT),
+    ("bsd-2-clause", "clause", "(?:bsd 2 clause|2 clause bsd)(?: licen[cs]e)?", EXACT),
+    ("bsd-2-clause", "simplified bsd", "simplified bsd(?: licen[cs]e)?", EXACT),
     ("bsd-2-clause", "freebsd licen", "freebsd licen[cs]e", EXACT),
     ("bsd-3-clause", "clause", "(?:bsd 3 clause|3 clause bsd)(?: licen[cs]e)?", EXACT),
     ("bsd-3-clause", "bsd licen", "(?:new|modified|revised) bsd licen[cs]e", EXACT),
@@ -108,7 +119,8 @@ _OTHERS = [
     ("bsd-4-clause", "clause", "(?:bsd 4 clause|4 clause bsd)(?: licen[cs]e)?", EXACT),
     ("bsd-4-clause", "bsd licen", "original bsd licen[cs]e", EXACT),
     ("bsd-4-clause", "advertising materials", "all advertising materials mentioning features or use of this software", EXACT),
-    ("bsd", "bsd licen", "bsd (?:style )?licen[cs]e", NAME),
+    ("bsd", "bsd licen", "bsd licen[cs]e", NAME),
+    ("bsd", "bsd style", "bsd style licen[cs]e", NAME),
     ("bsd", "redistribution and use", "redistribution and use in source and binary forms with or without modification", NAME),
     ("zlib", "zlib", "zlib(?: libpng)? licen[cs]e", NAME),
     ("zlib", "origin of this software", "the origin of this software must not be misrepresented", EXACT),
@@ -147,7 +159,8 @@ _OTHERS = [
     ("prosperity", "prosperity", "prosperity public licen[cs]e", NAME),
     ("parity", "parity public", "parity public licen[cs]e", NAME),
     ("blue-oak", "blue oak", "blue oak model licen[cs]e", NAME),
-    ("openrail", "openrail", "(?:creativeml )?open ?rail(?: m| s| d)?(?: licen[cs]e)?", NAME),
+    ("openrail", "openrail", "(?:creativeml )?openrail(?: m| s| d)?(?: licen[cs]e)?", NAME),
+    ("openrail", "open rail", "(?:creativeml )?open rail(?: m| s| d)?(?: licen[cs]e)?", NAME),
     ("bigscience-rail", "rail licen", "(?:bigscience|bloom) rail licen[cs]e", NAME),
     ("llama", "llama", "llama [0-9]+(?: [0-9]+)? community licen[cs]e(?: agreement)?", EXACT),
     ("gemma", "gemma", "gemma terms of use", EXACT),
