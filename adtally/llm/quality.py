@@ -9,8 +9,8 @@ since the sizes of a few words say little.
 
 The model is fitted on a bounded sample: ``DICTIONARY_ROWS`` labelled rows of
 each class and ``CALIBRATION_ROWS`` further ones, those with the smallest hash
-of doc_id, at most ``FIT_CHARS`` characters of each. Scores are taken from
-whole texts.
+of doc_id. The dictionaries see ``DRAWN`` blocks from all over each text, the
+calibration whole texts, as the scores do.
 """
 
 from __future__ import annotations
@@ -25,14 +25,18 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
-from adtally.llm.text import whole
+from adtally.llm.text import U64, mix, slices, whole
 
-DICTIONARY_ROWS, CALIBRATION_ROWS, FIT_CHARS = 1500, 3000, 6000
+DICTIONARY_ROWS, CALIBRATION_ROWS = 1500, 3000
 DICTIONARY_BYTES, BLOCK_BYTES, LEVEL = 112 * 1024, 1024, 3
+#: Blocks of a text that go into a dictionary.
+DRAWN = 6
 #: Bytes added to a length, so that very short texts count as undecided.
 PRIOR_BYTES = 64
 RIDGE = 0.5
 THRESHOLD = 0.3
+_PICKED = ["doc_id", "quality", "use"]
+_PICKED_SCHEMA = "doc_id bigint, quality int, use string"
 
 
 class Model(NamedTuple):
@@ -49,8 +53,23 @@ def _blocks(data: bytes) -> list[bytes]:
     return [data[i:i + BLOCK_BYTES] for i in range(0, len(data), BLOCK_BYTES)]
 
 
-def _dictionary(texts: list[bytes]) -> bytes:
-    blocks = [b for t in texts for b in _blocks(t)]
+def _drawn(doc_id: int, data: bytes) -> list[bytes]:
+    """At most DRAWN blocks, those with the smallest hashes of doc_id and place, in order."""
+    n = -(-len(data) // BLOCK_BYTES)
+    order = np.argsort(mix(np.arange(n, dtype=U64) + mix(np.array([doc_id], np.int64).view(U64))), kind="stable")
+    return [data[i * BLOCK_BYTES:(i + 1) * BLOCK_BYTES] for i in np.sort(order[:DRAWN]).tolist()]
+
+
+def _draw(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for b in slices(batches, "text"):
+        blocks = [[] if use == "calibration" else _drawn(i, v.as_buffer().to_pybytes()) for i, use, v in zip(
+            b.column("doc_id").to_pylist(), b.column("use").to_pylist(), b.column("text"), strict=True)]
+        yield pa.RecordBatch.from_arrays(
+            [*(b.column(c) for c in _PICKED), pa.array(blocks, pa.list_(pa.binary()))], [*_PICKED, "blocks"])
+
+
+def _dictionary(texts: list[list[bytes]]) -> bytes:
+    blocks = [b for t in texts for b in t]
     try:
         return zstandard.train_dictionary(DICTIONARY_BYTES, blocks).as_bytes()
     except zstandard.ZstdError:  # too few samples to choose from: they are the dictionary
@@ -78,6 +97,18 @@ class _Differences:
         return out
 
 
+def _measure(model: Model):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        differences = _Differences(model)
+        for b in slices(batches, "text"):
+            measures = differences.of([v.as_buffer().to_pybytes() for v in b.column("text")])
+            yield pa.RecordBatch.from_arrays(
+                [*(b.column(c) for c in _PICKED), pa.array(measures.tolist(), pa.list_(pa.float64()))],
+                [*_PICKED, "measures"])
+
+    return run
+
+
 def _logistic(x: np.ndarray, y: np.ndarray) -> tuple[float, float, float]:
     """Weights by Newton's method with a ridge."""
     scale = np.append(np.where(x[:, :2].std(axis=0) > 0, x[:, :2].std(axis=0), 1.0), 1.0)
@@ -117,10 +148,18 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
     for rows, use in chosen:
         rows = rows.select("doc_id", "quality", F.lit(use).alias("use"))
         picked = rows if picked is None else picked.union(rows)
-    # A few thousand pairs of numbers at most, by the limits above.
-    texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.substring("text", 1, FIT_CHARS).alias("text"))
-    sample = texts.join(F.broadcast(picked), "doc_id").dropDuplicates(["doc_id", "use"]).select(
-        "doc_id", "quality", "use", whole().alias("text")).toArrow().sort_by([("doc_id", "ascending")]).to_pylist()
+    # A few thousand rows of numbers at most, by the limits above.
+    picked = F.broadcast(docs.sparkSession.createDataFrame(picked.toArrow(), _PICKED_SCHEMA))
+    texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), whole().alias("text")).join(picked, "doc_id")
+    texts = texts.select(*_PICKED, "text")
+
+    def taken(run, column: str, uses: list[str]) -> list[dict]:
+        """A row for each doc_id and use; of the texts only what ``run`` makes of them leaves the tasks."""
+        rows = texts.where(F.col("use").isin(uses)).mapInArrow(run, f"{_PICKED_SCHEMA}, {column}")
+        return rows.dropDuplicates(["doc_id", "use"]).toArrow().sort_by(
+            [("doc_id", "ascending"), ("use", "ascending")]).to_pylist()
+
+    sample = taken(_draw, "blocks array<binary>", ["class0", "class1", "calibration"])
     by_use: dict[str, list[dict]] = {"class0": [], "class1": [], "calibration": []}
     for row in sample:
         by_use[row["use"]].append(row)
@@ -128,13 +167,15 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
         good = len(by_use["class1"]) / max(1, len(sample))
         odds = float(np.log((good + 1e-9) / (1 - good + 1e-9))) if sample else 0.0
         return Model(b"", b"", (0.0, 0.0, odds))
-    model = Model(*(_dictionary([r["text"] for r in by_use[f"class{q}"]]) for q in (1, 0)), (1.0, 0.0, 0.0))
+    model = Model(*(_dictionary([r["blocks"] for r in by_use[f"class{q}"]]) for q in (1, 0)), (1.0, 0.0, 0.0))
     used = {r["doc_id"] for q in (0, 1) for r in by_use[f"class{q}"]}
     rest = [r for r in by_use["calibration"] if r["doc_id"] not in used]
+    some = ["calibration"]
     if len({r["quality"] for r in rest}) < 2:
-        rest = by_use["calibration"] + by_use["class0"] + by_use["class1"]
-    measures = _Differences(model).of([r["text"] for r in rest])
-    return model._replace(weights=_logistic(measures, np.array([r["quality"] for r in rest], float)))
+        some, used = [*some, "class0", "class1"], set()
+    rest = [r for r in taken(_measure(model), "measures array<double>", some) if r["doc_id"] not in used]
+    return model._replace(weights=_logistic(
+        np.array([r["measures"] for r in rest]), np.array([r["quality"] for r in rest], float)))
 
 
 def score(model: Model) -> object:
