@@ -30,6 +30,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType
 
 from adtally.llm.text import U64, Words, hashes, mix, rolling, slices, whole, words
 
@@ -194,13 +195,17 @@ def _matches(w: Words, values: np.ndarray, found: list[Group], percent: int,
             yield text, group.ids[item], p - int(w.first[text]), size, distance, alike
 
 
+def _prepared(items: pa.Table) -> tuple[list[Group], dict[int, _Bitmap]]:
+    found = groups(items)
+    known: dict[int, list[np.ndarray]] = {}
+    for g in found:
+        known.setdefault(g.gram, []).append(g.known)
+    return found, {g: _Bitmap(np.concatenate(v)) for g, v in known.items()}
+
+
 def _search(items: pa.Table, percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found = groups(items)
-        known: dict[int, list[np.ndarray]] = {}
-        for g in found:
-            known.setdefault(g.gram, []).append(g.known)
-        filters = {g: _Bitmap(np.concatenate(v)) for g, v in known.items()}
+        found, filters = _prepared(items)
         for b in slices(batches, "text"):
             w = words(b.column("text"), lower=True)
             rows = list(_matches(w, hashes(w.data, w.starts, w.ends), found, percent, filters))
@@ -213,6 +218,24 @@ def _search(items: pa.Table, percent: int):
     return run
 
 
+def _clean(items: pa.Table, percent: int) -> object:
+    """A function of a binary column: whether a text holds none of the items."""
+
+    @F.arrow_udf(BooleanType())
+    def run(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        found, filters = _prepared(items)
+        for column in columns:
+            clean, at = np.ones(len(column), bool), 0
+            for b in slices(iter([pa.RecordBatch.from_arrays([column], ["text"])]), "text"):
+                w = words(b.column("text"), lower=True)
+                for text, *_ in _matches(w, hashes(w.data, w.starts, w.ends), found, percent, filters):
+                    clean[at + text] = False
+                at += b.num_rows
+            yield pa.array(clean)
+
+    return run
+
+
 _SCHEMA = "doc_id bigint, item_id bigint, start bigint, n_words bigint, distance bigint, similarity double"
 
 
@@ -220,24 +243,31 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, percent: int = PERCENT)
     """(doc_id, item_id, start, n_words, distance, similarity): the best window of each text for each item it holds.
 
     Words are lower-cased in A-Z; ``start`` counts them from 0. A text of fewer
-    words than the item is one window of ``n_words``. Ties take the first window. Items of fewer than five words are one shingle, so only
-    equal windows match; items or texts that are null, empty or without words
-    match nothing. Repeated rows of ``docs`` give a row each; a null doc_id or
+    words than the item is one window of ``n_words``. Ties take the first
+    window. Items of fewer than five words are one shingle, so only equal
+    windows match; items or texts that are null, empty or without words match
+    nothing. Repeated rows of ``docs`` give a row each; a null doc_id or
     item_id passes through. Without items or texts the result is empty.
     """
     texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), whole().alias("text"))
+    parts = None
+    for block in _item_blocks(benchmark):
+        part = texts.mapInArrow(_search(block, percent), _SCHEMA)
+        parts = part if parts is None else parts.union(part)
+    return parts
+
+
+def _item_blocks(benchmark: DataFrame) -> Iterator[pa.Table]:
     items = benchmark.select(F.col("item_id").cast("bigint").alias("item_id"), whole().alias("text"))
     n, size = items.agg(F.count("*"), F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()
     blocks = max(1, -(-2 * n // ITEMS), -(-2 * size // ITEM_BYTES))  # half full, as a hash deals them out
-    parts = None
     for k in range(blocks):
-        block = items if blocks == 1 else items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == k)
-        part = texts.mapInArrow(_search(block.toArrow(), percent), _SCHEMA)
-        parts = part if parts is None else parts.union(part)
-    return parts
+        yield (items if blocks == 1 else items.where(
+            F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == k)).toArrow()
 
 
 def without_contaminated(docs: DataFrame, benchmark: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """The rows of ``docs`` whose doc_id holds no item, all columns as they are."""
-    hits = contaminated(docs, benchmark, percent).select(F.col("doc_id").alias("_hit")).distinct()
-    return docs.join(hits, docs["doc_id"] == hits["_hit"], "left_anti")
+    """The rows of ``docs`` whose text holds no item, all columns as they are; doc_id has no part in it."""
+    for block in _item_blocks(benchmark):
+        docs = docs.where(_clean(block, percent)(whole()))
+    return docs

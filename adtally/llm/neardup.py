@@ -285,6 +285,27 @@ def near_duplicates(docs: DataFrame, size: int = WORDS, percent: int = PERCENT)
 
 
 def first_of_each_group(docs: DataFrame, size: int = WORDS, percent: int = PERCENT) -> DataFrame:
-    """The rows of ``docs`` that are the smallest doc_id of their component, all columns as they are."""
-    gone = near_duplicates(docs, size, percent).where("not kept").select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(gone, docs["doc_id"] == gone["_gone"], "left_anti")
+    """One row of each group of near copies, the one with the smallest doc_id, all columns as they are.
+
+    Rows count as such: of repeated rows one stays, those without doc_id are
+    compared like all others (and come last, by a hash of the text), and different texts under one
+    doc_id go their own ways. Rows without words all stay.
+    """
+    spark = docs.sparkSession
+    ids = docs.groupBy("doc_id").agg(F.count("*").alias("n"))
+    if ids.where("doc_id is null or n > 1").isEmpty():
+        gone = near_duplicates(docs, size, percent).where("not kept").select(F.col("doc_id").alias("_gone")).distinct()
+        return docs.join(gone, docs["doc_id"] == gone["_gone"], "left_anti")
+    # Every pair of doc_id and text is a node, numbered in the order of doc_id.
+    keyed = docs.withColumns({"_id": F.col("doc_id").cast("bigint"), "_digest": F.sha2(whole(), 256)})
+    order = [F.col("_id").asc_nulls_last(), "_digest"]
+    nodes = stage(spark, keyed.select("_id", "_digest").distinct().repartitionByRange(*order).sortWithinPartitions(
+        *order).withColumn("_node", F.monotonically_increasing_id()), "nodes")
+    nodes = nodes.withColumnsRenamed({"_id": "_of_id", "_digest": "_of_digest"})
+    rows = keyed.join(nodes, F.col("_id").eqNullSafe(F.col("_of_id")) & (F.col("_digest") == F.col("_of_digest")))
+    rows = stage(spark, rows.select(*docs.columns, "_node"), "rows")
+    gone = near_duplicates(rows.select(F.col("_node").alias("doc_id"), "text"), size, percent).where("not kept")
+    rows = rows.join(gone.select(F.col("doc_id").alias("_node")).distinct(), "_node", "left_anti")
+    has_words = F.col("text").rlike(r"[^\x20\x09-\x0D]")
+    rows = rows.withColumn("_row", F.when(has_words, F.lit(0)).otherwise(F.monotonically_increasing_id()))
+    return rows.dropDuplicates(["_node", "_row"]).select(*docs.columns)
