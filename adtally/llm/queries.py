@@ -14,6 +14,7 @@ from adtally.llm.decontaminate import contaminated
 from adtally.llm.licenses import scan_licenses
 from adtally.llm.neardup import near_duplicates
 from adtally.llm.neighbours import nearest
+from adtally.llm.pii import scan_pii
 from adtally.llm.quality import quality_scores
 from adtally.llm.secrets import scan_secrets
 from adtally.llm.sharding import shard_by_key
@@ -74,6 +75,11 @@ def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_table(spark, sf_dir, "documents"), size=2)
 
 
+def op12_pii_anchors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan_pii(_table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_email", "n_ip", "n_card", "n_phone", F.sha2("base_spans", 256).alias("base_sha256"), "spans")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_jump_sharding": op1_jump_sharding,
     "op2_license_scan": op2_license_scan,
@@ -85,6 +91,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_token_counts": op8_token_counts,
     "op9_byte_bpe": op9_byte_bpe,
     "op10_minhash_near_dedup": op10_minhash_near_dedup,
+    "op12_pii_anchors": op12_pii_anchors,
 }
 #: SQL for the same rows, where SQL can express them.
 ORACLE: dict[str, str] = {"op2_license_scan": licenses.SQL}
