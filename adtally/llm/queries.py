@@ -21,6 +21,7 @@ from adtally.llm.sharding import shard_by_key
 from adtally.llm.ship import ship
 from adtally.llm.substrings import buckets_for, remove_repeats
 from adtally.llm.tokencount import token_counts
+from adtally.llm.whitening import whiten
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -75,6 +76,10 @@ def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_table(spark, sf_dir, "documents"), size=2)
 
 
+def op11_lanczos_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whiten(_table(spark, sf_dir, "embeddings"))
+
+
 def op12_pii_anchors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_pii(_table(spark, sf_dir, "documents")).select(
         "doc_id", "n_email", "n_ip", "n_card", "n_phone", F.sha2("base_spans", 256).alias("base_sha256"), "spans")
@@ -91,6 +96,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_token_counts": op8_token_counts,
     "op9_byte_bpe": op9_byte_bpe,
     "op10_minhash_near_dedup": op10_minhash_near_dedup,
+    "op11_lanczos_whitening": op11_lanczos_whitening,
     "op12_pii_anchors": op12_pii_anchors,
 }
 #: SQL for the same rows, where SQL can express them.
