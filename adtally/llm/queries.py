@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from adtally.llm import licenses
+from adtally.llm.alignment import align_tokens
 from adtally.llm.bytebpe import encode_decode
 from adtally.llm.decontaminate import contaminated
 from adtally.llm.licenses import scan_licenses
@@ -85,6 +86,11 @@ def op12_pii_anchors(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_email", "n_ip", "n_card", "n_phone", F.sha2("base_spans", 256).alias("base_sha256"), "spans")
 
 
+def op13_fragment_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return align_tokens(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"),
+                        public_tokenizers.path("piece_bpe_32k.model"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_jump_sharding": op1_jump_sharding,
     "op2_license_scan": op2_license_scan,
@@ -98,6 +104,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_minhash_near_dedup": op10_minhash_near_dedup,
     "op11_lanczos_whitening": op11_lanczos_whitening,
     "op12_pii_anchors": op12_pii_anchors,
+    "op13_fragment_alignment": op13_fragment_alignment,
 }
 #: SQL for the same rows, where SQL can express them.
 ORACLE: dict[str, str] = {"op2_license_scan": licenses.SQL}
