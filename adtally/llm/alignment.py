@@ -46,6 +46,7 @@ from adtally.session import stage
 
 #: Links that are spelled out at a time.
 LINKS = 2**20
+_UNIT_BYTES = 320
 _SPACE = r"[\s᠎]"
 _ELSE = r"[^\s᠎]"
 _CUT = re.compile(f"(?<={_ELSE}) (?={_ELSE})")
@@ -63,8 +64,10 @@ class Sizes(NamedTuple):
     #: A block ends with the slice in which it reaches so many distinct pairs or numbers of pairs.
     pairs: int = 400_000
     slots: int = 2_000_000
-    #: Characters of remembered units.
-    remembered: int = 16 * 2**20
+    #: Bytes of text that are measured at a time.
+    slice: int = 2**20
+    #: Bytes that remembered units take, by estimate.
+    remembered: int = 96 * 2**20
 
 
 class Fragment(NamedTuple):
@@ -107,15 +110,44 @@ def fragment(a: np.ndarray, b: np.ndarray, a_ends: np.ndarray, b_ends: np.ndarra
     return Fragment(a, b, np.diff(x), np.diff(y))
 
 
+def _places(f: Fragment) -> tuple[np.ndarray, np.ndarray]:
+    """Where tokens of A and of B come when closed segments are written one after the other."""
+    before_b = np.cumsum(f.of_b) - f.of_b
+    upto_a = np.cumsum(f.of_a)
+    return (np.arange(len(f.a)) + np.repeat(before_b, f.of_a), np.arange(len(f.b)) + np.repeat(upto_a, f.of_b))
+
+
+@functools.cache
+def _decimal(width: int) -> list[str]:
+    return [f"{i}{mark}" for i in range(width) for mark in _MARKS]
+
+
+_MARKS = [",", "|", ";"]
+
+
+def _written(f: Fragment) -> list[str]:
+    """Every id of the closed segments with the mark behind it."""
+    at_a, at_b = _places(f)
+    code = np.zeros(len(f.a) + len(f.b), np.int64)
+    code[at_a], code[at_b] = 3 * f.a, 3 * f.b
+    code[at_a[np.cumsum(f.of_a) - 1]] += 1
+    code[at_b[np.cumsum(f.of_b) - 1]] += 2
+    # Vocabularies are rounded up, so that few tables are made.
+    table = _decimal(1 << (int(code.max(initial=0)) // 3).bit_length())
+    return [table[c] for c in code.tolist()]
+
+
 def spelled(f: Fragment) -> str:
     """Closed segments as text."""
-    a, b = map(str, f.a.tolist()), map(str, f.b.tolist())
-    return ";".join(",".join(next(a) for _ in range(n)) + "|" + ",".join(next(b) for _ in range(m))
-                    for n, m in zip(f.of_a.tolist(), f.of_b.tolist()))
+    return "".join(_written(f))[:-1]
 
 
-def links(f: Fragment, width: int) -> Iterator[np.ndarray]:
-    """The pairs of closed segments as a * width + b, at most about ``LINKS`` at a time."""
+def links(f: Fragment, width: int, plus: np.ndarray | int = 0) -> Iterator[np.ndarray]:
+    """The pairs of closed segments as a * width + b, at most about ``LINKS`` at a time.
+
+    ``plus`` is added to the pairs of each token of A.
+    """
+    left = f.a * width + plus
     begin = np.cumsum(f.of_b) - f.of_b
     partners = np.repeat(f.of_b, f.of_a)
     begin = np.repeat(begin, f.of_a)
@@ -125,17 +157,16 @@ def links(f: Fragment, width: int) -> Iterator[np.ndarray]:
         last = max(first + 1, int(np.searchsorted(upto, (upto[first - 1] if first else 0) + LINKS, "right")))
         n = partners[first:last]
         place = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(begin[first:last], n)
-        yield np.repeat(f.a[first:last], n) * width + f.b[place]
+        yield np.repeat(left[first:last], n) + f.b[place]
         first = last
 
 
-def distinct_links(f: Fragment, width: int) -> tuple[np.ndarray, np.ndarray]:
+def distinct_links(f: Fragment, width: int, plus: np.ndarray | int = 0) -> tuple[np.ndarray, np.ndarray]:
     """Distinct pairs, sorted, and how often each is there."""
-    keys, times = _numbers(), _numbers()
-    for some in links(f, width):
-        key, n = np.unique(some, return_counts=True)
-        keys, times = _summed(np.concatenate([keys, key]), np.concatenate([times, n]))
-    return keys, times
+    found = [np.unique(some, return_counts=True) for some in links(f, width, plus)]
+    while len(found) > 1:
+        found = [_summed(*map(np.concatenate, zip(*found[i:i + 8]))) for i in range(0, len(found), 8)]
+    return found[0] if found else (_numbers(), _numbers())
 
 
 def _summed(keys: np.ndarray, times: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -164,19 +195,55 @@ class Pair:
             piece = self.b.id_to_piece(i)
             self.b_bytes.append(bytes([int(piece[3:5], 16)]) if self.b.is_byte(i) else piece.replace("▁", " ").encode())
         self.width = len(self.b_bytes)
+        #: Above every pair of ids.
+        self.space = len(self.a_bytes) * self.width
+
+    def encode(self, units: list[str]) -> Encoded:
+        """Tokens of units, each of which begins with a blank."""
+        a = [e.ids for e in self.a.encode_batch_fast(units, add_special_tokens=False)]
+        b = self.b.encode([u[1:] for u in units], num_threads=1)
+        data = [u.encode() for u in units]
+        size = _numbers([len(d) for d in data])
+        same = np.ones(len(units), bool)
+        sides = []
+        for ids, table in ((a, self.a_bytes), (b, self.b_bytes)):
+            flat = [i for row in ids for i in row]
+            parts = [table[i] for i in flat]
+            lengths = np.fromiter(map(len, parts), np.int64, len(parts))
+            counts = np.fromiter(map(len, ids), np.int64, len(ids))
+            sides.append((_numbers(flat), lengths, counts))
+            got = np.concatenate([[0], np.cumsum(lengths)])[np.concatenate([[0], np.cumsum(counts)])]
+            if not np.array_equal(np.diff(got), size) or b"".join(parts) != b"".join(data):
+                at = 0
+                for k, (row, wanted) in enumerate(zip(ids, data)):
+                    same[k] &= b"".join(parts[at:at + len(row)]) == wanted
+                    at += len(row)
+        return Encoded(*[v for side in sides for v in side], size, same)
+
+
+class Encoded(NamedTuple):
+    """Tokens of some units: ids, their bytes, and how many a unit has."""
+
+    a: np.ndarray
+    a_bytes: np.ndarray
+    a_count: np.ndarray
+    b: np.ndarray
+    b_bytes: np.ndarray
+    b_count: np.ndarray
+    #: Bytes of each unit, and whether the tokens spell these.
+    size: np.ndarray
+    same: np.ndarray
+
+    def ends(self) -> tuple[np.ndarray, np.ndarray]:
+        return np.cumsum(self.a_bytes), np.cumsum(self.b_bytes)
 
-    def fragments(self, units: list[str]) -> Iterator[tuple[Fragment, np.ndarray, np.ndarray] | None]:
-        """For each unit, which begins with the blank, its fragment and its tokens' ends; None where bytes differ."""
-        encoded = self.a.encode_batch_fast(units, add_special_tokens=False)
-        pieces = self.b.encode([u[1:] for u in units], num_threads=1)
-        for unit, of_a, b in zip(units, encoded, pieces, strict=True):
-            a, data = of_a.ids, unit.encode()
-            a_parts, b_parts = [self.a_bytes[i] for i in a], [self.b_bytes[i] for i in b]
-            if b"".join(a_parts) != data or b"".join(b_parts) != data:
-                yield None
-                continue
-            ends = np.cumsum([len(p) for p in a_parts]), np.cumsum([len(p) for p in b_parts])
-            yield fragment(_numbers(a), _numbers(b), *ends), *ends
+    def good(self) -> Encoded:
+        """Without the tokens and bytes of units whose bytes differ."""
+        if self.same.all():
+            return self
+        in_a, in_b = np.repeat(self.same, self.a_count), np.repeat(self.same, self.b_count)
+        return Encoded(self.a[in_a], self.a_bytes[in_a], self.a_count * self.same, self.b[in_b], self.b_bytes[in_b],
+                       self.b_count * self.same, self.size * self.same, self.same)
 
 
 @functools.cache
@@ -193,18 +260,12 @@ class _Ragged:
     """Rows of numbers behind one another."""
 
     def __init__(self) -> None:
-        self.values, self.first = [], [0]
         self._flat = _numbers()
         self._begin = _numbers([0])
 
-    def add(self, row: np.ndarray) -> None:
-        self.values.append(row)
-        self.first.append(self.first[-1] + len(row))
-
-    def settle(self) -> None:
-        self._flat = np.concatenate([self._flat, *self.values])
-        self.values = []
-        self._begin = np.array(self.first, np.int64)
+    def add(self, values: np.ndarray, sizes: np.ndarray) -> None:
+        self._flat = np.concatenate([self._flat, values])
+        self._begin = np.concatenate([self._begin, self._begin[-1] + np.cumsum(sizes)])
 
     def sizes(self, rows: np.ndarray) -> np.ndarray:
         return self._begin[rows + 1] - self._begin[rows]
@@ -225,30 +286,40 @@ class Units(dict):
         self.clear()
         self.fresh: list[str] = []
         self.held = 0
-        self.keys_, self.times, self.shape = _Ragged(), _Ragged(), _Ragged()
-        self.groups: list[str | None] = []
+        self.keys_, self.times = _Ragged(), _Ragged()
+        #: Tokens of A and of B, groups and links of each unit; no groups where bytes differ.
+        self.shape = np.zeros((0, 4), np.int64)
+        self.groups: list[str] = []
 
     def __missing__(self, unit: str) -> int:
         self[unit] = number = len(self)
         self.fresh.append(unit)
-        self.held += len(unit)
+        self.held += _UNIT_BYTES + 5 * len(unit)
         return number
 
     def learn(self) -> None:
-        """Encode the units that are new."""
-        for found in self.both.fragments(self.fresh):
-            if found is None:
-                f, keys, times = NOTHING.part(0, 0), _numbers(), _numbers()
-            else:
-                f = found[0].part(0, len(found[0].of_a) - 1)  # nothing is open behind a unit
-                keys, times = distinct_links(f, self.both.width)
-            self.keys_.add(keys)
-            self.times.add(times)
-            self.shape.add(_numbers([len(f.a), len(f.b), len(f.of_a), times.sum()]))
-            self.groups.append(None if found is None else spelled(f))
-        for ragged in (self.keys_, self.times, self.shape):
-            ragged.settle()
+        """Encode and align the units that are new, all at once."""
+        n = len(self.fresh)
+        if not n:
+            return
+        found = self.both.encode(self.fresh).good()
         self.fresh = []
+        ends = found.ends()
+        f = fragment(found.a, found.b, *ends)
+        f = f.part(0, len(f.of_a) - 1)  # nothing is open behind a unit
+        # Units end with a group each.
+        last = np.searchsorted(np.cumsum(f.of_a), np.cumsum(found.a_count), "right")
+        groups = np.diff(last, prepend=0)
+        marked, at = _written(f), np.concatenate([[0], np.cumsum(found.a_count + found.b_count)]).tolist()
+        self.groups += ["".join(marked[x:y])[:-1] for x, y in zip(at, at[1:])]
+        unit_of = np.repeat(np.arange(n), found.a_count)
+        space = self.both.space
+        keys, times = distinct_links(f, self.both.width, unit_of * space)
+        sizes = np.bincount(keys // space, minlength=n)
+        self.keys_.add(keys % space, sizes)
+        self.times.add(times, sizes)
+        total = np.bincount(keys // space, times, n).astype(np.int64)
+        self.shape = np.concatenate([self.shape, np.stack([found.a_count, found.b_count, groups, total], axis=1)])
 
 
 def _binary(data: np.ndarray, lengths: np.ndarray) -> pa.Array:
@@ -312,7 +383,7 @@ def _measure_texts(paths: tuple[str, str], sizes: Sizes, spell: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = Units(pair(*paths))
         block = _Block(_task(), sizes)
-        for b in slices(batches, "text"):
+        for b in slices(batches, "text", sizes.slice):
             if known.held > sizes.remembered:
                 known.forget()
             number, count = [], np.zeros(b.num_rows, np.int64)
@@ -326,13 +397,13 @@ def _measure_texts(paths: tuple[str, str], sizes: Sizes, spell: bool):
             number = _numbers(number)
             text_of = np.repeat(np.arange(b.num_rows), count)
             bad = np.zeros(b.num_rows, bool)
-            bad[text_of[known.shape.of(number).reshape(-1, 4)[:, 2] == 0]] = True
+            bad[text_of[known.shape[number, 2] == 0]] = True
             number, text_of = number[~bad[text_of]], text_of[~bad[text_of]]
             count[bad] = 0
             shape = np.zeros((b.num_rows, 4), np.int64)
             if len(number):
                 begin = np.flatnonzero(np.concatenate([[True], text_of[1:] != text_of[:-1]]))
-                shape[text_of[begin]] = np.add.reduceat(known.shape.of(number).reshape(-1, 4), begin)
+                shape[text_of[begin]] = np.add.reduceat(known.shape[number], begin)
             columns = {"doc_id": b.column("doc_id"), **dict(zip(("n_a", "n_b", "n_groups", "n_links"), shape.T))}
             upto, groups = np.concatenate([[0], np.cumsum(count)]).tolist(), []
             spelt = [known.groups[i] for i in number.tolist()]
@@ -343,7 +414,7 @@ def _measure_texts(paths: tuple[str, str], sizes: Sizes, spell: bool):
             both, often = _summed(text_of * len(known) + number, np.ones(len(number), np.int64))
             unit = both % max(1, len(known))
             size = known.keys_.sizes(unit)
-            space = known.both.width * len(known.both.a_bytes)
+            space = known.both.space
             keys = np.repeat(both // max(1, len(known)), size) * space + known.keys_.of(unit)
             keys, times = _summed(keys, known.times.of(unit) * np.repeat(often, size))
             lengths = np.bincount(keys // space, minlength=b.num_rows)
@@ -421,20 +492,16 @@ def _leaves(paths: tuple[str, str], size: int):
             for r in range(b.num_rows):
                 row, doc_id, start = (b.column(c)[r].as_py() for c in ("row", "doc_id", "start"))
                 text = b.column("text")[r].as_buffer().to_pybytes().decode("utf-8", "replace")
-                out, at = [], start
-                parts = units(text)
-                for unit, found in zip(parts, both.fragments(parts)):
-                    out.append((unit, found, at))
-                    at += len(unit.encode())
-                if any(found is None for _, found, _ in out):
+                found = both.encode(units(text))
+                if not found.same.all():
                     yield from _rows_out([_out(row, doc_id, start, "differs", NOTHING)]).to_batches()
                     continue
-                a, b_ids = (np.concatenate([f[0][k] for _, f, _ in out]) for k in (0, 1))
-                a_ends, b_ends = (np.concatenate([f[k] + at for _, f, at in out]) for k in (1, 2))
+                a_ends, b_ends = (e + start for e in found.ends())
+                at = int(a_ends[-1])
                 rows = []
                 for low in range(start // size * size, at, size):  # tokens that end in the range
                     x, y = (np.searchsorted(e, [low + 1, low + size + 1]) for e in (a_ends, b_ends))
-                    f = fragment(a[slice(*x)], b_ids[slice(*y)], a_ends[slice(*x)], b_ends[slice(*y)])
+                    f = fragment(found.a[slice(*x)], found.b[slice(*y)], a_ends[slice(*x)], b_ends[slice(*y)])
                     rows += _released(row, doc_id, max(low, start), f, max(low, start))
                 yield from _rows_out(rows).to_batches()
 
