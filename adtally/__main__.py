@@ -47,7 +47,7 @@ def parser() -> argparse.ArgumentParser:
     for arg in ("--out", "--report"):
         ended.add_argument(arg, required=True)
     stream = jobs.add_parser("stream")
-    stream.add_argument("name", choices=sorted(streams.INCREMENTS | streams.TOTALS))
+    stream.add_argument("name", choices=sorted(streams.JOBS))
     stream.add_argument("--result-topic", help="send result messages there")
     listed = jobs.add_parser("list-filter", help="keep the messages whose group is on a list")
     listed.add_argument("--list", required=True, help="text file with one group id per line, read for every batch")
@@ -86,7 +86,7 @@ def main(argv: list[str] | None = None) -> None:
         emit = None
         if args.result_topic:
             emit = streams.publisher(
-                args.name, args.out, lambda df: reports.send_batch(df, args.servers, args.result_topic))
+                args.name, lambda df: reports.send_batch(df, args.servers, args.result_topic))
         streams.start(args.name, source, args.out, args.checkpoint, trigger, emit, f"{args.out}_malformed")
         spark.streams.awaitAnyTermination()
     elif args.job == "fraud":

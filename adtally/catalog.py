@@ -4,8 +4,8 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable
-from functools import reduce
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -19,6 +19,7 @@ from adtally.operators.rollup import SCOPE
 from adtally.plans import streams
 from adtally.session import configure, stage, work_dir
 from adtally.sinks import tables
+from adtally.sinks.ledger import Ledger
 from adtally.sources import logs, sample
 from adtally.streaming import rollups, runner
 from adtally.streaming.filters import click_watch
@@ -520,8 +521,19 @@ def malformed_quarantine(spark, sf):
 
 # ------------------------------------------------------------------ streams
 
+#: Micro-batches of the streams.
+PARTS = 4
+
+
+def _staged_stream(spark, sf, name, schema, key) -> DataFrame:
+    """A table as a stream of files, as many in each of ``PARTS`` micro-batches as there are cores."""
+    path, files = work_dir(spark, f"{name}-files"), spark.sparkContext.defaultParallelism
+    sample.table(spark, sf, name).repartition(PARTS * files, key).write.parquet(path)
+    return spark.readStream.schema(schema).option("maxFilesPerTrigger", files).parquet(path)
+
+
 def _event_stream(spark, sf):
-    return sample.table_stream(spark, sf, "events", sample.EVENTS_SCHEMA)
+    return _staged_stream(spark, sf, "events", sample.EVENTS_SCHEMA, "event_id")
 
 
 def _parsed(log: DataFrame, schema: T.StructType, topic=None, keep_missing=()) -> DataFrame:
@@ -531,22 +543,13 @@ def _parsed(log: DataFrame, schema: T.StructType, topic=None, keep_missing=()) -
     return logs.good(logs.parse_messages(messages, schema, keep=keep), schema, keep_missing)
 
 
-def _finish(spark, name, begin) -> str:
+def _streamed(spark, job, log, name, mode="append") -> Ledger:
+    """The table of a job after it has read all there is."""
     base = work_dir(spark, name)
-    begin(f"{base}/table", f"{base}/checkpoint").awaitTermination()
-    return f"{base}/table"
-
-
-def _increments(spark, log, rollup, name) -> DataFrame:
-    path = _finish(spark, name, lambda table, checkpoint: runner.start_increments(
-        log, rollup, table, checkpoint, runner.WHAT_IS_THERE))
-    return spark.read.parquet(path).drop(tables.BATCH)
-
-
-def _totals(spark, totals, keys, measures_, name) -> DataFrame:
-    path = _finish(spark, name, lambda table, checkpoint: runner.start_totals(
-        totals, table, checkpoint, runner.WHAT_IS_THERE))
-    return tables.read_latest(spark, path, keys, measures_)
+    ledger = streams.table(job, f"{base}/table")
+    runner.start_table(log, streams.JOBS[job][1], ledger, f"{base}/checkpoint", runner.WHAT_IS_THERE,
+                       mode=mode).awaitTermination()
+    return ledger
 
 
 def _zoned(df: DataFrame) -> DataFrame:
@@ -556,20 +559,48 @@ def _zoned(df: DataFrame) -> DataFrame:
 @query
 def stream_click(spark, sf):
     log = _parsed(sample.click_log(_event_stream(spark, sf)), schemas.CLICK)
-    counts = _increments(spark, log, rollups.clicks, "stream_click")
-    return _zoned(counts.groupBy(*SCOPE, *grains.CLICK).agg(F.sum("gross_cnt").alias("gross_cnt")))
+    return _zoned(_streamed(spark, "click", log, "stream_click").totals(spark))
+
+
+class _Lost(Exception):
+    """Stands for whatever may end a job after it has written."""
+
+
+@query
+def stream_click_restarted(spark, sf):
+    """Stopped after two files, started again over four, ended by an error behind a write, started once more."""
+    base = work_dir(spark, "stream_click_restarted")
+    ledger = streams.table("click", f"{base}/table", every=2)
+    parts = sample.table(spark, sf, "events").withColumn("part", F.pmod(F.xxhash64("event_id"), F.lit(PARTS)))
+    for first in (True, False):
+        some = parts.where(F.col("part") < 2 if first else F.col("part") >= 2)
+        some.repartition(2, "part").drop("part").write.mode("append").parquet(f"{base}/files")
+        for fails in (False,) if first else (True, False):
+            source = spark.readStream.schema(sample.EVENTS_SCHEMA).option("maxFilesPerTrigger", 1).parquet(f"{base}/files")
+            log = _parsed(sample.click_log(source), schemas.CLICK)
+
+            def emit(grown, batch_id, fails=fails):
+                if fails and batch_id >= 2:
+                    raise _Lost
+
+            job = runner.start_table(log, rollups.clicks, ledger, f"{base}/checkpoint", runner.WHAT_IS_THERE, emit)
+            try:
+                job.awaitTermination()
+            except StreamingQueryException:
+                if not fails:
+                    raise
+    return _zoned(ledger.totals(spark))
 
 
 @query
 def stream_click_uniq(spark, sf):
     log = _parsed(sample.click_log(_event_stream(spark, sf)), schemas.CLICK)
-    keys = [*SCOPE, *grains.CLICK]
-    return _zoned(_totals(spark, rollups.click_totals(log), keys, ["gross_cnt", "uniq_cnt"], "stream_click_uniq"))
+    return _zoned(_streamed(spark, "click-unique", log, "stream_click_uniq").totals(spark))
 
 
 def _conversion_increments(spark, sf):
     log = _parsed(sample.conversion_log(_event_stream(spark, sf)), schemas.CONVERSION)
-    return _increments(spark, log, rollups.conversions, "stream_conv")
+    return _streamed(spark, "conversion", log, "stream_conv").totals(spark)
 
 
 @query
@@ -590,17 +621,12 @@ def stream_conv_invalid(spark, sf):
 @query
 def stream_event(spark, sf):
     log = _parsed(sample.event_log(_event_stream(spark, sf)), schemas.EVENT)
-    keys = [*SCOPE, "retent_days", "kpi", "install_day", *grains.EVENT]
-    return _zoned(_totals(spark, rollups.event_totals(log), keys, ["gross_cnt", "uniq_cnt", "total_amount"],
-                          "stream_event"))
+    return _zoned(_streamed(spark, "event", log, "stream_event").totals(spark))
 
 
 def _event_id_totals(spark, sf, name):
     log = _parsed(sample.event_log(_event_stream(spark, sf)), schemas.EVENT_WITH_IDS)
-    keys = [*SCOPE, "role", "role_day", *grains.EVENT]
-    return _totals(
-        spark, rollups.event_id_totals(log), keys,
-        ["gross_cnt", "uniq_cnt", "total_amount", "kpi_code", "kpi_event_cnt", *event.RETENTION], name)
+    return rollups.with_latest_code(_streamed(spark, "event-ids", log, name).totals(spark))
 
 
 @query
@@ -620,9 +646,8 @@ def stream_event_old(spark, sf):
 
 def _impression_stream(spark, sf, kind):
     log = _parsed(sample.impression_log(_event_stream(spark, sf)), schemas.IMPRESSION)
-    counts = _increments(spark, log, lambda batch: rollups.impressions(batch, kind), f"stream_impression_{kind}")
-    name = f"gross_{kind}_cnt"
-    return _zoned(counts.groupBy(*SCOPE, *grains.IMPRESSION).agg(F.sum(name).alias(name)))
+    job = "impression" if kind == "imp" else "impression-click"
+    return _zoned(_streamed(spark, job, log, f"stream_{job}").totals(spark))
 
 
 @query
@@ -636,7 +661,7 @@ def stream_imp_click(spark, sf):
 
 
 def _demand_stream(spark, sf):
-    lines = sample.table_stream(spark, sf, "lineitem", sample.LINEITEM_SCHEMA)
+    lines = _staged_stream(spark, sf, "lineitem", sample.LINEITEM_SCHEMA, "l_orderkey")
     log = sample.demand_log(lines, sample.table(spark, sf, "supplier"), sample.table(spark, sf, "part"))
     topic = F.when(F.col("demand") == "R", F.lit("x_imps")).otherwise(F.lit("x_clks"))
     return _parsed(log, schemas.DEMAND, topic)
@@ -644,57 +669,51 @@ def _demand_stream(spark, sf):
 
 @query
 def stream_demand(spark, sf):
-    keys = [*SCOPE, "kind", *grains.DEMAND]
-    return _zoned(_totals(spark, rollups.demand_totals(_demand_stream(spark, sf)), keys,
-                          ["gross_cnt", "uniq_cnt", "cost"], "stream_demand"))
+    return _zoned(_streamed(spark, "demand", _demand_stream(spark, sf), "stream_demand").totals(spark))
 
 
 @query
 def stream_growth(spark, sf):
-    """What three batches of running totals publish, added up.
+    """What the micro-batches of a stream of unique clicks publish, added up.
 
-    The second batch is delivered twice, a snapshot falls between the second
-    and the third, and the first holds a day far in the future.
+    The third batch is delivered twice: the job ends after it has published,
+    and starts again from its checkpoint. A consumer keeps one delivery.
     """
-    path = work_dir(spark, "stream_growth")
-    projected = click.project(_clicks(spark, sf))
-    keys = grains.keys("gmt", grains.CLICK)
-    growth = runner.Growth(path, keys, ["gross_cnt", "uniq_cnt"], snapshot_every=2)
-    published = []
-    for batch_id, hours in enumerate((8, 16, 24)):
-        until = projected.where(F.pmod(tm.hour_index("clk_timestamp"), F.lit(24)) < hours)
-        totals = click.daily(until, "gmt").drop("unionk")
-        if batch_id == 0:
-            future = totals.agg(*[F.max(c).alias(c) for c in totals.columns])
-            totals = totals.unionByName(future.withColumn("dated", F.to_date(F.lit("2099-01-01"))))
-        for _ in range(2 if batch_id == 1 else 1):
-            tables.add_batch(totals, path, batch_id)
-            added = stage(spark, growth.of(spark, batch_id), "stream_growth-added")
-            growth.keep(spark, batch_id)
-        published.append(added)
-    return reduce(DataFrame.unionByName, published).where("dated < date '2099-01-01'").groupBy(*keys).agg(
-        *[F.sum(c).alias(c) for c in ("gross_cnt", "uniq_cnt")])
+    base = work_dir(spark, "stream_growth")
+    ledger = streams.table("click-unique", f"{base}/table", every=2)
+    log = _parsed(sample.click_log(_event_stream(spark, sf)), schemas.CLICK)
+    for delivered in (1, 2):
+        def publish(grown, batch_id, delivered=delivered):
+            grown.write.mode("overwrite").parquet(f"{base}/published/batch={batch_id}")
+            if batch_id == 2 and delivered == 1:
+                raise _Lost
+
+        job = runner.start_table(log, rollups.click_totals, ledger, f"{base}/checkpoint", runner.WHAT_IS_THERE, publish)
+        try:
+            job.awaitTermination()
+        except StreamingQueryException:
+            if delivered == 2:
+                raise
+    return spark.read.parquet(f"{base}/published").where("scope = 'gmt'").groupBy(
+        *grains.keys("gmt", grains.CLICK)).agg(*[F.sum(c).alias(c) for c in ("gross_cnt", "uniq_cnt")])
 
 
 @query
 def stream_supply(spark, sf):
-    counts = _increments(spark, _demand_stream(spark, sf), rollups.supply, "stream_supply")
-    return counts.groupBy("kind", "dated", *grains.SUPPLY).agg(
-        F.sum("gross_cnt").alias("gross_cnt"),
-        measures.money(F.sum(measures.money_units("revenue"))).alias("revenue"))
+    return _streamed(spark, "supply", _demand_stream(spark, sf), "stream_supply").totals(spark)
 
 
 @query
 def stream_conv_detail(spark, sf):
     log = _parsed(sample.conversion_log(_event_stream(spark, sf)), schemas.CONVERSION,
                   keep_missing=streams.MAY_BE_MISSING["conversion-detail"])
-    detail = _increments(spark, log, records.conversion_detail, "stream_conv_detail")
+    detail = _streamed(spark, "conversion-detail", log, "stream_conv_detail").rows(spark)
     return detail.groupBy("value").agg(F.count("*").alias("cnt"))
 
 
 @query
 def stream_sliding_window(spark, sf):
     """The sliding window as a stream; equals ``fraud_sliding_window``."""
-    log = _parsed(sample.click_log(_event_stream(spark, sf)), schemas.CLICK)
-    keys = ["window_start", "kind", "key"]
-    return _totals(spark, click_watch(log), keys, ["cnt"], "stream_sliding_window")
+    source = sample.table_stream(spark, sf, "events", sample.EVENTS_SCHEMA)  # by time, as in the table
+    log = _parsed(sample.click_log(source), schemas.CLICK)
+    return _streamed(spark, "click-watch", click_watch(log), "stream_sliding_window", "update").totals(spark)

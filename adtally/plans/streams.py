@@ -5,31 +5,31 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from adtally import grains, schemas
-from adtally.operators import event, records
-from adtally.operators.rollup import SCOPE
+from adtally.operators import records
+from adtally.sinks.ledger import Ledger
 from adtally.sources import logs
 from adtally.streaming import filters, rollups, runner
 
 # job -> (layout of the messages, rollup of one micro-batch)
-INCREMENTS: dict[str, tuple] = {
+JOBS: dict[str, tuple] = {
     "click": (schemas.CLICK, rollups.clicks),
     "conversion": (schemas.CONVERSION, rollups.conversions),
     "impression": (schemas.IMPRESSION, rollups.impressions),
     "impression-click": (schemas.IMPRESSION, lambda log: rollups.impressions(log, "clk")),
     "supply": (schemas.DEMAND, rollups.supply),
     "conversion-detail": (schemas.CONVERSION, records.conversion_detail),
-}
-# job -> (layout of the messages, running totals of the stream)
-TOTALS: dict[str, tuple] = {
     "click-unique": (schemas.CLICK, rollups.click_totals),
     "event": (schemas.EVENT, rollups.event_totals),
     "event-ids": (schemas.EVENT_WITH_IDS, rollups.event_id_totals),
     "demand": (schemas.DEMAND, rollups.demand_totals),
-    "click-watch": (schemas.CLICK, filters.click_watch),
+    "click-watch": (schemas.CLICK, lambda counts: counts),
 }
+# job -> what the stream itself computes before it is cut into micro-batches
+BEFORE: dict[str, Callable[[DataFrame], DataFrame]] = {"click-watch": filters.click_watch}
 WITH_TOPIC = {"supply", "demand"}
 #: Fields whose absence means something else than an empty text.
 MAY_BE_MISSING = {"click-watch": ("gaid", "idfa"), "conversion-detail": tuple(records.CONVERSION_DETAIL)}
@@ -42,43 +42,28 @@ RECORDS: dict[str, Callable[[DataFrame], DataFrame]] = {
     "impression": lambda df: records.scoped_records(df, grains.IMPRESSION, ["gross_imp_cnt"], tag="impress"),
     "impression-click": lambda df: records.scoped_records(df, grains.IMPRESSION, ["gross_clk_cnt"], tag="click"),
     "event": records.event_growth_records,
-    "event-ids": records.event_id_records,
+    "event-ids": lambda df: records.event_id_records(df.withColumn("kpi_code", F.col("last_code.kpi"))),
     "demand": lambda df: records.scoped_records(
         df, grains.DEMAND, ["gross_cnt", "uniq_cnt", "cost"], lead="kind"),
     "supply": lambda df: records.scoped_records(
         records.supply_growth(df), grains.SUPPLY, records.SUPPLY_MEASURES, lead="kind"),
     "conversion-detail": lambda df: df.select("value"),
 }
-# stateful job -> keys and measures of its total table
-TOTAL_COLUMNS = {
-    "click-unique": ([*SCOPE, *grains.CLICK], ["gross_cnt", "uniq_cnt"]),
-    "event": ([*SCOPE, "retent_days", "kpi", "install_day", *grains.EVENT],
-              ["gross_cnt", "uniq_cnt", "total_amount"]),
-    "event-ids": ([*SCOPE, "role", "role_day", *grains.EVENT],
-                  ["gross_cnt", "uniq_cnt", "total_amount", *event.RETENTION]),
-    "demand": ([*SCOPE, "kind", *grains.DEMAND], ["gross_cnt", "uniq_cnt", "cost"]),
-}
-# stateful job -> columns that are no measures but belong to its messages
-CARRIED = {"event-ids": ["kpi_code"]}
 
 
-def publisher(job: str, path: str, send: Callable[[DataFrame], None]) -> Callable[[DataFrame, int], None]:
-    """An ``emit`` that turns what each micro-batch added into messages and sends them.
+def table(job: str, path: str, **options) -> Ledger:
+    """The table of a job."""
+    return Ledger(path, rollups.MERGES[job], **options)
+
 
-    Counting jobs send the batch itself, jobs with running totals send the
-    growth of the totals. A job without result messages is refused here,
-    before anything has started.
+def publisher(job: str, send: Callable[[DataFrame], None]) -> Callable[[DataFrame, int], None]:
+    """An ``emit`` that turns what each micro-batch changed into messages and sends them.
+
+    A job without result messages is refused here, before anything has started.
     """
     if job not in RECORDS:
         raise ValueError(f"{job} has no result messages; jobs that have: {', '.join(sorted(RECORDS))}")
-
-    def publish(added: DataFrame, batch_id: int) -> None:
-        send(RECORDS[job](added))
-
-    if job in TOTAL_COLUMNS:
-        keys, measures = TOTAL_COLUMNS[job]
-        return runner.Growth(path, keys, measures, carried=CARRIED.get(job)).emit_to(publish)
-    return publish
+    return lambda grown, batch_id: send(RECORDS[job](grown))
 
 
 def start(job: str, messages: DataFrame, path: str, checkpoint: str, trigger: dict | None = None,
@@ -87,15 +72,14 @@ def start(job: str, messages: DataFrame, path: str, checkpoint: str, trigger: di
 
     With ``quarantine`` the messages that could not be read are kept there.
     """
-    schema, fn = (INCREMENTS | TOTALS)[job]
+    schema, rollup = JOBS[job]
     keep = ["topic"] if job in WITH_TOPIC else None
     parsed = logs.parse_messages(messages, schema, keep=keep)
     log = logs.good(parsed, schema, MAY_BE_MISSING.get(job, ()))
-    queries = []
-    if job in TOTALS:
-        queries.append(runner.start_totals(fn(log), path, f"{checkpoint}/main", trigger, emit))
-    else:
-        queries.append(runner.start_increments(log, fn, path, f"{checkpoint}/main", trigger, emit))
+    mode = "append"
+    if job in BEFORE:
+        log, mode = BEFORE[job](log), "update"
+    queries = [runner.start_table(log, rollup, table(job, path), f"{checkpoint}/main", trigger, emit, mode)]
     if quarantine:
         queries.append(runner.start_quarantine(parsed, quarantine, f"{checkpoint}/bad", trigger))
     return queries

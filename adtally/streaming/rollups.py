@@ -1,7 +1,7 @@
-"""What the streams count.
+"""What the streams count in a micro-batch, and how micro-batches add up.
 
-Functions on a micro-batch return increments and keep no state; functions
-named ``*_totals`` take the stream itself and keep a visitor sketch per grain.
+No function keeps state. Unique counts are kept as visitor sketches, which the
+table of a stream merges.
 """
 
 from __future__ import annotations
@@ -14,22 +14,39 @@ from adtally.functions import measures as ms
 from adtally.functions import time as tm
 from adtally.functions.identity import sketch_key
 from adtally.operators import click, conversion, demand, event, impression
-from adtally.operators.rollup import SCOPE, by_scope, fan_out, money_sum, sum_of
-from adtally.streaming.runner import day_totals
+from adtally.operators.rollup import SCOPE, by_scope, money_sum, sum_of
+from adtally.sinks.ledger import Merge
 
 LOG2_REGISTERS = 12
-CLICK_IDLE_HOURS = 12
-EVENT_IDLE_HOURS = 24
-EVENT_IDS_IDLE_HOURS = 12
-DEMAND_IDLE_HOURS = 24
+# Local time of the latest zone, and a day for clocks that are wrong.
+AHEAD_HOURS = 38
+_VISITORS = {"visitors": "uniq_cnt"}
+
+#: Job -> how its micro-batches add up.
+MERGES: dict[str, Merge] = {
+    "click": Merge([*SCOPE, *grains.CLICK], ["gross_cnt"]),
+    "conversion": Merge([*SCOPE, *grains.CONVERSION, "invalid_type"], conversion.COUNTS, ["net_profit", "tac"]),
+    "impression": Merge([*SCOPE, *grains.IMPRESSION], ["gross_imp_cnt"]),
+    "impression-click": Merge([*SCOPE, *grains.IMPRESSION], ["gross_clk_cnt"]),
+    "supply": Merge(["kind", "dated", *grains.SUPPLY], ["gross_cnt"], ["revenue"]),
+    "conversion-detail": Merge([]),
+    "click-unique": Merge([*SCOPE, *grains.CLICK], ["gross_cnt"], [], _VISITORS),
+    "event": Merge([*SCOPE, *event.FINE], ["gross_cnt"], ["total_amount"], _VISITORS),
+    "event-ids": Merge([*SCOPE, "role", "role_day", *grains.EVENT], ["gross_cnt", *event.RETENTION], ["total_amount"],
+                       _VISITORS, ["last_code"]),
+    "demand": Merge([*SCOPE, "kind", *grains.DEMAND], ["gross_cnt"], ["cost"], _VISITORS),
+    "click-watch": Merge(["window_start", "kind", "key"], latest=["cnt"]),
+}
 
 
 def _sketch(key: str) -> Column:
-    return F.hll_sketch_agg(sketch_key(key), F.lit(LOG2_REGISTERS))
+    return F.hll_sketch_agg(sketch_key(key), F.lit(LOG2_REGISTERS)).alias("visitors")
 
 
-def _uniq(key: str, name: str = "uniq_cnt") -> Column:
-    return F.hll_sketch_estimate(_sketch(key)).alias(name)
+def _credible(rows: DataFrame) -> DataFrame:
+    """Without records from more than ``AHEAD_HOURS`` after now, which cannot be true."""
+    now = F.unix_seconds(F.current_timestamp())
+    return rows.where(F.col("scope_epoch") <= now + AHEAD_HOURS * 3600)
 
 
 def clicks(log: DataFrame) -> DataFrame:
@@ -57,9 +74,10 @@ def supply(log: DataFrame) -> DataFrame:
 
 
 def click_totals(log: DataFrame) -> DataFrame:
-    """Gross and estimated unique clicks, in both scopes alike."""
-    rows = fan_out(log.withColumn("visitor", _joined("ip", "gaid", "idfa", "adid", "ua")), "clk_timestamp")
-    return day_totals(rows, grains.CLICK, [F.count("*").alias("gross_cnt"), _uniq("visitor")], CLICK_IDLE_HOURS)
+    """Gross clicks and sketches of visitors, in both scopes alike."""
+    rows = by_scope(log.withColumn("visitor", _joined("ip", "gaid", "idfa", "adid", "ua")), "clk_timestamp",
+                    keep_epoch=True)
+    return _credible(rows).groupBy(*MERGES["click-unique"].keys).agg(F.count("*").alias("gross_cnt"), _sketch("visitor"))
 
 
 def _joined(*ids: str) -> Column:
@@ -68,27 +86,26 @@ def _joined(*ids: str) -> Column:
 
 def event_totals(log: DataFrame) -> DataFrame:
     """The fine event rows: by event day, install day, retention day and KPI code."""
-    totals = day_totals(event.rows_by_scope(log).drop("dated"), event.FINE, [
-        F.count("*").alias("gross_cnt"), _uniq("click_id"), money_sum("order_amount", "total_amount"),
-    ], EVENT_IDLE_HOURS)
-    return totals.withColumn("event_day", F.col("dated"))
+    return _credible(event.rows_by_scope(log)).groupBy(*MERGES["event"].keys).agg(
+        F.count("*").alias("gross_cnt"), _sketch("click_id"), money_sum("order_amount", "total_amount"))
 
 
 def event_id_totals(log: DataFrame) -> DataFrame:
     """The earlier event form.
 
     Rows count on the event day and on the install day (``role_day``). Each
-    carries the KPI of the latest code seen for its key.
+    carries the latest code seen for its key.
     """
-    rows = event.by_day_role(event.flagged(log)).withColumn("role_day", tm.utc_day("role_epoch"))
-    totals = day_totals(rows, ["role", "role_day", *grains.EVENT], [
-        F.count("*").alias("gross_cnt"),
-        _uniq("visitor"),
-        money_sum("order_amount", "total_amount"),
-        F.max(F.struct("event_timestamp", "kpi")).getField("kpi").alias("kpi_code"),
-        *[sum_of(r) for r in event.RETENTION],
-    ], EVENT_IDS_IDLE_HOURS)
-    return event.with_code_kpi(totals)
+    rows = _credible(event.by_day_role(event.flagged(log))).withColumns(
+        {"dated": tm.utc_day("scope_epoch"), "role_day": tm.utc_day("role_epoch")})
+    return rows.groupBy(*MERGES["event-ids"].keys).agg(
+        F.count("*").alias("gross_cnt"), _sketch("visitor"), money_sum("order_amount", "total_amount"),
+        F.max(F.struct("event_timestamp", "kpi")).alias("last_code"), *[sum_of(r) for r in event.RETENTION])
+
+
+def with_latest_code(rows: DataFrame) -> DataFrame:
+    """The KPI that the latest code of each row stands for."""
+    return event.with_code_kpi(rows.withColumn("kpi_code", F.col("last_code.kpi")))
 
 
 def event_id_records(totals: DataFrame) -> DataFrame:
@@ -109,8 +126,6 @@ def event_id_records(totals: DataFrame) -> DataFrame:
 
 
 def demand_totals(log: DataFrame) -> DataFrame:
-    rows = fan_out(demand.demand_rows(demand.flatten_stream(log)), "epoch")
-    return day_totals(rows, ["kind", *grains.DEMAND], [
-        F.count("*").alias("gross_cnt"), _uniq("uv"), money_sum("cost"),
-    ], DEMAND_IDLE_HOURS)
-
+    rows = by_scope(demand.demand_rows(demand.flatten_stream(log)), "epoch", keep_epoch=True)
+    return _credible(rows).groupBy(*MERGES["demand"].keys).agg(
+        F.count("*").alias("gross_cnt"), _sketch("uv"), money_sum("cost"))

@@ -1,31 +1,23 @@
-"""Running a stream into a table, and reading the table back.
+"""Running a stream into a table.
 
-Two kinds of table exist. An *increment* table holds what each micro-batch
-added; its summary is the sum. A *total* table holds the running totals of the
-keys a micro-batch touched; its summary is the last state of each key. Both
-keep one folder per micro-batch, so a batch that is replayed after a failure
-replaces its own folder and nothing counts twice.
+Every micro-batch is rolled up on its own and added to a ``Ledger``, which
+merges batches as time goes by. A batch that is replayed after a failure
+replaces its own part, so nothing counts twice. Nothing is forgotten either:
+what a late record adds to is read from the table.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
-from adtally.sinks import tables
+from adtally.sinks.ledger import Ledger, Merge
 
 EVERY_20_SECONDS = {"processingTime": "20 seconds"}
 WHAT_IS_THERE = {"availableNow": True}
 
-# Local time of the latest zone runs this far ahead of that of the earliest.
-OFFSET_SPREAD_HOURS = 26
-# Local time of the latest zone, and a day for clocks that are wrong.
-AHEAD_HOURS = 38
-
 Emit = Callable[[DataFrame, int], None]
 
 
@@ -35,142 +27,21 @@ def start(stream: DataFrame, checkpoint: str, each_batch: Emit, mode: str = "app
     return writer.foreachBatch(each_batch).trigger(**(trigger or EVERY_20_SECONDS)).start()
 
 
-def start_increments(stream: DataFrame, rollup: Callable[[DataFrame], DataFrame], path: str, checkpoint: str,
-                     trigger: dict | None = None, emit: Emit | None = None) -> StreamingQuery:
-    """Roll up each micro-batch on its own; no state is kept."""
-    def each(batch: DataFrame, batch_id: int) -> None:
-        tables.add_batch(rollup(batch), path, batch_id)
-        if emit:
-            emit(_batch(batch.sparkSession, path, batch_id), batch_id)
-
-    return start(stream, checkpoint, each, trigger=trigger)
-
-
-def start_totals(totals: DataFrame, path: str, checkpoint: str, trigger: dict | None = None,
-                 emit: Emit | None = None) -> StreamingQuery:
-    """Keep running totals of a stateful rollup."""
+def start_table(stream: DataFrame, rollup: Callable[[DataFrame], DataFrame], ledger: Ledger, checkpoint: str,
+                trigger: dict | None = None, emit: Emit | None = None, mode: str = "append") -> StreamingQuery:
+    """Add the rollup of each micro-batch to a table. ``emit`` gets what the batch changed, if anything."""
     def each(batch: DataFrame, batch_id: int) -> None:
-        tables.add_batch(batch, path, batch_id)
-        if emit:
-            emit(_batch(batch.sparkSession, path, batch_id), batch_id)
-
-    return start(totals, checkpoint, each, mode="update", trigger=trigger)
-
-
-def _batch(spark: SparkSession, path: str, batch_id: int) -> DataFrame:
-    return spark.read.parquet(f"{path}/{tables.BATCH}={batch_id}")
-
-
-class Growth:
-    """What each micro-batch added to a total table.
-
-    A batch is compared with the last earlier state of its keys. That state is
-    kept as a snapshot after every ``snapshot_every`` batches, so a batch reads
-    one snapshot and a limited number of batch folders however long the stream
-    has been running. All paths follow from the batch number; nothing is
-    listed.
-
-    A snapshot forgets a day that ``idle_batches`` batches have not touched
-    (four days of 20 s by default, longer than any state lives). What other
-    days the records carry, be they far in the future, has no part in that.
-    Columns in ``carried`` are passed on as the batch has them.
-    """
+        spark = batch.sparkSession
+        ledger.compact(spark, batch_id)
+        ledger.add(rollup(batch), batch_id)
+        grown = ledger.growth(spark, batch_id) if emit else None
+        if grown is not None:
+            emit(grown, batch_id)
 
-    def __init__(self, path: str, keys: list[str], measures: list[str], gross: str = "gross_cnt",
-                 uniq: str = "uniq_cnt", snapshot_every: int = 100, idle_batches: int = 17_280,
-                 carried: list[str] | None = None) -> None:
-        self.path, self.keys, self.measures, self.carried = path, keys, measures, carried or []
-        self.gross, self.uniq = gross, uniq
-        self.snapshot_every, self.idle_batches = snapshot_every, idle_batches
-
-    def _snapshot_path(self, batch_id: int) -> str:
-        return f"{self.path}_snapshots/upto={batch_id}"
-
-    def _state_before(self, spark: SparkSession, batch_id: int) -> DataFrame | None:
-        """The last state of each key before a batch, None before the first."""
-        last_snapshot = batch_id // self.snapshot_every * self.snapshot_every - 1
-        columns = [*self.keys, *self.measures, tables.BATCH]
-        parts = []
-        if last_snapshot >= 0:
-            parts.append(spark.read.parquet(self._snapshot_path(last_snapshot)).select(*columns))
-        since = [f"{self.path}/{tables.BATCH}={i}" for i in range(last_snapshot + 1, batch_id)]
-        if since:
-            batches = spark.read.option("basePath", self.path).parquet(*since)
-            parts.append(batches.withColumn(tables.BATCH, F.col(tables.BATCH).cast("long")).select(*columns))
-        if not parts:
-            return None
-        rows = reduce(DataFrame.unionByName, parts)
-        last = F.max_by(F.struct(*self.measures, tables.BATCH), tables.BATCH).alias("last")
-        return rows.groupBy(*self.keys).agg(last).select(*self.keys, "last.*")
-
-    def of(self, spark: SparkSession, batch_id: int) -> DataFrame:
-        """Growth of every key the batch touched.
-
-        The growth of an estimated unique count may exceed the records of the
-        batch by estimation noise; it is capped at them.
-        """
-        now = _batch(spark, self.path, batch_id)
-        before = self._state_before(spark, batch_id)
-        if before is None:
-            grown = now.select(*self.keys, *self.measures, *self.carried)
-        else:
-            low, high = now.agg(F.min("dated"), F.max("dated")).first()
-            before = before.where(F.col("dated").between(F.lit(low), F.lit(high)))
-            same = reduce(lambda a, b: a & b, [now[k].eqNullSafe(before[k]) for k in self.keys])
-            grown = now.join(before, same, "left").select(
-                *[now[k] for k in self.keys],
-                *[(now[m] - F.coalesce(before[m], F.lit(0))).alias(m) for m in self.measures],
-                *[now[c] for c in self.carried])
-        return grown.withColumn(self.uniq, F.least(self.uniq, self.gross))
-
-    def keep(self, spark: SparkSession, batch_id: int) -> None:
-        """Write the snapshot that falls due after a batch."""
-        if (batch_id + 1) % self.snapshot_every:
-            return
-        state = self._state_after(spark, batch_id)
-        live = state.groupBy("dated").agg(F.max(tables.BATCH).alias("touched")).where(
-            F.col("touched") > batch_id - self.idle_batches)
-        state = state.join(live.select("dated"), "dated", "left_semi").select(state.columns)
-        state.write.mode("overwrite").parquet(self._snapshot_path(batch_id))
-
-    def _state_after(self, spark: SparkSession, batch_id: int) -> DataFrame:
-        now = _batch(spark, self.path, batch_id).select(
-            *self.keys, *self.measures, F.lit(batch_id).cast("long").alias(tables.BATCH))
-        before = self._state_before(spark, batch_id)
-        if before is None:
-            return now
-        rows = before.unionByName(now)
-        last = F.max_by(F.struct(*self.measures, tables.BATCH), tables.BATCH).alias("last")
-        return rows.groupBy(*self.keys).agg(last).select(*self.keys, "last.*")
-
-    def emit_to(self, publish: Emit) -> Emit:
-        """An ``emit`` for ``start_totals`` that publishes the growth of each batch."""
-        def emit(batch: DataFrame, batch_id: int) -> None:
-            spark = batch.sparkSession
-            publish(self.of(spark, batch_id), batch_id)
-            self.keep(spark, batch_id)
-
-        return emit
+    return start(stream, checkpoint, each, mode, trigger)
 
 
 def start_quarantine(parsed: DataFrame, path: str, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
     """Keep the messages that could not be read."""
     bad = parsed.where("malformed").select("value")
-    return start(bad, checkpoint, lambda batch, i: tables.add_batch(batch, path, i), trigger=trigger)
-
-
-def day_totals(rows: DataFrame, keys: list[str], aggregates: list, idle_hours: int) -> DataFrame:
-    """Running totals per scope, offset, day and ``keys``.
-
-    ``rows`` carry ``scope``, ``timezone`` and ``scope_epoch``. State of a day
-    is dropped once the latest local time is ``idle_hours`` past its end;
-    records of a dropped day are ignored and left to the daily job. So are
-    records from more than ``AHEAD_HOURS`` after now: they cannot be true and
-    would end the days that are still counted.
-    """
-    now = F.unix_seconds(F.current_timestamp())
-    rows = rows.where(F.col("scope_epoch") <= now + AHEAD_HOURS * 3600)
-    delay = f"{idle_hours + OFFSET_SPREAD_HOURS} hours"
-    timed = rows.withColumn("scope_ts", F.timestamp_seconds("scope_epoch")).withWatermark("scope_ts", delay)
-    out = timed.groupBy(F.window("scope_ts", "1 day").alias("day"), "scope", "timezone", *keys).agg(*aggregates)
-    return out.withColumn("dated", F.to_date("day.start")).drop("day")
+    return start_table(bad, lambda messages: messages, Ledger(path, Merge([])), checkpoint, trigger)

@@ -391,6 +391,7 @@ def scoped(scope: str, source: str, epoch: str, names: list[str], measures: str)
 
 ORACLE["stream_click"] = CLICKS + both_scopes(
     lambda s: scoped(s, "click_log", "clk_timestamp", CLICK, "count(*) AS gross_cnt"))
+ORACLE["stream_click_restarted"] = ORACLE["stream_click"]
 ORACLE["stream_click_uniq"] = CLICKS + both_scopes(
     lambda s: scoped(s, "click_log", "clk_timestamp", CLICK,
                      f"count(*) AS gross_cnt, count(DISTINCT {VISITOR}) AS uniq_cnt"))

@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from adtally import grains, schemas
 from adtally.operators import click, event
 from adtally.plans import streams
-from adtally.sinks import reports, tables
+from adtally.sinks import reports
+from adtally.sinks.ledger import Ledger, Merge
 from adtally.sources import logs, messages
 from adtally.streaming import filters, rollups, runner
 from tests.conftest import values
@@ -56,15 +57,19 @@ def run(feed, job, **kwargs):
         query.awaitTermination()
 
 
+def totals(spark, feed, job, path="out"):
+    return streams.table(job, feed.path(path)).totals(spark)
+
+
 def test_counts_without_state_add_up_over_batches(spark, feed):
     feed.send(click_record(), click_record("b"))
     feed.send(click_record(), "not json", click_record(at="x"))
     run(feed, "click", quarantine=feed.path("bad"))
-    table = spark.read.parquet(feed.path("out"))
-    assert table.select(tables.BATCH).distinct().count() == 2
-    total = table.groupBy("scope", "dated").agg(F.sum("gross_cnt"))
+    table = streams.table("click", feed.path("out"))
+    assert [p.name[-1] for p in table.parts(spark)] == ["0", "1"]
+    total = table.rows(spark).groupBy("scope", "dated").agg(F.sum("gross_cnt"))
     assert values(total) == [("adx", dt.date(2024, 1, 9), 3), ("gmt", dt.date(2024, 1, 10), 3)]
-    bad = spark.read.parquet(feed.path("bad"))
+    bad = Ledger(feed.path("bad"), Merge([])).rows(spark)
     assert values(bad, "value") == [("not json",), (json.dumps(click_record(at="x")),)]
 
 
@@ -74,15 +79,11 @@ def test_a_restart_goes_on_where_it_stopped(spark, feed):
     feed.send(click_record(), click_record())
     run(feed, "click")
     run(feed, "click")
-    total = spark.read.parquet(feed.path("out")).where("scope = 'gmt'").agg(F.sum("gross_cnt")).first()[0]
+    total = totals(spark, feed, "click").where("scope = 'gmt'").agg(F.sum("gross_cnt")).first()[0]
     assert total == 3
 
 
-KEYS = ["scope", "timezone", "dated", *grains.CLICK]
-
-
-@pytest.mark.parametrize("snapshot_every", [100, 2, 1])
-def test_unique_totals_and_their_growth(spark, feed, snapshot_every):
+def test_unique_totals_and_their_growth(spark, feed):
     feed.send(click_record("a"), click_record("a"), click_record("b"))
     feed.send(click_record("a"), click_record("c"))
     feed.send(click_record("c"))
@@ -92,47 +93,9 @@ def test_unique_totals_and_their_growth(spark, feed, snapshot_every):
     def publish(growth, batch_id):
         grown.append(values(growth.where("scope = 'gmt'"), "gross_cnt", "uniq_cnt"))
 
-    growth = runner.Growth(feed.path("out"), KEYS, ["gross_cnt", "uniq_cnt"], snapshot_every=snapshot_every)
-    run(feed, "click-unique", emit=growth.emit_to(publish))
-    last = tables.read_latest(spark, feed.path("out"), KEYS, ["gross_cnt", "uniq_cnt"])
-    assert values(last, "scope", "gross_cnt", "uniq_cnt") == [("adx", 8, 4), ("gmt", 8, 4)]
-    assert [g for g in grown if g] == [[(3, 2)], [(2, 1)], [(1, 0)], [(2, 1)]]
-
-
-def test_growth_is_capped_at_the_records_of_the_batch(spark, frame, tmp_path):
-    path = str(tmp_path / "t")
-    layout = "dated date, gross_cnt long, uniq_cnt long"
-    day = dt.date(2024, 1, 10)
-    tables.add_batch(frame([(day, 10, 11)], layout), path, 0)
-    tables.add_batch(frame([(day, 12, 15)], layout), path, 1)
-    growth = runner.Growth(path, ["dated"], ["gross_cnt", "uniq_cnt"])
-    assert values(growth.of(spark, 0)) == [(day, 10, 10)]
-    assert values(growth.of(spark, 1)) == [(day, 2, 2)]
-
-
-def test_growth_outlives_a_record_from_the_future(spark, frame, tmp_path):
-    path = str(tmp_path / "t")
-    layout = "dated date, gross_cnt long, uniq_cnt long"
-    day, future = dt.date(2024, 1, 1), dt.date(2099, 1, 1)
-    growth = runner.Growth(path, ["dated"], ["gross_cnt", "uniq_cnt"], snapshot_every=1)
-    grown = []
-    for batch_id, rows in enumerate([[(day, 100, 9)], [(future, 1, 1)], [(day, 101, 9)]]):
-        tables.add_batch(frame(rows, layout), path, batch_id)
-        grown.append(values(growth.of(spark, batch_id)))
-        growth.keep(spark, batch_id)
-    assert grown == [[(day, 100, 9)], [(future, 1, 1)], [(day, 1, 0)]]
-
-
-def test_snapshots_forget_days_untouched_for_long(spark, frame, tmp_path):
-    path = str(tmp_path / "t")
-    layout = "dated date, gross_cnt long, uniq_cnt long"
-    old, new = dt.date(2024, 1, 1), dt.date(2024, 1, 10)
-    growth = runner.Growth(path, ["dated"], ["gross_cnt", "uniq_cnt"], snapshot_every=1, idle_batches=2)
-    for batch_id, day in enumerate([old, new, new]):
-        tables.add_batch(frame([(day, 1, 1)], layout), path, batch_id)
-        growth.keep(spark, batch_id)
-    assert values(spark.read.parquet(f"{path}_snapshots/upto=1"), "dated") == [(old,), (new,)]
-    assert values(spark.read.parquet(f"{path}_snapshots/upto=2"), "dated") == [(new,)]
+    run(feed, "click-unique", emit=publish)
+    assert values(totals(spark, feed, "click-unique"), "scope", "gross_cnt", "uniq_cnt") == [("adx", 8, 4), ("gmt", 8, 4)]
+    assert grown == [[(3, 2)], [(2, 1)], [(1, 0)], [(2, 1)]]
 
 
 def test_records_from_the_future_end_no_day(spark, feed):
@@ -140,7 +103,7 @@ def test_records_from_the_future_end_no_day(spark, feed):
     feed.send(click_record("a", at=4_000_000_000), click_record("b"))
     feed.send(click_record("c"))
     run(feed, "click-unique")
-    last = tables.read_latest(spark, feed.path("out"), KEYS, ["gross_cnt", "uniq_cnt"])
+    last = totals(spark, feed, "click-unique")
     assert values(last, "scope", "gross_cnt", "uniq_cnt") == [("adx", 3, 3), ("gmt", 3, 3)]
 
 
@@ -150,13 +113,13 @@ def test_records_from_the_future_end_no_day(spark, feed):
 def test_watched_advertising_id(spark, feed, record, key):
     feed.send({"clk_timestamp": MIDNIGHT, "ip": "1.1.1.1", **record})
     run(feed, "click-watch")
-    seen = spark.read.parquet(feed.path("out")).where("kind = '10002'").select("key").distinct()
+    seen = totals(spark, feed, "click-watch").where("kind = '10002'").select("key").distinct()
     assert values(seen) == [(key,)]
 
 
 def test_a_stream_without_messages_is_refused_at_once():
     with pytest.raises(ValueError):
-        streams.publisher("click-watch", "anywhere", lambda df: None)
+        streams.publisher("click-watch", lambda df: None)
 
 
 def test_messages_of_the_earlier_event_form(spark, feed):
@@ -166,7 +129,7 @@ def test_messages_of_the_earlier_event_form(spark, feed):
     sent = []
 
     def send():
-        emit = streams.publisher("event-ids", feed.path("out"), lambda df: sent.append(values(df)))
+        emit = streams.publisher("event-ids", lambda df: sent.append(values(df)))
         run(feed, "event-ids", emit=emit)
 
     feed.send(record)
@@ -185,18 +148,24 @@ def test_messages_of_the_earlier_event_form(spark, feed):
 def test_an_absent_publisher_is_0_in_the_detail(spark, feed):
     feed.send({"click_id": "c"})
     run(feed, "conversion-detail")
-    assert values(spark.read.parquet(feed.path("out")), "value")[0][0].startswith("c<;>0<;>0<;>0<;>0<;><;>0.0")
+    assert values(streams.table("conversion-detail", feed.path("out")).rows(spark), "value")[0][0].startswith("c<;>0<;>0<;>0<;>0<;><;>0.0")
 
 
-def test_state_of_old_days_is_dropped(spark, feed):
+@pytest.mark.parametrize("every", [2, 50])
+def test_a_late_record_adds_to_its_day_however_long_ago(spark, feed, every):
+    """Neither the number of batches since nor their times matter: nothing is forgotten."""
     feed.send(click_record("a"))
-    # Long after the day has ended the watermark moves past it, which holds from the next batch but one.
-    feed.send(click_record("a", at=MIDNIGHT + 10 * 86400))
-    feed.send(click_record("a", at=MIDNIGHT + 10 * 86400))
-    feed.send(click_record("late"))
-    run(feed, "click-unique")
-    last = tables.read_latest(spark, feed.path("out"), KEYS, ["gross_cnt", "uniq_cnt"])
-    assert (dt.date(2024, 1, 10), 1, 1) in values(last.where("scope = 'gmt'"), "dated", "gross_cnt", "uniq_cnt")
+    for i in range(5):
+        feed.send(click_record("a", at=MIDNIGHT + (10 + i) * 86400))
+    feed.send(click_record("late"), click_record("a"))
+    grown = []
+    ledger = streams.table("click-unique", feed.path("out"), every=every)
+    log = feed.log(schemas.CLICK)
+    runner.start_table(log, rollups.click_totals, ledger, feed.path("ck"), NOW, lambda df, i: grown.append(
+        values(df.where("scope = 'gmt'"), "dated", "gross_cnt", "uniq_cnt"))).awaitTermination()
+    assert grown[-1] == [(dt.date(2024, 1, 10), 2, 1)]
+    last = ledger.totals(spark, [dt.date(2024, 1, 10)]).where("scope = 'gmt'")
+    assert values(last, "gross_cnt", "uniq_cnt") == [(3, 2)]
 
 
 def test_unique_totals_match_the_batch_count(spark, sf, feed):
@@ -204,7 +173,7 @@ def test_unique_totals_match_the_batch_count(spark, sf, feed):
     for part in range(3):
         feed.send(*rows[part::3])
     run(feed, "click-unique")
-    last = tables.read_latest(spark, feed.path("out"), KEYS, ["gross_cnt", "uniq_cnt"])
+    last = totals(spark, feed, "click-unique")
     got = last.where("scope = 'gmt'").first()
     assert got.gross_cnt == 3000 and abs(got.uniq_cnt - 700) <= 0.049 * 700
 
@@ -215,8 +184,7 @@ def test_event_stream_keeps_the_fine_grain(spark, feed):
     feed.send(record, record)
     feed.send({**record, "click_id": ""}, {**record, "kpi": 1})
     run(feed, "event")
-    keys = ["scope", "timezone", "dated", "retent_days", "kpi", "install_day", *grains.EVENT]
-    last = tables.read_latest(spark, feed.path("out"), keys, ["gross_cnt", "uniq_cnt", "total_amount"])
+    last = totals(spark, feed, "event")
     d9, d10 = dt.date(2024, 1, 9), dt.date(2024, 1, 10)
     gmt = last.where("scope = 'gmt'")
     assert values(gmt, "dated", "install_day", "retent_days", "kpi", "gross_cnt", "uniq_cnt", "total_amount") == [
@@ -231,9 +199,7 @@ def test_earlier_event_form(spark, feed):
     feed.send(record, {**record, "event_timestamp": MIDNIGHT + 7200, "kpi": 2, "ip": "b"},
               {**record, "aff_id": 7, "kpi": 915, "install_timestamp": MIDNIGHT - 86400})
     run(feed, "event-ids")
-    keys = ["scope", "timezone", "dated", "role", "role_day", *grains.EVENT]
-    measures = ["gross_cnt", "uniq_cnt", "total_amount", "kpi_code", "kpi_event_cnt", *event.RETENTION]
-    last = tables.read_latest(spark, feed.path("out"), keys, measures).where("scope = 'gmt'")
+    last = rollups.with_latest_code(totals(spark, feed, "event-ids")).where("scope = 'gmt'")
     shown = rollups.event_id_records(last)
     got = values(shown, "aff_id", "role", "dated", "gross_cnt", "uniq_cnt", "kpi_event_cnt", "in30_retention_cnt")
     assert got == [
@@ -246,7 +212,7 @@ def test_earlier_event_form(spark, feed):
 def test_impressions_without_option_do_not_count(spark, feed):
     feed.send({"request_unix": MIDNIGHT, "option": {"region_ids": ["3", "x"]}}, {"request_unix": MIDNIGHT})
     run(feed, "impression")
-    table = spark.read.parquet(feed.path("out")).where("scope = 'gmt'")
+    table = totals(spark, feed, "impression").where("scope = 'gmt'")
     assert values(table, "province_geoname_id", "city_geoname_id", "gross_imp_cnt") == [(3, 0, 1)]
 
 
@@ -258,11 +224,10 @@ def test_demand_streams_use_the_topic(spark, feed):
     for job in ("demand", "supply"):
         for q in streams.start(job, source, feed.path(job), feed.path(f"ck-{job}"), NOW):
             q.awaitTermination()
-    keys = ["scope", "timezone", "dated", "kind", *grains.DEMAND]
-    last = tables.read_latest(spark, feed.path("demand"), keys, ["gross_cnt", "uniq_cnt", "cost"])
+    last = totals(spark, feed, "demand", "demand")
     assert values(last.where("scope = 'gmt'"), "kind", "dated", "gross_cnt", "cost") == [
         ("clks", dt.date(2024, 1, 10), 1, 2.5), ("imps", dt.date(2024, 1, 10), 1, 1.0)]
-    supply = spark.read.parquet(feed.path("supply"))
+    supply = totals(spark, feed, "supply", "supply")
     assert values(supply, "kind", "gross_cnt", "revenue") == [("clks", 1, 1.5), ("imps", 1, 0.0)]
 
 
@@ -270,7 +235,7 @@ def test_conversion_stream_counts_every_record(spark, feed):
     record = {"click_id": "c", "conv_timestamp": MIDNIGHT, "forwarded": 1, "net_profit": 0.5, "timezone": 0}
     feed.send(record, record, {**record, "invalid_type": "E001"})
     run(feed, "conversion")
-    table = spark.read.parquet(feed.path("out")).where("scope = 'gmt'")
+    table = totals(spark, feed, "conversion").where("scope = 'gmt'")
     assert values(table, "invalid_type", "gross_cnt", "valid_cnt", "notify_cnt", "net_profit") == [
         ("", 2, 2, 2, 1.0), ("E001", 1, 0, 1, 0.5)]
 
@@ -307,7 +272,7 @@ def test_sliding_window_stream_equals_the_batch(spark, feed):
     feed.send(*rows[3:])
     run(feed, "click-watch")
     keys = ["window_start", "kind", "key"]
-    last = tables.read_latest(spark, feed.path("out"), keys, ["cnt"])
+    last = totals(spark, feed, "click-watch")
     batch = filters.click_watch(logs.filled(spark.createDataFrame(
         [tuple(r.get(n) for n in schemas.CLICK.fieldNames()) for r in rows], schemas.CLICK), schemas.CLICK))
     assert values(last, *keys, "cnt") == values(batch, *keys, "cnt")
@@ -317,7 +282,7 @@ def test_stream_and_batch_share_results(spark, feed):
     rows = [click_record(f"ip{i % 5}", MIDNIGHT + i * 60, [0.0, 5.5][i % 2], aff_id=i % 3) for i in range(90)]
     feed.send(*rows)
     run(feed, "click-unique")
-    last = tables.read_latest(spark, feed.path("out"), KEYS, ["gross_cnt", "uniq_cnt"])
+    last = totals(spark, feed, "click-unique")
     batch = click.daily_by_scope(logs.filled(spark.createDataFrame(
         [tuple(r.get(n) for n in schemas.CLICK.fieldNames()) for r in rows], schemas.CLICK), schemas.CLICK))
     columns = ["scope", "dated", "aff_id", "gross_cnt", "uniq_cnt"]
@@ -326,7 +291,7 @@ def test_stream_and_batch_share_results(spark, feed):
 
 def published(feed, job):
     sent = []
-    emit = streams.publisher(job, feed.path("out"), lambda df: sent.append([r[0] for r in values(df, "value")]))
+    emit = streams.publisher(job, lambda df: sent.append([r[0] for r in values(df, "value")]))
     run(feed, job, emit=emit)
     return [messages_ for messages_ in sent if messages_]
 
@@ -368,7 +333,7 @@ def test_every_job_runs_and_publishes(spark, tmp_path):
         feed.send({"option": {}, "clk_timestamp": 1, "clickts": 1})
         source = feed.messages().withColumn("topic", F.lit("clks"))
         sent = []
-        emit = streams.publisher(job, feed.path("out"), lambda df: sent.extend(values(df)))
+        emit = streams.publisher(job, lambda df: sent.extend(values(df)))
         for query in streams.start(job, source, feed.path("out"), feed.path("ck"), NOW, emit):
             query.awaitTermination()
         assert sent, job
