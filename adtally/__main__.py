@@ -40,6 +40,8 @@ def parser() -> argparse.ArgumentParser:
     fraud = jobs.add_parser("fraud")
     for arg in ("--clicks", "--events", "--conversions", "--out"):
         fraud.add_argument(arg, required=True)
+    for arg in ("--start-date", "--end-date"):
+        fraud.add_argument(arg, type=dt.date.fromisoformat, help="clicks and events are in hour folders; read these days")
     fraud.add_argument("--more-than", type=int, default=5)
     fraud.add_argument("--click-radius", type=int, default=10, help="minutes")
     ended = jobs.add_parser("check-ended", help="check the local days that ended since an earlier time")
@@ -63,15 +65,19 @@ def parser() -> argparse.ArgumentParser:
 def read_log(spark, where: str, schema, days):
     """The log files of the days, or a Parquet log; shuffles are sized for what is read."""
     if "{day}" in where:
-        paths = logs.present(spark, logs.window_paths(where, days))
-        if not paths:
-            raise SystemExit(f"no log files match {where} for the wanted days")
-        size_shuffles(spark, total_bytes(spark, paths))
-        return logs.read_json(spark, paths, schema)
+        size_shuffles(spark, total_bytes(spark, logs.present(spark, logs.window_paths(where, days))))
+        return logs.day_files(spark, where, days, schema, keep_bad=True)
     size_shuffles(spark, total_bytes(spark, [where]))
     return spark.read.parquet(where)
 
 
+def fraud_log(spark, where: str, schema, args):
+    """JSON files, or with dates the hour folders of these days."""
+    if args.start_date:
+        return logs.hour_folders(spark, where, day_range(args.start_date, args.end_date or args.start_date), schema)
+    return logs.read_json(spark, where, schema)
+
+
 def main(argv: list[str] | None = None) -> None:
     args = parser().parse_args(argv)
     spark = build(f"adtally {args.job}")
@@ -90,8 +96,8 @@ def main(argv: list[str] | None = None) -> None:
         streams.start(args.name, source, args.out, args.checkpoint, trigger, emit, f"{args.out}_malformed")
         spark.streams.awaitAnyTermination()
     elif args.job == "fraud":
-        clicks = logs.read_json(spark, args.clicks, schemas.CLICK_FRAUD)
-        events = logs.read_json(spark, args.events, schemas.EVENT_FRAUD)
+        clicks = fraud_log(spark, args.clicks, schemas.CLICK_FRAUD, args)
+        events = fraud_log(spark, args.events, schemas.EVENT_FRAUD, args)
         conversions = logs.read_json(spark, args.conversions, schemas.CONVERSION_FRAUD)
         audit.hourly_fraud(spark, clicks, events, args.out, args.more_than)
         audit.conversion_fraud(spark, conversions, clicks, args.out, args.click_radius)
@@ -104,7 +110,8 @@ def main(argv: list[str] | None = None) -> None:
         else:
             schema, job = DAILY[args.job]
             options = {"by_tuple": True} if getattr(args, "by_tuple", False) else {}
-            job(spark, read_log(spark, args.log, schema, days), args.out, days, **options)
+            log = read_log(spark, args.log, schema, days)
+            daily.with_quarantine(spark, job, log, args.out, days, args.job, **options)
 
 
 if __name__ == "__main__":

@@ -16,7 +16,7 @@ from adtally.functions import time as tm
 from adtally.operators import (click, conversion, demand, event, fraud, impression, lists, merge, reconcile,
                                records)
 from adtally.operators.rollup import SCOPE
-from adtally.plans import streams
+from adtally.plans import daily, streams
 from adtally.session import configure, stage, work_dir
 from adtally.sinks import tables
 from adtally.sinks.ledger import Ledger
@@ -142,6 +142,61 @@ def click_daily_from_files(spark, sf):
     return _zoned(logs.on_days(click.daily_by_scope(near), days))
 
 
+def _write_lines(log: DataFrame, base: str, day, line=None) -> None:
+    """A log as text files, a folder for each ``yyyyMMdd``."""
+    line = F.to_json(F.struct(*log.columns)) if line is None else line
+    log.select(line.alias("value"), F.date_format(day, "yyyyMMdd").alias("day")).write.partitionBy("day").text(base)
+
+
+def _days_of(log: DataFrame, epoch: str, around: int) -> list[dt.date]:
+    first, last = log.agg(*[f(tm.utc_day(epoch)) for f in (F.min, F.max)]).first()
+    return tm.day_range(first - dt.timedelta(days=around), last + dt.timedelta(days=around))
+
+
+@query
+def conv_daily_from_files(spark, sf):
+    """Conversions by the three files around each day; some lines lie in the file of a later day.
+
+    A click counts once within the files of a day, and a line two files late
+    is beyond them.
+    """
+    base = work_dir(spark, "conversion_files")
+    log = sample.conversion_log(_events(spark, sf))
+    at = F.col("conv_timestamp")
+    late = F.when(at % 9 == 0, 1).when(at % 31 == 0, 2).otherwise(0)
+    _write_lines(log, base, F.date_add(tm.utc_day("conv_timestamp"), late))
+    days = _days_of(log, "conv_timestamp", 1)
+    files = logs.in_file_window(logs.day_files(spark, f"{base}/day={{day}}", days, schemas.CONVERSION), days)
+    counts = conversion.counts_of_days(logs.filled(files, schemas.CONVERSION), days)
+    return _zoned(conversion.over_reasons(counts, grains.CONVERSION))
+
+
+@query
+def daily_quarantine(spark, sf):
+    """Lines that the click job kept aside and records it counted, by file day.
+
+    Some lines are cut off, some hold text in place of a number. The job runs
+    twice; the second run replaces what the first kept.
+    """
+    base = work_dir(spark, "quarantine")
+    log = sample.click_log(_events(spark, sf))
+    line = F.to_json(F.struct(*log.columns))
+    at = F.col("clk_timestamp")
+    broken = F.when(at % 7 == 0, F.substring(line, 1, 30)).when(
+        at % 11 == 0, F.regexp_replace(line, '"algorithm":', '"algorithm":"x","other":')).otherwise(line)
+    _write_lines(log, f"{base}/files", tm.utc_day("clk_timestamp"), broken)
+    days = _days_of(log, "clk_timestamp", 1)
+    for _ in range(2):
+        files = logs.day_files(spark, f"{base}/files/day={{day}}", days, schemas.CLICK, keep_bad=True)
+        daily.with_quarantine(spark, daily.clicks, files, f"{base}/out", days, "click")
+    bad = spark.read.parquet(f"{base}/out/click_malformed").groupBy("dated").agg(
+        F.count("*").alias("bad_cnt"), F.count("record.clk_timestamp").alias("dated_bad_cnt"))
+    counted = spark.read.parquet(f"{base}/out/gmt_clk_daily_summary").groupBy("dated").agg(
+        F.sum("gross_cnt").alias("counted_cnt"))
+    return counted.join(bad, "dated", "full").select(
+        "dated", *[F.coalesce(c, F.lit(0)).alias(c) for c in ("counted_cnt", "bad_cnt", "dated_bad_cnt")])
+
+
 @query
 def uniq_reach(spark, sf):
     """Visitors of an affiliate over all days, exact and as the daily sketches estimate them."""
@@ -443,6 +498,18 @@ def fraud_hourly_event_kinds(spark, sf):
     return fraud.hourly_counts_by_kind(_event_records(spark, sf), ["event_value"])
 
 
+@query
+def fraud_hourly_click_files(spark, sf):
+    """Hot spots by the hour folders of some days in which clicks were written, now and then an hour late."""
+    base = work_dir(spark, "hour_files")
+    log = sample.click_log(_events(spark, sf))
+    filed = tm.utc_hour(F.col("clk_timestamp") + F.when(F.col("clk_timestamp") % 5 == 0, 3600).otherwise(0))
+    log.select(F.to_json(F.struct(*log.columns)).alias("value"), filed.alias("hour")).write.partitionBy("hour").text(base)
+    days = _days_of(log, "clk_timestamp", 0)[1:]
+    files = logs.filled(logs.hour_folders(spark, base, days, schemas.CLICK), schemas.CLICK)
+    return fraud.hourly_counts_by_kind(files).where(F.col("cnt") > HOT)
+
+
 @query
 def fraud_ip_profile(spark, sf):
     return fraud.ip_profile(_conversions(spark, sf))

@@ -52,6 +52,12 @@ def per_target_day(log: DataFrame, days: list[dt.date]) -> DataFrame:
     return log.withColumn("target_day", F.explode(near)).where(F.col("target_day").isin(list(days)))
 
 
+def counts_of_days(log: DataFrame, days: list[dt.date]) -> DataFrame:
+    """``counts_by_reason`` of the wanted local and UTC days, a click once within the file window of each day."""
+    unique = dedup(per_target_day(log, days), ["target_day"])
+    return counts_by_reason(unique).where("dated = target_day").drop("target_day")
+
+
 def project(records: DataFrame) -> DataFrame:
     return with_days(records, "conv_timestamp")
 

@@ -26,16 +26,22 @@ HOT_KEYS = {"ip": ["ip"], "adid": ["gaid", "idfa"], "aff": ["aff_id", "aff_pub"]
 
 
 def hourly_counts_by_kind(log: DataFrame, extra: list[str] | None = None, epoch: str = "clk_timestamp") -> DataFrame:
-    """``hourly_counts`` by ip, advertising ids and affiliate in one pass over the log."""
+    """``hourly_counts`` by ip, advertising ids and affiliate in one pass over the log.
+
+    A log from hour folders is counted by the ``hour`` of its folder.
+    """
+    filed = "hour" in log.columns
     def entry(kind: str, keys: list[str]) -> Column:
         parts = [F.col(k).cast("string") for k in keys] + [F.lit("")] * (2 - len(keys))
         return F.struct(F.lit(kind).alias("kind"), parts[0].alias("key_1"), parts[1].alias("key_2"))
 
     kinds = F.array(*[entry(kind, keys) for kind, keys in HOT_KEYS.items()])
-    keyed = log.select(tm.hour_index(epoch).alias("hour_index"), *(extra or []), F.explode(kinds).alias("k"))
+    index = F.col("hour") if filed else tm.hour_index(epoch)
+    keyed = log.select(index.alias("hour_index"), *(extra or []), F.explode(kinds).alias("k"))
     keyed = keyed.select("hour_index", "k.*", *(extra or []))
     counts = keyed.groupBy("hour_index", "kind", "key_1", "key_2", *(extra or [])).agg(F.count("*").alias("cnt"))
-    return counts.withColumn("hour", tm.hour_label("hour_index")).drop("hour_index")
+    hour = F.col("hour_index").cast("string") if filed else tm.hour_label("hour_index")
+    return counts.withColumn("hour", hour).drop("hour_index")
 
 
 def ip_profile(conversions: DataFrame) -> DataFrame:

@@ -8,8 +8,9 @@ what the earlier run wrote.
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from adtally import grains, schemas
@@ -31,6 +32,24 @@ def _publish_part(df: DataFrame, out: str, name: str, days: Days) -> None:
     tables.replace_days(df, f"{out}/{name}", days)
 
 
+def with_quarantine(spark: SparkSession, job: Callable, log: DataFrame, out: str, days: Days, name: str, **options) -> None:
+    """Run a job over ``logs.day_files`` and keep the lines that do not fit beside its tables, by file day.
+
+    Such lines are counted while the job reads the log; only if there are any
+    the log is read for them.
+    """
+    if logs.CORRUPT not in log.columns:
+        job(spark, log, out, days, **options)
+        return
+    lines = Observation(f"lines of {name}")
+    job(spark, logs.watch_bad_lines(log, lines), out, days, **options)
+    bad = logs.bad_lines(log).withColumnRenamed("file_day", "dated")
+    if not lines.get["bad"]:
+        bad = bad.limit(0)
+    window = sorted({d + dt.timedelta(days=k) for d in days for k in (-1, 0, 1)})
+    tables.replace_days(bad, f"{out}/{name}_malformed", window)
+
+
 def clicks(spark: SparkSession, log: DataFrame, out: str, days: Days, by_tuple: bool = False) -> None:
     """``by_tuple`` counts visitors as distinct id tuples, not as ids put together."""
     near = logs.filled(logs.near_days(log, days, "clk_timestamp"), schemas.CLICK)
@@ -50,9 +69,7 @@ def conversions(spark: SparkSession, log: DataFrame, out: str, days: Days) -> No
         near = log.where(tm.utc_day("conv_timestamp").between(F.lit(low), F.lit(high)))
         near = logs.near_days(near, [low, high], "conv_timestamp")
     near = logs.filled(near, schemas.CONVERSION)
-    unique = conversion.dedup(conversion.per_target_day(near, days), ["target_day"])
-    counts = conversion.counts_by_reason(unique).where("dated = target_day").drop("target_day")
-    fine = stage(spark, counts, "conversion-fine")
+    fine = stage(spark, conversion.counts_of_days(near, days), "conversion-fine")
     by_grain = conversion.over_reasons(fine, grains.CONVERSION)
     for scope in grains.SCOPES:
         detail = of_scope(by_grain, scope, grains.CONVERSION)

@@ -43,23 +43,36 @@ def replace_days(df: DataFrame, path: str, days: Days | None = None) -> None:
     A wanted day without rows loses what an earlier run wrote for it. Rebalancing gathers the rows of a day into files of the advisory size: a
     small day becomes one file, a large one is split over many tasks.
     """
-    (df.hint("rebalance", "dated").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy("dated").parquet(path))
-    wanted = set(days or ())
-    if not wanted:
-        return
-    found = df.where(F.col("dated").isin(sorted(wanted))).select("dated").distinct()
-    for day in wanted - {r["dated"] for r in found.collect()}:  # no more rows than wanted days
-        _remove(df.sparkSession, f"{path}/dated={day.isoformat()}")
+    wanted = [f"{path}/dated={day.isoformat()}" for day in sorted(set(days or ()))]
+    _replace(df, path, ["dated"], wanted)
 
 
-def _remove(spark: SparkSession, pattern: str, keep: set[str] = frozenset()) -> None:
-    """Remove the folders that match, but for those whose path ends with a text in ``keep``."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(pattern)
-    system = path.getFileSystem(spark._jsc.hadoopConfiguration())
-    for found in system.globStatus(path) or []:
-        if "/".join(found.getPath().toString().split("/")[-2:]) not in keep:
-            system.delete(found.getPath(), True)
+def _replace(df: DataFrame, path: str, by: list[str], wanted: list[str]) -> None:
+    """Overwrite the folders that ``df`` has rows for; of the ``wanted`` patterns the other folders go.
+
+    Which were written is seen from their files, so ``df`` is worked out once.
+    """
+    spark = df.sparkSession
+    before = {p: _files(spark, p) for p in wanted}
+    (df.hint("rebalance", *by).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy(*by).parquet(path))
+    for pattern, held in before.items():
+        for folder in held:
+            if _files(spark, folder).get(folder) == held[folder]:
+                hadoop, system = _system(spark, folder)
+                system.delete(hadoop, True)
+
+
+def _system(spark: SparkSession, path: str):
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop, hadoop.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def _files(spark: SparkSession, pattern: str) -> dict[str, set[str]]:
+    """The folders that match and their files."""
+    hadoop, system = _system(spark, pattern)
+    folders = [f.getPath() for f in system.globStatus(hadoop) or []]
+    return {p.toString(): {f.getPath().getName() for f in system.listStatus(p)} for p in folders}
 
 
 def add_batch(df: DataFrame, path: str, batch_id: int | str) -> None:
@@ -78,16 +91,8 @@ def add_batches(df: DataFrame, path: str, days: Days | None = None) -> None:
     ``dated`` and batch, so that readers of some days open the folders of
     these days only.
     """
-    (df.hint("rebalance", "dated", BATCH).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy("dated", BATCH).parquet(path))
-    wanted = sorted(set(days or ()))
-    if not wanted:
-        return
-    found = df.where(F.col(BATCH).isin(wanted)).select("dated", BATCH).distinct()
-    # A row per wanted day and day it counts on.
-    written = {f"dated={r['dated'].isoformat()}/{BATCH}={r[BATCH].isoformat()}" for r in found.collect()}
-    for day in wanted:
-        _remove(df.sparkSession, f"{path}/dated=*/{BATCH}={day.isoformat()}", written)
+    wanted = [f"{path}/dated=*/{BATCH}={day.isoformat()}" for day in sorted(set(days or ()))]
+    _replace(df, path, ["dated", BATCH], wanted)
 
 
 def read_increments(spark: SparkSession, path: str, keys: list[str], counts: list[str],
@@ -117,5 +122,5 @@ def append_jdbc(df: DataFrame, url: str, table: str, properties: dict[str, str]
 
 def exists(spark: SparkSession, path: str) -> bool:
     """Whether a table folder is there, on whatever file system it lives."""
-    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop)
+    hadoop, system = _system(spark, path)
+    return system.exists(hadoop)

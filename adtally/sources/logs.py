@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -20,11 +20,6 @@ def read_json(spark: SparkSession, paths: str | list[str], schema: T.StructType)
     return spark.read.schema(schema).json(paths)
 
 
-def read_text_json(spark: SparkSession, paths: str | list[str], schema: T.StructType) -> DataFrame:
-    """Plain text lines turned into records."""
-    return spark.read.text(paths).select(F.from_json("value", schema).alias("r")).select("r.*")
-
-
 def filled(df: DataFrame, schema: T.StructType) -> DataFrame:
     """Replace missing flat fields by their defaults, so no key is ever null."""
     return df.na.fill(schemas.defaults(schema))
@@ -49,9 +44,51 @@ def present(spark: SparkSession, patterns: list[str]) -> list[str]:
     return out
 
 
-def hour_paths(pattern: str, days: list[dt.date]) -> list[str]:
-    """File patterns of every hour of ``days``; ``pattern`` has one ``{hour}`` place."""
-    return [pattern.format(hour=f"{d:%Y%m%d}{h:02d}") + "*" for d in sorted(days) for h in range(24)]
+def day_files(spark: SparkSession, pattern: str, days: list[dt.date], schema: T.StructType,
+              keep_bad: bool = False) -> DataFrame:
+    """Records of the files of ``days`` and of the days beside them, each with the day its file is named by.
+
+    Only files of these days are listed. ``file_day`` comes from the name, so
+    a record that was written late is where the log has it. With ``keep_bad``
+    a line that does not fit the layout is kept in ``_corrupt_record``.
+    """
+    paths = present(spark, window_paths(pattern, days))
+    if not paths:
+        raise FileNotFoundError(f"no log files match {pattern} for the wanted days")
+    layout = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())]) if keep_bad else schema
+    before = pattern.split("{day}")[0].rsplit("/", 1)[-1]
+    named = F.regexp_extract(F.col("_metadata.file_path"), rf"/\Q{before}\E([0-9]{{8}})", 1)
+    return read_json(spark, paths, layout).withColumn("file_day", F.to_date(named, "yyyyMMdd"))
+
+
+def _fields(log: DataFrame) -> list[str]:
+    return [c for c in log.columns if c not in (CORRUPT, "file_day")]
+
+
+def bad_lines(log: DataFrame) -> DataFrame:
+    """Lines that do not fit the layout, by file day, with what could be read from them.
+
+    All fields are asked for: the reader checks no others.
+    """
+    return log.where(F.col(CORRUPT).isNotNull()).select(
+        "file_day", F.struct(*_fields(log)).alias("record"), F.col(CORRUPT).alias("value"))
+
+
+def watch_bad_lines(log: DataFrame, lines: Observation) -> DataFrame:
+    """``log`` without its corrupt lines' text; whoever reads it counts them as ``bad``."""
+    seen = log.observe(lines, F.count_if(F.col(CORRUPT).isNotNull()).alias("bad"),
+                       F.bit_xor(F.xxhash64(*_fields(log))).alias("all_fields"))
+    return seen.drop(CORRUPT)
+
+
+def hour_folders(spark: SparkSession, base: str, days: list[dt.date], schema: T.StructType) -> DataFrame:
+    """Records below ``base`` in folders ``hour=yyyyMMddHH``, of every hour of ``days``, with their ``hour``.
+
+    The filter is on the folder, so files of other hours are not opened.
+    """
+    layout = T.StructType([*schema.fields, T.StructField("hour", T.LongType())])
+    hours = [int(f"{d:%Y%m%d}{h:02d}") for d in sorted(days) for h in range(24)]
+    return read_json(spark, base, layout).where(F.col("hour").isin(hours))
 
 
 def in_file_window(df: DataFrame, days: list[dt.date], file_day: str = "file_day") -> DataFrame:

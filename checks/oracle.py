@@ -401,6 +401,20 @@ ORACLE["click_daily_by_scope"] = ORACLE["stream_click_uniq"]
 ORACLE["click_daily_from_files"] = ORACLE["stream_click_uniq"]
 ORACLE["conv_daily_by_scope"] = CONVERSIONS + both_scopes(
     lambda s: scoped(s, "conv", "conv_timestamp", CONV, f"{CONV_COUNTS}, {MONEY}"))
+FILED = f"""filed AS (
+  SELECT *, CAST({day('conv_timestamp')} AS DATE) + CAST(CASE WHEN conv_timestamp % 9 = 0 THEN 1
+    WHEN conv_timestamp % 31 = 0 THEN 2 ELSE 0 END AS INTEGER) AS file_day FROM conv_log),
+aimed AS (SELECT *, CAST(CAST(file_day + o AS DATE) AS VARCHAR) AS target FROM filed, (VALUES (-1), (0), (1)) t(o)),
+once AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY target, click_id ORDER BY {commas(FIRST_BY)}) AS rn
+  FROM aimed) WHERE rn = 1)"""
+ORACLE["conv_daily_from_files"] = with_(BASE, CONVERSION_LOG, FILED) + both_scopes(lambda s: scoped(
+    s, f"(SELECT * FROM once WHERE {day(local('conv_timestamp', s))} = target)", "conv_timestamp", CONV,
+    f"{CONV_COUNTS}, {MONEY}"))
+ORACLE["daily_quarantine"] = CLICKS + f"""
+SELECT dated, count(*) FILTER (WHERE clk_timestamp % 7 <> 0) AS counted_cnt,
+       count(*) FILTER (WHERE clk_timestamp % 7 = 0 OR clk_timestamp % 11 = 0) AS bad_cnt,
+       count(*) FILTER (WHERE clk_timestamp % 7 <> 0 AND clk_timestamp % 11 = 0) AS dated_bad_cnt
+FROM (SELECT *, {dated('clk_timestamp', 'gmt')} FROM click_log) GROUP BY dated"""
 ORACLE["stream_conv_summary"] = CONVERSIONS + both_scopes(
     lambda s: scoped(s, "conv_log", "conv_timestamp", SUMMARY, f"{CONV_COUNTS}, {MONEY}"))
 ORACLE["stream_conv_invalid"] = CONVERSIONS + scoped(
@@ -548,3 +562,8 @@ def hourly_kinds(log: str, epoch: str, extra: str = "", having: str = "") -> str
 
 ORACLE["fraud_hourly_click_kinds"] = CLICKS + hourly_kinds("click_log", "clk_timestamp", having="HAVING count(*) > 5")
 ORACLE["fraud_hourly_event_kinds"] = EVENTS + hourly_kinds("event_log", "event_timestamp", "event_value,")
+ORACLE["fraud_hourly_click_files"] = CLICKS + f"""
+SELECT * FROM ({hourly_kinds("(SELECT * REPLACE (clk_timestamp + CASE WHEN clk_timestamp % 5 = 0 THEN 3600 ELSE 0 END AS clk_timestamp) FROM click_log)",
+                             "clk_timestamp", having="HAVING count(*) > 5")})
+WHERE left(hour, 8) > (SELECT left({hour('min(clk_timestamp)')}, 8) FROM click_log)
+  AND left(hour, 8) <= (SELECT left({hour('max(clk_timestamp)')}, 8) FROM click_log)"""

@@ -1,6 +1,7 @@
 import datetime as dt
 import json
 
+import pytest
 from pyspark.sql import functions as F
 
 from adtally import schemas
@@ -22,8 +23,6 @@ def test_json_scan_drops_unknown_and_fills_absent(spark, tmp_path):
     assert "surprise" not in df.columns
     filled = logs.filled(df, schemas.CLICK)
     assert values(filled, "campaign_id", "aff_pub", "timezone", "ip") == [(0, "x", 0.0, ""), (3, "", 0.0, "")]
-    text = logs.read_text_json(spark, str(tmp_path / "log.json"), schemas.CLICK)
-    assert values(logs.filled(text, schemas.CLICK)) == values(filled)
 
 
 def test_every_flat_field_has_a_default(spark):
@@ -35,8 +34,29 @@ def test_every_flat_field_has_a_default(spark):
 def test_window_paths():
     paths = logs.window_paths("/logs/click-{day}", [DAY, DAY + dt.timedelta(days=1)])
     assert paths == [f"/logs/click-202401{d:02d}*" for d in (9, 10, 11, 12)]
-    hours = logs.hour_paths("/logs/click-{hour}", [DAY])
-    assert len(hours) == 24 and hours[0] == "/logs/click-2024011000*" and hours[-1] == "/logs/click-2024011023*"
+
+
+def test_day_files_know_the_day_of_their_name(spark, tmp_path):
+    for day, line in (("20240108", 1), ("20240109", 2), ("20240110-part2", 3), ("20240111", 4), ("20240112", 5)):
+        write_lines(tmp_path / f"click-{day}.json", [json.dumps({"campaign_id": line}), "{broken"])
+    log = logs.day_files(spark, f"{tmp_path}/click-{{day}}", [DAY], schemas.CLICK, keep_bad=True)
+    assert values(log.where("campaign_id > 0"), "file_day", "campaign_id") == [
+        (DAY - dt.timedelta(days=1), 2), (DAY, 3), (DAY + dt.timedelta(days=1), 4)]
+    assert values(logs.bad_lines(log), "record.clk_timestamp", "value") == [(None, "{broken")] * 3
+    with pytest.raises(FileNotFoundError):
+        logs.day_files(spark, f"{tmp_path}/click-{{day}}", [dt.date(2020, 1, 1)], schemas.CLICK)
+
+
+def test_only_wanted_hours_are_opened(spark, tmp_path):
+    for hour in (2024010923, 2024011000, 2024011023, 2024011100):
+        write_lines(tmp_path / f"hour={hour}" / "x.json", [json.dumps({"campaign_id": hour % 100})])
+    log = logs.hour_folders(spark, str(tmp_path), [DAY], schemas.CLICK)
+    assert values(log, "hour", "campaign_id") == [(2024011000, 0), (2024011023, 23)]
+    assert {f.split("hour=")[1][:10] for f in log.inputFiles()} >= {"2024011000"}
+    plan = log._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [" in plan and "PartitionFilters: []" not in plan
+    opened = log.select("_metadata.file_path").distinct()
+    assert opened.count() == 2
 
 
 def test_day_bounds_reach_the_parquet_scan(spark, tmp_path):
