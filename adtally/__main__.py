@@ -35,6 +35,8 @@ def parser() -> argparse.ArgumentParser:
             job.add_argument("--log", required=True, help="file pattern with a {day} place, or a Parquet folder")
         if name == "click":
             job.add_argument("--by-tuple", action="store_true", help="unique visitors as distinct id tuples")
+        if name != "check":
+            job.add_argument("--database", help="make the tables known there; the summary reads them by name")
         if name == "check":
             job.add_argument("--report", required=True)
     fraud = jobs.add_parser("fraud")
@@ -51,8 +53,10 @@ def parser() -> argparse.ArgumentParser:
     stream = jobs.add_parser("stream")
     stream.add_argument("name", choices=sorted(streams.JOBS))
     stream.add_argument("--result-topic", help="send result messages there")
+    stream.add_argument("--once-within", help="count a click id once in this time, as in '3 days'; for conversion")
     listed = jobs.add_parser("list-filter", help="keep the messages whose group is on a list")
-    listed.add_argument("--list", required=True, help="text file with one group id per line, read for every batch")
+    listed.add_argument("--list", required=True, help="text file with one group id per line")
+    listed.add_argument("--list-minutes", type=int, default=60, help="how old a reading of the list may be")
     for job in (stream, listed):
         for arg in ("--servers", "--out", "--checkpoint"):
             job.add_argument(arg, required=True)
@@ -85,7 +89,8 @@ def main(argv: list[str] | None = None) -> None:
         source = messages.kafka_messages(spark, args.servers, args.topics.split(","), args.max_offsets)
         trigger = {"processingTime": f"{args.seconds} seconds"}
     if args.job == "list-filter":
-        filters.start_list_filter(source, args.list, args.out, args.checkpoint, trigger).awaitTermination()
+        filters.start_list_filter(source, args.list, args.out, args.checkpoint, trigger,
+                                  max_age=args.list_minutes * 60).awaitTermination()
     elif args.job == "check-ended":
         audit.check_finished_days(spark, args.out, args.report, audit.rolled_over(int(time.time()), args.since))
     elif args.job == "stream":
@@ -93,7 +98,8 @@ def main(argv: list[str] | None = None) -> None:
         if args.result_topic:
             emit = streams.publisher(
                 args.name, lambda df: reports.send_batch(df, args.servers, args.result_topic))
-        streams.start(args.name, source, args.out, args.checkpoint, trigger, emit, f"{args.out}_malformed")
+        streams.start(args.name, source, args.out, args.checkpoint, trigger, emit, f"{args.out}_malformed",
+                      args.once_within)
         spark.streams.awaitAnyTermination()
     elif args.job == "fraud":
         clicks = fraud_log(spark, args.clicks, schemas.CLICK_FRAUD, args)
@@ -104,7 +110,9 @@ def main(argv: list[str] | None = None) -> None:
     else:
         days = day_range(args.start_date, args.end_date)
         if args.job == "summary":
-            daily.wide_summaries(spark, args.out, days)
+            if args.database:
+                daily.register(spark, args.out, args.database, days)
+            daily.wide_summaries(spark, args.out, days, args.database)
         elif args.job == "check":
             audit.reconciliation(spark, args.out, args.report, days)
         else:
@@ -112,6 +120,8 @@ def main(argv: list[str] | None = None) -> None:
             options = {"by_tuple": True} if getattr(args, "by_tuple", False) else {}
             log = read_log(spark, args.log, schema, days)
             daily.with_quarantine(spark, job, log, args.out, days, args.job, **options)
+        if getattr(args, "database", None):
+            daily.register(spark, args.out, args.database, days)
 
 
 if __name__ == "__main__":

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Callable
 
 from pyspark.errors import StreamingQueryException
@@ -16,13 +17,15 @@ from adtally.functions import time as tm
 from adtally.operators import (click, conversion, demand, event, fraud, impression, lists, merge, reconcile,
                                records)
 from adtally.operators.rollup import SCOPE
-from adtally.plans import daily, streams
+from adtally.plans import audit, daily, streams
 from adtally.session import configure, stage, work_dir
 from adtally.sinks import tables
-from adtally.sinks.ledger import Ledger
+from adtally.sinks.ledger import Ledger, Merge
+from adtally.sinks.reports import append_report, write_hours
 from adtally.sources import logs, sample
+from adtally.sources.messages import file_messages
 from adtally.streaming import rollups, runner
-from adtally.streaming.filters import click_watch
+from adtally.streaming.filters import click_watch, filtered, once_per_click, start_list_filter
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -270,6 +273,23 @@ def conv_result_records(spark, sf):
     return records.conversion_records(conversion.counts_by_reason(_conversions(spark, sf)))
 
 
+@query
+def click_unique_result_records(spark, sf):
+    return records.scoped_records(click.daily_by_scope(_clicks(spark, sf)), grains.CLICK, ["gross_cnt", "uniq_cnt"])
+
+
+@query
+def impression_result_records(spark, sf):
+    return streams.RECORDS["impression"](rollups.impressions(_impressions(spark, sf)))
+
+
+@query
+def demand_unique_result_records(spark, sf):
+    topic = F.when(F.col("demand") == "R", F.lit("x_imps")).otherwise(F.lit("x_clks"))
+    totals = rollups.demand_totals(_demand(spark, sf).withColumn("topic", topic))
+    return streams.RECORDS["demand"](rollups.MERGES["demand"].totals(totals))
+
+
 @query
 def demand_result_records(spark, sf):
     topic = F.when(F.col("demand") == "R", F.lit("x_imps")).otherwise(F.lit("x_clks"))
@@ -408,6 +428,19 @@ def rerun_replaces_days(spark, sf):
     return spark.read.parquet(path).drop("unionk")
 
 
+@query
+def registered_rerun(spark, sf):
+    """A table by its name: after a run at noon, the full run, and the removal of its last day."""
+    base, name = work_dir(spark, "registered"), f"clicks_{uuid.uuid4().hex}"
+    log = sample.click_log(_events(spark, sf))
+    days = _days_of(log, "clk_timestamp", 1)
+    for part in (F.pmod(tm.hour_index("clk_timestamp"), F.lit(24)) < 12, F.lit(True)):
+        daily.clicks(spark, log.where(part), base, days)
+        tables.register(spark, name, f"{base}/gmt_daily_clicks", days)
+    tables.drop_days(spark, name, [max(days) - dt.timedelta(days=1)])
+    return spark.table(name).drop("unionk")
+
+
 @query
 def replayed_batch_adds_once(spark, sf):
     """Two batches of increments, the second one delivered twice."""
@@ -493,6 +526,32 @@ def fraud_hourly_click_kinds(spark, sf):
     return fraud.hourly_counts_by_kind(_clicks(spark, sf)).where(F.col("cnt") > HOT)
 
 
+@query
+def fraud_reports_csv(spark, sf):
+    """The fraud job's files of click hot spots, read back."""
+    base = work_dir(spark, "fraud_reports")
+    clicks = sample.click_log(_events(spark, sf))
+    audit.hourly_fraud(spark, clicks, sample.event_log(_events(spark, sf)).withColumnRenamed(
+        "event_timestamp", "clk_timestamp"), base, HOT)
+    found = None
+    for kind, names in fraud.HOT_KEYS.items():
+        layout = ", ".join(f"{c} string" for c in ("hour", "key_1", "key_2")[:len(names) + 1]) + ", cnt bigint"
+        rows = spark.read.schema(layout).option("emptyValue", "").csv(f"{base}/click_analysis_{kind}")
+        rows = rows.withColumn("key_2", F.col("key_2") if len(names) > 1 else F.lit(""))
+        rows = rows.select("hour", F.lit(kind).alias("kind"), *[F.coalesce(k, F.lit("")).alias(k) for k in ("key_1", "key_2")], "cnt")
+        found = rows if found is None else found.unionByName(rows)
+    return found
+
+
+@query
+def reconcile_report(spark, sf):
+    """Lines of the report that a check adds to, for both scopes."""
+    path = work_dir(spark, "report")
+    for scope in grains.SCOPES:
+        append_report(QUERIES[f"reconcile_click_{scope}"](spark, sf), path, f"{scope}_click")
+    return spark.read.text(path)
+
+
 @query
 def fraud_hourly_event_kinds(spark, sf):
     return fraud.hourly_counts_by_kind(_event_records(spark, sf), ["event_value"])
@@ -675,6 +734,37 @@ def stream_conv(spark, sf):
     return _zoned(conversion.over_reasons(_conversion_increments(spark, sf), grains.CONVERSION))
 
 
+@query
+def stream_conv_once(spark, sf):
+    """Every conversion is delivered twice, in different micro-batches; each click id counts once."""
+    base = work_dir(spark, "stream_conv_once")
+    for _ in range(2):
+        _events(spark, sf).repartition(2, "event_id").write.mode("append").parquet(f"{base}/files")
+    source = spark.readStream.schema(sample.EVENTS_SCHEMA).option("maxFilesPerTrigger", 2).parquet(f"{base}/files")
+    log = _parsed(sample.conversion_log(source), schemas.CONVERSION)
+    ledger = Ledger(f"{base}/table", Merge(["click_id"], ["gross_cnt"]))
+    runner.start_table(once_per_click(log, "400 days"), lambda batch: batch.groupBy("click_id").agg(
+        F.count("*").alias("gross_cnt")), ledger, f"{base}/checkpoint", runner.WHAT_IS_THERE).awaitTermination()
+    return ledger.totals(spark)
+
+
+@query
+def stream_list_filter(spark, sf):
+    """Clicks of even and of odd seconds in two micro-batches; in between the list of groups changes."""
+    base = work_dir(spark, "stream_list_filter")
+    messages = sample.as_messages(sample.click_log(_events(spark, sf)), F.col("clk_timestamp") % 2)
+    even = sample.group_list(sample.table(spark, sf, "supplier"))
+    for part, listed in enumerate((even, even.select((F.col("group_id") + 1).cast("bigint").cast("string")))):
+        listed.write.mode("overwrite").text(f"{base}/list")
+        messages.where(F.col("topic") == part).select("value").coalesce(1).write.mode("append").text(f"{base}/in")
+        start_list_filter(file_messages(spark, f"{base}/in"), f"{base}/list", f"{base}/table", f"{base}/checkpoint",
+                          runner.WHAT_IS_THERE, max_age=0).awaitTermination()
+    kept = filtered(f"{base}/table").rows(spark)
+    write_hours(kept, f"{base}/hours")
+    group = F.get_json_object("value", "$.group_id").cast("bigint")
+    return spark.read.text(f"{base}/hours").groupBy(group.alias("group_id")).agg(F.count("*").alias("cnt"))
+
+
 @query
 def stream_conv_summary(spark, sf):
     return _zoned(conversion.over_reasons(_conversion_increments(spark, sf), grains.SUMMARY))

@@ -18,7 +18,7 @@ from adtally.functions import time as tm
 from adtally.operators import click, conversion, demand, event, impression, merge
 from adtally.operators.rollup import of_scope
 from adtally.session import stage
-from adtally.sinks import tables
+from adtally.sinks import files, tables
 from adtally.sources import logs
 
 Days = list[dt.date]
@@ -108,27 +108,39 @@ def demands(spark: SparkSession, log: DataFrame, out: str, days: Days) -> None:
     _publish(supply, out, "gmt_supply_daily_summary", days)
 
 
-def _parts(spark: SparkSession, out: str, names: list[str], days: Days | None) -> list[DataFrame]:
+def register(spark: SparkSession, out: str, database: str, days: Days | None = None) -> list[str]:
+    """Make the tables below ``out`` known in a database, and the wanted days their partitions; their names."""
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
+    known = []
+    for name in files.names(spark, out):
+        if any(f.startswith("dated=") for f in files.names(spark, f"{out}/{name}")):
+            tables.register(spark, f"{database}.{name}", f"{out}/{name}", days)
+            known.append(name)
+    return known
+
+
+def _parts(spark: SparkSession, out: str, names: list[str], days: Days | None, database: str | None) -> list[DataFrame]:
     found = []
     for name in names:
-        path = f"{out}/{name}"
-        if tables.exists(spark, path):
-            found.append(logs.on_days(spark.read.parquet(path), days))
+        if database and spark.catalog.tableExists(f"{database}.{name}"):
+            found.append(logs.on_days(spark.table(f"{database}.{name}"), days))
+        elif files.exists(spark, f"{out}/{name}"):
+            found.append(logs.on_days(spark.read.parquet(f"{out}/{name}"), days))
     return found
 
 
-def wide_summaries(spark: SparkSession, out: str, days: Days | None = None) -> None:
-    """Combine what the click, conversion and event jobs have written so far."""
+def wide_summaries(spark: SparkSession, out: str, days: Days | None = None, database: str | None = None) -> None:
+    """Combine what the click, conversion and event jobs have written so far, tables of a database by their name."""
     for scope in grains.SCOPES:
-        parts = _parts(spark, out, [f"{scope}_daily_{p}" for p in ("clicks", "conversions", "kpi")], days)
+        parts = _parts(spark, out, [f"{scope}_daily_{p}" for p in ("clicks", "conversions", "kpi")], days, database)
         if parts:
             _publish(merge.wide_summary(parts, scope), out, f"{scope}_daily_summary", days)
-        parts = _parts(spark, out, [f"{scope}_event_counts", f"{scope}_event_retention"], days)
+        parts = _parts(spark, out, [f"{scope}_event_counts", f"{scope}_event_retention"], days, database)
         if parts:
             keys = grains.keys(scope, grains.EVENT)
             both = merge.stack(parts, keys, ["gross_cnt", "uniq_cnt", *event.RETENTION], ["total_amount"])
             _publish(grains.with_row_key(both, scope, grains.EVENT), out, f"{scope}_event_daily_summary", days)
-        parts = _parts(spark, out, [f"{scope}_impression_imp", f"{scope}_impression_clk"], days)
+        parts = _parts(spark, out, [f"{scope}_impression_imp", f"{scope}_impression_clk"], days, database)
         if parts:
             keys = grains.keys(scope, grains.IMPRESSION)
             both = merge.stack(parts, keys, ["gross_imp_cnt", "uniq_imp_cnt", "gross_clk_cnt", "uniq_clk_cnt"])

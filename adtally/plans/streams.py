@@ -67,16 +67,22 @@ def publisher(job: str, send: Callable[[DataFrame], None]) -> Callable[[DataFram
 
 
 def start(job: str, messages: DataFrame, path: str, checkpoint: str, trigger: dict | None = None,
-          emit: Callable[[DataFrame, int], None] | None = None, quarantine: str | None = None) -> list[StreamingQuery]:
+          emit: Callable[[DataFrame, int], None] | None = None, quarantine: str | None = None,
+          once_within: str | None = None) -> list[StreamingQuery]:
     """Run one job over ``messages`` (``value`` and, for demand, ``topic``).
 
     With ``quarantine`` the messages that could not be read are kept there.
+    With ``once_within`` the conversion job counts a click id once in that time.
     """
+    if once_within and job != "conversion":
+        raise ValueError("only conversions have click ids to count once")
     schema, rollup = JOBS[job]
     keep = ["topic"] if job in WITH_TOPIC else None
     parsed = logs.parse_messages(messages, schema, keep=keep)
     log = logs.good(parsed, schema, MAY_BE_MISSING.get(job, ()))
     mode = "append"
+    if once_within:
+        log = filters.once_per_click(log, once_within)
     if job in BEFORE:
         log, mode = BEFORE[job](log), "update"
     queries = [runner.start_table(log, rollup, table(job, path), f"{checkpoint}/main", trigger, emit, mode)]

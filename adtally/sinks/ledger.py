@@ -4,8 +4,8 @@ Each micro-batch writes one *part*. After every ``every`` batches they are
 merged into a *run*, after every ``every`` runs these into a larger one, and so
 on: a table holds at most ``every - 1`` runs of each size, besides the batches
 since the last merge and what was merged last. Within a part rows lie by day,
-so readers open the days they want, and a day that is no longer written to
-stays where it is until its run is merged into a larger one.
+(or another column) so readers open the days they want, and a day that is no
+longer written to stays where it is until its run is merged into a larger one.
 
 A *manifest* names the live runs and their days. Merging writes the new run,
 then a new manifest, which appears by one rename; what the run replaces is
@@ -29,6 +29,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from adtally.operators.rollup import money_sum, sum_of
+from adtally.sinks import files
 
 DAY = "dated"
 
@@ -80,54 +81,39 @@ def _batch_name(batch_id: int) -> str:
 
 
 class Ledger:
-    def __init__(self, path: str, merge: Merge, every: int = 16, clock: Callable[[], float] = time.time) -> None:
+    def __init__(self, path: str, merge: Merge, every: int = 16, by: str = DAY,
+                 clock: Callable[[], float] = time.time) -> None:
         if every < 2:
             raise ValueError("every must be 2 at least")
-        self.path, self.merge, self.every, self.clock = path, merge, every, clock
+        self.path, self.merge, self.every, self.by, self.clock = path, merge, every, by, clock
         self.data, self.manifests = f"{path}/data", f"{path}/manifest"
 
     # ------------------------------------------------------------- folders
 
-    def _path(self, spark: SparkSession, path: str):
-        found = spark._jvm.org.apache.hadoop.fs.Path(path)
-        return found.getFileSystem(spark._jsc.hadoopConfiguration()), found
-
-    def _names(self, spark: SparkSession, path: str) -> list[str]:
-        system, folder = self._path(spark, path)
-        return sorted(s.getPath().getName() for s in system.listStatus(folder)) if system.exists(folder) else []
-
     def _days(self, spark: SparkSession, name: str) -> list[str]:
-        inside = self._names(spark, f"{self.data}/part={name}")
-        days = [n for n in inside if n.startswith(f"{DAY}=")]
+        inside = files.names(spark, f"{self.data}/part={name}")
+        days = [n for n in inside if n.startswith(f"{self.by}=")]
         return days or [""] * any(n.endswith(".parquet") for n in inside)
 
     def manifest(self, spark: SparkSession, upto: int | None = None) -> Manifest:
         """The last one, or the last that says nothing of batch ``upto`` or later ones."""
-        names = [n for n in self._names(spark, self.manifests) if n.isdigit() and (upto is None or int(n) <= upto)]
+        names = [n for n in files.names(spark, self.manifests) if n.isdigit() and (upto is None or int(n) <= upto)]
         if not names:
             return Manifest(0, [], [], 0.0)
-        system, file = self._path(spark, f"{self.manifests}/{names[-1]}")
-        stream = system.open(file)
-        text = spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
-        stream.close()
+        text = files.read_text(spark, f"{self.manifests}/{names[-1]}")
         held = json.loads(text)
         return Manifest(held["next"], [Part(*p) for p in held["runs"]], held["replaced"], held["written"])
 
     def _keep(self, spark: SparkSession, manifest: Manifest) -> None:
-        system, draft = self._path(spark, f"{self.manifests}/draft-{manifest.next:012d}")
-        _, final = self._path(spark, f"{self.manifests}/{manifest.next:012d}")
-        stream = system.create(draft, True)
-        stream.write(json.dumps(manifest._asdict()).encode())
-        stream.close()
-        system.rename(draft, final)
+        files.write_text(spark, f"{self.manifests}/{manifest.next:012d}", json.dumps(manifest._asdict()))
 
     def parts(self, spark: SparkSession, before: int | None = None) -> list[Part]:
         """Live parts, or those of the batches earlier than ``before``."""
         manifest = self.manifest(spark, before)
         if before is None:
-            names = [n.removeprefix("part=") for n in self._names(spark, self.data)]
+            names = [n.removeprefix("part=") for n in files.names(spark, self.data)]
             numbers = [int(n[1:]) for n in names if n.startswith("b") and int(n[1:]) >= manifest.next]
-            numbers = [n for n in numbers if "_SUCCESS" in self._names(spark, f"{self.data}/part={_batch_name(n)}")]
+            numbers = [n for n in numbers if "_SUCCESS" in files.names(spark, f"{self.data}/part={_batch_name(n)}")]
         else:
             numbers = range(manifest.next, before)
         batches = [Part(_batch_name(n), n, n + 1, self._days(spark, _batch_name(n))) for n in numbers]
@@ -143,7 +129,7 @@ class Ledger:
         if not paths:
             return None
         rows = spark.read.option("basePath", self.data).parquet(*paths).drop("part")
-        return rows.withColumn(DAY, F.col(DAY).cast("date")) if DAY in rows.columns else rows
+        return rows.withColumn(DAY, F.col(DAY).cast("date")) if self.by == DAY in rows.columns else rows
 
     # -------------------------------------------------------------- writing
 
@@ -154,8 +140,8 @@ class Ledger:
         self._write(rows, _batch_name(batch_id))
 
     def _write(self, rows: DataFrame, name: str) -> None:
-        if DAY in rows.columns:
-            rows.hint("rebalance", DAY).write.mode("overwrite").partitionBy(DAY).parquet(f"{self.data}/part={name}")
+        if self.by in rows.columns:
+            rows.hint("rebalance", self.by).write.mode("overwrite").partitionBy(self.by).parquet(f"{self.data}/part={name}")
         else:
             rows.hint("rebalance").write.mode("overwrite").parquet(f"{self.data}/part={name}")
 
@@ -181,18 +167,16 @@ class Ledger:
         gone = [p.name for p in last.runs if p not in kept] + [_batch_name(n) for n in range(last.next, batch_id)]
         self._keep(spark, Manifest(batch_id, runs, gone, self.clock()))
         for name in last.replaced:
-            system, folder = self._path(spark, f"{self.data}/part={name}")
-            system.delete(folder, True)
-        for name in self._names(spark, self.manifests):
+            files.remove(spark, f"{self.data}/part={name}")
+        for name in files.names(spark, self.manifests):
             if name.isdigit() and int(name) < last.next:
-                system, file = self._path(spark, f"{self.manifests}/{name}")
-                system.delete(file, False)
+                files.remove(spark, f"{self.manifests}/{name}")
 
     # -------------------------------------------------------------- reading
 
     def rows(self, spark: SparkSession, days: list | None = None) -> DataFrame | None:
         """What was added, of some days if wanted, merged as far as it happens to be; None if nothing was."""
-        wanted = None if days is None else {f"{DAY}={d}" for d in days}
+        wanted = None if days is None else {f"{self.by}={d}" for d in days}
         return self._read(spark, self.parts(spark), wanted)
 
     def totals(self, spark: SparkSession, days: list | None = None) -> DataFrame | None:

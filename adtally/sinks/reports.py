@@ -4,9 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import DataStreamWriter
-
-from adtally.functions import time as tm
 
 
 def write_csv(df: DataFrame, path: str) -> None:
@@ -20,11 +17,10 @@ def append_report(flags: DataFrame, path: str, check: str) -> None:
     flags.select(F.concat_ws(",", F.lit(check), *columns).alias("value")).write.mode("append").text(path)
 
 
-def hourly_text(messages: DataFrame, path: str, checkpoint: str, epoch: str = "epoch") -> DataStreamWriter:
-    """Raw messages in one folder per hour."""
-    return (
-        messages.select("value", tm.utc_hour(epoch).alias("hour")).writeStream.format("text")
-        .option("path", path).option("checkpointLocation", checkpoint).partitionBy("hour"))
+def write_hours(rows: DataFrame, path: str) -> None:
+    """Raw messages (value, hour) as text, a folder for each hour; hours that are there are replaced."""
+    (rows.hint("rebalance", "hour").select("value", "hour").write.mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic").partitionBy("hour").text(path))
 
 
 def kafka_writer_options(servers: str, topic: str) -> dict[str, str]:

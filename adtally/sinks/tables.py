@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from adtally import schemas
 from adtally.operators.rollup import money_sum, sum_of
+from adtally.sinks import files
 
 BATCH = "batch_id"
 Days = list[dt.date]
@@ -26,14 +27,42 @@ def to_layout(df: DataFrame, layout: T.StructType) -> DataFrame:
     return df.select(*out)
 
 
-def create(spark: SparkSession, name: str, location: str) -> None:
-    """Register a summary table partitioned by day."""
-    columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in schemas.SUMMARY_TABLES[name].fields)
-    spark.sql(
-        f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet PARTITIONED BY (dated) LOCATION '{location}'")
+def register(spark: SparkSession, name: str, location: str, days: Days | None = None) -> None:
+    """Make a table of day folders known by name, with its days as partitions of the catalog.
+
+    With ``days`` only these are brought in line with the folders: what a run
+    wrote is added, what it emptied is dropped. Otherwise all of them are.
+    """
+    if not spark.catalog.tableExists(name):
+        rows = spark.read.parquet(location)
+        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields)
+        spark.sql(f"CREATE TABLE {name} ({columns}) USING parquet PARTITIONED BY (dated) LOCATION '{location}'")
+        days = None
+    there = {f.removeprefix("dated=") for f in files.names(spark, location) if f.startswith("dated=")}
+    known = {r[0].removeprefix("dated=") for r in spark.sql(f"SHOW PARTITIONS {name}").collect()}
+    wanted = there | known if days is None else {d.isoformat() for d in days}
+    for verb, some in (("ADD", (there & wanted) - known), ("DROP", (known & wanted) - there)):
+        if some:
+            parts = [f"PARTITION (dated='{d}')" for d in sorted(some)]
+            spark.sql(f"ALTER TABLE {name} {verb} {(' ' if verb == 'ADD' else ', ').join(parts)}")
+    spark.catalog.refreshTable(name)
+
+
+def drop_days(spark: SparkSession, name: str, days: Days) -> None:
+    """Remove days of a registered table, from the catalog and from its folder."""
+    location = _location(spark, name)
+    for day in days:
+        files.remove(spark, f"{location}/dated={day.isoformat()}")
+    register(spark, name, location, days)
+
+
+def _location(spark: SparkSession, name: str) -> str:
+    rows = spark.sql(f"DESCRIBE EXTENDED {name}").where("col_name = 'Location'")
+    return rows.first()["data_type"]
 
 
 def drop(spark: SparkSession, name: str) -> None:
+    """Forget a table; its files stay."""
     spark.sql(f"DROP TABLE IF EXISTS {name}")
 
 
@@ -53,26 +82,13 @@ def _replace(df: DataFrame, path: str, by: list[str], wanted: list[str]) -> None
     Which were written is seen from their files, so ``df`` is worked out once.
     """
     spark = df.sparkSession
-    before = {p: _files(spark, p) for p in wanted}
+    before = {p: files.folders(spark, p) for p in wanted}
     (df.hint("rebalance", *by).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(*by).parquet(path))
     for pattern, held in before.items():
         for folder in held:
-            if _files(spark, folder).get(folder) == held[folder]:
-                hadoop, system = _system(spark, folder)
-                system.delete(hadoop, True)
-
-
-def _system(spark: SparkSession, path: str):
-    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return hadoop, hadoop.getFileSystem(spark._jsc.hadoopConfiguration())
-
-
-def _files(spark: SparkSession, pattern: str) -> dict[str, set[str]]:
-    """The folders that match and their files."""
-    hadoop, system = _system(spark, pattern)
-    folders = [f.getPath() for f in system.globStatus(hadoop) or []]
-    return {p.toString(): {f.getPath().getName() for f in system.listStatus(p)} for p in folders}
+            if files.folders(spark, folder).get(folder) == held[folder]:
+                files.remove(spark, folder)
 
 
 def add_batch(df: DataFrame, path: str, batch_id: int | str) -> None:
@@ -118,9 +134,3 @@ def append_jdbc(df: DataFrame, url: str, table: str, properties: dict[str, str]
     Needs the database driver on the class path.
     """
     df.write.format("jdbc").options(**jdbc_options(url, table), **(properties or {})).mode("append").save()
-
-
-def exists(spark: SparkSession, path: str) -> bool:
-    """Whether a table folder is there, on whatever file system it lives."""
-    hadoop, system = _system(spark, path)
-    return system.exists(hadoop)

@@ -512,7 +512,7 @@ ORACLE["stream_growth"] = f"SELECT * EXCLUDE (unionk) FROM ({ORACLE['click_daily
 # ---------------------------------------------------------- result messages
 
 KEY_FORMATS = {"timezone": "%.1f", "income": "%.2f", "payout": "%.2f"}
-AMOUNT_FORMATS = {"net_profit": "%.4f", "tac": "%.4f", "revenue": "%.4f"}
+AMOUNT_FORMATS = {"cost": "%.4f", "net_profit": "%.4f", "tac": "%.4f", "revenue": "%.4f"}
 
 
 def messages(scope: str, rows: str, dims: list[str], tail: list[str], lead: str = "") -> str:
@@ -567,3 +567,29 @@ SELECT * FROM ({hourly_kinds("(SELECT * REPLACE (clk_timestamp + CASE WHEN clk_t
                              "clk_timestamp", having="HAVING count(*) > 5")})
 WHERE left(hour, 8) > (SELECT left({hour('min(clk_timestamp)')}, 8) FROM click_log)
   AND left(hour, 8) <= (SELECT left({hour('max(clk_timestamp)')}, 8) FROM click_log)"""
+ORACLE["fraud_reports_csv"] = ORACLE["fraud_hourly_click_kinds"]
+ORACLE["reconcile_report"] = "\nUNION ALL\n".join(
+    f"SELECT concat_ws(',', '{s}_click', *COLUMNS(*)) AS value FROM ({ORACLE[f'reconcile_click_{s}']})"
+    for s in ("adx", "gmt"))
+
+# ---------------------------------------------------------- messages of unique counts
+
+ORACLE["click_unique_result_records"] = CLICKS + both_scopes(lambda s: messages(
+    s, scoped(s, "click_log", "clk_timestamp", CLICK, f"count(*) AS gross_cnt, count(DISTINCT {VISITOR}) AS uniq_cnt"),
+    CLICK, ["gross_cnt", "uniq_cnt"]))
+ORACLE["impression_result_records"] = IMPRESSIONS + both_scopes(lambda s: messages(s, scoped(
+    s, f"(SELECT * EXCLUDE (province_geoname_id, city_geoname_id), {STREAM_IMP} FROM imp_log WHERE has_option)",
+    "request_unix", IMP, "count(*) AS gross_imp_cnt"), IMP, ["gross_imp_cnt"], "'impress<;>' || "))
+ORACLE["demand_unique_result_records"] = STREAM_DEMANDS + both_scopes(lambda s: messages(
+    s, scoped(s, KIND, "epoch", ["kind", *DEMAND],
+              f"count(*) AS gross_cnt, count(DISTINCT uv) AS uniq_cnt, {money_sum('cost')} AS cost"),
+    DEMAND, ["gross_cnt", "uniq_cnt", "cost"], "kind || '<;>' || "))
+
+# ---------------------------------------------------------- streams beside other inputs
+
+ORACLE["registered_rerun"] = CLICKS + f"""
+SELECT * FROM ({click_coarse('gmt')}) WHERE dated < (SELECT max({day('clk_timestamp')}) FROM click_log)"""
+ORACLE["stream_conv_once"] = CONVERSIONS + "SELECT DISTINCT click_id, CAST(1 AS BIGINT) AS gross_cnt FROM conv_log"
+ORACLE["stream_list_filter"] = CLICKS + """
+SELECT group_id, count(*) AS cnt FROM click_log
+WHERE group_id IN (SELECT s_nationkey * 2 + clk_timestamp % 2 FROM supplier) GROUP BY group_id"""

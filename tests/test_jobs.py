@@ -55,15 +55,51 @@ def test_replaying_a_batch_counts_once(spark, frame, tmp_path):
     assert values(tables.read_latest(spark, path, ["k"], ["n"])) == [("a", 10), ("b", 2)]
 
 
-def test_summary_tables_can_be_created(spark, tmp_path):
-    name = "adx_daily_summary"
-    tables.create(spark, name, str(tmp_path / name))
-    assert spark.table(name).columns[-1] == "dated" or "dated" in spark.table(name).columns
-    assert dict(spark.table(name).dtypes)["net_profit"] == "decimal(14,4)"
+def test_registered_tables_know_their_days(spark, frame, tmp_path):
+    path, name = str(tmp_path / "t"), "known_days"
+    layout = "dated date, n long"
+    tables.replace_days(frame([(D1, 1), (D2, 2)], layout), path)
+    tables.register(spark, name, path)
+    assert values(spark.table(name), "dated", "n") == [(D1, 1), (D2, 2)]
+    # A rerun empties one day and writes another; the catalog follows when told.
+    tables.replace_days(frame([(D2, 3)], layout), path, [D1, D2])
+    tables.register(spark, name, path, [D1, D2])
+    assert values(spark.sql(f"SHOW PARTITIONS {name}")) == [(f"dated={D2}",)]
+    assert values(spark.table(name), "dated", "n") == [(D2, 3)]
+    plan = spark.table(name).where(F.col("dated") == F.lit(D2))._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(dated" in plan
+    tables.drop_days(spark, name, [D2])
+    assert spark.table(name).count() == 0 and not (tmp_path / "t" / f"dated={D2}").exists()
     tables.drop(spark, name)
     assert not spark.catalog.tableExists(name)
 
 
+def test_summary_reads_tables_by_name(spark, sf, tmp_path):
+    events = sample.table(spark, sf, "events")
+    days = [dt.date(2024, 1, d) for d in (2, 3)]
+    daily.clicks(spark, sample.click_log(events), str(tmp_path), days)
+    assert "gmt_daily_clicks" in daily.register(spark, str(tmp_path), "by_name", days)
+    daily.wide_summaries(spark, str(tmp_path), days, "by_name")
+    by_name = values(spark.read.parquet(f"{tmp_path}/gmt_daily_summary"), "unionk", "gross_clk_cnt")
+    daily.wide_summaries(spark, str(tmp_path), days)
+    assert values(spark.read.parquet(f"{tmp_path}/gmt_daily_summary"), "unionk", "gross_clk_cnt") == by_name != []
+    spark.sql("DROP DATABASE by_name CASCADE")
+
+
+def test_a_table_is_worked_out_once_for_each_write(spark, frame, tmp_path):
+    """Days that were not written are found from their files, not by reading the frame again."""
+    path, runs = str(tmp_path / "t"), spark.sparkContext.accumulator(0)
+
+    def seen(batches):
+        for b in batches:
+            runs.add(b.num_rows)
+            yield b
+
+    tables.replace_days(frame([(D1, 1), (D2, 2)], "dated date, n long"), path)
+    tables.replace_days(frame([(D2, 5)], "dated date, n long").mapInArrow(seen, "dated date, n long"), path, [D1, D2])
+    assert values(spark.read.parquet(path), "dated", "n") == [(D2, 5)] and runs.value == 1
+
+
 def test_jdbc_options():
     assert tables.jdbc_options("jdbc:x", "t")["batchsize"] == "1000"
     assert reports.kafka_writer_options("h:1", "t")["topic"] == "t"

@@ -241,28 +241,56 @@ def test_conversion_stream_counts_every_record(spark, feed):
 
 
 def test_list_filter_rereads_the_list(spark, feed, tmp_path):
-    listed = tmp_path / "groups"
-    listed.write_text("1\n")
-    feed.send({"group_id": 1}, {"group_id": 2})
+    """A reading of the list holds for an hour, a repeated batch sees what it saw before."""
+    listed, clock = tmp_path / "groups", [1_700_000_000]
+
+    def write(groups, at):
+        listed.write_text(groups)
+        os.utime(listed, (at, at))
 
     def once():
-        filters.start_list_filter(
-            feed.messages(), str(listed), feed.path("kept"), feed.path("ck"), NOW).awaitTermination()
-
-    once()
-    listed.write_text("2\n")
-    feed.send({"group_id": 1}, {"group_id": "2"})
-    once()
-    kept = spark.read.text(feed.path("kept"))
-    assert values(kept, "value") == [('{"group_id": "2"}',), ('{"group_id": 1}',)]
-    assert "hour" in kept.columns
-
-
-def test_hourly_text(spark, feed):
-    feed.send({"clk_timestamp": MIDNIGHT}, {"clk_timestamp": MIDNIGHT + 3600})
-    timed = feed.messages().withColumn("epoch", F.get_json_object("value", "$.clk_timestamp").cast("long"))
-    reports.hourly_text(timed, feed.path("raw"), feed.path("ck")).trigger(**NOW).start().awaitTermination()
-    assert values(spark.read.text(feed.path("raw")), "hour") == [(2024011000,), (2024011001,)]
+        filters.start_list_filter(feed.messages(), str(listed), feed.path("kept"), feed.path("ck"), NOW,
+                                  clock=lambda: clock[0]).awaitTermination()
+        return values(filters.filtered(feed.path("kept")).rows(spark), "value")
+
+    write("1\n", 1000)
+    feed.send({"group_id": 1, "n": 1}, {"group_id": 2, "n": 1})
+    assert once() == [('{"group_id": 1, "n": 1}',)]
+    write("2\n", 2000)
+    clock[0] += 3599
+    feed.send({"group_id": 1, "n": 2}, {"group_id": "2", "n": 2})
+    assert len(once()) == 2  # still the list of before
+    clock[0] += 3600
+    feed.send({"group_id": 1, "n": 3}, {"group_id": "2", "n": 3})
+    kept = once()
+    assert [json.loads(v)["n"] for (v,) in kept if '"2"' in v] == [3] and len(kept) == 3
+    versions = filters.VersionedList(str(listed), feed.path("ck") + "/list", clock=lambda: clock[0])
+    listed.unlink()
+    assert values(spark.read.text(versions.at(spark, 1))) == [("1",)]
+    assert values(spark.read.text(versions.at(spark, 2))) == [("2",)]
+    rows = filters.filtered(feed.path("kept")).rows(spark)
+    assert rows.select("hour").distinct().count() == 3
+    for _ in range(2):
+        reports.write_hours(rows, feed.path("hours"))
+    assert values(spark.read.text(feed.path("hours")), "value") == kept
+
+
+def test_conversions_counted_once_over_micro_batches(spark, feed):
+    record = {"click_id": "c", "conv_timestamp": MIDNIGHT, "forwarded": 1, "timezone": 0}
+    feed.send(record, record, {**record, "click_id": "d"})
+    feed.send(record, {**record, "click_id": ""}, {**record, "click_id": ""})
+    run(feed, "conversion", once_within="1 day")
+    feed.send({**record, "click_id": "d"}, {**record, "click_id": "e"})
+    run(feed, "conversion", once_within="1 day")
+    assert values(totals(spark, feed, "conversion").where("scope = 'gmt'"), "gross_cnt") == [(4,)]
+    # Long after its time a click id counts again.
+    feed.send({**record, "conv_timestamp": MIDNIGHT + 9 * 86400})
+    feed.send({**record, "conv_timestamp": MIDNIGHT + 9 * 86400 + 1, "click_id": "z"})
+    feed.send({**record, "conv_timestamp": MIDNIGHT + 9 * 86400 + 2})
+    run(feed, "conversion", once_within="1 day")
+    assert totals(spark, feed, "conversion").where("scope = 'gmt'").agg(F.sum("gross_cnt")).first()[0] == 6
+    with pytest.raises(ValueError):
+        streams.start("click", feed.messages(), feed.path("x"), feed.path("y"), once_within="1 day")
 
 
 def test_sliding_window_stream_equals_the_batch(spark, feed):
