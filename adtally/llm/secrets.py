@@ -58,8 +58,11 @@ _WIDE = re.compile(rb"(?:[\x01-\x7f]\x00{1,3}){11,}")
 _HEADER = re.compile(rb"\x1f\x8b\x08|\x78[\x01\x5e\x9c\xda]|BZh[1-9]|\xfd7zXZ\x00|\x28\xb5\x2f\xfd")
 #: Every secret, and everything that can be unwrapped to one, has one of these, ``_WIDE`` or ``_HEADER``.
 _PLAIN = re.compile(rb"[\x20-\x7e\t\r\n]{12}")
-#: Decompressed data is scanned in pieces of about this size, cut at white space.
-PIECE = 4 * 2**20
+#: Decompressed data is scanned in pieces of this size, each with the end of the one before. All that is found in it
+#: is reported by the span of the compressed data, so it is enough that a part of a longer match is in a piece.
+PIECE, OVERLAP = 4 * 2**20, 2**20
+#: Bytes that an xz stream may ask for to be read.
+XZ_MEMORY = 128 * 2**20
 
 
 class Layer(NamedTuple):
@@ -123,7 +126,7 @@ def _decompressor(data: bytes):
     if data[:3] == b"BZh":
         return bz2.BZ2Decompressor()
     if data[:6] == b"\xfd7zXZ\x00":
-        return lzma.LZMADecompressor()
+        return lzma.LZMADecompressor(memlimit=XZ_MEMORY)
     return None
 
 
@@ -144,20 +147,20 @@ def _stream(data: bytes) -> Iterator[bytes]:
             if getattr(unpack, "eof", False):
                 return
             block = unpack.decompress(getattr(unpack, "unconsumed_tail", b""), PIECE)
-    except (zlib.error, OSError, EOFError, lzma.LZMAError, zstandard.ZstdError, ValueError):
+    except (zlib.error, OSError, EOFError, lzma.LZMAError, zstandard.ZstdError, ValueError, MemoryError):
         return
 
 
 def _pieces(data: bytes) -> Iterator[bytes]:
-    rest = b""
+    held, fresh = b"", 0
     for block in _stream(data):
-        rest += block
-        if len(rest) >= PIECE:
-            cut = max(rest.rfind(b" "), rest.rfind(b"\n")) + 1 or len(rest)
-            yield rest[:cut]
-            rest = rest[cut:]
-    if rest:
-        yield rest
+        held += block
+        fresh += len(block)
+        if fresh >= PIECE:
+            yield held
+            held, fresh = held[-OVERLAP:], 0
+    if fresh:
+        yield held
 
 
 def _joined(data: bytes) -> tuple[bytes, list[int], list[int]]:
