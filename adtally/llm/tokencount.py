@@ -11,6 +11,7 @@ UTF-8 bytes (byte fallback).
 
 from __future__ import annotations
 
+import heapq
 import re
 import struct
 from collections.abc import Iterator
@@ -24,9 +25,13 @@ from pyspark.sql import functions as F
 from adtally.llm.text import slices, whole
 
 MARK = "▁"
-REMEMBERED = 600_000
+#: Pre-tokens that are remembered, and their characters at most.
+REMEMBERED, LONGEST = 600_000, 64
+#: Symbols of a sequence that is merged by itself.
+LONG = 400
 NORMAL, USER_DEFINED, UNUSED, BYTE = 1, 4, 5, 6
 _NONE = np.int64(2**62)
+_GONE = -2
 
 
 def _fields(data: bytes) -> Iterator[tuple[int, bytes | int]]:
@@ -143,6 +148,13 @@ class Model:
         strange = symbols < 0
         size = 1 + (code >= 0x80) + (code >= 0x800) + (code >= 0x10000)  # bytes of a character
         out += np.bincount(owner[sequence[strange]], size[strange], len(out)).astype(np.int64)
+        upto, short = np.cumsum(length), np.ones(len(symbols), bool)
+        for part in np.flatnonzero(length > LONG).tolist():  # each by itself
+            own = slice(upto[part] - length[part], upto[part])
+            left = self._merged(symbols[own])
+            out[owner[part]] += int(self.size[left[left >= 0]].sum())
+            short[own] = False
+        symbols, sequence = symbols[short], sequence[short]
         while len(symbols):
             ranks, merged = self._ranks(symbols, sequence)
             first = np.flatnonzero(np.diff(sequence, prepend=-1))
@@ -157,6 +169,60 @@ class Model:
             symbols, sequence = symbols[keep], sequence[keep]
         return out
 
+    def _merged(self, symbols: np.ndarray) -> np.ndarray:
+        """What is left of one long sequence.
+
+        Rank by rank as well, but the places of each rank are kept, and only
+        the neighbours of a merged pair are looked up again: a round costs
+        what it merges, not the length of the sequence.
+        """
+        n = len(symbols)
+        symbols = symbols.copy()
+        after, before = np.arange(1, n + 1), np.arange(-1, n - 1)
+        rank, merged = self._ranks(symbols, np.zeros(n, np.int64))
+        waiting: dict[int, list[np.ndarray]] = {}
+        queue: list[int] = []
+
+        def wait(places: np.ndarray) -> None:
+            places = places[rank[places] < _NONE]
+            order = places[np.argsort(rank[places], kind="stable")]
+            ranks = rank[order]
+            for some in np.split(order, np.flatnonzero(np.diff(ranks)) + 1) if len(order) else ():
+                of = int(rank[some[0]])
+                if of not in waiting:
+                    waiting[of] = []
+                    heapq.heappush(queue, of)
+                waiting[of].append(some)
+
+        wait(np.arange(n))
+        while queue:
+            lowest = heapq.heappop(queue)
+            at = np.unique(np.concatenate(waiting.pop(lowest)))
+            at = at[rank[at] == lowest]
+            if not len(at):
+                continue
+            apart = np.concatenate([[True], after[at[:-1]] != at[1:]])
+            begin = np.flatnonzero(apart)[np.cumsum(apart) - 1]
+            at = at[(np.arange(len(at)) - begin) % 2 == 0]
+            gone = after[at]
+            symbols[at], symbols[gone], rank[gone] = merged[at], _GONE, _NONE
+            after[at] = after[gone]
+            inner = after[at] < n
+            before[after[at][inner]] = at[inner]
+            near = np.unique(np.concatenate([at, before[at]]))
+            near = near[near >= 0]
+            rank[near] = _NONE
+            near = near[after[near] < n]
+            x, y = symbols[near], symbols[after[near]]
+            near, x, y = (v[(x >= 0) & (y >= 0)] for v in (near, x, y))
+            key = x * self.n + y
+            found = np.minimum(np.searchsorted(self.pairs, key), len(self.pairs) - 1)
+            hit = self.pairs[found] == key
+            near, found = near[hit], found[hit]
+            rank[near], merged[near] = self.rank[found], self.merged[found]
+            wait(near)
+        return symbols[symbols != _GONE]
+
     def _loose(self, word: str) -> list[str]:
         """The word cut at fixed pieces inside it."""
         if self.inside is None or word in self.fixed:
@@ -216,6 +282,9 @@ def _count(path: str):
             for text, own in zip(texts, cut, strict=True):
                 size.append(len(text))
                 tokens.append(sum(map(count_of.__getitem__, own)))
+            for word in new:
+                if len(word) > LONGEST:
+                    del count_of[word]
             yield pa.RecordBatch.from_arrays(
                 [b.column("doc_id"), pa.array(size, pa.int64()), pa.array(tokens, pa.int64())],
                 ["doc_id", "n_bytes", "n_tokens"])
