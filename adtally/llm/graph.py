@@ -7,6 +7,9 @@ from pyspark.sql import functions as F
 
 from adtally.session import stage
 
+#: Links that one task writes, if all cores have some.
+STAGED_LINKS = 500_000
+
 
 def _towards(edges: DataFrame, smaller: bool) -> DataFrame:
     """Link the neighbours of every node with the least of them.
@@ -34,6 +37,7 @@ def components(links: DataFrame, left: str, right: str) -> DataFrame:
     changes. Nulls take no part.
     """
     spark = links.sparkSession
+    cores = spark.sparkContext.defaultParallelism
     edges = links.select(F.greatest(left, right).alias("a"), F.least(left, right).alias("b"))
     edges = stage(spark, edges.where("a > b").distinct(), "links")
     seen = None
@@ -43,4 +47,6 @@ def components(links: DataFrame, left: str, right: str) -> DataFrame:
             return edges.select(F.col("a").alias("node"), F.col("b").alias("component")).union(
                 edges.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct())
         seen = now
-        edges = stage(spark, _towards(_towards(edges, smaller=False), smaller=True), "links")
+        # As many files as the links of the last round are worth, not one for each shuffle partition.
+        files = max(cores, now[0] // STAGED_LINKS)
+        edges = stage(spark, _towards(_towards(edges, smaller=False), smaller=True).coalesce(files), "links")

@@ -6,25 +6,27 @@ an empty range borrows from a range drawn by a hash of its own number and the
 attempt (optimal densification, Shrivastava 2017). ``ROWS`` neighbouring
 ranges make a band; texts that agree on a band share a bucket.
 
-Texts with equal sets form one class, of which only the row with the smallest
-doc_id goes on. In each bucket every class is linked with the smallest one
+A node is a text under a doc_id; nodes are numbered in the order of doc_id.
+Texts with equal sets form one class, of which only the smallest node goes
+on. In each bucket every class is linked with the smallest one
 only, so a bucket of n classes gives n - 1 candidates and not n squared. A
 star can miss two classes that resemble each other but not the centre.
 Buckets that still hold several components after the stars are verified are
 therefore compared in blocks inside the tasks, first by sketches, then by
-sets; only links between different components leave a task. Every link is
-confirmed on full sets.
+full sets; only links between different components leave a task.
 
 Two texts at the threshold share no band with probability (1 - 0.8**6)**40, 5e-6.
 """
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from adtally.llm.graph import components
@@ -36,10 +38,14 @@ BINS = ROWS * BANDS
 WORDS, PERCENT = 5, 80
 #: A sketch of BINS values errs by 0.026 at the threshold; six times that is left as a margin.
 MARGIN = 0.16
-#: Classes of one bucket that one task compares with as many others.
-BLOCK = 1024
+#: Bytes of sets of one bucket that one task compares with as many others.
+BLOCK_BYTES = 2 * 2**20
 COLUMNS = 2048
 _EMPTY = U64(2**64 - 1)
+#: Draws for an empty range that are tried for all texts at once.
+DRAWS = 6
+#: Rows of a staged table that one task writes, if all cores have some.
+STAGED_ROWS = 100_000
 
 
 def distinct_shingles(w: Words, size: int) -> tuple[np.ndarray, np.ndarray]:
@@ -65,16 +71,36 @@ def sketches(values: np.ndarray, first: np.ndarray) -> np.ndarray:
     sketch = sketch.reshape(-1, BINS)
     filled = sketch != _EMPTY
     row, column = np.nonzero(~filled & filled.any(axis=1)[:, None])
-    attempt = 0
-    while len(row):
-        attempt += 1
-        drawn = (mix(U64(attempt * 65536) + column.astype(U64)) % U64(BINS)).astype(np.int64)
+    for attempt in range(1, DRAWS + 1):
+        drawn = _drawn(column, attempt)
         found = filled[row, drawn]
         sketch[row[found], column[found]] = sketch[row[found], drawn[found]]
         row, column = row[~found], column[~found]
+    if len(row):  # short texts: of their few filled ranges the one that comes first
+        order = _draw_order()
+        begin = np.flatnonzero(np.concatenate([[True], row[1:] != row[:-1]])).tolist()
+        for x, y in zip(begin, [*begin[1:], len(row)]):
+            there, empty = np.flatnonzero(filled[row[x]]), column[x:y]
+            sketch[row[x], empty] = sketch[row[x], there[order[empty][:, there].argmin(axis=1)]]
     return sketch
 
 
+def _drawn(column: np.ndarray, attempt: int) -> np.ndarray:
+    return (mix(U64(attempt * 65536) + column.astype(U64)) % U64(BINS)).astype(np.int64)
+
+
+@functools.cache
+def _draw_order() -> np.ndarray:
+    """For each range and each other one the attempt that draws it first."""
+    order, columns, attempt = np.zeros((BINS, BINS), np.int64), np.arange(BINS), 0
+    while not order.all():
+        attempt += 1
+        drawn = _drawn(columns, attempt)
+        new = order[columns, drawn] == 0
+        order[columns[new], drawn[new]] = attempt
+    return order
+
+
 def _binary(data: bytes, lengths: np.ndarray) -> pa.Array:
     ends = np.concatenate([[0], np.cumsum(lengths)]).astype(np.int32)
     return pa.Array.from_buffers(pa.binary(), len(lengths), [None, pa.py_buffer(ends.tobytes()), pa.py_buffer(data)])
@@ -91,12 +117,12 @@ def _mark(size: int):
                 sums = np.stack([mix((s[first[1:]] - s[first[:-1]]) ^ count.astype(U64)) for s in both], axis=1)
                 bands = mix(rolling_rows(sketch.reshape(-1, BANDS, ROWS)) ^ mix(np.arange(1, BANDS + 1, dtype=U64)))
             yield pa.RecordBatch.from_arrays([
-                b.column("doc_id"), pa.array(count, pa.int64()),
+                b.column("doc_id"), b.column("key"), pa.array(count, pa.int64()),
                 _binary(sums.tobytes(), np.full(len(count), 16)),
                 pa.FixedSizeListArray.from_arrays(pa.array(bands.ravel().view(np.int64)), BANDS).cast(
                     pa.list_(pa.int64())),
                 _binary((sketch & U64(0xFFFF)).astype(np.uint16).tobytes(), np.full(len(count), 2 * BINS)),
-            ], ["doc_id", "n_shingles", "digest", "bands", "sketch"])
+            ], ["doc_id", "key", "n_shingles", "digest", "bands", "sketch"])
 
     return run
 
@@ -113,7 +139,7 @@ def _sets(size: int):
         for b in slices(batches, "text"):
             values, first = distinct_shingles(words(b.column("text"), lower=True), size)
             yield pa.RecordBatch.from_arrays(
-                [b.column("doc_id"), _binary(values.tobytes(), 8 * np.diff(first))], ["doc_id", "shingles"])
+                [b.column("node"), _binary(values.tobytes(), 8 * np.diff(first))], ["node", "shingles"])
 
     return run
 
@@ -140,10 +166,10 @@ def _similar(percent: int):
 
 def _confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs whose full sets are similar."""
-    both = pairs.join(sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("left")), "a").join(
-        sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("right")), "b")
+    both = pairs.join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("left")), "a").join(
+        sets.select(F.col("node").alias("b"), F.col("shingles").alias("right")), "b")
     links = both.select("a", "b", "left", "right").mapInArrow(_similar(percent), "a bigint, b bigint")
-    return stage(pairs.sparkSession, links.distinct(), "confirmed")
+    return links.distinct()
 
 
 def _overlaps(sets: list[np.ndarray], mine: np.ndarray, theirs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -180,13 +206,14 @@ def _across(percent: int):
         """Links between different components of one block pair.
 
         A pair that shares several buckets is compared in the first of them.
-        Sets travel as 32-bit hashes; every link is confirmed afterwards.
+        A link that is found joins two components for the rest of the group.
         """
         i, j, band = (group.column(c)[0].as_py() for c in ("i", "j", "band"))
         own = np.array(group.column("block")) == i
-        ids, component = (np.array(group.column(c)) for c in ("doc_id", "component"))
+        ids, component = (np.array(group.column(c)) for c in ("node", "component"))
         sketch = np.frombuffer(b"".join(group.column("sketch").to_pylist()), np.uint16).reshape(-1, BINS)
-        sets = [np.frombuffer(v, np.uint32) for v in group.column("short").to_pylist()]
+        bands = np.array(group.column("bands").combine_chunks().flatten()).reshape(-1, BANDS)
+        sets = [np.frombuffer(v.as_buffer(), U64) for v in group.column("shingles")]
         joined = {c: c for c in set(component.tolist())}
 
         def root(c: int) -> int:
@@ -197,89 +224,109 @@ def _across(percent: int):
         mine, theirs = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
         for k in np.flatnonzero(own):
             others = np.flatnonzero(((ids > ids[k]) if i == j else ~own) & (component != component[k]))
-            same = sketch[others] == sketch[k]
-            near = same.mean(axis=1) >= least
-            others, same = others[near], same[near]
-            others = others[same.reshape(len(others), BANDS, ROWS).all(axis=2).argmax(axis=1) == band]
+            others = others[(sketch[others] == sketch[k]).mean(axis=1) >= least]
+            others = others[(bands[others] == bands[k]).argmax(axis=1) == band]
             mine.append(np.full(len(others), k))
             theirs.append(others)
         mine, theirs = np.concatenate(mine), np.concatenate(theirs)
         both, either = _overlaps(sets, mine, theirs)
+        alike = 100 * both >= percent * either
         links = []
-        for sure in (True, False):
-            # Hashes of half the length may merge two shingles of a text; what is one short is let through.
-            passes = 100 * both >= percent * either if sure else (100 * both < percent * either) & (
-                100 * (both + 1) >= percent * (either - 1))
-            for x, y in zip(mine[passes].tolist(), theirs[passes].tolist(), strict=True):
-                low, high = root(int(component[x])), root(int(component[y]))
-                if low != high:
-                    links.append((max(ids[x], ids[y]), min(ids[x], ids[y])))
-                    if sure:
-                        joined[low] = high
+        for x, y in zip(mine[alike].tolist(), theirs[alike].tolist(), strict=True):
+            low, high = root(int(component[x])), root(int(component[y]))
+            if low != high:
+                links.append((max(ids[x], ids[y]), min(ids[x], ids[y])))
+                joined[low] = high
         return pa.table({"a": pa.array([x for x, _ in links], pa.int64()), "b": pa.array([y for _, y in links], pa.int64())})
 
     return run
 
 
-def _short(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Sets as sorted hashes of half the length."""
-    for b in batches:
-        half = [np.sort(np.frombuffer(v.as_buffer(), np.uint64).astype(np.uint32)).tobytes() for v in b.column("shingles")]
-        yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(half, pa.binary())], ["doc_id", "short"])
+def _key() -> Column:
+    """A doc_id and its text; never null."""
+    return F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.sha2(whole(), 256))
 
 
 def marks(docs: DataFrame, size: int) -> DataFrame:
-    return docs.select("doc_id", whole().alias("text")).mapInArrow(
-        _mark(size), "doc_id bigint, n_shingles bigint, digest binary, bands array<bigint>, sketch binary")
+    return docs.select("doc_id", _key().alias("key"), whole().alias("text")).mapInArrow(
+        _mark(size), "doc_id bigint, key string, n_shingles bigint, digest binary, bands array<bigint>, sketch binary")
 
 
-def near_duplicates(docs: DataFrame, size: int = WORDS, percent: int = PERCENT) -> DataFrame:
-    """(doc_id, n_shingles, component_id, kept) for every row of ``docs`` (doc_id, text, any other columns).
+class _Found(NamedTuple):
+    #: A row for every row of the documents: doc_id, key, n_shingles and more.
+    marked: DataFrame
+    #: node, doc_id, key: each key once, numbered in the order of doc_id, those without last.
+    nodes: DataFrame
+    #: node, component for every node with a link.
+    components: DataFrame
 
-    Words are lower-cased in A-Z. A text of fewer than ``size`` words is one
-    shingle; one without words, or a null text, has none and links with
-    nothing. Rows that share a doc_id are one node. A row without doc_id links
-    with nothing, has no component_id and is kept. An empty table gives an
-    empty result. Ties take the smallest doc_id.
-    """
+
+def _find(docs: DataFrame, size: int, percent: int, by_doc_id: bool) -> _Found:
+    """Groups of near copies. ``by_doc_id``: rows that share a doc_id belong together, those without one link with nothing."""
     spark = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
     marked = stage(spark, marks(docs, size), "marks")
-    able = marked.where("doc_id is not null and n_shingles > 0")
-    classes = stage(spark, able.groupBy("digest").agg(F.min("doc_id").alias("doc_id")), "classes")
-    copies = able.select("digest", F.col("doc_id").alias("a")).join(
-        classes.withColumnRenamed("doc_id", "b"), "digest").where("a != b").select("a", "b")
-    first = able.join(classes, ["digest", "doc_id"], "left_semi").dropDuplicates(["doc_id", "digest"])
-    entries = stage(spark, first.select("doc_id", F.posexplode("bands").alias("band", "bucket")), "entries")
-    shared = entries.groupBy("bucket").agg(F.min("doc_id").alias("centre"), F.count("*").alias("n")).where("n > 1")
-    stars = stage(spark, entries.join(shared.drop("n"), "bucket"), "stars")
-    pairs = stars.where("doc_id != centre").select(F.col("doc_id").alias("a"), F.col("centre").alias("b")).distinct()
-    # Only texts that share a bucket are read again. Their ids grow with the input: not to be broadcast.
-    ids = stars.select("doc_id").distinct().hint("merge")
-    sets = stage(spark, docs.select("doc_id", whole().alias("text")).join(ids, "doc_id", "left_semi").mapInArrow(
-        _sets(size), "doc_id bigint, shingles binary"), "sets")
+    files = max(spark.sparkContext.defaultParallelism, marked.count() // STAGED_ROWS)
+
+    def staged(df: DataFrame, name: str) -> DataFrame:
+        return stage(spark, df.coalesce(files), name)
+
+    order = [F.col("doc_id").asc_nulls_last(), F.col("key")]
+    nodes = staged(marked.select("doc_id", "key").distinct().repartitionByRange(*order).sortWithinPartitions(
+        *order).withColumn("node", F.monotonically_increasing_id()), "nodes")
+    able = marked.where("n_shingles > 0")
+    linked = nodes.where("doc_id is not null") if by_doc_id else nodes
+    members = staged(able.select("key", "digest").distinct().join(linked.select("key", "node"), "key").drop("key"), "members")
+    classes = members.groupBy("digest").agg(F.min("node").alias("node"))
+    copies = members.withColumnRenamed("node", "a").join(classes.withColumnRenamed("node", "b"), "digest").where(
+        "a != b").select("a", "b")
+    first = able.select("digest", "bands", "sketch", "n_shingles").dropDuplicates(["digest"]).join(classes, "digest")
+    first = staged(first.drop("digest"), "classes")
+    entries = first.select("node", "n_shingles", F.posexplode("bands").alias("band", "bucket"))
+    shared = entries.groupBy("bucket").agg(F.min("node").alias("centre"), F.count("*").alias("n")).where("n > 1")
+    stars = staged(entries.join(shared.drop("n"), "bucket"), "stars")
+    pairs = stars.where("node != centre").select(F.col("node").alias("a"), F.col("centre").alias("b")).distinct()
+    # Only texts that share a bucket are read again. Their keys grow with the input: not to be broadcast.
+    wanted = stars.select("node").distinct().join(nodes, "node").select("key", "node").hint("merge")
+    sets = staged(docs.select(_key().alias("key"), whole().alias("text")).join(wanted, "key").dropDuplicates(
+        ["key"]).select("node", "text").mapInArrow(_sets(size), "node bigint, shingles binary"), "sets")
     links = _confirm(pairs, sets, percent).union(copies)
+    if by_doc_id:
+        same = linked.groupBy("doc_id").agg(F.min("node").alias("b"), F.count("*").alias("n")).where("n > 1")
+        links = links.union(linked.join(same, "doc_id").where("node != b").select("node", "b"))
+    links = staged(links, "links")
     found = components(links, "a", "b")
 
-    labelled = stars.join(found, stars.doc_id == found.node, "left").select(
-        "band", "bucket", "doc_id", F.coalesce("component", "doc_id").alias("component"))
-    labelled = stage(spark, labelled, "labelled")
+    labelled = staged(stars.join(found, "node", "left").select(
+        "band", "bucket", "node", "n_shingles", F.coalesce("component", "node").alias("component")), "labelled")
     split = labelled.groupBy("bucket").agg(
-        F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("n")).where("low != high")
-    rest = labelled.join(split.select("bucket", F.ceil(F.col("n") / BLOCK).alias("blocks")), "bucket")
-    rest = rest.withColumn("block", F.pmod(F.xxhash64("doc_id"), F.col("blocks")))
+        F.min("component").alias("low"), F.max("component").alias("high"), F.sum("n_shingles").alias("n")).where("low != high")
+    rest = labelled.join(split.select("bucket", F.ceil(8 * F.col("n") / BLOCK_BYTES).alias("blocks")), "bucket")
+    rest = rest.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")))
     # Every block meets every block once: it goes along row and column of the triangle of block pairs.
     rest = rest.withColumn("other", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1)))
-    rest = rest.select("band", "bucket", "doc_id", "component", "block", F.least("block", "other").alias("i"),
+    rest = rest.select("band", "bucket", "node", "component", "block", F.least("block", "other").alias("i"),
                        F.greatest("block", "other").alias("j"))
-    short = sets.dropDuplicates(["doc_id"]).mapInArrow(_short, "doc_id bigint, short binary")
-    rest = rest.join(first.select("doc_id", "sketch").dropDuplicates(["doc_id"]), "doc_id").join(short, "doc_id")
-    across = rest.groupBy("bucket", "i", "j").applyInArrow(_across(percent), "a bigint, b bigint").distinct()
-    more = _confirm(across, sets, percent)
+    rest = rest.join(first.select("node", "sketch", "bands"), "node").join(sets, "node")
+    more = staged(rest.groupBy("bucket", "i", "j").applyInArrow(_across(percent), "a bigint, b bigint").distinct(), "more")
     if not more.isEmpty():
         found = components(links.union(more), "a", "b")
-    found = found.select(F.col("node").alias("doc_id"), F.col("component").alias("of"))
-    return marked.select("doc_id", "n_shingles").join(found, "doc_id", "left").select(
+    return _Found(marked, nodes, found)
+
+
+def near_duplicates(docs: DataFrame, size: int = WORDS, percent: int = PERCENT) -> DataFrame:
+    """(doc_id, n_shingles, component_id, kept) for every row of ``docs`` (doc_id, text, any other columns).
+
+    Words are lower-cased in A-Z. A text of fewer than ``size`` words is one
+    shingle; one without words, or a null text, has none and links with
+    nothing. Rows that share a doc_id belong together, also with different
+    texts. A row without doc_id links with nothing, has no component_id and is
+    kept. An empty table gives an empty result. Ties take the smallest doc_id.
+    """
+    found = _find(docs, size, percent, by_doc_id=True)
+    ids = found.nodes.select(F.col("node").alias("component"), F.col("doc_id").alias("of"))
+    component = found.components.join(ids, "component").join(found.nodes.select("node", "key"), "node").select("key", "of")
+    return found.marked.select("doc_id", "key", "n_shingles").join(component, "key", "left").select(
         "doc_id", "n_shingles", F.coalesce("of", "doc_id").alias("component_id"),
         F.coalesce("of", "doc_id").eqNullSafe(F.col("doc_id")).alias("kept"))
 
@@ -292,20 +339,15 @@ def first_of_each_group(docs: DataFrame, size: int = WORDS, percent: int = PERCE
     doc_id go their own ways. Rows without words all stay.
     """
     spark = docs.sparkSession
-    ids = docs.groupBy("doc_id").agg(F.count("*").alias("n"))
-    if ids.where("doc_id is null or n > 1").isEmpty():
-        gone = near_duplicates(docs, size, percent).where("not kept").select(F.col("doc_id").alias("_gone")).distinct()
-        return docs.join(gone, docs["doc_id"] == gone["_gone"], "left_anti")
-    # Every pair of doc_id and text is a node, numbered in the order of doc_id.
-    keyed = docs.withColumns({"_id": F.col("doc_id").cast("bigint"), "_digest": F.sha2(whole(), 256)})
-    order = [F.col("_id").asc_nulls_last(), "_digest"]
-    nodes = stage(spark, keyed.select("_id", "_digest").distinct().repartitionByRange(*order).sortWithinPartitions(
-        *order).withColumn("_node", F.monotonically_increasing_id()), "nodes")
-    nodes = nodes.withColumnsRenamed({"_id": "_of_id", "_digest": "_of_digest"})
-    rows = keyed.join(nodes, F.col("_id").eqNullSafe(F.col("_of_id")) & (F.col("_digest") == F.col("_of_digest")))
-    rows = stage(spark, rows.select(*docs.columns, "_node"), "rows")
-    gone = near_duplicates(rows.select(F.col("_node").alias("doc_id"), "text"), size, percent).where("not kept")
-    rows = rows.join(gone.select(F.col("doc_id").alias("_node")).distinct(), "_node", "left_anti")
-    has_words = F.col("text").rlike(r"[^\x20\x09-\x0D]")
-    rows = rows.withColumn("_row", F.when(has_words, F.lit(0)).otherwise(F.monotonically_increasing_id()))
-    return rows.dropDuplicates(["_node", "_row"]).select(*docs.columns)
+    found = _find(docs, size, percent, by_doc_id=False)
+    name = "_key"
+    while name.lower() in map(str.lower, docs.columns):
+        name = "_" + name
+    # Both are staged, so their sizes are known when the joins are planned.
+    gone = stage(spark, found.components.where("node != component").join(found.nodes, "node").select(
+        F.col("key").alias(name)), "gone")
+    again = stage(spark, found.marked.where("n_shingles > 0").groupBy("key").agg(F.count("*").alias("n")).where(
+        "n > 1").select(F.col("key").alias(name)).join(gone, name, "left_anti"), "again")
+    keyed = docs.withColumn(name, _key())
+    once = keyed.join(gone.union(again), name, "left_anti")
+    return once.unionByName(keyed.join(again, name, "left_semi").dropDuplicates([name])).drop(name)

@@ -46,3 +46,29 @@ def test_items_that_are_cut_off(spark):
     left = {r.doc_id for r in without_contaminated(frame, bench).collect()}
     assert 0 not in left and {-1, -2, -3} <= left
     assert [r.doc_id for r in contaminated(frame.where("doc_id = 0"), bench).collect()] == [0]  # a batch shorter than the item
+
+
+def test_sketches_of_few_shingles_cost_no_more(monkeypatch):
+    """Ten thousand texts of four words, and the same borrowing as drawing until a filled range is hit."""
+    import time
+
+    import numpy as np
+
+    from adtally.llm import neardup
+    from adtally.llm.text import U64, mix
+
+    draw = np.random.default_rng(5)
+    values = np.sort(mix(draw.integers(0, 2**63, (10_000, 3), dtype=np.int64).view(U64)), axis=1)
+    first = np.arange(0, 30_001, 3)
+    neardup.sketches(values.ravel()[:3], first[:2])  # the order of draws is worked out once
+    began = time.process_time()
+    got = neardup.sketches(values.ravel(), first)
+    assert time.process_time() - began < 6
+    for row in (0, 17, 9_999):
+        filled = {int((int(v) >> 32) * neardup.BINS >> 32): v for v in values[row][::-1]}
+        for column in range(neardup.BINS):
+            attempt, at = 0, column
+            while at not in filled:
+                attempt += 1
+                at = int(mix(np.array([attempt * 65536 + column], U64))[0] % U64(neardup.BINS))
+            assert got[row, column] == filled[at]
