@@ -171,7 +171,7 @@ def impression_log(events: DataFrame) -> DataFrame:
     )
     return _select(base(events), {
         "timezone": _pick(OFFSETS, user() % 10), "request_unix": F.col("epoch"),
-        "publisher_id": _per(user(), 6), "inventory_id": j() % 6, "plcmt_id": j() % 3, "campaign_id": j() % 4,
+        "publisher_id": _per(user(), 6), "inventory_id": j() % 6, "plcmt_id": j() % 3, "campaign_id": _per(user(), 8),
         "delivery_id": j() % 4, "ad_id": j() % 6,
         "option": F.when(k() % 13 != 0, option),
     })
@@ -200,12 +200,12 @@ def demand_log(lineitem: DataFrame, supplier: DataFrame, part: DataFrame) -> Dat
         "macmd5": F.when(order % 11 == 0, _text("m", order)),
     }
     return _select(rows, {
-        "tz": _pick(OFFSETS, nation % 5), "demand": F.col("l_returnflag"), "cid": _text("b", F.col("p_size") % 4),
+        "tz": _pick(OFFSETS, nation % 5), "demand": F.col("l_returnflag"), "cid": _text("b", _per(F.col("l_partkey"), 100)),
         "crid": _text("cr", line % 2), "dcost": F.col("l_extendedprice"),
         "dcostcur": _pick(["USD", "EUR"], line % 2),
         "srevenue": F.when(line == 7, "n/a").otherwise(
             F.concat(F.col("l_quantity").cast("int").cast("string"), F.lit(".25"))),
-        "srevenuecur": _pick(["USD", "EUR"], line % 2), "supply": _text("s", _per(F.col("l_suppkey"), 50)),
+        "srevenuecur": _pick(["USD", "EUR"], line % 2), "supply": _text("s", _per(F.col("l_suppkey"), 25)),
         "tagid": _text("t", line % 2), "uagrp": _text("u", line % 2), "clickts": epoch, "pixelts": epoch,
         "site": F.struct(
             F.lit("site").alias("domain"), F.struct(F.lit("sitepub").alias("domain")).alias("publisher")),

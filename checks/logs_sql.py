@@ -74,7 +74,7 @@ EVENT_LOG = f"""event_log AS (
 
 IMPRESSION_LOG = f"""imp_raw AS (
   SELECT {pick(OFFSETS, 'user_id % 10')} AS timezone, epoch AS request_unix, k % 13 <> 0 AS has_option, j,
-         user_id // 6 AS publisher_id, j % 6 AS inventory_id, j % 3 AS plcmt_id, j % 4 AS campaign_id,
+         user_id // 6 AS publisher_id, j % 6 AS inventory_id, j % 3 AS plcmt_id, user_id // 8 AS campaign_id,
          j % 4 AS delivery_id, j % 6 AS ad_id, {IDS}
   FROM base),
 imp_log AS (
@@ -111,8 +111,8 @@ def demand_log(stream: bool) -> str:
            + (l_orderkey * 7919 + l_linenumber * 3571) % 86400 AS epoch
   FROM lineitem JOIN supplier ON l_suppkey = s_suppkey JOIN part ON l_partkey = p_partkey),
 demand_log AS (
-  SELECT {pick(OFFSETS, 'n5')} AS timezone, epoch, l_returnflag AS demand, 'b' || (p_size % 4) AS campaign_id,
-         'cr' || (line % 2) AS creative_id, 's' || (l_suppkey // 50) AS supply, {publisher} AS publisher_domain,
+  SELECT {pick(OFFSETS, 'n5')} AS timezone, epoch, l_returnflag AS demand, 'b' || (l_partkey // 100) AS campaign_id,
+         'cr' || (line % 2) AS creative_id, 's' || (l_suppkey // 25) AS supply, {publisher} AS publisher_domain,
          {inventory} AS inventory_domain,
          CASE WHEN line % 3 <> 0 THEN 'bundle' || (line % 2) ELSE '' END AS app_bundle, 't' || (line % 2) AS tagid,
          CASE WHEN n5 <> 4 THEN 'C' || n5 ELSE '' END AS country_code,
