@@ -14,6 +14,8 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Where one side turns out small in every partition, it is hashed and the other side is not sorted.
+    "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64m",
     # State grows with the number of live grains, so keep it off the JVM heap.
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",

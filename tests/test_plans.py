@@ -4,7 +4,8 @@ from pyspark.sql import functions as F
 
 from adtally.catalog import run
 from adtally.operators import click, conversion
-from adtally.sources import sample
+from adtally import schemas
+from adtally.sources import logs, sample
 
 def physical(df):
     return df._jdf.queryExecution().executedPlan().toString()
@@ -21,10 +22,21 @@ def test_distinct_counts_shuffle_by_visitor_first(spark, sf):
     assert len(exchanges) == 2 and "visitor" in exchanges[1] and "visitor" not in exchanges[0]
 
 
-def test_dedup_combines_before_the_shuffle(spark, sf):
-    plan = physical(conversion.dedup(sample.conversion_log(sample.table(spark, sf, "events"))))
-    assert "partial_min" in plan and "Window" not in plan
-    assert plan.count("hashpartitioning") == 1
+def test_dedup_combines_before_the_shuffle_and_sorts_no_log(spark, sf):
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        unique = conversion.dedup(logs.filled(sample.conversion_log(sample.table(spark, sf, "events")), schemas.CONVERSION))
+        unique.collect()
+        plan = physical(unique)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    final = plan[:plan.find("== Initial Plan ==")]
+    assert "partial_min" in final and "Window" not in final
+    # The earliest seconds are hashed; what is sorted are the records left after the join.
+    assert "ShuffledHashJoin" in final and "SortMergeJoin" not in final
+    below = final[final.index("ShuffledHashJoin"):]
+    assert "Sort [" not in below and "SortAggregate" not in below
 
 
 def test_a_hot_blank_click_id_counts_once(spark):
