@@ -209,6 +209,15 @@ def uniq_reach(spark, sf):
     return sketched.join(exact, "aff_id").select("aff_id", "gross_cnt", "exact_uniq_cnt", "uniq_cnt")
 
 
+@query
+def uniq_reach_bound(spark, sf):
+    """``uniq_reach`` with the estimate held against three standard errors of its sketch."""
+    error = F.abs(F.col("uniq_cnt") - F.col("exact_uniq_cnt"))
+    return uniq_reach(spark, sf).select(
+        "aff_id", "gross_cnt", "exact_uniq_cnt",
+        (error <= F.greatest(F.lit(1.0), F.col("exact_uniq_cnt") * 0.049)).cast("int").alias("within_bound"))
+
+
 @query
 def local_day_three_file_window(spark, sf):
     """Which UTC file day the records of each local day lie in."""

@@ -92,6 +92,10 @@ ORACLE["uniq_approx"] = CLICKS + grouped(
     click_days("gmt"), ["dated", "campaign_id"],
     f"count(*) AS gross_cnt, count(DISTINCT {VISITOR}) AS exact_uniq_cnt, CAST(1 AS BIGINT) AS within_bound")
 
+ORACLE["uniq_reach_bound"] = CLICKS + f"""
+SELECT aff_id, count(*) AS gross_cnt, count(DISTINCT {VISITOR}) AS exact_uniq_cnt, CAST(1 AS BIGINT) AS within_bound
+FROM click_log GROUP BY aff_id"""
+
 ORACLE["local_day_three_file_window"] = CLICKS + f"""
 SELECT timezone, CAST(d AS VARCHAR) AS dated, count(*) AS gross_cnt,
        count(*) FILTER (WHERE f - d = -1) AS day_before_cnt, count(*) FILTER (WHERE f - d = 0) AS same_day_cnt,
