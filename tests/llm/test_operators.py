@@ -475,5 +475,5 @@ def test_components(spark):
     assert components(spark.createDataFrame([], "x long, y long"), "x", "y").count() == 0
 
 
-def test_all_ten_are_registered():
-    assert sorted(int(k[2:].split("_")[0]) for k in queries.QUERIES) == list(range(1, 11))
+def test_all_thirteen_are_registered():
+    assert sorted(int(k[2:].split("_")[0]) for k in queries.QUERIES) == list(range(1, 14))
