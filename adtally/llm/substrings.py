@@ -16,7 +16,10 @@ bucket too large. A first pass over all texts counts minimisers; those above
 an even share are heavy. Their windows travel each by itself, to a bucket
 drawn from the hash of the whole window, so even one line that a third of all
 texts share is spread. Which minimisers are heavy changes where windows meet,
-never the result.
+never the result. So the table sent to the tasks may hold the upper half of
+each heavy minimiser only; the few others that begin alike are spread as well.
+It has ``MOST_HEAVY`` entries at most (64 MB): up to 16 TB of input any
+minimiser above half an even share is heavy, at 100 TB any above 6 MB of it.
 """
 
 from __future__ import annotations
@@ -39,8 +42,13 @@ LEVEL = 3
 COMPARED = 100_000
 #: Bytes of Parquet input for a bucket.
 BUCKET_BYTES = 2 * 2**20
-#: Minimisers treated as heavy at most by size of the table sent to every task; each stands for at least this share.
-LEAST_SHARE = 1e-5
+#: Buckets judged by one task, and the most tasks; a bucket is read and freed by itself.
+TASK_BUCKETS, MOST_TASKS = 16, 100_000
+#: Minimisers treated as heavy at most; it bounds the table sent to every task (four bytes each), not their windows.
+MOST_HEAVY = 2**24
+#: Minimisers counted together before they leave a task.
+HELD = 2**21
+_LEAST = -2**63
 
 
 class _Texts:
@@ -73,27 +81,54 @@ class _Texts:
 
 def _count_minimisers(size: int, gram: int, share: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Minimisers that hold more than half a share of a slice's windows, and the slice's windows (key null)."""
+        """Minimisers that hold more than half a share of some slices' windows, and these windows (key null).
+
+        Slices are taken together until a share of them is four windows, or
+        ``HELD`` minimisers are at hand; then less than half a share is lost
+        whatever the number of slices.
+        """
+        held, windows, minimisers = [], 0, 0
         for b in slices(batches, "text", SLICE):
             t = _Texts(b, size, gram)
-            key, n = np.unique(t.low, return_counts=True)
-            often = n > max(1.0, share * len(t.low) / 2)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([*key[often].view(np.int64).tolist(), None], pa.int64()),
-                 pa.array([*n[often].tolist(), len(t.low)], pa.int64())], ["key", "n"])
+            held.append(np.unique(t.low, return_counts=True))
+            windows += len(t.low)
+            minimisers += len(held[-1][0])
+            if share * windows >= 4 or minimisers >= HELD:
+                yield _often(held, share * windows / 2, windows)
+                held, windows, minimisers = [], 0, 0
+        if windows:
+            yield _often(held, share * windows / 2, windows)
 
     return run
 
 
-def heavy_minimisers(docs: DataFrame, size: int, gram: int, buckets: int) -> np.ndarray:
-    """Minimisers of more than half an even share; at most 2 / share of them, whatever the input."""
-    share = max(LEAST_SHARE, 0.5 / buckets)
+def _often(held: list[tuple[np.ndarray, np.ndarray]], least: float, windows: int) -> pa.RecordBatch:
+    key, at = np.unique(np.concatenate([k for k, _ in held]), return_inverse=True)
+    n = np.bincount(at, np.concatenate([n for _, n in held]), len(key)).astype(np.int64)
+    often = n > least
+    return pa.RecordBatch.from_arrays(
+        [pa.array([*key[often].view(np.int64).tolist(), None], pa.int64()),
+         pa.array([*n[often].tolist(), windows], pa.int64())], ["key", "n"])
+
+
+def heavy_minimisers(docs: DataFrame, size: int, gram: int, buckets: int, most: int = MOST_HEAVY) -> np.ndarray:
+    """The upper halves of the minimisers above half an even share, in order; never more than ``most``."""
+    share = max(1 / most, 0.5 / buckets)
     counted = docs.mapInArrow(_count_minimisers(size, gram, share), "key bigint, n bigint").groupBy("key").agg(
         F.sum("n").alias("n"))
     counted = stage(docs.sparkSession, counted, "minimisers")
     total = counted.where("key is null").agg(F.sum("n")).first()[0] or 0
-    rows = counted.where(F.col("key").isNotNull() & (F.col("n") > share * total)).select("key").toPandas()
-    return np.sort(rows["key"].to_numpy(np.int64).view(U64))
+    halves = counted.where(F.col("key").isNotNull() & (F.col("n") > share * total)).select(
+        F.shiftright("key", 32).cast("int").alias("half")).distinct().toArrow()
+    return np.sort(halves.column("half").to_numpy().astype(np.int32).view(np.uint32))
+
+
+def _among(low: np.ndarray, heavy: np.ndarray) -> np.ndarray:
+    """Which minimisers begin like a heavy one."""
+    if not len(heavy):
+        return np.zeros(len(low), bool)
+    half = (low >> U64(32)).astype(np.uint32)
+    return heavy[np.minimum(np.searchsorted(heavy, half), len(heavy) - 1)] == half
 
 
 def _pack(size: int, gram: int, buckets: int, heavy: np.ndarray):
@@ -106,7 +141,7 @@ def _pack(size: int, gram: int, buckets: int, heavy: np.ndarray):
             ids = b.column("doc_id").to_numpy(zero_copy_only=False).astype(np.int64)
             marks = b.column("mark").to_numpy(zero_copy_only=False).astype(np.int64)
             window = rolling(t.values, size)[t.at]
-            spread = np.isin(t.low, heavy)
+            spread = _among(t.low, heavy)
             # Runs of windows that go on by one word with one minimiser; a spread window is a run by itself.
             new = np.ones(len(t.at), bool)
             new[1:] = (np.diff(t.at) != 1) | (t.low[1:] != t.low[:-1]) | spread[1:] | spread[:-1]
@@ -254,6 +289,9 @@ def repeated_ranges(docs: DataFrame, buckets: int, size: int = WINDOW, gram: int
     packed = docs.mapInArrow(
         _pack(size, gram, buckets, heavy),
         "bucket bigint, packed binary, doc_id binary, mark binary, place binary, windows binary")
+    tasks = min(MOST_TASKS, buckets // TASK_BUCKETS)
+    if tasks > int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")):
+        packed = packed.repartition(tasks, "bucket")  # the grouping below takes it over
     return packed.groupBy("bucket").applyInArrow(_judge(size), "doc_id bigint, mark bigint, begin bigint, end bigint")
 
 
@@ -266,17 +304,44 @@ def remove_repeats(docs: DataFrame, buckets: int, size: int = WINDOW, gram: int
     one of fewer words than a window, loses nothing. Judged on the input.
     """
     docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
-    keyed = docs.select(
-        F.coalesce("doc_id", F.lit(-2**63)).alias("doc_id"), F.xxhash64("text").alias("mark"),
-        whole().alias("text"))
+    # A missing doc_id takes the place of the least one; their marks differ in sign, and the missing ones come first.
+    mark, sign = F.xxhash64("text"), F.lit(_LEAST)
+    mark = F.when(F.col("doc_id").isNull(), mark.bitwiseOR(sign)).when(
+        F.col("doc_id") == _LEAST, mark.bitwiseAND(F.lit(-1 - _LEAST))).otherwise(mark)
+    keyed = docs.select(F.coalesce("doc_id", sign).alias("doc_id"), mark.alias("mark"), whole().alias("text"))
     ranges = repeated_ranges(keyed, buckets, size, gram).groupBy("doc_id", "mark").agg(
         F.collect_list(F.struct("begin", "end")).alias("ranges"))
     packed = keyed.mapInArrow(_pressed, "doc_id bigint, mark bigint, packed binary")
-    out = packed.join(ranges, ["doc_id", "mark"], "left").select("doc_id", "packed", "ranges").mapInArrow(
+    missing = (F.col("doc_id") == _LEAST) & (F.col("mark") < 0)
+    return packed.join(ranges, ["doc_id", "mark"], "left").select(
+        F.when(~missing, F.col("doc_id")).alias("doc_id"), "packed", "ranges").mapInArrow(
         _kept, "doc_id bigint, n_words bigint, n_removed bigint, kept binary")
-    return out.withColumn("doc_id", F.when(F.col("doc_id") != -2**63, F.col("doc_id")))
 
 
 def buckets_for(spark, path: str) -> int:
     """Buckets for the Parquet files below ``path``: their number grows with the input."""
     return max(12, -(-total_bytes(spark, [path]) // BUCKET_BYTES))
+
+
+#: The same for a database; the first of equal windows is the one of the smallest doc_id, then of the earliest start.
+SQL = rf"""
+WITH texts AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents),
+flat AS (SELECT doc_id, unnest(words) AS word, generate_subscripts(words, 1) AS place FROM texts),
+starts AS (
+  SELECT doc_id, place AS start, string_agg(word, ' ') OVER w AS said, count(*) OVER w AS n
+  FROM flat WINDOW w AS (PARTITION BY doc_id ORDER BY place ROWS BETWEEN CURRENT ROW AND {WINDOW - 1} FOLLOWING)),
+windows AS (
+  SELECT doc_id, start, row_number() OVER (PARTITION BY said ORDER BY doc_id, start) AS nth
+  FROM starts WHERE n = {WINDOW}),
+gone AS (
+  SELECT doc_id, list(DISTINCT place) AS places
+  FROM (SELECT doc_id, start + unnest(range({WINDOW})) AS place FROM windows WHERE nth > 1) GROUP BY doc_id),
+removed AS (SELECT doc_id, unnest(places) AS place FROM gone),
+kept AS (
+  SELECT doc_id, count(*) AS n, string_agg(word, ' ' ORDER BY place) AS text
+  FROM flat ANTI JOIN removed USING (doc_id, place) GROUP BY doc_id)
+SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, CAST(len(words) - coalesce(n, 0) AS BIGINT) AS n_removed,
+       sha256(coalesce(kept.text, '')) AS kept_sha256
+FROM texts LEFT JOIN kept USING (doc_id)
+"""
