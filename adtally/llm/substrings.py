@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from adtally.llm.text import U64, hashes, mix, rolling, slices, whole
-from adtally.session import stage, total_bytes
+from adtally.session import total_bytes
 
 WINDOW, GRAM = 20, 3
 SLICE = 8 * 2**20
@@ -55,10 +55,15 @@ class _Texts:
     """The texts of a batch as words joined by single spaces, with hashes of words and windows."""
 
     def __init__(self, batch: pa.RecordBatch, size: int, gram: int):
-        parts = [v.as_buffer().to_pybytes().split() for v in batch.column("text")]
-        self.count = np.array([len(p) for p in parts], np.int64)
-        self.data = b" ".join([b" ".join(p) for p in parts if p])
-        del parts
+        joined, count = [], []
+        for value in batch.column("text"):
+            part = value.as_buffer().to_pybytes().split()
+            count.append(len(part))
+            if part:
+                joined.append(b" ".join(part))
+        self.count = np.array(count, np.int64)
+        self.data = b" ".join(joined)
+        del joined
         raw = np.frombuffer(self.data, np.uint8)
         gaps = np.flatnonzero(raw == 32)
         self.starts = np.concatenate([[0], gaps + 1]) if len(raw) else np.zeros(0, np.int64)
@@ -116,9 +121,9 @@ def heavy_minimisers(docs: DataFrame, size: int, gram: int, buckets: int, most:
     share = max(1 / most, 0.5 / buckets)
     counted = docs.mapInArrow(_count_minimisers(size, gram, share), "key bigint, n bigint").groupBy("key").agg(
         F.sum("n").alias("n"))
-    counted = stage(docs.sparkSession, counted, "minimisers")
-    total = counted.where("key is null").agg(F.sum("n")).first()[0] or 0
-    halves = counted.where(F.col("key").isNotNull() & (F.col("n") > share * total)).select(
+    # Both conditions look at the sums, so they share one shuffle and the texts are read once.
+    total = counted.select(F.max(F.when(F.col("key").isNull(), F.col("n")))).scalar()
+    halves = counted.where(F.when(F.col("key").isNotNull(), F.col("n")) > F.lit(share) * total).select(
         F.shiftright("key", 32).cast("int").alias("half")).distinct().toArrow()
     return np.sort(halves.column("half").to_numpy().astype(np.int32).view(np.uint32))
 
