@@ -16,8 +16,12 @@ Two bags at the threshold (a Jaccard similarity of 0.8, a cosine of 0.89)
 differ in 9.7 of 64 bits on average with a deviation of 2.9; the radius leaves
 3.6 deviations.
 
-Items are sent to the tasks in blocks of a bounded number and size, one pass
-over the texts for each block.
+A benchmark measured as small (``ITEMS``, ``ITEM_BYTES``) is sent to the tasks
+and searched there. A larger one stays where it is: bags as similar as this
+share at least one of any ``n - ceil(0.8 n) + 1`` shingles of the item, so the
+rarest so many of each item are its keys. Texts give those of their shingles
+that a bitmap of bounded size knows, both meet by key, and each text that met
+items is searched for these, with the same result.
 """
 
 from __future__ import annotations
@@ -33,11 +37,14 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType
 
 from adtally.llm.text import U64, Words, hashes, mix, rolling, slices, whole, words
+from adtally.session import stage
 
 GRAM, PERCENT = 5, 80
 BITS, RADIUS = 64, 20
-#: Bounds of the items that go to the tasks at once.
-ITEMS, ITEM_BYTES = 20_000, 16 * 2**20
+#: Bounds of a benchmark that goes to the tasks as a whole.
+ITEMS, ITEM_BYTES = 10_000, 8 * 2**20
+#: Bits of the bitmap of keys (16 MB), and items that a text is searched for at once.
+KEY_BITS, AT_ONCE = 27, 1000
 #: Windows whose bits are summed at a time.
 WINDOWS = 4096
 _EDGES = [round(i * BITS / (RADIUS + 1)) for i in range(RADIUS + 2)]
@@ -236,7 +243,113 @@ def _clean(items: pa.Table, percent: int) -> object:
     return run
 
 
-_SCHEMA = "doc_id bigint, item_id bigint, start bigint, n_words bigint, distance bigint, similarity double"
+_FOUND = "item_id bigint, start bigint, n_words bigint, distance bigint, similarity double"
+
+
+def _measured(benchmark: DataFrame) -> tuple[DataFrame, pa.Table | None]:
+    """The items, and all of them at hand if they are few."""
+    items = benchmark.select(F.col("item_id").cast("bigint").alias("item_id"), whole().alias("text"))
+    n, size = items.agg(F.count("*"), F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()
+    return items, items.toArrow() if n <= ITEMS and size <= ITEM_BYTES else None
+
+
+def _shingles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """All shingles of the items, as often as they occur."""
+    for b in slices(batches, "text"):
+        w = words(b.column("text"), lower=True)
+        values = hashes(w.data, w.starts, w.ends)
+        own = [values[x:y] for x, y in zip(w.first, w.first[1:])]
+        bags = [rolling(v, min(GRAM, len(v))) if len(v) else v for v in own]
+        count = [len(v) for v in bags]
+        yield pa.RecordBatch.from_arrays(
+            [b.column("item").take(pa.array(np.repeat(np.arange(len(bags)), count))),
+             pa.array(np.concatenate(bags).view(np.int64)),
+             pa.array(np.repeat([min(GRAM, len(v)) for v in own], count).astype(np.int32))], ["item", "key", "gram"])
+
+
+def item_keys(items: DataFrame, percent: int) -> DataFrame:
+    """(item, gram, key): of each item the rarest shingles, one of which any window similar to it must hold."""
+    shingles = items.mapInArrow(_shingles, "item bigint, key bigint, gram int")
+    often = shingles.groupBy("key").agg(F.count("*").alias("n"))
+    rarest = shingles.join(often, "key").groupBy("item", "gram").agg(
+        F.array_sort(F.collect_list(F.struct("n", "key"))).alias("bag"))
+    m = F.size("bag")
+    return rarest.select("item", "gram", F.explode(F.array_distinct(F.slice(
+        "bag", F.lit(1), m - F.ceil(m * percent / 100 - 1e-9).cast("int") + 1)["key"])).alias("key"))
+
+
+def _bitmap(keys: DataFrame) -> np.ndarray:
+    """One bit for each value of the upper bits of a key: 2**KEY_BITS bits at most, whatever the benchmark."""
+    at = F.shiftrightunsigned("key", 64 - KEY_BITS) + 1
+    parts = keys.groupBy(F.bitmap_bucket_number(at).alias("bucket")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position(at)).alias("bits")).toArrow()
+    out = np.zeros((2**KEY_BITS // 32768, 4096), np.uint8)
+    for bucket, bits in zip(parts.column("bucket").to_pylist(), parts.column("bits").to_pylist(), strict=True):
+        out[bucket - 1] = np.frombuffer(bits, np.uint8)
+    return out.ravel()
+
+
+def _known(bitmap: np.ndarray, grams: list[int]):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Shingles of the texts that may be keys."""
+        for b in slices(batches, "text"):
+            w = words(b.column("text"), lower=True)
+            values = hashes(w.data, w.starts, w.ends)
+            for gram in grams:
+                own = rolling(values, gram)
+                at = own >> U64(64 - KEY_BITS)
+                known = bitmap[at >> U64(3)] >> (at & U64(7)).astype(np.uint8) & 1
+                hits = np.flatnonzero(known)
+                hits = hits[w.text[hits] == w.text[hits + gram - 1]]
+                pairs = np.unique(np.stack([w.text[hits], own[hits].view(np.int64)]), axis=1)
+                yield pa.RecordBatch.from_arrays(
+                    [b.column("digest").take(pa.array(pairs[0])), pa.array(pairs[1])], ["digest", "key"])
+
+    return run
+
+
+def _verify(percent: int):
+    def run(texts: pa.Table, items: pa.Table) -> pa.Table:
+        """The items of a part that its text holds."""
+        rows = []
+        if texts.num_rows and items.num_rows:
+            w = words(texts.column("text").combine_chunks(), lower=True)
+            found, filters = _prepared(items)
+            rows = [r[1:] for r in _matches(w, hashes(w.data, w.starts, w.ends), found, percent, filters)]
+        item, start, size, distance, alike = zip(*rows) if rows else [()] * 5
+        digest = texts.column("digest")[0].as_py() if rows else ""
+        return pa.table({"digest": pa.array([digest] * len(rows), pa.string()), "item_id": pa.array(item, pa.int64()),
+                         "start": pa.array(start, pa.int64()), "n_words": pa.array(size, pa.int64()),
+                         "distance": pa.array(distance, pa.int64()), "similarity": pa.array(alike, pa.float64())})
+
+    return run
+
+
+def _digest() -> object:
+    return F.sha2(whole(), 256)
+
+
+def _met(docs: DataFrame, items: DataFrame, percent: int) -> DataFrame:
+    """(digest, ...): the matches of each different text, for a benchmark of any size.
+
+    Neither the items nor the texts pass through the driver. A text that met
+    many items is searched for some ``AT_ONCE`` of them in a task; copies of a
+    text are merged before they are shuffled, and searched once.
+    """
+    spark = docs.sparkSession
+    items = stage(spark, items.withColumn("item", F.monotonically_increasing_id()), "items")
+    keys = stage(spark, item_keys(items.select("item", "text"), percent), "keys")
+    grams = sorted(r[0] for r in keys.select("gram").distinct().collect())  # five at most
+    texts = docs.select(_digest().alias("digest"), whole().alias("text"))
+    known = texts.mapInArrow(_known(_bitmap(keys), grams), "digest string, key bigint").distinct()
+    pairs = stage(spark, known.join(keys, "key").select("digest", "item").distinct(), "pairs")
+    parts = pairs.groupBy("digest").agg(F.ceil(F.count("*") / AT_ONCE).alias("parts"))
+    asked = pairs.join(parts, "digest").withColumn("part", F.pmod(F.xxhash64("item"), "parts")).join(
+        items, "item").select("digest", "part", "item_id", "text")
+    held = texts.join(parts, "digest").groupBy("digest", "parts").agg(F.first("text").alias("text")).select(
+        "digest", "text", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("parts") - 1)).alias("part"))
+    keyed = ["digest", "part"]
+    return held.groupBy(*keyed).cogroup(asked.groupBy(*keyed)).applyInArrow(_verify(percent), "digest string, " + _FOUND)
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, percent: int = PERCENT) -> DataFrame:
@@ -246,28 +359,20 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, percent: int = PERCENT)
     words than the item is one window of ``n_words``. Ties take the first
     window. Items of fewer than five words are one shingle, so only equal
     windows match; items or texts that are null, empty or without words match
-    nothing. Repeated rows of ``docs`` give a row each; a null doc_id or
+    nothing. Repeated rows of ``docs`` give a row each, as do repeated items; a null doc_id or
     item_id passes through. Without items or texts the result is empty.
     """
-    texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), whole().alias("text"))
-    parts = None
-    for block in _item_blocks(benchmark):
-        part = texts.mapInArrow(_search(block, percent), _SCHEMA)
-        parts = part if parts is None else parts.union(part)
-    return parts
-
-
-def _item_blocks(benchmark: DataFrame) -> Iterator[pa.Table]:
-    items = benchmark.select(F.col("item_id").cast("bigint").alias("item_id"), whole().alias("text"))
-    n, size = items.agg(F.count("*"), F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()
-    blocks = max(1, -(-2 * n // ITEMS), -(-2 * size // ITEM_BYTES))  # half full, as a hash deals them out
-    for k in range(blocks):
-        yield (items if blocks == 1 else items.where(
-            F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == k)).toArrow()
+    items, few = _measured(benchmark)
+    own = F.col("doc_id").cast("bigint").alias("doc_id")
+    if few is not None:
+        return docs.select(own, whole().alias("text")).mapInArrow(_search(few, percent), "doc_id bigint, " + _FOUND)
+    return docs.select(own, _digest().alias("digest")).join(_met(docs, items, percent), "digest").drop("digest")
 
 
 def without_contaminated(docs: DataFrame, benchmark: DataFrame, percent: int = PERCENT) -> DataFrame:
     """The rows of ``docs`` whose text holds no item, all columns as they are; doc_id has no part in it."""
-    for block in _item_blocks(benchmark):
-        docs = docs.where(_clean(block, percent)(whole()))
-    return docs
+    items, few = _measured(benchmark)
+    if few is not None:
+        return docs.where(_clean(few, percent)(whole()))
+    leaking = _met(docs, items, percent).select("digest").distinct()
+    return docs.join(leaking, _digest() == leaking["digest"], "left_anti")

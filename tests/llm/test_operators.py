@@ -290,13 +290,6 @@ def test_contamination(spark, edges, nothing, texts, sf, documents):
     assert without_contaminated(edges, benchmark).count() == edges.count()
 
 
-def test_blocks_of_items_give_the_same(spark, sf, documents, monkeypatch):
-    benchmark = spark.read.parquet(f"{sf}/benchmark.parquet")
-    once = sorted(map(tuple, contaminated(documents, benchmark).collect()))
-    monkeypatch.setattr(decontaminate, "ITEMS", 20)
-    assert sorted(map(tuple, contaminated(documents, benchmark).collect())) == once
-
-
 def test_every_print_within_the_radius_is_found():
     rng = np.random.default_rng(3)
     items = pa.table({"item_id": list(range(40)), "text": pa.array(
