@@ -351,3 +351,29 @@ def first_of_each_group(docs: DataFrame, size: int = WORDS, percent: int = PERCE
     keyed = docs.withColumn(name, _key())
     once = keyed.join(gone.union(again), name, "left_anti")
     return once.unionByName(keyed.join(again, name, "left_semi").dropDuplicates([name])).drop(name)
+
+
+#: The components of 2-word shingles for a database: all pairs that share a shingle, then all that is reachable.
+SQL = r"""
+WITH RECURSIVE texts AS (
+  SELECT doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS words
+  FROM documents),
+flat AS (SELECT doc_id, len(words) AS n, unnest(words) AS word, generate_subscripts(words, 1) AS place FROM texts),
+follow AS (SELECT doc_id, n, word, lead(word) OVER (PARTITION BY doc_id ORDER BY place) AS following FROM flat),
+shingles AS MATERIALIZED (
+  SELECT DISTINCT doc_id, CASE WHEN n = 1 THEN word ELSE word || ' ' || following END AS shingle
+  FROM follow WHERE n = 1 OR following IS NOT NULL),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+shared AS (
+  SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS common
+  FROM shingles a JOIN shingles b USING (shingle) WHERE a.doc_id <> b.doc_id GROUP BY a.doc_id, b.doc_id),
+links AS MATERIALIZED (
+  SELECT x, y FROM shared JOIN sizes a ON x = a.doc_id JOIN sizes b ON y = b.doc_id
+  WHERE 100 * common >= 80 * (a.n + b.n - common)),
+reach(doc_id, other) AS (
+  SELECT doc_id, doc_id FROM texts UNION SELECT reach.doc_id, y FROM reach JOIN links ON other = x),
+least AS (SELECT doc_id, min(other) AS component_id FROM reach GROUP BY doc_id)
+SELECT doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_shingles, component_id, doc_id = component_id AS kept
+FROM least LEFT JOIN sizes USING (doc_id)
+"""

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from adtally.llm import licenses, substrings
+from adtally.llm import licenses, neardup, sharding, substrings
 from adtally.llm.alignment import align_tokens
 from adtally.llm.bytebpe import encode_decode
 from adtally.llm.decontaminate import contaminated
@@ -107,4 +107,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op13_fragment_alignment": op13_fragment_alignment,
 }
 #: SQL for the same rows, where SQL can express them.
-ORACLE: dict[str, str] = {"op2_license_scan": licenses.SQL, "op6_substring_dedup": substrings.SQL}
+ORACLE: dict[str, str] = {
+    "op1_jump_sharding": sharding.SQL, "op2_license_scan": licenses.SQL, "op6_substring_dedup": substrings.SQL,
+    "op10_minhash_near_dedup": neardup.SQL}

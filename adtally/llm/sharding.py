@@ -87,3 +87,41 @@ def shard_by_key(docs: DataFrame, shards: int) -> DataFrame:
     return placed.join(begin, ["shard", "part"]).select(
         "doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard",
         (F.col("begin") + F.col("rank")).alias("slot"), "grown_shard")
+
+
+def _product(value: str, factor: int) -> str:
+    return f"(({value})::UHUGEINT * {factor}::UHUGEINT % {2**64}::UHUGEINT)"
+
+
+#: The same for a database. A key jumps once more in every round of ``jumps``, for 8 shards and for 9;
+#: 0xEDB88320 is the polynomial of the checksum.
+SQL = f"""
+WITH RECURSIVE steps(byte, n, value) AS (
+  SELECT byte, 0, byte FROM (SELECT unnest(range(256))::BIGINT AS byte)
+  UNION ALL
+  SELECT byte, n + 1, xor(value >> 1, (value & 1) * {0xEDB88320}) FROM steps WHERE n < 8),
+checks AS (SELECT list(value ORDER BY byte) AS checks FROM steps WHERE n = 8),
+texts AS MATERIALIZED (SELECT row_number() OVER () AS n, doc_id, encode(coalesce(text, '')) AS data FROM documents),
+summed AS (
+  SELECT n, doc_id, octet_length(data) + 1 AS size,
+         xor({2**32 - 1}, list_reduce(
+           list_transform(regexp_extract_all(hex(data), '..'), lambda h: ('0x' || h)::BIGINT),
+           lambda sum, byte: xor(sum >> 8, checks[xor(sum & 255, byte) + 1]), {2**32 - 1}::BIGINT)) AS text_crc32
+  FROM texts, checks),
+first AS (SELECT n, ((doc_id::HUGEINT + {2**64} + 1) % {2**64})::UBIGINT AS x FROM texts),
+second AS (SELECT n, {_product("xor(x, x >> 32)", 0x9E3779B97F4A7C15)}::UBIGINT AS x FROM first),
+third AS (SELECT n, {_product("xor(x, x >> 29)", 0xC2B2AE3D27D4EB4F)}::UBIGINT AS x FROM second),
+jumps(n, shards, shard, ahead, x) AS (
+  SELECT n, shards, 0::BIGINT, 0::BIGINT, coalesce(xor(x, x >> 32), 0)::UBIGINT FROM third, (VALUES (8), (9)) s(shards)
+  UNION ALL
+  SELECT n, shards, ahead, trunc((ahead + 1) * (2147483648.0::DOUBLE / ((x >> 33) + 1)::DOUBLE))::BIGINT, x
+  FROM (SELECT n, shards, ahead, (({_product("x", int(_MULTIPLIER))} + 1::UHUGEINT) % {2**64}::UHUGEINT)::UBIGINT AS x
+        FROM jumps WHERE ahead < shards)),
+dealt AS (
+  SELECT n, max(shard) FILTER (shards = 8) AS shard, max(shard) FILTER (shards = 9) AS grown FROM jumps GROUP BY n)
+SELECT doc_id, CAST(size AS BIGINT) AS size, CAST(text_crc32 AS BIGINT) AS text_crc32, 'key' AS law,
+       CAST(shard AS INTEGER) AS shard,
+       row_number() OVER (PARTITION BY shard ORDER BY doc_id NULLS FIRST, size, text_crc32) - 1 AS slot,
+       CAST(grown AS INTEGER) AS grown_shard
+FROM summed JOIN dealt USING (n)
+"""
