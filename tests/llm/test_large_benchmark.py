@@ -67,3 +67,15 @@ def test_keys_are_the_rarest(spark):
     # 44 shingles of which 36 at least are shared: one of any nine is.
     assert [r["n"] for r in keys.groupBy("item").agg(F.count("*").alias("n")).collect()] == [9] * 30
     assert keys.select("key").distinct().count() == 9 * 30  # none from the line all items begin with
+
+
+def test_columns_of_the_caller_stay(spark, large):
+    item = " ".join(f"w{k}" for k in range(30))
+    docs = spark.createDataFrame(
+        [(1, item, "a", 1, None), (1, "clean", "b", 2, "x"), (None, item, None, None, "y"), (3, None, "c", 3, "z")],
+        TEXT + ", digest string, item_id bigint, part string")
+    bench = spark.createDataFrame([(7, item)], ITEM)
+    large()
+    kept = without_contaminated(docs, bench)
+    assert kept.columns == docs.columns and rows(kept) == rows(docs.where("part in ('x', 'z')"))
+    assert [(r.doc_id, r.item_id) for r in contaminated(docs, bench).orderBy("doc_id").collect()] == [(None, 7), (1, 7)]
