@@ -18,7 +18,7 @@ from adtally.operators import (click, conversion, demand, event, fraud, impressi
                                records)
 from adtally.operators.rollup import SCOPE
 from adtally.plans import audit, daily, streams
-from adtally.session import configure, stage, work_dir
+from adtally.session import configure, stage, total_bytes, work_dir
 from adtally.sinks import tables
 from adtally.sinks.ledger import Ledger, Merge
 from adtally.sinks.reports import append_report, write_hours
@@ -83,6 +83,15 @@ def _demand(spark: SparkSession, sf: str) -> DataFrame:
     return sample.demand_log(*[sample.table(spark, sf, t) for t in ("lineitem", "supplier", "part")])
 
 
+#: Bytes of the line items whose groups a task holds in memory; some 170,000 rows of the given tables.
+DEMAND_BYTES = 2 * 1024 * 1024
+
+
+def _demand_parts(spark: SparkSession, sf: str) -> int:
+    return max(spark.sparkContext.defaultParallelism,
+               -(-total_bytes(spark, [f"{sf}/lineitem.parquet"]) // DEMAND_BYTES))
+
+
 # ------------------------------------------------------------------- clicks
 
 @per_scope
@@ -295,7 +304,7 @@ def impression_result_records(spark, sf):
 @query
 def demand_unique_result_records(spark, sf):
     topic = F.when(F.col("demand") == "R", F.lit("x_imps")).otherwise(F.lit("x_clks"))
-    totals = rollups.demand_totals(_demand(spark, sf).withColumn("topic", topic))
+    totals = rollups.demand_totals(_demand(spark, sf).withColumn("topic", topic), _demand_parts(spark, sf))
     return streams.RECORDS["demand"](rollups.MERGES["demand"].totals(totals))
 
 
@@ -353,7 +362,7 @@ def impression_daily_by_scope(spark, sf):
 
 @query
 def demand_daily_by_scope(spark, sf):
-    return _zoned(demand.daily_by_scope(demand.flatten(_demand(spark, sf))))
+    return _zoned(demand.daily_by_scope(demand.flatten(_demand(spark, sf)), _demand_parts(spark, sf)))
 
 
 @per_scope
@@ -368,7 +377,7 @@ def impression_click_daily(spark, sf, scope):
 
 @per_scope
 def demand_daily(spark, sf, scope):
-    return demand.daily(demand.flatten(_demand(spark, sf)), scope)
+    return demand.daily(demand.flatten(_demand(spark, sf)), scope, _demand_parts(spark, sf))
 
 
 @query
