@@ -14,7 +14,7 @@ from adtally.functions import measures as ms
 from adtally.functions import time as tm
 from adtally.functions.identity import sketch_key
 from adtally.operators import click, conversion, demand, event, impression
-from adtally.operators.rollup import SCOPE, by_scope, money_sum, sum_of
+from adtally.operators.rollup import SCOPE, by_hash, by_scope, money_sum, sum_of
 from adtally.sinks.ledger import Merge
 
 LOG2_REGISTERS = 12
@@ -77,7 +77,8 @@ def click_totals(log: DataFrame) -> DataFrame:
     """Gross clicks and sketches of visitors, in both scopes alike."""
     rows = by_scope(log.withColumn("visitor", _joined("ip", "gaid", "idfa", "adid", "ua")), "clk_timestamp",
                     keep_epoch=True)
-    return _credible(rows).groupBy(*MERGES["click-unique"].keys).agg(F.count("*").alias("gross_cnt"), _sketch("visitor"))
+    return _credible(rows).groupBy(*by_hash(*MERGES["click-unique"].keys)).agg(
+        F.count("*").alias("gross_cnt"), _sketch("visitor")).drop("_hash")
 
 
 def _joined(*ids: str) -> Column:
@@ -125,7 +126,9 @@ def event_id_records(totals: DataFrame) -> DataFrame:
     return kept.where(~nothing)
 
 
-def demand_totals(log: DataFrame) -> DataFrame:
-    rows = by_scope(demand.demand_rows(demand.flatten_stream(log)), "epoch", keep_epoch=True)
-    return _credible(rows).groupBy(*MERGES["demand"].keys).agg(
-        F.count("*").alias("gross_cnt"), _sketch("uv"), money_sum("cost"))
+def demand_totals(log: DataFrame, parts: int | None = None) -> DataFrame:
+    flat = demand.demand_rows(demand.flatten_stream(log)).select(
+        "timezone", "epoch", "kind", *grains.DEMAND, "uv", "cost")
+    rows = by_scope(demand.together(flat, "kind", parts=parts), "epoch", keep_epoch=True)
+    return _credible(rows).groupBy(*by_hash(*MERGES["demand"].keys)).agg(
+        F.count("*").alias("gross_cnt"), _sketch("uv"), money_sum("cost")).drop("_hash")
