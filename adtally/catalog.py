@@ -669,10 +669,15 @@ def malformed_quarantine(spark, sf):
 PARTS = 4
 
 
+def _deliver(rows: DataFrame, path: str, files: int, key: str) -> None:
+    """More files in a folder that a stream reads."""
+    rows.repartition(files, key).write.mode("append").parquet(path)
+
+
 def _staged_stream(spark, sf, name, schema, key) -> DataFrame:
     """A table as a stream of files, as many in each of ``PARTS`` micro-batches as there are cores."""
     path, files = work_dir(spark, f"{name}-files"), spark.sparkContext.defaultParallelism
-    sample.table(spark, sf, name).repartition(PARTS * files, key).write.parquet(path)
+    _deliver(sample.table(spark, sf, name), path, PARTS * files, key)
     return spark.readStream.schema(schema).option("maxFilesPerTrigger", files).parquet(path)
 
 
@@ -712,15 +717,16 @@ class _Lost(Exception):
 
 @query
 def stream_click_restarted(spark, sf):
-    """Stopped after two files, started again over four, ended by an error behind a write, started once more."""
+    """Stopped after two batches, started again over four, ended by an error behind a write, started once more."""
     base = work_dir(spark, "stream_click_restarted")
-    ledger = streams.table("click", f"{base}/table", every=2)
+    ledger, files = streams.table("click", f"{base}/table", every=2), spark.sparkContext.defaultParallelism
     parts = sample.table(spark, sf, "events").withColumn("part", F.pmod(F.xxhash64("event_id"), F.lit(PARTS)))
     for first in (True, False):
         some = parts.where(F.col("part") < 2 if first else F.col("part") >= 2)
-        some.repartition(2, "part").drop("part").write.mode("append").parquet(f"{base}/files")
+        _deliver(some.drop("part"), f"{base}/files", PARTS // 2 * files, "event_id")
         for fails in (False,) if first else (True, False):
-            source = spark.readStream.schema(sample.EVENTS_SCHEMA).option("maxFilesPerTrigger", 1).parquet(f"{base}/files")
+            source = spark.readStream.schema(sample.EVENTS_SCHEMA).option(
+                "maxFilesPerTrigger", files).parquet(f"{base}/files")
             log = _parsed(sample.click_log(source), schemas.CLICK)
 
             def emit(grown, batch_id, fails=fails):
@@ -755,10 +761,10 @@ def stream_conv(spark, sf):
 @query
 def stream_conv_once(spark, sf):
     """Every conversion is delivered twice, in different micro-batches; each click id counts once."""
-    base = work_dir(spark, "stream_conv_once")
+    base, files = work_dir(spark, "stream_conv_once"), spark.sparkContext.defaultParallelism
     for _ in range(2):
-        _events(spark, sf).repartition(2, "event_id").write.mode("append").parquet(f"{base}/files")
-    source = spark.readStream.schema(sample.EVENTS_SCHEMA).option("maxFilesPerTrigger", 2).parquet(f"{base}/files")
+        _deliver(_events(spark, sf), f"{base}/files", files, "event_id")
+    source = spark.readStream.schema(sample.EVENTS_SCHEMA).option("maxFilesPerTrigger", files).parquet(f"{base}/files")
     log = _parsed(sample.conversion_log(source), schemas.CONVERSION)
     ledger = Ledger(f"{base}/table", Merge(["click_id"], ["gross_cnt"]))
     runner.start_table(once_per_click(log, "400 days"), lambda batch: batch.groupBy("click_id").agg(

@@ -28,7 +28,7 @@ from typing import NamedTuple
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from adtally.operators.rollup import money_sum, sum_of
+from adtally.operators.rollup import by_hash, money_sum, sum_of
 from adtally.sinks import files
 
 DAY = "dated"
@@ -48,9 +48,14 @@ class Merge(NamedTuple):
     def merged(self, rows: DataFrame) -> DataFrame:
         if not self.keys:
             return rows
-        return rows.groupBy(*self.keys).agg(
+        if not self.sketches:
+            # A key has a row in each part at most, so adding up before the shuffle removes little and
+            # fills a task with all groups of its files.
+            rows = rows.repartition(*self.keys)
+        return rows.groupBy(*by_hash(*self.keys)).agg(
             *[sum_of(c) for c in self.counts], *[money_sum(a) for a in self.amounts],
-            *[F.hll_union_agg(s).alias(s) for s in self.sketches], *[F.max(c).alias(c) for c in self.latest])
+            *[F.hll_union_agg(s).alias(s) for s in self.sketches],
+            *[F.max(c).alias(c) for c in self.latest]).drop("_hash")
 
     def totals(self, rows: DataFrame) -> DataFrame:
         out = self.merged(rows)
@@ -212,7 +217,7 @@ class Ledger:
             same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in merge.keys])
             rows = rows.unionByName(before.join(keys, same, "left_semi").select(
                 *merge.keys, *held, F.lit(False).alias("_new")), allowMissingColumns=True)
-        grown = rows.groupBy(*merge.keys).agg(
+        grown = rows.groupBy(*by_hash(*merge.keys)).agg(
             *[F.max(F.when(F.col("_new"), F.col(c))).alias(c) for c in [*merge.counts, *merge.amounts]],
             *[F.hll_union_agg(F.when(~F.col("_new"), F.col(s))).alias(f"_{s}") for s in merge.sketches],
             *[F.hll_union_agg(s).alias(s) for s in merge.sketches], *[F.max(c).alias(c) for c in merge.latest])
