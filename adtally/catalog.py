@@ -675,9 +675,10 @@ def _deliver(rows: DataFrame, path: str, files: int, key: str) -> None:
 
 
 def _staged_stream(spark, sf, name, schema, key) -> DataFrame:
-    """A table as a stream of files, as many in each of ``PARTS`` micro-batches as there are cores."""
+    """Columns of a table as a stream of files, as many in each of ``PARTS`` micro-batches as there are cores."""
     path, files = work_dir(spark, f"{name}-files"), spark.sparkContext.defaultParallelism
-    _deliver(sample.table(spark, sf, name), path, PARTS * files, key)
+    rows, named = sample.table(spark, sf, name), T.StructType.fromDDL(schema).names
+    _deliver(rows.select(*[c for c in rows.columns if c in named]), path, PARTS * files, key)
     return spark.readStream.schema(schema).option("maxFilesPerTrigger", files).parquet(path)
 
 
@@ -685,19 +686,18 @@ def _event_stream(spark, sf):
     return _staged_stream(spark, sf, "events", sample.EVENTS_SCHEMA, "event_id")
 
 
-def _parsed(log: DataFrame, schema: T.StructType, topic=None, keep_missing=()) -> DataFrame:
+def _parsed(log: DataFrame, schema: T.StructType, topic=None, keep_missing=(), typed_first=False) -> DataFrame:
     """Through JSON messages and back, as a stream consumer sees the log."""
     messages = sample.as_messages(log, topic)
     keep = ["topic"] if topic is not None else None
-    return logs.good(logs.parse_messages(messages, schema, keep=keep), schema, keep_missing)
+    return logs.good(logs.parse_messages(messages, schema, keep=keep, typed_first=typed_first), schema, keep_missing)
 
 
 def _streamed(spark, job, log, name, mode="append") -> Ledger:
     """The table of a job after it has read all there is."""
     base = work_dir(spark, name)
     ledger = streams.table(job, f"{base}/table")
-    runner.start_table(log, streams.JOBS[job][1], ledger, f"{base}/checkpoint", runner.WHAT_IS_THERE,
-                       mode=mode).awaitTermination()
+    streams.begin(job, log, ledger, f"{base}/checkpoint", runner.WHAT_IS_THERE, mode=mode).awaitTermination()
     return ledger
 
 
@@ -845,7 +845,7 @@ def _demand_stream(spark, sf):
     lines = _staged_stream(spark, sf, "lineitem", sample.LINEITEM_SCHEMA, "l_orderkey")
     log = sample.demand_log(lines, sample.table(spark, sf, "supplier"), sample.table(spark, sf, "part"))
     topic = F.when(F.col("demand") == "R", F.lit("x_imps")).otherwise(F.lit("x_clks"))
-    return _parsed(log, schemas.DEMAND, topic)
+    return _parsed(log, schemas.DEMAND, topic, typed_first=True)
 
 
 @query

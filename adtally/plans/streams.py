@@ -14,22 +14,26 @@ from adtally.sinks.ledger import Ledger
 from adtally.sources import logs
 from adtally.streaming import filters, rollups, runner
 
-# job -> (layout of the messages, rollup of one micro-batch)
+# job -> (layout of the messages, rollup of one micro-batch, of its ``FIELDS`` if it has any)
 JOBS: dict[str, tuple] = {
     "click": (schemas.CLICK, rollups.clicks),
     "conversion": (schemas.CONVERSION, rollups.conversions),
     "impression": (schemas.IMPRESSION, rollups.impressions),
     "impression-click": (schemas.IMPRESSION, lambda log: rollups.impressions(log, "clk")),
-    "supply": (schemas.DEMAND, rollups.supply),
+    "supply": (schemas.DEMAND, rollups.supply_counts),
     "conversion-detail": (schemas.CONVERSION, records.conversion_detail),
     "click-unique": (schemas.CLICK, rollups.click_totals),
     "event": (schemas.EVENT, rollups.event_totals),
     "event-ids": (schemas.EVENT_WITH_IDS, rollups.event_id_totals),
-    "demand": (schemas.DEMAND, rollups.demand_totals),
+    "demand": (schemas.DEMAND, rollups.demand_counts),
     "click-watch": (schemas.CLICK, lambda counts: counts),
 }
 # job -> what the stream itself computes before it is cut into micro-batches
 BEFORE: dict[str, Callable[[DataFrame], DataFrame]] = {"click-watch": filters.click_watch}
+# job -> what its rollup needs of a record. A micro-batch is handed over as finished rows, so what is left out
+# only there has been built and copied for nothing.
+FIELDS: dict[str, Callable[[DataFrame], DataFrame]] = {
+    "supply": rollups.supply_fields, "demand": rollups.demand_fields}
 WITH_TOPIC = {"supply", "demand"}
 #: Fields whose absence means something else than an empty text.
 MAY_BE_MISSING = {"click-watch": ("gaid", "idfa"), "conversion-detail": tuple(records.CONVERSION_DETAIL)}
@@ -66,6 +70,15 @@ def publisher(job: str, send: Callable[[DataFrame], None]) -> Callable[[DataFram
     return lambda grown, batch_id: send(RECORDS[job](grown))
 
 
+def begin(job: str, log: DataFrame, ledger: Ledger, checkpoint: str, trigger: dict | None = None,
+          emit: Callable[[DataFrame, int], None] | None = None, mode: str = "append") -> StreamingQuery:
+    """Add the rollups of parsed records to a table."""
+    if job not in FIELDS:
+        return runner.start_table(log, JOBS[job][1], ledger, checkpoint, trigger, emit, mode)
+    with runner.small_methods(log.sparkSession):
+        return runner.start_table(FIELDS[job](log), JOBS[job][1], ledger, checkpoint, trigger, emit, mode)
+
+
 def start(job: str, messages: DataFrame, path: str, checkpoint: str, trigger: dict | None = None,
           emit: Callable[[DataFrame, int], None] | None = None, quarantine: str | None = None,
           once_within: str | None = None) -> list[StreamingQuery]:
@@ -76,16 +89,16 @@ def start(job: str, messages: DataFrame, path: str, checkpoint: str, trigger: di
     """
     if once_within and job != "conversion":
         raise ValueError("only conversions have click ids to count once")
-    schema, rollup = JOBS[job]
+    schema = JOBS[job][0]
     keep = ["topic"] if job in WITH_TOPIC else None
-    parsed = logs.parse_messages(messages, schema, keep=keep)
+    parsed = logs.parse_messages(messages, schema, keep=keep, typed_first=job in FIELDS)
     log = logs.good(parsed, schema, MAY_BE_MISSING.get(job, ()))
     mode = "append"
     if once_within:
         log = filters.once_per_click(log, once_within)
     if job in BEFORE:
         log, mode = BEFORE[job](log), "update"
-    queries = [runner.start_table(log, rollup, table(job, path), f"{checkpoint}/main", trigger, emit, mode)]
+    queries = [begin(job, log, table(job, path), f"{checkpoint}/main", trigger, emit, mode)]
     if quarantine:
         queries.append(runner.start_quarantine(parsed, quarantine, f"{checkpoint}/bad", trigger))
     return queries

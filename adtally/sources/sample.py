@@ -14,10 +14,10 @@ from pyspark.sql import functions as F
 
 EVENTS_SCHEMA = (
     "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string")
+# What the demand log is made of.
 LINEITEM_SCHEMA = (
     "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, "
-    "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string, "
-    "l_shipdate timestamp_ntz")
+    "l_extendedprice double, l_returnflag string, l_shipdate timestamp_ntz")
 
 # The ten offsets in use (fixed values).
 OFFSETS = [0.0, 5.5, 5.0, -4.0, -5.0, 8.0, -7.0, -8.0, 3.0, 1.0]

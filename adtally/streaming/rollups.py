@@ -68,9 +68,18 @@ def impressions(log: DataFrame, kind: str = "imp") -> DataFrame:
         F.count("*").alias(f"gross_{kind}_cnt"))
 
 
+def supply_fields(log: DataFrame) -> DataFrame:
+    """What ``supply_counts`` needs of a record."""
+    return demand.supply_rows(demand.flatten_stream(log)).select("kind", "epoch", *grains.SUPPLY, "revenue")
+
+
+def supply_counts(fields: DataFrame) -> DataFrame:
+    return fields.withColumn("dated", tm.utc_day("epoch")).groupBy("kind", "dated", *grains.SUPPLY).agg(
+        F.count("*").alias("gross_cnt"), money_sum("revenue"))
+
+
 def supply(log: DataFrame) -> DataFrame:
-    flat = demand.supply_rows(demand.flatten_stream(log)).withColumn("dated", tm.utc_day("epoch"))
-    return flat.groupBy("kind", "dated", *grains.SUPPLY).agg(F.count("*").alias("gross_cnt"), money_sum("revenue"))
+    return supply_counts(supply_fields(log))
 
 
 def click_totals(log: DataFrame) -> DataFrame:
@@ -126,9 +135,17 @@ def event_id_records(totals: DataFrame) -> DataFrame:
     return kept.where(~nothing)
 
 
-def demand_totals(log: DataFrame, parts: int | None = None) -> DataFrame:
-    flat = demand.demand_rows(demand.flatten_stream(log)).select(
+def demand_fields(log: DataFrame) -> DataFrame:
+    """What ``demand_counts`` needs of a record."""
+    return demand.demand_rows(demand.flatten_stream(log)).select(
         "timezone", "epoch", "kind", *grains.DEMAND, "uv", "cost")
-    rows = by_scope(demand.together(flat, "kind", parts=parts), "epoch", keep_epoch=True)
+
+
+def demand_totals(log: DataFrame, parts: int | None = None) -> DataFrame:
+    return demand_counts(demand_fields(log), parts)
+
+
+def demand_counts(fields: DataFrame, parts: int | None = None) -> DataFrame:
+    rows = by_scope(demand.together(fields, "kind", parts=parts), "epoch", keep_epoch=True)
     return _credible(rows).groupBy(*by_hash(*MERGES["demand"].keys)).agg(
         F.count("*").alias("gross_cnt"), _sketch("uv"), money_sum("cost")).drop("_hash")

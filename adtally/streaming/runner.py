@@ -8,9 +8,10 @@ what a late record adds to is read from the table.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from adtally.sinks.ledger import Ledger, Merge
@@ -21,6 +22,23 @@ WHAT_IS_THERE = {"availableNow": True}
 Emit = Callable[[DataFrame, int], None]
 
 
+@contextmanager
+def small_methods(spark: SparkSession) -> Iterator[None]:
+    """Streams started inside have operators of wide records compiled one by one.
+
+    The JVM interprets methods of more than 8000 bytes of code, which all
+    operators of a wide record together exceed. A stream keeps the settings
+    that the session had when it was started.
+    """
+    name = "spark.sql.codegen.hugeMethodLimit"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, "8000")
+    try:
+        yield
+    finally:
+        spark.conf.unset(name) if before is None else spark.conf.set(name, before)
+
+
 def start(stream: DataFrame, checkpoint: str, each_batch: Emit, mode: str = "append",
           trigger: dict | None = None) -> StreamingQuery:
     writer = stream.writeStream.outputMode(mode).option("checkpointLocation", checkpoint)

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from adtally import catalog, grains, schemas
 from adtally.operators import demand
 from adtally.operators.rollup import SCOPE, by_hash
+from adtally.plans import streams
 from adtally.sinks.ledger import Merge
 from adtally.sources import sample
 from adtally.streaming import rollups
@@ -123,3 +124,40 @@ def test_every_core_reads_a_part_of_each_delivery(spark, monkeypatch, tmp_path,
     assert len(files) == 2 * spark.sparkContext.defaultParallelism and sum(files) == 2000
     wanted = {"" if n % 40 % 20 == 0 else f"{n % 50}-{n % 40}" for n in range(1000)}
     assert Counter(r["click_id"] for r in out) == Counter(wanted) and {r["gross_cnt"] for r in out} == {1}
+
+
+def test_only_what_a_rollup_needs_crosses_into_its_micro_batches(spark, tmp_path, monkeypatch):
+    """The demand streams of tiny tables: columns staged, columns of a micro-batch, and its share of compiled code."""
+    line = F.col("id")
+    spark.range(40).select(
+        line.alias("l_orderkey"), (line % 4).alias("l_partkey"), (line % 2).alias("l_suppkey"),
+        (line % 7 + 1).cast("int").alias("l_linenumber"), line.cast("double").alias("l_quantity"),
+        line.cast("double").alias("l_extendedprice"), F.lit(0.5).alias("l_tax"), F.lit("R").alias("l_returnflag"),
+        F.lit(dt.datetime(2024, 1, 10)).cast("timestamp_ntz").alias("l_shipdate")).write.parquet(f"{tmp_path}/lineitem.parquet")
+    spark.range(2).select(line.alias("s_suppkey"), line.cast("int").alias("s_nationkey")).write.parquet(
+        f"{tmp_path}/supplier.parquet")
+    spark.range(4).select(line.alias("p_partkey"), F.lit(1).alias("p_size")).write.parquet(f"{tmp_path}/part.parquet")
+    monkeypatch.setattr(catalog, "work_dir", lambda spark, n: f"{tmp_path}/work/{n}")
+    limit, seen = "spark.sql.codegen.hugeMethodLimit", {}
+    before = spark.conf.get(limit, None)
+
+    def watched(job, rollup):
+        def inner(batch):
+            seen[job] = batch.columns, batch.sparkSession.conf.get(limit)
+            return rollup(batch)
+        return inner
+
+    for job in ("supply", "demand"):
+        schema, rollup = streams.JOBS[job]
+        monkeypatch.setitem(streams.JOBS, job, (schema, watched(job, rollup)))
+    out = catalog.run("stream_supply", spark, str(tmp_path))
+    assert sum(r["gross_cnt"] for r in out.collect()) == 40
+    staged = spark.read.parquet(f"{tmp_path}/work/lineitem-files").columns
+    assert "l_tax" not in staged and "l_shipdate" in staged
+    assert seen["supply"] == (["kind", "epoch", *grains.SUPPLY, "revenue"], "8000")
+    monkeypatch.setattr(catalog, "work_dir", lambda spark, n: f"{tmp_path}/again/{n}")
+    out = catalog.run("stream_demand", spark, str(tmp_path))
+    assert {s: sum(r["gross_cnt"] for r in out.collect() if r["scope"] == s) for s in ("adx", "gmt")} == {
+        "adx": 40, "gmt": 40}
+    assert seen["demand"] == (["timezone", "epoch", "kind", *grains.DEMAND, "uv", "cost"], "8000")
+    assert spark.conf.get(limit, None) == before

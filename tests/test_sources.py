@@ -101,6 +101,30 @@ def test_a_message_is_parsed_once(spark, frame):
     assert plan.count("from_json(") == 1
 
 
+DEMAND_LINES = [
+    '{"tz": 5.5, "cid": "a", "clickts": 7, "dcost": 0.1, "geo": {"cc": "x", "pgeonid": 3}, "app": {"bundle": "q"}}',
+    '{"tz": "5.5", "cid": 1, "clickts": "7", "geo": {"pgeonid": "3"}}',
+    '{"tz": null, "clickts": null, "site": null, "device": {"connectiontype": null, "ua": {"a": [1, 2.50]}}}',
+    '{"dcost": 12345678901234567890, "tz": -0.0, "pixelts": -0}', '{"dcost": 5e-324, "tz": 1.0000000000000002}',
+    '{"dcost": 1e400}', '{"dcost": NaN}', '{"dcost": "NaN"}', '{"dcost": Infinity}', '{"dcost": ""}',
+    '{"clickts": 1.0}', '{"clickts": "1.0"}', '{"clickts": 1e3}', '{"clickts": 9223372036854775808}',
+    '{"geo": {"pgeonid": 2147483648}}', '{"geo": {"pgeonid": "z"}, "cid": "c"}', '{"geo": 5}', '{"geo": [1]}',
+    '{"site": {"publisher": "p"}}', '{"tz": true}', '{"tz": {"a": 1}}', '{"tz": "x", "tz": 1}', '{"tz": 1, "tz": "x"}',
+    '{"clickts": " 7 "}', '{"cid": "\\u00e9\\n"}', '{"cid": tru}', '{"cid": "a"', '{"cid": "a"} x', '[{"cid": "a"}]', '[]',
+    '7', 'x', '', ' ', ' {"cid": "b"}', '{}', 'null', None,
+]
+
+
+def test_messages_read_with_their_types_are_those_read_as_text(spark, frame):
+    lines = frame([(x,) for x in DEMAND_LINES], "value string")
+    usual, typed = [logs.parse_messages(lines, schemas.DEMAND, typed_first=t) for t in (False, True)]
+    assert typed.dtypes == usual.dtypes
+    assert [str(r) for r in typed.collect()] == [str(r) for r in usual.collect()]
+    for part in (lambda p: logs.good(p, schemas.DEMAND), logs.quarantined):
+        assert [str(r) for r in part(typed).collect()] == [str(r) for r in part(usual).collect()]
+    assert 0 < logs.quarantined(typed).count() < len(DEMAND_LINES)
+
+
 def test_nested_messages(spark, frame):
     text = json.dumps({"request_unix": "9", "option": {"region_ids": [1, "b"], "stdplcmts": {"1": 2}, "os": "x"}})
     good = logs.good(logs.parse_messages(frame([(text,)], "value string"), schemas.IMPRESSION), schemas.IMPRESSION)
