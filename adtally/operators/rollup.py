@@ -56,6 +56,89 @@ def by_scope(log: DataFrame, epoch: str, offset: str = "timezone", keep_epoch: b
     return rows if keep_epoch else rows.drop("scope_epoch")
 
 
+#: Scope of a row that stands for a row of each: the local day of its records is their UTC day.
+BOTH = "both"
+
+
+def by_scope_once(log: DataFrame, epoch: str, until: Column, offset: str = "timezone") -> DataFrame:
+    """``by_scope`` up to an epoch, but records with one day in both scopes are one row, of scope ``BOTH``."""
+    rest = [c for c in log.columns if c not in (epoch, offset)]
+
+    def day(of: Column) -> Column:
+        return F.when(of <= until, tm.utc_day(of))
+
+    dated = log.select(*rest, F.col(offset).cast("double").alias("timezone"),
+                       day(tm.local_epoch(epoch, offset)).alias("_adx"), day(F.col(epoch).cast("long")).alias("_gmt"))
+
+    def row(scope: str, zone: Column, on: str) -> Column:
+        return F.struct(F.lit(scope).alias("scope"), zone.alias("timezone"), F.col(on).alias("dated"))
+
+    zone = F.col("timezone")
+    rows = F.when(F.col("_adx") == F.col("_gmt"), F.array(row(BOTH, zone, "_gmt"))).otherwise(
+        F.array(row("adx", zone, "_adx"), row("gmt", F.lit(None).cast("double"), "_gmt")))
+    return dated.select(*rest, F.explode(rows).alias("_s")).select(*rest, "_s.*").where(F.col("dated").isNotNull())
+
+
+def apart(rows: DataFrame) -> DataFrame:
+    """A row of each scope for every row of scope ``BOTH``."""
+    scope = F.col("scope")
+    scopes = F.when(scope == BOTH, F.array(F.lit("adx"), F.lit("gmt"))).otherwise(F.array(scope))
+    split = rows.select(*[c for c in rows.columns if c != "scope"], F.explode(scopes).alias("scope"))
+    zone = F.when(scope != "gmt", F.col("timezone")).alias("timezone")
+    return split.select(*[zone if c == "timezone" else c for c in rows.columns])
+
+
+_TEXT, _ODD = "_text", "_odd"
+#: Between the dimensions of a row, the unit separator.
+_BETWEEN = "\x1f"
+
+
+def packed(rows: DataFrame, dims: list[str]) -> DataFrame:
+    """``dims`` as one text, which is half as large in a shuffle and is copied at one go wherever a row is.
+
+    Where a dimension is null or holds a separator they are kept as they are, beside the text.
+    """
+    texts = [F.col(d).cast("string") for d in dims]
+    odd = F.coalesce(F.contains(F.concat(*texts), F.lit(_BETWEEN)), F.lit(True))
+    return rows.select(*[c for c in rows.columns if c not in dims], F.concat_ws(_BETWEEN, *texts).alias(_TEXT),
+                       F.when(odd, F.struct(*dims)).alias(_ODD))
+
+
+def unpacked(rows: DataFrame, dims: list[str]) -> DataFrame:
+    kinds = {f.name: f.dataType for f in rows.schema[_ODD].dataType.fields}
+    # Split in a step of its own, or it is for every dimension.
+    split = rows.withColumn(_TEXT, F.split(_TEXT, _BETWEEN))
+    return split.withColumns({d: F.when(F.col(_ODD).isNull(), F.get(F.col(_TEXT), F.lit(i)).cast(kinds[d])).otherwise(
+        F.col(_ODD)[d]) for i, d in enumerate(dims)}).drop(_TEXT, _ODD)
+
+
+def gathered(rows: DataFrame, dims: list[str], parts: int | None = None) -> DataFrame:
+    """``packed``, with rows of the same dimensions in the same task."""
+    return packed(rows, dims).repartition(*([parts] if parts else []), _TEXT)
+
+
+def add_up(rows: DataFrame, dims: list[str], *measures: Column, by_day: bool = False) -> DataFrame:
+    """``gathered`` rows by scope and dimensions, with ``by_day`` in the order of their days.
+
+    Rows are sorted once, by the hash of their dimensions, and then added up
+    one after the other: with ``SORTED`` set, a sketch is neither kept beside
+    others nor written and read again between two halves of an aggregation.
+    The offset is a text meanwhile. As a number it would be made a new one for
+    grouping, which Spark does not know to be in order.
+    """
+    zone = (F.col("timezone") + F.lit(0.0)).cast("string")  # no -0.0
+    hashed = rows.withColumns({"timezone": zone, "_hash": F.xxhash64(_TEXT)})
+    order = ["dated", "_hash"] if by_day else ["_hash", "dated"]
+    order += [_TEXT, _ODD, "scope", "timezone"]
+    out = hashed.sortWithinPartitions(*order).groupBy(*order).agg(*measures)
+    kept = [c for c in out.columns if c not in order]
+    return unpacked(out, dims).select("scope", F.col("timezone").cast("double").alias("timezone"), "dated", *dims, *kept)
+
+
+#: Lets a sorted input be aggregated without hashing and in one step.
+SORTED = "spark.sql.execution.replaceHashWithSortAgg"
+
+
 def by_hash(*keys: Column | str) -> list[Column | str]:
     """Grouping columns with their hash, ``_hash``, before them.
 

@@ -25,7 +25,7 @@ JOBS: dict[str, tuple] = {
     "click-unique": (schemas.CLICK, rollups.click_totals),
     "event": (schemas.EVENT, rollups.event_totals),
     "event-ids": (schemas.EVENT_WITH_IDS, rollups.event_id_totals),
-    "demand": (schemas.DEMAND, rollups.demand_counts),
+    "demand": (schemas.DEMAND, rollups.demand_part),
     "click-watch": (schemas.CLICK, lambda counts: counts),
 }
 # job -> what the stream itself computes before it is cut into micro-batches

@@ -8,6 +8,8 @@ import uuid
 
 from pyspark.sql import SparkSession
 
+from adtally.operators.rollup import SORTED
+
 RUNTIME_CONF = {
     # Day and hour columns mean UTC unless an offset is added explicitly.
     "spark.sql.session.timeZone": "UTC",
@@ -16,6 +18,8 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # Where one side turns out small in every partition, it is hashed and the other side is not sorted.
     "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64m",
+    # Set by who sorts before grouping.
+    SORTED: "false",
     # State grows with the number of live grains, so keep it off the JVM heap.
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",

@@ -25,10 +25,10 @@ from collections.abc import Callable
 from functools import reduce
 from typing import NamedTuple
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from adtally.operators.rollup import by_hash, money_sum, sum_of
+from adtally.operators.rollup import SORTED, add_up, apart, by_hash, gathered, money_sum, sum_of
 from adtally.sinks import files
 
 DAY = "dated"
@@ -44,6 +44,26 @@ class Merge(NamedTuple):
     sketches: dict[str, str] = {}
     #: Of these the greatest stays.
     latest: list[str] = []
+    #: Dimensions, for a table by scope that has nearly as many keys as records. Its rows may stand for both scopes,
+    #: and a part is written by the tasks that added it up.
+    together: list[str] = []
+
+    def _measures(self) -> list[Column]:
+        return [*[sum_of(c) for c in self.counts], *[money_sum(a) for a in self.amounts],
+                *[F.hll_union_agg(s).alias(s) for s in self.sketches],
+                *[F.max(c).alias(c) for c in self.latest]]
+
+    def run(self, rows: DataFrame) -> DataFrame:
+        """Rows of some parts as those of one."""
+        if not self.together:
+            return self.merged(rows)
+        return add_up(gathered(rows, self.together), self.together, *self._measures(), by_day=True)
+
+    def over_parts(self, rows: DataFrame) -> DataFrame:
+        """``totals`` of rows as they lie in a table."""
+        if not self.together:
+            return self.totals(rows)
+        return self._estimated(add_up(apart(gathered(rows, self.together)), self.together, *self._measures()))
 
     def merged(self, rows: DataFrame) -> DataFrame:
         if not self.keys:
@@ -52,13 +72,12 @@ class Merge(NamedTuple):
             # A key has a row in each part at most, so adding up before the shuffle removes little and
             # fills a task with all groups of its files.
             rows = rows.repartition(*self.keys)
-        return rows.groupBy(*by_hash(*self.keys)).agg(
-            *[sum_of(c) for c in self.counts], *[money_sum(a) for a in self.amounts],
-            *[F.hll_union_agg(s).alias(s) for s in self.sketches],
-            *[F.max(c).alias(c) for c in self.latest]).drop("_hash")
+        return rows.groupBy(*by_hash(*self.keys)).agg(*self._measures()).drop("_hash")
 
     def totals(self, rows: DataFrame) -> DataFrame:
-        out = self.merged(rows)
+        return self._estimated(self.merged(rows))
+
+    def _estimated(self, out: DataFrame) -> DataFrame:
         return out.withColumns({e: F.hll_sketch_estimate(s) for s, e in self.sketches.items()}).drop(*self.sketches)
 
 
@@ -142,10 +161,17 @@ class Ledger:
         """Write the part of a batch; a batch that is repeated replaces it."""
         # A stream plans without it, but what is written here is a plan of its own.
         rows.sparkSession.conf.set("spark.sql.adaptive.enabled", "true")
+        self._sorts(rows.sparkSession)
         self._write(rows, _batch_name(batch_id))
 
+    def _sorts(self, spark: SparkSession) -> None:
+        if self.merge.together:
+            spark.conf.set(SORTED, "true")
+
     def _write(self, rows: DataFrame, name: str) -> None:
-        if self.by in rows.columns:
+        if self.merge.together:  # in the order of their days, in the tasks that added them up
+            rows.write.mode("overwrite").partitionBy(self.by).parquet(f"{self.data}/part={name}")
+        elif self.by in rows.columns:
             rows.hint("rebalance", self.by).write.mode("overwrite").partitionBy(self.by).parquet(f"{self.data}/part={name}")
         else:
             rows.hint("rebalance").write.mode("overwrite").parquet(f"{self.data}/part={name}")
@@ -167,7 +193,8 @@ class Ledger:
         runs = kept
         if merged:
             name = f"r{first:012d}-{batch_id:012d}"
-            self._write(self.merge.merged(self._read(spark, merged)), name)
+            self._sorts(spark)
+            self._write(self.merge.run(self._read(spark, merged)), name)
             runs = [*kept, Part(name, first, batch_id, self._days(spark, name))]
         gone = [p.name for p in last.runs if p not in kept] + [_batch_name(n) for n in range(last.next, batch_id)]
         self._keep(spark, Manifest(batch_id, runs, gone, self.clock()))
@@ -181,18 +208,26 @@ class Ledger:
 
     def rows(self, spark: SparkSession, days: list | None = None) -> DataFrame | None:
         """What was added, of some days if wanted, merged as far as it happens to be; None if nothing was."""
+        return self._apart(self._rows(spark, days))
+
+    def _rows(self, spark: SparkSession, days: list | None) -> DataFrame | None:
         wanted = None if days is None else {f"{self.by}={d}" for d in days}
         return self._read(spark, self.parts(spark), wanted)
 
+    def _apart(self, rows: DataFrame | None) -> DataFrame | None:
+        return rows if rows is None or not self.merge.together else apart(rows)
+
     def totals(self, spark: SparkSession, days: list | None = None) -> DataFrame | None:
         """A row for each key; sketches give way to their estimates."""
-        rows = self.rows(spark, days)
-        return None if rows is None else self.merge.totals(rows)
+        rows = self._rows(spark, days)
+        self._sorts(spark)
+        return None if rows is None else self.merge.over_parts(rows)
 
     def batch(self, spark: SparkSession, batch_id: int) -> DataFrame | None:
         """What a batch added; None if nothing."""
         name = _batch_name(batch_id)
-        return self._read(spark, [p for p in [Part(name, batch_id, batch_id + 1, self._days(spark, name))] if p.days])
+        return self._apart(self._read(
+            spark, [p for p in [Part(name, batch_id, batch_id + 1, self._days(spark, name))] if p.days]))
 
     def growth(self, spark: SparkSession, batch_id: int) -> DataFrame | None:
         """What a batch changed, a row for each of its keys; None if it added nothing.
@@ -209,7 +244,8 @@ class Ledger:
         now = merge.merged(now)
         if not merge.sketches and not merge.latest:
             return now
-        before = self._read(spark, self.parts(spark, batch_id), set(self._days(spark, _batch_name(batch_id))))
+        before = self._apart(
+            self._read(spark, self.parts(spark, batch_id), set(self._days(spark, _batch_name(batch_id)))))
         held = [*merge.sketches, *merge.latest]
         rows = now.select(*merge.keys, *merge.counts, *merge.amounts, *held, F.lit(True).alias("_new"))
         if before is not None:

@@ -14,7 +14,7 @@ from adtally.functions import measures as ms
 from adtally.functions import time as tm
 from adtally.functions.identity import sketch_key
 from adtally.operators import click, conversion, demand, event, impression
-from adtally.operators.rollup import SCOPE, by_hash, by_scope, money_sum, sum_of
+from adtally.operators.rollup import SCOPE, add_up, by_hash, by_scope, by_scope_once, gathered, money_sum, sum_of
 from adtally.sinks.ledger import Merge
 
 LOG2_REGISTERS = 12
@@ -34,7 +34,8 @@ MERGES: dict[str, Merge] = {
     "event": Merge([*SCOPE, *event.FINE], ["gross_cnt"], ["total_amount"], _VISITORS),
     "event-ids": Merge([*SCOPE, "role", "role_day", *grains.EVENT], ["gross_cnt", *event.RETENTION], ["total_amount"],
                        _VISITORS, ["last_code"]),
-    "demand": Merge([*SCOPE, "kind", *grains.DEMAND], ["gross_cnt"], ["cost"], _VISITORS),
+    "demand": Merge([*SCOPE, "kind", *grains.DEMAND], ["gross_cnt"], ["cost"], _VISITORS,
+                    together=["kind", *grains.DEMAND]),
     "click-watch": Merge(["window_start", "kind", "key"], latest=["cnt"]),
 }
 
@@ -45,8 +46,11 @@ def _sketch(key: str) -> Column:
 
 def _credible(rows: DataFrame) -> DataFrame:
     """Without records from more than ``AHEAD_HOURS`` after now, which cannot be true."""
-    now = F.unix_seconds(F.current_timestamp())
-    return rows.where(F.col("scope_epoch") <= now + AHEAD_HOURS * 3600)
+    return rows.where(F.col("scope_epoch") <= _latest())
+
+
+def _latest() -> Column:
+    return F.unix_seconds(F.current_timestamp()) + AHEAD_HOURS * 3600
 
 
 def clicks(log: DataFrame) -> DataFrame:
@@ -145,6 +149,13 @@ def demand_totals(log: DataFrame, parts: int | None = None) -> DataFrame:
     return demand_counts(demand_fields(log), parts)
 
 
+def demand_part(fields: DataFrame) -> DataFrame:
+    """``demand_counts`` as a table keeps them: records that have one day in both scopes count in one row."""
+    dims = MERGES["demand"].together
+    rows = by_scope_once(gathered(fields, dims), "epoch", _latest())
+    return add_up(rows, dims, F.count("*").alias("gross_cnt"), _sketch("uv"), money_sum("cost"), by_day=True)
+
+
 def demand_counts(fields: DataFrame, parts: int | None = None) -> DataFrame:
     rows = by_scope(demand.together(fields, "kind", parts=parts), "epoch", keep_epoch=True)
     return _credible(rows).groupBy(*by_hash(*MERGES["demand"].keys)).agg(

@@ -110,6 +110,30 @@ def test_growth_is_capped_at_the_records(spark, tmp_path):
         assert row.n == 1 and row.uniq <= 1
 
 
+def test_growth_of_rows_for_both_scopes(spark, tmp_path):
+    """They are told apart before anything is compared."""
+    merge = Merge(["scope", "timezone", "dated", "k"], ["n"], [], {"seen": "uniq"}, together=["k"])
+    ledger = Ledger(str(tmp_path), merge, every=2)
+    batches = [[("both", 8.0, D1, "a", "x"), ("both", 8.0, D1, "a", "y"), ("adx", 8.0, D2, None, "x")],
+               [("both", 1.0, D1, "a", "x"), ("adx", 8.0, D1, "a", "z"), ("gmt", None, D1, None, "x")],
+               [("both", 8.0, D1, "a", "z")]]
+    wanted = [[("adx", 8.0, D1, "a", 2, 2), ("adx", 8.0, D2, None, 1, 1), ("gmt", None, D1, "a", 2, 2)],
+              [("adx", 1.0, D1, "a", 1, 1), ("adx", 8.0, D1, "a", 1, 1), ("gmt", None, D1, "a", 1, 0),
+               ("gmt", None, D1, None, 1, 1)],
+              [("adx", 8.0, D1, "a", 1, 0), ("gmt", None, D1, "a", 1, 1)]]
+    for batch_id, (rows, growth) in enumerate(zip(batches, wanted)):
+        seen = spark.createDataFrame(rows, "scope string, timezone double, dated date, k string, who string")
+        ledger.compact(spark, batch_id)
+        ledger.add(seen.groupBy(*merge.keys).agg(
+            F.count("*").alias("n"), F.hll_sketch_agg("who", F.lit(12)).alias("seen")), batch_id)
+        assert sorted(map(tuple, ledger.growth(spark, batch_id).collect()), key=str) == sorted(growth, key=str)
+        assert sorted(r.scope for r in ledger.batch(spark, batch_id).collect()) == sorted(
+            s for row in {row[:4] for row in rows} for s in (("adx", "gmt") if row[0] == "both" else (row[0],)))
+    assert sorted(map(tuple, ledger.totals(spark).collect()), key=str) == sorted([
+        ("adx", 1.0, D1, "a", 1, 1), ("adx", 8.0, D1, "a", 4, 3), ("adx", 8.0, D2, None, 1, 1),
+        ("gmt", None, D1, "a", 4, 3), ("gmt", None, D1, None, 1, 1)], key=str)
+
+
 def test_greatest_values_and_rows_without_keys(spark, tmp_path):
     ledger = Ledger(str(tmp_path / "a"), Merge(["k"], ["n"], latest=["last"]), every=2)
     for batch_id, (n, last) in enumerate([(1, 5), (2, 3), (3, 9)]):

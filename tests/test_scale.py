@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from adtally import catalog, grains, schemas
-from adtally.operators import demand
+from adtally.operators import demand, rollup
 from adtally.operators.rollup import SCOPE, by_hash
 from adtally.plans import streams
 from adtally.sinks.ledger import Merge
@@ -75,6 +75,32 @@ def test_demand_sketches_are_shuffled_before_they_are_fanned_out(demand_log):
         ("adx", "", 1, 1), ("adx", "b1", 3, 2), ("gmt", "", 1, 1), ("gmt", "b1", 3, 2)]
 
 
+def test_demand_table_is_sorted_and_added_up_once(spark, demand_log, tmp_path):
+    """Neither the part of a batch nor the totals hash groups, or add them up in two steps; no row is shuffled twice."""
+    rows = demand_log.withColumn("topic", F.concat_ws("_", F.nullif("demand", "demand"), F.lit("clks")))
+    ledger = streams.table("demand", str(tmp_path))
+    monitored = {}
+    write = ledger._write
+    ledger._write = lambda part, name: (monitored.__setitem__("part", plan(part)), write(part, name))
+    for batch_id in range(2):
+        ledger.add(streams.JOBS["demand"][1](rollups.demand_fields(rows)), batch_id)
+    totals = ledger.totals(spark)
+    monitored["totals"] = plan(totals)
+    for lines in monitored.values():
+        assert len([line for line in lines if "Exchange" in line]) == 1
+        assert [line.split("Aggregate")[0].split()[-1] for line in lines if "Aggregate(" in line] == ["Sort"]
+    assert values(totals, "scope", "campaign_id", "gross_cnt", "uniq_cnt") == [
+        ("adx", "", 2, 1), ("adx", "b1", 6, 2), ("gmt", "", 2, 1), ("gmt", "b1", 6, 2)]
+
+
+@pytest.mark.parametrize("dims", [("a", "b"), ("", ""), (None, "b"), ("a\x1f", None), ("a\x1fb", "c"), ("a", "b\x1fc"),
+                                  (None, None), ("\x1f", "")])
+def test_dimensions_are_unpacked_as_they_were(spark, dims):
+    rows = spark.createDataFrame([(*dims, 7), (*dims, None)], "a string, b string, n int")
+    got = rollup.unpacked(rollup.packed(rows, ["a", "n", "b"]), ["a", "n", "b"]).select("a", "b", "n")
+    assert sorted(got.collect(), key=str) == sorted(rows.collect(), key=str) and got.dtypes == rows.dtypes
+
+
 def test_sketches_are_sorted_by_the_hash_of_their_keys(spark):
     rows = spark.createDataFrame([("a", None, "v"), ("a", None, "w"), ("b", 1, "v")], "k string, n int, v string")
     out = rows.groupBy(*by_hash("k", "n")).agg(F.count("*").alias("cnt")).drop("_hash")

@@ -231,6 +231,41 @@ def test_demand_streams_use_the_topic(spark, feed):
     assert values(supply, "kind", "gross_cnt", "revenue") == [("clks", 1, 1.5), ("imps", 1, 0.0)]
 
 
+def demand_record(ip="a", at=MIDNIGHT + 43200, tz=8.0, **more):
+    return {"clickts": at, "tz": tz, "dcost": 0.5, "cid": "b", "device": {"ip": ip}, **more}
+
+
+def test_demand_table_keeps_one_row_for_both_scopes(spark, feed):
+    """Days and merges are those of a row for each scope; the local day of the last record is the next."""
+    feed.send(demand_record(), demand_record("b"), demand_record(tz=-0.0), demand_record(at=MIDNIGHT + 70000))
+    feed.send(demand_record(tz=0.0), demand_record("c", at=MIDNIGHT + 80000, tz=-4.0), demand_record(cid="b\x1f"),
+              demand_record(at=MIDNIGHT * 10))
+    feed.send(demand_record("b"), demand_record("b", tz=-4.0, cid="\x1fb"))
+    source = feed.messages().withColumn("topic", F.lit("x_clks"))
+    for every in (2, 16):
+        out = f"out-{every}"
+        table = streams.table("demand", feed.path(out), every=every)
+        parsed = logs.parse_messages(source, schemas.DEMAND, keep=["topic"], typed_first=True)
+        streams.begin("demand", logs.good(parsed, schemas.DEMAND), table, feed.path(f"ck-{every}"),
+                      NOW).awaitTermination()
+        wanted = [("adx", -4.0, 10, "\x1fb", 1, 1), ("adx", -4.0, 10, "b", 1, 1), ("adx", 0.0, 10, "b", 2, 1),
+                  ("adx", 8.0, 10, "b", 3, 2), ("adx", 8.0, 10, "b\x1f", 1, 1), ("adx", 8.0, 11, "b", 1, 1),
+                  ("gmt", None, 10, "\x1fb", 1, 1), ("gmt", None, 10, "b", 7, 3), ("gmt", None, 10, "b\x1f", 1, 1)]
+
+        def found(days=None):
+            return sorted((r.scope, r.timezone, r.dated.day, r.campaign_id, r.gross_cnt, r.uniq_cnt)
+                          for r in table.totals(spark, days).collect())
+
+        assert found() == wanted
+        assert found([dt.date(2024, 1, 11)]) == [w for w in wanted if w[2] == 11]
+        rows = table.rows(spark)
+        assert values(rows.groupBy("scope").agg(F.sum("gross_cnt"), F.sum("cost").cast("double"))) == [
+            ("adx", 9, 4.5), ("gmt", 9, 4.5)]
+        stored = spark.read.parquet(f"{feed.path(out)}/data")
+        assert values(stored.where("part not like 'b%2'").groupBy("scope").agg(F.sum("gross_cnt"))) == (
+            [("adx", 1), ("both", 6), ("gmt", 1)] if every == 16 else [("adx", 2), ("both", 12), ("gmt", 2)])
+
+
 def test_conversion_stream_counts_every_record(spark, feed):
     record = {"click_id": "c", "conv_timestamp": MIDNIGHT, "forwarded": 1, "net_profit": 0.5, "timezone": 0}
     feed.send(record, record, {**record, "invalid_type": "E001"})
