@@ -45,7 +45,7 @@ class Merge(NamedTuple):
     #: Of these the greatest stays.
     latest: list[str] = []
     #: Dimensions, for a table by scope that has nearly as many keys as records. Its rows may stand for both scopes,
-    #: and a part is written by the tasks that added it up.
+    #: and a part is written by the tasks that added it up, if Spark merges small ones.
     together: list[str] = []
 
     def _measures(self) -> list[Column]:
@@ -169,7 +169,8 @@ class Ledger:
             spark.conf.set(SORTED, "true")
 
     def _write(self, rows: DataFrame, name: str) -> None:
-        if self.merge.together:  # in the order of their days, in the tasks that added them up
+        merges = rows.sparkSession.conf.get("spark.sql.adaptive.coalescePartitions.enabled", "true") == "true"
+        if self.merge.together and merges:  # in the order of their days, in the tasks that added them up
             rows.write.mode("overwrite").partitionBy(self.by).parquet(f"{self.data}/part={name}")
         elif self.by in rows.columns:
             rows.hint("rebalance", self.by).write.mode("overwrite").partitionBy(self.by).parquet(f"{self.data}/part={name}")

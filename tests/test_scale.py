@@ -93,6 +93,20 @@ def test_demand_table_is_sorted_and_added_up_once(spark, demand_log, tmp_path):
         ("adx", "", 2, 1), ("adx", "b1", 6, 2), ("gmt", "", 2, 1), ("gmt", "b1", 6, 2)]
 
 
+def test_demand_table_has_few_files_where_small_tasks_are_not_merged(spark, demand_log, tmp_path):
+    name = "spark.sql.adaptive.coalescePartitions.enabled"
+    rows = demand_log.withColumn("topic", F.lit("x_clks")).crossJoin(spark.range(40)).withColumn(
+        "cid", F.concat("cid", F.col("id").cast("string"))).drop("id")
+    spark.conf.set(name, "false")
+    try:
+        ledger = streams.table("demand", str(tmp_path))
+        ledger.add(rollups.demand_part(rollups.demand_fields(rows).repartition(7)), 0)
+        assert len(list(tmp_path.glob("data/part=*/dated=*/*.parquet"))) == len(list(tmp_path.glob("data/part=*/dated=*")))
+        assert values(ledger.totals(spark).groupBy("scope").agg(F.sum("gross_cnt"))) == [("adx", 160), ("gmt", 160)]
+    finally:
+        spark.conf.set(name, "true")
+
+
 @pytest.mark.parametrize("dims", [("a", "b"), ("", ""), (None, "b"), ("a\x1f", None), ("a\x1fb", "c"), ("a", "b\x1fc"),
                                   (None, None), ("\x1f", "")])
 def test_dimensions_are_unpacked_as_they_were(spark, dims):
